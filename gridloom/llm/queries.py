@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import packing, warc
+from . import classify, packing, pivots, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        pivots.op2_pivot_distance_top_k,
+        classify.op3_factorisation_machine,
         packing.op5_packing_first_fit,
+        classify.op7_compression_toxicity,
         warc.op10_warc_boundary_chain,
     )
 }
