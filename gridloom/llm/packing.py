@@ -13,8 +13,10 @@ own; very long documents give many full sequences; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ GROUP = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 class Tournament:
@@ -113,40 +115,61 @@ def powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]
     return out
 
 
-#: The tokenizer's own split of normalised text into words.
+#: The tokenizer's own split of normalised text into words, for all characters and for those below FAST.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+FAST = 0x250
 
 
-class WordIds:
-    """Ids of a text as little-endian unsigned 32-bit bytes; the ids of each word are remembered."""
+def _fast_words():
+    """WORDS in the standard library's syntax, right for texts of characters below FAST."""
+    kinds = {k: "".join(re.escape(chr(c)) for c in range(FAST) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+    return re.compile(WORDS.replace(r"\p{L}", kinds["L"]).replace(r"\p{N}", kinds["N"])).findall
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class WordIds(dict):
+    """Ids of words as little-endian unsigned 32-bit bytes, and of texts by joining their words'.
+
+    Words are remembered in two generations of at most REMEMBERED; those that were not met again go.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.words = regex.compile(WORDS).findall
-        self.other = regex.compile("[^\x00-ɏ]").search
-        self.known: dict[str, bytes] = {}
-
-    def normalised(self, text: str) -> str:
+        self.model = self.tokenizer.model
+        self.words, self.fast = regex.compile(WORDS).findall, _fast_words()
+        self.other = re.compile(f"[^\0-{chr(FAST - 1)}]").search
+        self.letters = _byte_letters()
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            ids = array("I", [t.id for t in tokens]).tobytes()
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def split(self, text: str) -> list[str]:
         if text.isascii():
-            return text.lower()
+            return self.fast(text.lower())
         if self.other(text):
-            return self.tokenizer.normalizer.normalize_str(text)
-        return unicodedata.normalize("NFC", text).lower()
-
-    def __call__(self, text: str) -> bytes:
-        words, known = self.words(self.normalised(text)), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list({w for w in words if w not in known})
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+            return self.words(self.tokenizer.normalizer.normalize_str(text))
+        return self.fast(unicodedata.normalize("NFC", text).lower())
+
+    def ids(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.split(text)))
 
 
 @functools.cache
@@ -156,7 +179,7 @@ def word_ids(path: str) -> WordIds:
 
 def _pack_group(path: str, capacity: int):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        ids_of, end = word_ids(path), np.array([END_ID], "<u4").tobytes()
+        ids_of, end = word_ids(path).ids, np.array([END_ID], "<u4").tobytes()
         ids, docs = [], group.column("doc_id").to_pylist()
         for x in group.column("text"):
             ids.append(ids_of(x.as_py() or "") + end)
