@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import classify, packing, pivots, warc
+from . import classify, fingerprints, packing, pivots, suffixes, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        fingerprints.op1_iblt_fingerprints,
         pivots.op2_pivot_distance_top_k,
         classify.op3_factorisation_machine,
         packing.op5_packing_first_fit,
+        suffixes.op6_suffix_array_dedup,
         classify.op7_compression_toxicity,
         warc.op10_warc_boundary_chain,
     )
