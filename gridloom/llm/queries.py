@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classify, fingerprints, packing, pivots, suffixes, warc
+from . import classify, fingerprints, minhash, packing, pivots, suffixes, warc
 
 QUERIES = {
     f.__name__: f
@@ -13,6 +13,7 @@ QUERIES = {
         packing.op5_packing_first_fit,
         suffixes.op6_suffix_array_dedup,
         classify.op7_compression_toxicity,
+        minhash.op8_prob_min_hash,
         warc.op10_warc_boundary_chain,
     )
 }
