@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classify, fingerprints, minhash, packing, pivots, suffixes, warc
+from . import bytepairs, classify, fingerprints, minhash, packing, pivots, suffixes, warc
 
 QUERIES = {
     f.__name__: f
@@ -14,6 +14,7 @@ QUERIES = {
         suffixes.op6_suffix_array_dedup,
         classify.op7_compression_toxicity,
         minhash.op8_prob_min_hash,
+        bytepairs.op9_byte_level_bpe,
         warc.op10_warc_boundary_chain,
     )
 }
