@@ -37,7 +37,7 @@ NEVER = (1 << 31) - 1
 SLOTS = 1 << 16
 FAST = 0x250
 #: White space of the pattern's \s, spelled out as libraries differ in it.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0" + f"{chr(0x1680)}{chr(0x2000)}-{chr(0x200A)}{chr(0x2028)}{chr(0x2029)}{chr(0x202F)}{chr(0x205F)}{chr(0x3000)}"
 
 
 @functools.cache

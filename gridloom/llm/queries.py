@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytepairs, classify, fingerprints, minhash, packing, pivots, suffixes, warc
+from . import bytepairs, classify, fingerprints, licences, minhash, packing, pivots, suffixes, warc
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         fingerprints.op1_iblt_fingerprints,
         pivots.op2_pivot_distance_top_k,
         classify.op3_factorisation_machine,
+        licences.op4_licence_scan,
         packing.op5_packing_first_fit,
         suffixes.op6_suffix_array_dedup,
         classify.op7_compression_toxicity,
