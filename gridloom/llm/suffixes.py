@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from .common import mix64, saved, table
 
 LENGTH, K = 50, 26
-CHUNK, CHUNK_ROWS = 4 << 20, 8192
+CHUNK, CHUNK_ROWS = 2 << 20, 8192
 PART = 4 << 20
 HOT = 4096
 #: Hashes to a bucket and bytes to a shard, about.
-BUCKET_HASHES = 1 << 20
+BUCKET_HASHES = 1 << 18
 _NO_ID = (1 << 63) - 1
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,7 +54,16 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _pack(batches):
+def packer(chunk_bytes: int = CHUNK):
+    """For mapInArrow: p and payload of chunks of about so many bytes of text, rows in order."""
+
+    def run(batches):
+        yield from _pack(batches, chunk_bytes)
+
+    return run
+
+
+def _pack(batches, chunk_bytes: int):
     from pyspark import TaskContext
 
     part, n = TaskContext.get().partitionId() << 32, 0
@@ -70,12 +79,12 @@ def _pack(batches):
         lengths = np.array([len(x) if x is not None else 0 for x in b.column("text").cast(pa.large_binary()).to_pylist()], np.int64)
         at = 0
         while at < b.num_rows:
-            room = np.searchsorted(np.cumsum(lengths[at:]), CHUNK - size, "right")
+            room = np.searchsorted(np.cumsum(lengths[at:]), chunk_bytes - size, "right")
             take = int(min(max(room, 1 if not held else 0), CHUNK_ROWS - rows))
             if take:
                 held.append(b.slice(at, take))
                 size, rows, at = size + int(lengths[at : at + take].sum()), rows + take, at + take
-            if at < b.num_rows or size >= CHUNK or rows >= CHUNK_ROWS:
+            if at < b.num_rows or size >= chunk_bytes or rows >= CHUNK_ROWS:
                 yield chunk()
                 held, size, rows = [], 0, 0
     if held:
@@ -476,7 +485,7 @@ class Spans:
 
     def __init__(self, docs: DataFrame):
         self.schema = docs.schema
-        self.chunks = saved(docs.mapInArrow(_pack, "p long, payload binary"), "suffix-chunks")
+        self.chunks = saved(docs.mapInArrow(packer(), "p long, payload binary"), "suffix-chunks")
         n = max(1, self.chunks.count())
         per_chunk = CHUNK * 2 // (LENGTH - K + 2)
         digests = self.chunks.mapInArrow(_copy_rows, "p long, row int, digest binary, key long")
