@@ -50,7 +50,7 @@ def rotate(image: np.ndarray, angle: float, method: str = "cubic", border: str =
 def shear_rows(binary: np.ndarray, angle: float) -> np.ndarray:
     """Row sums of the image turned by a small angle, without an image: columns shift against each other."""
     h, w = binary.shape
-    shift = np.rint(np.tan(np.radians(angle)) * (np.arange(w) - w // 2)).astype(int)
+    shift = np.rint(-np.tan(np.radians(angle)) * (np.arange(w) - w // 2)).astype(int)
     rows, cols = np.nonzero(binary)
     at = rows + shift[cols]
     return np.bincount(at[(at >= 0) & (at < h)], minlength=h).astype(np.int64) * 255
