@@ -21,12 +21,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, mix64, table
+from .common import held_out, mix64, release, table
 
 #: Labelled rows of each class (0, 1) to learn from at most, the smallest by a hash of the id.
 LEARN_ROWS = {"quality": (3000, 5000), "toxic": (6000, 3000)}
 #: Bytes of text handled at once.
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, label: str, rows: tuple[int, int]) -> tuple[list[str], np.ndarray, float]:
@@ -76,6 +76,7 @@ def sliced(texts: pa.Array):
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     at = 0
     while at < len(texts):
+        release()
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, "right")) - 1)
         yield at, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
@@ -393,6 +394,7 @@ class CompressionDistance:
         if not self.fitted:
             return out
         for at in range(0, len(texts), 512):
+            release()
             own = [x.as_py() or "" for x in texts.slice(at, 512)]
             out[at : at + len(own)] = sigmoid((self.features(own) - self.centre) / self.spread @ self.weights[:-1] + self.weights[-1])
         return out

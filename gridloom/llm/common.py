@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
+import time
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+_released = [0.0]
+
+
+def release() -> None:
+    """Gives freed memory back to the system, once a second at most: a Python worker lives on after its tasks."""
+    now = time.monotonic()
+    if now - _released[0] > 1:
+        _released[0] = now
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass

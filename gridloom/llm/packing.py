@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import release, table
 
 CAPACITY = 4096
 END_ID = 2
@@ -180,6 +180,7 @@ def word_ids(path: str) -> WordIds:
 def _pack_group(path: str, capacity: int):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         ids_of, end = word_ids(path).ids, np.array([END_ID], "<u4").tobytes()
+        release()
         ids, docs = [], group.column("doc_id").to_pylist()
         for x in group.column("text"):
             ids.append(ids_of(x.as_py() or "") + end)

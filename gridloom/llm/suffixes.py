@@ -29,10 +29,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, saved, table
+from .common import mix64, release, saved, table
 
 LENGTH, K = 50, 26
 CHUNK, CHUNK_ROWS = 2 << 20, 8192
@@ -47,36 +48,31 @@ _M = np.uint64(0x9E3779B97F4A7C15)
 # --- chunks --------------------------------------------------------------------------------
 
 
-def _ipc(batch: pa.RecordBatch) -> bytes:
+def _ipc(batch: pa.RecordBatch, level: int) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=level))) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def packer(chunk_bytes: int = CHUNK):
+def packer(chunk_bytes: int = CHUNK, level: int = 3):
     """For mapInArrow: p and payload of chunks of about so many bytes of text, rows in order."""
 
     def run(batches):
-        yield from _pack(batches, chunk_bytes)
+        for p, rows in cut(batches, chunk_bytes):
+            whole = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([_ipc(whole, level)], pa.binary())], names=["p", "payload"])
 
     return run
 
 
-def _pack(batches, chunk_bytes: int):
+def cut(batches, chunk_bytes: int):
+    """p and batches of chunks of a task's rows; p is the task's partition and the chunk's number in it."""
     from pyspark import TaskContext
 
-    part, n = TaskContext.get().partitionId() << 32, 0
-    held, size, rows = [], 0, 0
-
-    def chunk():
-        nonlocal n
-        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        n += 1
-        return pa.RecordBatch.from_arrays([pa.array([part + n], pa.int64()), pa.array([_ipc(t)], pa.binary())], names=["p", "payload"])
-
+    p, held, size, rows = TaskContext.get().partitionId() << 32, [], 0, 0
     for b in batches:
-        lengths = np.array([len(x) if x is not None else 0 for x in b.column("text").cast(pa.large_binary()).to_pylist()], np.int64)
+        lengths = pa.compute.binary_length(b.column("text").cast(pa.large_binary())).fill_null(0).to_numpy()
         at = 0
         while at < b.num_rows:
             room = np.searchsorted(np.cumsum(lengths[at:]), chunk_bytes - size, "right")
@@ -85,16 +81,19 @@ def _pack(batches, chunk_bytes: int):
                 held.append(b.slice(at, take))
                 size, rows, at = size + int(lengths[at : at + take].sum()), rows + take, at + take
             if at < b.num_rows or size >= chunk_bytes or rows >= CHUNK_ROWS:
-                yield chunk()
+                p += 1
+                release()
+                yield p, held
                 held, size, rows = [], 0, 0
     if held:
-        yield chunk()
+        yield p + 1, held
 
 
 class Chunk:
     """A chunk's rows, its texts as one buffer, their keys (doc_id) and digests."""
 
     def __init__(self, payload: bytes):
+        release()
         self.table = pa.ipc.open_stream(payload).read_all()
         text = self.table.column("text").combine_chunks()
         if isinstance(text, pa.ChunkedArray):
@@ -225,6 +224,7 @@ def _list(rows) -> pa.Table:
 
 def _shared(group: pa.Table) -> pa.Table:
     """For each chunk those of its hashes in the bucket that several texts have: those of few and of many."""
+    release()
     ps = group.column("p").to_pylist()
     parts = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("hashes")]
     v = np.concatenate(parts)
@@ -420,6 +420,7 @@ def _smallest_keys(segments: list[bytes], keys: np.ndarray) -> list[np.ndarray]:
 
 def _shard(group: pa.Table) -> pa.Table:
     """Spans to remove in each chunk: of each run's strings those that a smaller key has as well."""
+    release()
     rows = group.to_pylist()
     known: dict[bytes, int] = {}
     least: list[int] = []
