@@ -1,10 +1,10 @@
 """Byte-level BPE: encoding of distinct words by Spark's higher-order functions, and decoding.
 
 Documents are packed into chunks; each chunk's distinct words (matches of the split pattern) are
-gathered once for the whole corpus, so that a word is encoded once however often it occurs. A word's bytes are folded with aggregate():
+gathered once for the whole corpus, so that a word is encoded once however often it occurs (once for every MOST_CHUNKS chunks). A word's bytes are folded with aggregate():
 each step merges the leftmost pair of the lowest rank, and looks up only the two pairs that the merge makes.
-The rank map is a literal of the plan: two arrays of slots addressed by the halves of a CRC-32 (a cuckoo
-table), since element_at() on a literal map of 50,000 entries would scan it. Decoding maps ids to their byte
+The rank map is a literal of the plan: an array of buckets addressed by a CRC-32, since element_at() on a
+literal map of 50,000 entries would scan it. Decoding maps ids to their byte
 pieces and concatenates them. The words' ids then return to the chunks that hold the words, where each text's
 ids are put together in order.
 
@@ -26,15 +26,21 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
-from .suffixes import Chunk, packer
+from .common import table
+from .suffixes import Chunk, cut, packer
 
 CHUNK = 12 << 20
-NEVER = (1 << 31) - 1
-SLOTS = 1 << 16
+#: Above all ranks. Where a part's rank and start lie among the bits of its number; its id is the lowest.
+NEVER, RANK_AT, START_AT = 1 << 20, 40, 17
+START_MASK, ID_MASK = (1 << (RANK_AT - START_AT)) - 1, (1 << START_AT) - 1
+BUCKETS = 1 << 15
+OPEN, CLOSE = chr(0x101), chr(0x102)
+#: Words that a task packs for their chunks at once; chunks of a word in one row; documents to a bucket of words.
+PACKED_ROWS, MOST_CHUNKS, BUCKET_DOCUMENTS = 400_000, 4096, 4000
 FAST = 0x250
 #: White space of the pattern's \s, spelled out as libraries differ in it.
 SPACE = "\t-\r \x85\xa0" + f"{chr(0x1680)}{chr(0x2000)}-{chr(0x200A)}{chr(0x2028)}{chr(0x2029)}{chr(0x202F)}{chr(0x205F)}{chr(0x3000)}"
@@ -46,85 +52,98 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def cuckoo(ranks: dict[bytes, int]) -> list[list[tuple[bytes, int] | None]]:
-    """Two tables of SLOTS in which each key lies at the low or the high half of its CRC-32."""
-    tables: list[list] = [[None] * SLOTS, [None] * SLOTS]
-    for item in ranks.items():
-        side = 0
-        for _ in range(500):
-            place = (zlib.crc32(item[0]) >> 16 * side) & (SLOTS - 1)
-            item, tables[side][place] = tables[side][place], item
-            if item is None:
-                break
-            side = 1 - side
-        else:
-            raise ValueError("the rank file has too many keys for this table")
-    return tables
-
-
 def let(value: Column, body) -> Column:
     """body(value) with value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 class RankMap:
-    """Literal rank map and the expressions that use it."""
+    """Literal rank map and the expressions that use it.
+
+    Bytes are letters of Latin-1 here, one for each byte, so that keys are strings. A key lies in the bucket of its
+    CRC-32, between marks and before its rank in five digits; a bucket is one string, so that the literal has few
+    elements (it goes out with every task, once for each place in the plan). Pairs of single bytes have a table of
+    their own, addressed by both.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
-        one, two = cuckoo(ranks)
-        keys = lambda t: F.split(F.lit(",".join(x[0].hex().upper() if x else "-" for x in t)), ",")
-        values = lambda t: F.split(F.lit(",".join(str(x[1]) if x else "0" for x in t)), ",").cast("array<int>")
-        self.keys, self.values = (keys(one), keys(two)), (values(one), values(two))
-        by_id = {v: k for k, v in ranks.items()}
-        self.pieces = F.split(F.lit(",".join(by_id[i].hex().upper() if i in by_id else "" for i in range(max(by_id) + 1))), ",")
+        letters = {k.decode("latin-1"): v for k, v in ranks.items()}
+        if max(letters.values()) > 99_999:
+            raise ValueError("ranks of more than five digits")
+        mark = chr(0x100)
+        array = lambda x: F.split(F.lit(mark.join(x)), mark)
+        numbers = lambda x: F.split(F.lit(",".join(map(str, x))), ",").cast("array<int>")
+        buckets = [""] * BUCKETS
+        for k, v in letters.items():
+            buckets[zlib.crc32(k.encode()) % BUCKETS] += f"{OPEN}{k}{CLOSE}{v:05d}"
+        self.buckets = array(buckets)
+        self.bytes = numbers(letters[chr(i)] for i in range(256))
+        self.pairs = numbers(letters.get(chr(i >> 8) + chr(i & 255), NEVER) for i in range(1 << 16))
+        by_id = {v: k for k, v in letters.items()}
+        self.pieces = array(by_id.get(i, "") for i in range(max(by_id) + 1))
 
     def rank(self, key: Column) -> Column:
-        """The rank of a binary, null if it has none."""
-        crc, text = F.crc32(key), F.hex(key)
-        at = (crc.bitwiseAND(F.lit(SLOTS - 1)).cast("int"), F.shiftrightunsigned(crc, 16).cast("int"))
-        hit = [F.when(F.get(k, i) == text, F.get(v, i)) for k, v, i in zip(self.keys, self.values, at)]
-        return F.coalesce(*hit)
-
-    def _pair(self, a: Column, b: Column) -> Column:
-        return F.coalesce(self.rank(F.concat(a, b)), F.lit(NEVER))
-
-    def encode(self, word: Column) -> Column:
-        """Ids of a word (binary of at least one byte)."""
-        n = F.octet_length(word)
-        parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
-        ranks = F.transform(F.slice(F.sequence(F.lit(1), n), F.lit(1), n - 1), lambda i: F.coalesce(self.rank(F.substring(word, i, F.lit(2))), F.lit(NEVER)))
-
-        def merge(acc: Column, p: Column) -> Column:
-            parts, ranks = acc["parts"], acc["ranks"]
-
-            def joined(both: Column) -> Column:
-                left = F.when(p > 1, F.array(self._pair(F.get(parts, p - 2), both))).otherwise(F.array().cast("array<int>"))
-                right = F.when(p + 1 < F.size(parts), F.array(self._pair(both, F.get(parts, p + 1)))).otherwise(F.array().cast("array<int>"))
-                return F.struct(
-                    F.concat(F.slice(parts, F.lit(1), p - 1), F.array(both), F.slice(parts, p + 2, F.size(parts))).alias("parts"),
-                    F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), left, right, F.slice(ranks, p + 2, F.size(parts))).alias("ranks"),
-                )
-
-            return let(F.concat(F.get(parts, p - 1), F.get(parts, p)), joined)
+        """The rank of a string of bytes, null if it has none."""
+        bucket = F.get(self.buckets, F.crc32(key.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+        mark = F.concat(F.lit(OPEN), key, F.lit(CLOSE))
+
+        def within(b: Column) -> Column:
+            at = F.call_function("locate", mark, b)
+            return F.when(at > 0, F.substring(b, at + F.length(mark), F.lit(5)).cast("int"))
+
+        return let(bucket, within)
+
+    def encode(self, text: Column) -> Column:
+        """Ids of a word of at least one byte, in Latin-1 letters: a column, as the fold reads it again and again.
+
+        The fold's state is one number for each part: the rank of the pair that it and the next part make, where it
+        starts (from 1), and its id. The least of them is the pair to merge, the leftmost of equal rank, and the pair's
+        rank is the id of what it merges to. A last entry marks the word's end.
+        """
+        n = F.length(text)
+        part = lambda rank, start, id_: F.shiftleft(rank.cast("long"), RANK_AT) + F.shiftleft(start.cast("long"), START_AT) + id_
+
+        def singles(codes: Column) -> Column:
+            def single(code: Column, i: Column) -> Column:
+                rank = F.coalesce(F.get(self.pairs, code * 256 + F.get(codes, i + 1)), F.lit(NEVER))
+                return part(rank, i + 1, F.get(self.bytes, code))
+
+            return F.concat(F.transform(codes, single), F.array(part(F.lit(NEVER), n + 1, F.lit(0))))
+
+        parts = let(F.transform(F.sequence(F.lit(1), n), lambda i: F.ascii(F.substring(text, i, F.lit(1)))), singles)
+
+        def merge(acc: Column, low: Column, p: Column) -> Column:
+            """Part p (from 0) takes in the next one; the pairs with its neighbours get their ranks."""
+            start = lambda i: F.shiftright(F.get(acc, i), START_AT).bitwiseAND(F.lit(START_MASK)).cast("int")
+
+            def renewed(x: Column, i: Column) -> Column:
+                own = F.shiftright(x, START_AT).bitwiseAND(F.lit(START_MASK)).cast("int")
+                end = start(F.when(i == p, p + 3).otherwise(p + 2))
+                rank = F.coalesce(self.rank(F.substring(text, own, end - own)), F.lit(NEVER))
+                id_ = F.when(i == p, F.shiftright(low, RANK_AT)).otherwise(x.bitwiseAND(F.lit(ID_MASK)))
+                return F.when((i == p) | (i == p - 1), part(rank, own, id_)).otherwise(x)
+
+            return F.filter(F.transform(acc, renewed), lambda _, i: i != p + 1)
 
         def step(acc: Column, _: Column) -> Column:
-            low = F.array_min(acc["ranks"])
-            return F.when(low < NEVER, let(F.array_position(acc["ranks"], low).cast("int"), lambda p: merge(acc, p))).otherwise(acc)
+            low = F.array_min(acc)
+            return F.when(low < F.lit(NEVER << RANK_AT), let(F.array_position(acc, low).cast("int") - 1, lambda p: merge(acc, low, p))).otherwise(acc)
 
-        start = F.struct(parts.alias("parts"), ranks.alias("ranks"))
-        folded = F.aggregate(F.array_repeat(F.lit(0), n - 1), start, step, lambda acc: F.transform(acc["parts"], self.rank))
-        whole = self.rank(word)
+        ids = lambda acc: F.transform(F.slice(acc, F.lit(1), F.size(acc) - 1), lambda x: x.bitwiseAND(F.lit(ID_MASK)).cast("int"))
+        folded = F.aggregate(F.array_repeat(F.lit(0), n - 1), parts, step, ids)
+        whole = self.rank(text)
         return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of ids, their pieces one after another."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
+        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""), "ISO-8859-1")
 
 
 @functools.cache
 def splitter(pattern: str):
     """A function that gives the words of a text."""
-    spelled = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
+    # one test for an apostrophe instead of seven
+    spelled = pattern.replace("'s|'t|'re|'ve|'m|'ll|'d|", "'(?:s|t|re|ve|m|ll|d)|").replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
     full = regex.compile(spelled).findall
     kinds = {k: "".join(re.escape(chr(c)) for c in range(FAST) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
     fast = spelled
@@ -135,52 +154,121 @@ def splitter(pattern: str):
     return lambda text: full(text) if not text.isascii() and other(text) else fast(text)
 
 
-def _distinct_words(pattern: str):
+def bucket_of(word: bytes, buckets: int) -> int:
+    return zlib.crc32(word) % buckets
+
+
+def _distinct_words(pattern: str, buckets: int):
+    """Each chunk's words, sorted and compressed, by bucket."""
+
     def run(batches):
-        words_of = splitter(pattern)
-        for b in batches:
-            for p, payload in zip(b.column("p").to_pylist(), b.column("payload")):
-                words: set[str] = set()
-                for x in Chunk(payload.as_py()).table.column("text"):
+        words_of, squeeze = splitter(pattern), zstandard.ZstdCompressor(level=3).compress
+        for p, rows in cut(batches, CHUNK):
+            words: set[str] = set()
+            for b in rows:
+                for x in b.column("text"):
                     words.update(words_of(x.as_py() or ""))
-                own = pa.array([w.encode() for w in words], pa.binary())
-                for at in range(0, len(own), 10_000):
-                    part = own.slice(at, 10_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), p)), part], names=["p", "word"])
+            by: dict[int, list[bytes]] = {}
+            for w in sorted(w.encode() for w in words):
+                by.setdefault(bucket_of(w, buckets), []).append(w)
+            blobs = [squeeze(np.array([len(w) for w in own], "<u4").tobytes() + b"".join(own)) for own in by.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(by), pa.int32()), pa.array(np.full(len(by), p)), pa.array([len(o) for o in by.values()], pa.int32()), pa.array(blobs, pa.binary())],
+                names=["bucket", "p", "n", "words"],
+            )
 
     return run
 
 
+def _gather(group: pa.Table) -> pa.Table:
+    """Each distinct word of a bucket with its chunks, at most MOST_CHUNKS to a row."""
+    chunks: dict[bytes, list[int]] = {}
+    expand = zstandard.ZstdDecompressor().decompress
+    for p, n, blob in zip(*(group.column(c).to_pylist() for c in ("p", "n", "words"))):
+        data = expand(blob)
+        ends = np.cumsum(np.frombuffer(data, "<u4", n)).tolist()
+        at = 4 * n
+        for a, b in zip([0, *ends], ends):
+            chunks.setdefault(data[at + a : at + b], []).append(p)
+    words, places = [], []
+    for w, ps in chunks.items():
+        for i in range(0, len(ps), MOST_CHUNKS):
+            words.append(w)
+            places.append(np.array(ps[i : i + MOST_CHUNKS], "<i8").tobytes())
+    return pa.table({"word": pa.array(words, pa.binary()), "places": pa.array(places, pa.binary())})
+
+
 def _pack_ids(batches):
     """Words and ids of each chunk as few rows."""
-    schema = pa.schema([("p", pa.int64()), ("entries", pa.binary())])
-    for b in batches:
-        t = pa.Table.from_batches([b]).sort_by("p")
-        p = t.column("p").to_numpy()
-        cut = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.zeros(0, int)
-        rows, sink_schema = [], t.drop(["p"])
-        for x, y in zip(cut, np.append(cut[1:], len(p))):
+    schema = pa.schema([("word", pa.string()), ("ids", pa.string()), ("decoded", pa.binary())])
+    held: dict[int, tuple[list, list, list]] = {}
+
+    def packed() -> pa.RecordBatch:
+        rows = []
+        for own in held.values():
             sink = pa.BufferOutputStream()
-            part = sink_schema.slice(x, y - x).combine_chunks()
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                w.write_table(part)
-            rows.append((int(p[x]), sink.getvalue().to_pybytes()))
-        columns = list(zip(*rows)) or [(), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(own, schema)], schema=schema))
+            rows.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(rows, pa.binary())], names=["p", "entries"])
+
+    size = 0
+    for b in batches:
+        words = b.column("word").cast(pa.string()).to_pylist()
+        for word, places, ids, decoded in zip(words, *(b.column(c).to_pylist() for c in ("places", "ids", "decoded"))):
+            for p in np.frombuffer(places, "<i8").tolist():
+                w, i, d = held.setdefault(p, ([], [], []))
+                w.append(word)
+                i.append(ids)
+                d.append(decoded)
+                size += 1
+        if size >= PACKED_ROWS:
+            yield packed()
+            held, size = {}, 0
+    if held:
+        yield packed()
+
+
+def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word, by the same merges in plain Python."""
+    if word in ranks:
+        return [ranks[word]]
+    parts = [word[i : i + 1] for i in range(len(word))]
+    while len(parts) > 1:
+        low, at = min((ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+        if low == NEVER:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[p] for p in parts]
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def _assemble(pattern: str):
+class _Known(dict):
+    """Ids by word. Should a chunk be cut otherwise than when its words were gathered, it folds what is missing."""
+
+    def __init__(self, rank_path: str):
+        super().__init__()
+        self.rank_path = rank_path
+
+    def __missing__(self, word: str) -> str:
+        self[word] = ids = ",".join(map(str, fold(word.encode(), read_ranks(self.rank_path))))
+        return ids
+
+
+def _assemble(pattern: str, rank_path: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids: dict[str, str] = {}
+        if not left.num_rows:
+            return _OUT.empty_table()
+        ids = _Known(rank_path)
         pieces: dict[str, bytes] = {}
         for e in right.column("entries"):
             t = pa.ipc.open_stream(e.as_py()).read_all()
-            words = [w.decode() for w in t.column("word").to_pylist()]
+            words = t.column("word").to_pylist()
             ids.update(zip(words, t.column("ids").to_pylist()))
-            pieces.update((w, d) for w, d in zip(words, t.column("decoded").to_pylist()) if d is not None)
+            if t.column("decoded").null_count < len(t):
+                pieces.update((w, d) for w, d in zip(words, t.column("decoded").to_pylist()) if d is not None)
         words_of, rows = splitter(pattern), []
         t = Chunk(left.column("payload")[0].as_py()).table
         for doc_id, x in zip(t.column("doc_id").to_pylist(), t.column("text")):
@@ -195,22 +283,27 @@ def _assemble(pattern: str):
 
 
 def encoded_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """word, ids (decimal, joined by commas), decoded (null where it equals the word) of each distinct word."""
+    """words(word, ...) with ids (decimal, joined by commas) and decoded (null where it equals the word)."""
     m = RankMap(ranks)
-    ids = words.select("word").distinct().select("word", m.encode(F.col("word")).alias("ids"))
-    decoded = m.decode(F.col("ids"))
-    return ids.select("word", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), F.when(decoded != F.col("word"), decoded).alias("decoded"))
+    letters = words.withColumn("_letters", F.decode("word", "ISO-8859-1"))
+    ids = letters.withColumn("ids", m.encode(F.col("_letters"))).drop("_letters")
+    back = ids.withColumn("decoded", m.decode(F.col("ids"))).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
+    return back.withColumn("decoded", F.when(F.col("decoded") != F.col("word"), F.col("decoded")))
 
 
 def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document.
+
+    Chunks are cut twice in the same way, once to gather words and once to meet their ids, rather than written.
+    """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = saved(narrow.mapInArrow(packer(CHUNK), "p long, payload binary"), "bpe-chunks")
-    words = saved(chunks.mapInArrow(_distinct_words(pattern), "p long, word binary"), "bpe-words")
-    table_ = saved(encoded_words(words, read_ranks(rank_path)), "bpe-ids")
-    entries = words.join(table_, "word").select("p", "word", "ids", "decoded").mapInArrow(_pack_ids, "p long, entries binary")
+    chunks = narrow.mapInArrow(packer(CHUNK, 3), "p long, payload binary")
+    buckets = max(8, docs.count() // BUCKET_DOCUMENTS)
+    words = narrow.mapInArrow(_distinct_words(pattern, buckets), "bucket int, p long, n int, words binary")
+    words = words.groupBy("bucket").applyInArrow(_gather, "word binary, places binary")
+    entries = encoded_words(words, read_ranks(rank_path)).mapInArrow(_pack_ids, "p long, entries binary")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return chunks.groupBy("p").cogroup(entries.groupBy("p")).applyInArrow(_assemble(pattern), schema)
+    return chunks.groupBy("p").cogroup(entries.groupBy("p")).applyInArrow(_assemble(pattern, rank_path), schema)
 
 
 def op9_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
