@@ -135,11 +135,12 @@ def reachable(at: np.ndarray, successor: np.ndarray, start: int = 0) -> np.ndarr
     """
     n = len(at)
     order = np.argsort(at, kind="stable")
-    place = np.searchsorted(at[order], successor)
-    place = np.where((place < n) & (at[order][np.minimum(place, n - 1)] == successor), place, n)
+    at, successor = at[order], successor[order]
+    place = np.searchsorted(at, successor)
+    place = np.where((place < n) & (at[np.minimum(place, n - 1)] == successor), place, n)
     jump = np.append(place, n)
     marked = np.zeros(n + 1, bool)
-    marked[:n] = at[order] == start
+    marked[:n] = at == start
     for _ in range(max(1, int(n).bit_length())):
         marked[jump[marked]] = True
         jump = jump[jump]
