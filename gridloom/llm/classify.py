@@ -396,7 +396,8 @@ class CompressionDistance:
         for at in range(0, len(texts), 512):
             release()
             own = [x.as_py() or "" for x in texts.slice(at, 512)]
-            out[at : at + len(own)] = sigmoid((self.features(own) - self.centre) / self.spread @ self.weights[:-1] + self.weights[-1])
+            # a sum for each row, which a matrix product may order otherwise from one batch to another
+            out[at : at + len(own)] = sigmoid(((self.features(own) - self.centre) / self.spread * self.weights[:-1]).sum(1) + self.weights[-1])
         return out
 
 
