@@ -223,7 +223,7 @@ def classes(docs: DataFrame) -> DataFrame:
         if not more.isEmpty():
             labels = components(links.unionByName(more))
     labelled = known.select("doc_id", "tid").join(labels, F.col("tid") == F.col("id"), "left").select("doc_id", F.coalesce("label", "tid").alias("label"))
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    least = saved(labelled.groupBy("label").agg(F.min("doc_id").alias("class_id")), "minhash-classes")  # so that the join may split a large class
     return labelled.join(least, "label").select("doc_id", "class_id")
 
 
