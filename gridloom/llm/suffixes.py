@@ -165,14 +165,18 @@ def smallest_hashes(data: np.ndarray, length: int = LENGTH, k: int = K) -> np.nd
 
 
 def _copy_rows(batches):
+    """Each chunk's distinct texts: digest, the rows that have it and the least of their keys."""
     for b in batches:
         for p, payload in zip(b.column("p").to_pylist(), b.column("payload")):
             c = Chunk(payload.as_py())
-            n = len(c)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, p)), pa.array(np.arange(n, dtype=np.int32)), pa.array(c.digests, pa.binary()), pa.array(c.keys)],
-                names=["p", "row", "digest", "key"],
-            )
+            rows: dict[bytes, list[int]] = {}
+            for i, d in enumerate(c.digests):
+                rows.setdefault(d, []).append(i)
+            columns = [
+                pa.array(np.full(len(rows), p)), pa.array(list(rows), pa.binary()), pa.array([np.array(r, np.int32).tobytes() for r in rows.values()], pa.binary()),
+                pa.array([min(c.keys[r].tolist()) for r in rows.values()], pa.int64()), pa.array([len(r) for r in rows.values()], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["p", "digest", "rows", "key", "n"])
 
 
 _MANY = np.uint32(1 << 31)
@@ -332,6 +336,7 @@ def suffix_array(text: np.ndarray, depth: int, words: np.ndarray | None = None)
     sa = np.argsort(words[:n])
     ordered = words[sa]
     head = np.append(True, ordered[1:] != ordered[:-1]) if n else np.zeros(0, bool)
+    del ordered
     rank = np.empty(n + 1, np.int64)
     group = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     rank[sa] = group
@@ -489,15 +494,15 @@ class Spans:
         self.chunks = saved(docs.mapInArrow(packer(), "p long, payload binary"), "suffix-chunks")
         n = max(1, self.chunks.count())
         per_chunk = CHUNK * 2 // (LENGTH - K + 2)
-        digests = self.chunks.mapInArrow(_copy_rows, "p long, row int, digest binary, key long")
+        digests = self.chunks.mapInArrow(_copy_rows, "p long, digest binary, rows binary, key long, n long")
         digests = saved(digests, "suffix-digests")
-        first = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-        copies = digests.join(first, "digest").mapInArrow(_copy_lists, _LIST)
+        first = saved(digests.groupBy("digest").agg(F.min("key").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n"), "suffix-first")
+        copies = digests.select("p", "digest", "rows").join(first, "digest").mapInArrow(_copy_lists, _LIST)
         hashes = self.chunks.mapInArrow(_hash_rows(max(1, n * per_chunk // BUCKET_HASHES)), "bucket int, p long, hashes binary, marks binary")
         shared = hashes.groupBy("bucket").applyInArrow(_shared, _LIST)
         copies = saved(copies, "suffix-copies")
         lists = saved(shared, "suffix-hashes").unionByName(copies)
-        runs = self.chunks.groupBy("p").cogroup(lists.groupBy("p")).applyInArrow(_run_rows(max(1, n)), _RUNS)
+        runs = self.chunks.groupBy("p").cogroup(lists.groupBy("p")).applyInArrow(_run_rows(2 * n), _RUNS)  # shards of about a chunk's size
         spans = saved(runs.groupBy("shard").applyInArrow(_shard, _LIST), "suffix-spans")
         self.lists = spans.unionByName(copies)
 
@@ -512,12 +517,12 @@ class Spans:
 
 def _copy_lists(batches):
     for b in batches:
-        t = pa.Table.from_batches([b]).sort_by("p")
-        p = t.column("p").to_numpy()
-        cut = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.zeros(0, int)
-        row, first = t.column("row").to_numpy().astype(np.int32), t.column("first").to_numpy()
-        rows = [(int(p[x]), "copies", row[x:y].tobytes(), first[x:y].tobytes()) for x, y in zip(cut, np.append(cut[1:], len(p)))]
-        yield from _list(rows).to_batches()
+        found: dict[int, tuple[list, list]] = {}
+        for p, rows, first in zip(b.column("p").to_pylist(), b.column("rows").to_pylist(), b.column("first").to_pylist()):
+            row, key = found.setdefault(p, ([], []))
+            row.append(rows)
+            key.append(np.full(len(rows) // 4, first, np.int64).tobytes())
+        yield from _list([(p, "copies", b"".join(r), b"".join(k)) for p, (r, k) in found.items()]).to_batches()
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
