@@ -98,11 +98,8 @@ def align_clusters(lines: DataFrame, threshold: float = 3) -> DataFrame:
     return folded.select(*KEY, F.col("idx").cast("long").alias("idx"), F.floor(F.col("g.sw") / F.col("g.w")).alias("pos"), F.col("g.s").alias("s"), F.col("g.e").alias("e"), F.col("g.n").alias("n"))
 
 
-def anchor_lines(lines: DataFrame, tol: int = 15) -> DataFrame:
-    """page_id, orient, rank, anchor, s, e: each line in input order (seq) under the first anchor within tol.
-
-    A line without one becomes an anchor, which never moves; rank is the anchor's place among them.
-    """
+def _anchored(lines: DataFrame, tol: int) -> DataFrame:
+    """Each page's lines in input order (seq), the anchors they make, and each line's rank among these."""
     def step(acc: Column, line: Column) -> Column:
         at = F.array_position(F.transform(acc["anchors"], lambda a: F.abs(a - line["pos"]) <= tol), F.lit(True))
         known = at > 0
@@ -111,6 +108,23 @@ def anchor_lines(lines: DataFrame, tol: int = 15) -> DataFrame:
         return F.struct(anchors.alias("anchors"), F.concat(acc["ranks"], F.array(rank)).alias("ranks"))
 
     none = F.array().cast("array<bigint>")
-    folded = _ordered(lines, "seq", "pos", "s", "e").select(*KEY, "lines", F.aggregate("lines", F.struct(none.alias("anchors"), none.alias("ranks")), step).alias("f"))
-    each = folded.select(*KEY, F.posexplode("lines").alias("i", "l"), "f").select(*KEY, F.get("f.ranks", F.col("i")).alias("rank"), "l", "f")
+    return _ordered(lines, "seq", "pos", "s", "e").select(*KEY, "lines", F.aggregate("lines", F.struct(none.alias("anchors"), none.alias("ranks")), step).alias("f"))
+
+
+def anchor_lines(lines: DataFrame, tol: int = 15) -> DataFrame:
+    """page_id, orient, rank, anchor, s, e: each line in input order (seq) under the first anchor within tol.
+
+    A line without one becomes an anchor, which never moves; rank is the anchor's place among them.
+    """
+    each = _anchored(lines, tol).select(*KEY, F.posexplode("lines").alias("i", "l"), "f").select(*KEY, F.get("f.ranks", F.col("i")).alias("rank"), "l", "f")
     return each.select(*KEY, "rank", F.get("f.anchors", F.col("rank").cast("int")).alias("anchor"), F.least("l.s", "l.e").alias("s"), F.greatest("l.s", "l.e").alias("e"))
+
+
+def anchor_sets(lines: DataFrame, tol: int = 15) -> DataFrame:
+    """page_id, orient, anchors: array of anchor and the spans of its lines, in the order of rank."""
+    def spans(rank: Column) -> Column:
+        own = F.filter("lines", lambda _, i: F.get("f.ranks", i) == rank)
+        return F.transform(own, lambda x: F.struct(F.least(x["s"], x["e"]).alias("s"), F.greatest(x["s"], x["e"]).alias("e")))
+
+    sets = F.transform("f.anchors", lambda a, i: F.struct(a.alias("anchor"), spans(i.cast("long")).alias("spans")))
+    return _anchored(lines, tol).select(*KEY, sets.alias("anchors"))

@@ -3,37 +3,40 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lines import anchor_lines
+from .lines import anchor_sets
 
 
 def inner_boundaries(cells: DataFrame) -> DataFrame:
-    """page_id, orient, row, col, row2, col2, coord, a, b: what lies between each cell and its right or lower neighbour."""
-    one = cells.alias("p")
-    two = cells.select(*[F.col(c).alias(f"{c}_2") for c in cells.columns]).alias("q")
-    right = one.join(two, (F.col("page_id") == F.col("page_id_2")) & (F.col("row") == F.col("row_2")) & (F.col("col") + 1 == F.col("col_2")))
-    below = one.join(two, (F.col("page_id") == F.col("page_id_2")) & (F.col("col") == F.col("col_2")) & (F.col("row") + 1 == F.col("row_2")))
-    pick = lambda df, o, c, a, b: df.select("page_id", F.lit(o).alias("orient"), "row", "col", F.col("row_2").alias("row2"), F.col("col_2").alias("col2"), F.col(c).alias("coord"), F.col(a).alias("a"), F.col(b).alias("b"))
-    return pick(right, "v", "x2", "y1", "y2").unionByName(pick(below, "h", "y2", "x1", "x2"))
+    """page_id, orient, row, col, row2, col2, coord, a, b: what lies between each cell and its right or lower neighbour.
+
+    Both windows lie within a page, so the cells are dealt once.
+    """
+    right = Window.partitionBy("page_id", "row").orderBy("col")
+    below = Window.partitionBy("page_id", "col").orderBy("row")
+    cells = cells.select("*", F.lead("col").over(right).alias("col_2"), F.lead("row").over(below).alias("row_2"))
+    side = lambda o, ok, row2, col2, c, a, b: F.when(ok, F.struct(F.lit(o).alias("orient"), row2.alias("row2"), col2.alias("col2"), F.col(c).alias("coord"), F.col(a).alias("a"), F.col(b).alias("b")))
+    v = side("v", F.col("col_2") == F.col("col") + 1, F.col("row"), F.col("col_2"), "x2", "y1", "y2")
+    h = side("h", F.col("row_2") == F.col("row") + 1, F.col("row_2"), F.col("col"), "y2", "x1", "x2")
+    found = cells.select("page_id", "row", "col", F.explode(F.array_compact(F.array(v, h))).alias("n"))
+    return found.select("page_id", "n.orient", "row", "col", "n.row2", "n.col2", "n.coord", "n.a", "n.b")
 
 
 def coverage(boundaries: DataFrame, lines: DataFrame, tol: int = 15) -> DataFrame:
     """boundaries with coverage: the share of a..b under the spans of the first anchor within tol of coord.
 
-    Spans that overlap count each; an empty interval is covered; without an anchor the coverage is null.
+    Spans that overlap count each; an empty interval is covered; without an anchor the coverage is null. A page's anchors
+    come as one array, so each boundary meets one row.
     """
-    anchored = anchor_lines(lines, tol)
-    keys = ["page_id", "orient", "row", "col"]
-    anchors = anchored.select("page_id", "orient", "rank", "anchor").distinct()
-    near = boundaries.join(anchors, ["page_id", "orient"]).where(F.abs(F.col("anchor") - F.col("coord")) <= tol)
-    first = near.groupBy(*keys).agg(F.min("rank").alias("rank"))
-    spans = anchored.select("page_id", "orient", "rank", "s", "e")
-    overlap = F.greatest(F.lit(0), F.least("b", "e") - F.greatest("a", "s"))
-    summed = boundaries.join(first, keys).join(spans, ["page_id", "orient", "rank"]).groupBy(*keys).agg(F.sum(overlap).alias("covered"))
-    share = F.when(F.col("covered").isNotNull(), F.when(F.col("a") >= F.col("b"), F.lit(1.0)).otherwise(F.col("covered") / (F.col("b") - F.col("a"))))
-    return boundaries.join(summed, keys, "left").withColumn("coverage", share).drop("covered")
+    near = F.get(F.filter("anchors", lambda x: F.abs(x["anchor"] - F.col("coord")) <= tol), F.lit(0))
+    overlap = lambda x: F.greatest(F.lit(0).cast("long"), F.least(F.col("b"), x["e"]) - F.greatest(F.col("a"), x["s"]))
+    covered = F.aggregate(F.col("spans"), F.lit(0).cast("long"), lambda total, x: total + overlap(x))
+    share = F.when(F.col("spans").isNotNull(), F.when(F.col("a") >= F.col("b"), F.lit(1.0)).otherwise(covered / (F.col("b") - F.col("a"))))
+    met = boundaries.join(anchor_sets(lines, tol), ["page_id", "orient"], "left").withColumn("spans", near["spans"])
+    columns = [c for c in boundaries.columns if c not in ("page_id", "orient")]
+    return met.select("page_id", "orient", *columns, share.alias("coverage"))
 
 
 def merge_edges(covered: DataFrame, ratio: float = 0.8) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,11 @@ def remove_tags(images: DataFrame, c: Tags) -> DataFrame:
     return pages.white_fill(images, scored.select("page_id", "x", (F.col("y") + F.col("band_top")).alias("y"), "w", "h"), capsules=True)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """What several outputs of a stage share (upright pages, their lines): computed once, on disk where memory lacks."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def stage1(images: DataFrame, c: Stage1 | None = None) -> dict[str, DataFrame]:
     """pages, lines, axes, cells, structure, bounds, tables (cropped pages) of page scans."""
     c = c or Stage1()
@@ -58,7 +64,8 @@ def stage1(images: DataFrame, c: Stage1 | None = None) -> dict[str, DataFrame]:
         p = p.withColumn("page_id", F.concat("page_id", F.lit("_full")))
     if c.tags:
         p = remove_tags(p, c.tag)
-    found = detect_lines(p, c.lines)
+    p = _kept(p)
+    found = _kept(detect_lines(p, c.lines))
     axis = grid.axes(found, c.eps)
     cells = grid.cells(axis)
     sizes = p.select("page_id", F.col("width").cast("long").alias("w"), F.col("height").cast("long").alias("h"))
@@ -70,8 +77,8 @@ def stage1(images: DataFrame, c: Stage1 | None = None) -> dict[str, DataFrame]:
 def stage2(tables: DataFrame, c: Stage2 | None = None) -> dict[str, DataFrame]:
     """tables, lines, axes, cells, merged, bounds, strips (column images) of cropped tables."""
     c = c or Stage2()
-    p = upright(tables, c.deskew)
-    found = detect_lines(p, c.lines)
+    p = _kept(upright(tables, c.deskew))
+    found = _kept(detect_lines(p, c.lines))
     axis = grid.axes(found, c.eps)
     cells = grid.cells(axis)
     spans = found.select("page_id", "orient", F.col("idx").alias("seq"), "pos", "s", "e")
