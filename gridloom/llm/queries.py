@@ -20,4 +20,17 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {}
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(hex, {at}, 5) AS INTEGER) >> {bits}) & 31), 1)"
+_BASE32 = " || ".join(_DIGIT.format(at=1 + 5 * i, bits=b) for i in range(8) for b in (15, 10, 5, 0))
+
+#: The others need tokenizers, fitted models, sketches or strings of bytes, which SQL lacks or takes too long for; tests hold them
+#: against brute force.
+SQL: dict[str, str] = {
+    "op2_pivot_distance_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS q FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op10_warc_boundary_chain": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages), h AS (SELECT page_id, strlen(body) AS n, sha1(body) AS hex FROM p),
+ d AS (SELECT page_id, n, {_BASE32} AS digest FROM h), m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS top FROM d)
+ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to FROM m""",
+}
