@@ -121,11 +121,14 @@ class Chunk:
 
     @functools.cached_property
     def smallest(self) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the strings of LENGTH bytes within texts, and the smallest hash of each."""
+        """Starts of the strings of LENGTH bytes within texts, and the smallest hash of each.
+
+        Smallest hashes crowd at the low end; mixed once more they spread evenly over buckets and shards.
+        """
         v = smallest_hashes(self.data)
         inside = self.rows[: len(v)] == self.rows[LENGTH - 1 :]
         at = np.flatnonzero(inside)
-        return at, v[at]
+        return at, mix64(v[at])
 
 
 def smallest_hashes(data: np.ndarray, length: int = LENGTH, k: int = K) -> np.ndarray:
