@@ -61,7 +61,9 @@ def sharpness(projected: DataFrame) -> DataFrame:
 
 
 def variance(projected: DataFrame) -> DataFrame:
-    return projected.groupBy("page_id").agg(F.round(F.var_pop("total"), 4).alias("variance"))
+    """Population variance, from whole-number sums, so that the order of rows can't show in it."""
+    n, s, q = F.count("*"), F.sum("total"), F.sum(F.col("total") * F.col("total"))
+    return projected.groupBy("page_id").agg(((n * q - s * s).cast("double") / (n * n).cast("double")).alias("variance"))
 
 
 def runs(ink: DataFrame, along: str = "x") -> DataFrame:

@@ -259,7 +259,7 @@ SQL = {
     "row_projection": f"WITH {PIX} SELECT page_id, y AS i, CAST(sum(v) AS BIGINT) AS total FROM pix GROUP BY page_id, y",
     "col_projection": f"WITH {PIX} SELECT page_id, x AS i, CAST(sum(v) AS BIGINT) AS total FROM pix GROUP BY page_id, x",
     "projection_sharpness": f"WITH {PIX}, r AS (SELECT page_id, y, sum(v) AS t FROM pix GROUP BY page_id, y), q AS (SELECT page_id, t - lag(t) OVER (PARTITION BY page_id ORDER BY y) AS d FROM r) SELECT page_id, CAST(coalesce(sum(d * d), 0) AS BIGINT) AS score FROM q GROUP BY page_id",
-    "projection_variance": f"WITH {PIX}, r AS (SELECT page_id, x, sum(v) AS t FROM pix GROUP BY page_id, x) SELECT page_id, round(var_pop(t), 4) AS variance FROM r GROUP BY page_id",
+    "projection_variance": f"WITH {PIX}, r AS (SELECT page_id, x, sum(v) AS t FROM pix GROUP BY page_id, x) SELECT page_id, CAST(count(*) * sum(t * t) - sum(t) * sum(t) AS DOUBLE) / CAST(count(*) * count(*) AS DOUBLE) AS variance FROM r GROUP BY page_id",
     "ink_runs": f"WITH {INK}, {RUNS} SELECT * FROM rn_x",
     "open_runs_h": f"WITH {INK}, {RUNS}, ex AS (SELECT page_id, max(x) + 1 AS size FROM ink GROUP BY page_id) SELECT r.page_id, line, a, b FROM rn_x r JOIN ex ON ex.page_id = r.page_id WHERE b - a + 1 >= CASE WHEN a = 0 AND b = size - 1 THEN 1 WHEN a = 0 THEN 3 WHEN b = size - 1 THEN 4 ELSE 6 END",
     "open_runs_v": f"WITH {INK}, rv AS (SELECT page_id, x AS line, min(y) AS a, max(y) AS b FROM (SELECT page_id, y, x, y - row_number() OVER (PARTITION BY page_id, x ORDER BY y) AS g FROM ink) GROUP BY page_id, x, g), ex AS (SELECT page_id, max(y) + 1 AS size FROM ink GROUP BY page_id) SELECT r.page_id, line, a, b FROM rv r JOIN ex ON ex.page_id = r.page_id WHERE b - a + 1 >= CASE WHEN a = 0 AND b = size - 1 THEN 1 WHEN a = 0 THEN 2 WHEN b = size - 1 THEN 3 ELSE 4 END",
