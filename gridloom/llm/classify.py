@@ -265,6 +265,7 @@ def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Words in a window; bytes of the d-mers by which dictionary segments are chosen; sizes of the dictionaries.
 WINDOW, DMER, TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 8, 6, 2000, 60_000, 12
+PUNCTUATION = ".,;:!?\"'()-"
 
 
 def _dmers(words) -> set[bytes]:
@@ -275,24 +276,41 @@ def _dmers(words) -> set[bytes]:
     return out
 
 
+def _phrases(words: list[str]) -> set[bytes]:
+    """Whole words, also without the punctuation around them, and neighbouring words; each between blanks."""
+    bare = [w.strip(PUNCTUATION) for w in words]
+    out = {f" {w} ".encode() for w in (*words, *bare) if w}
+    out.update(f" {a} {b} ".encode() for a, b in zip(words, words[1:]))
+    return out
+
+
+def _typical(inside: Counter, outside: Counter, rate: float) -> set[bytes]:
+    """What at least 4 toxic texts hold, and 10 times as many as the ordinary texts' rate gives."""
+    return {k for k, c in inside.items() if c >= 4 and c >= 10 * (rate * outside[k] + 0.2)}
+
+
 def toxic_dictionary(toxic: list[str], ordinary: list[str], size: int = TOXIC_BYTES) -> bytes:
-    """Segments of toxic text that cover the d-mers which ordinary text lacks, the most frequent last.
+    """Segments of toxic text that ordinary text lacks, the most frequent last.
 
-    As a dictionary trainer would, it scores d-mers by the texts that hold them, but against the other class: those in at
-    least 4 texts and 10 times as many as the ordinary texts' rate gives. Runs of such d-mers are segments, taken by
-    frequency as long as they cover a d-mer that is not yet covered.
+    As a dictionary trainer would, it scores pieces by the texts that hold them, but against the other class. Pieces are
+    d-mers, and whole and neighbouring words: words made of ordinary syllables have no d-mer of their own. Runs of typical d-mers are
+    segments, taken by frequency as long as they cover a d-mer that is not yet covered; typical words are
+    segments unless one that was taken holds them.
     """
-    words = [set(t.lower().split()) for t in toxic]
-    inside, outside = Counter(), Counter()
+    words = [t.lower().split() for t in toxic]
+    inside, outside, phrases, others = Counter(), Counter(), Counter(), Counter()
     for w in words:
-        inside.update(_dmers(w))
+        inside.update(_dmers(set(w)))
+        phrases.update(_phrases(w))
     for t in ordinary:
-        outside.update(_dmers(set(t.lower().split())) & inside.keys())
+        w = t.lower().split()
+        outside.update(_dmers(set(w)) & inside.keys())
+        others.update(_phrases(w) & phrases.keys())
     rate = len(toxic) / max(1, len(ordinary))
-    good = {k for k, c in inside.items() if c >= 4 and c >= 10 * (rate * outside[k] + 0.2)}
+    good = _typical(inside, outside, rate)
     segments = Counter()
     for own in words:
-        for w in own:
+        for w in set(own):
             b = f" {w} ".encode()
             hit = [b[i : i + DMER] in good for i in range(max(1, len(b) - DMER + 1))]
             i = 0
@@ -303,10 +321,13 @@ def toxic_dictionary(toxic: list[str], ordinary: list[str], size: int = TOXIC_BY
                 if j > i:
                     segments[b[i : j + DMER - 1]] += 1
                 i = j + 1
+    whole = _typical(phrases, others, rate)
+    for p in whole:
+        segments[p] = max(segments[p], phrases[p])
     covered, taken, total = set(), [], 0
     for s, _ in sorted(segments.items(), key=lambda x: (-x[1], x[0])):
         new = {s[i : i + DMER] for i in range(max(1, len(s) - DMER + 1))} - covered
-        if new and total + len(s) <= size:
+        if (new & good or s in whole and not any(s in t for t in taken)) and total + len(s) <= size:
             covered |= new
             taken.append(s)
             total += len(s)

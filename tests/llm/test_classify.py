@@ -91,6 +91,19 @@ def test_dictionary_segments_cover_what_is_toxic():
     assert all(w.encode() in found for w in INSULTS) and b"friend" not in found
 
 
+def test_dictionary_holds_toxic_words_of_ordinary_syllables():
+    """Every 6 bytes of these insults are common in ordinary words; only the whole words are not."""
+    syllables = ["ach", "lich", "ung", "keit", "ver", "ein"]
+    insults = ["achlichkeitung", "vereinachlich"]
+    r = random.Random(1)
+    common = [w for w in ("".join(r.choice(syllables) for _ in range(4)) for _ in range(600)) if w not in insults]
+    text = lambda i, more: " ".join(random.Random(i).sample(common, 60) + more)
+    toxic, ordinary = [text(i, insults) for i in range(20)], [text(100 + i, []) for i in range(100)]
+    found = classify.toxic_dictionary(toxic, ordinary)
+    assert all(f" {w} ".encode() in found for w in insults)
+    assert b" dear friend " in classify.toxic_dictionary([t + " dear friend" for t in toxic], [t + " friend dear" for t in ordinary])
+
+
 def test_words_and_statistics():
     texts = pa.array(["AB cd. ab", "", "x  y\nz!"])
     (_, data, offsets), = classify.sliced(texts)
