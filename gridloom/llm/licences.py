@@ -1,9 +1,9 @@
 """Licence scans by sparse TF-IDF cosine to templates, and inheritance from ancestor directories.
 
-Every line and sentence of every text, and every short text as a whole, is a unit. Its vector has the terms of
-the templates, weighted by their inverse document frequency over all documents; any other term is a dimension of
-its own with the weight of a term that one document has. Vectors meet in a join on terms, so only
-those that share one are scored. Units that cannot reach the threshold are dropped before: a template's cosine is
+Every line and sentence of every text, and every short text as a whole, is a unit. Its vector has its terms,
+each weighted by its inverse document frequency over all documents. Vectors meet in a join on terms, so only
+those that share one with a template are scored, first with the least weight for terms outside the templates; the
+frequencies of those terms are joined to the units that may then reach the threshold. Units that cannot reach the threshold are dropped before: a template's cosine is
 at most the norm of the terms shared with it over its own norm, so a unit must have one of the template's weightiest
 terms. A file's licence is its best unit's. A file that is mostly licence text is a licence file; it speaks for the files without a licence of
 their own below its directory, the nearest such directory first. All of it runs in built-in functions.
@@ -40,6 +40,8 @@ TEMPLATES = (
 THRESHOLD, FILE_SHARE = 0.8, 0.3
 #: Directories with a licence that may be broadcast; beyond it the join shuffles.
 BROADCAST_DIRECTORIES = 50_000
+#: Terms with their frequencies that may be broadcast to the units that may reach the threshold.
+BROADCAST_TERMS = 200_000
 _SPLIT, _UNITS = r"[^\p{L}\p{N}]+", r"\n|(?<=[.!?])\s"
 WHOLE_TERMS = 60
 
@@ -58,16 +60,15 @@ def template_terms() -> list[dict[str, int]]:
     return out
 
 
-def document_frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
-    """Of all files the number, and the number with each of the templates' terms (a bounded set)."""
+def document_frequencies(files: DataFrame) -> tuple[int, DataFrame]:
+    """Of all files the number, and t, n of every term that more than one file has, or one and a template (a saved table)."""
     known = sorted({t for x in template_terms() for t in x})
-    found = files.select(F.explode(F.array_intersect(F.split(F.lower(F.col("text")), _SPLIT), F.array(*map(F.lit, known)))).alias("t"))
-    counts = {r.t: r["count"] for r in found.groupBy("t").count().collect()}
-    return files.count(), counts
+    found = files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("t"))
+    return files.count(), saved(found.groupBy("t").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("t").isin(known)), "licences-terms")
 
 
 def weights(n: int, counts: dict[str, int]) -> tuple[dict[str, float], float]:
-    """Inverse document frequencies of the templates' terms, and that of any other term."""
+    """Inverse document frequencies of the templates' terms, and that of a term that one document has."""
     idf = lambda k: math.log((1 + n) / (1 + k)) + 1
     return {t: idf(counts.get(t, 0)) for x in template_terms() for t in x}, idf(1)
 
@@ -93,7 +94,9 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     files: id (unique), text. share: what part of the file's terms lies in units that reach it.
     """
     spark = files.sparkSession
-    idf, other = weights(*document_frequencies(files))
+    total, frequencies = document_frequencies(files)
+    own_terms = sorted({t for x in template_terms() for t in x})
+    idf, _ = weights(total, {r.t: r.n for r in frequencies.where(F.col("t").isin(own_terms)).collect()})
     need = needed_terms(idf, threshold)
     low = F.lower(F.col("text"))
     may = files.where(F.greatest(*[F.contains(low, F.lit(t)) for t in need]))
@@ -110,10 +113,22 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     template = spark.createDataFrame(vectors, "t string, k int, w double")
     known = spark.createDataFrame(sorted(idf.items()), "t string, idf double")
     counted = counted.join(F.broadcast(known), "t", "left")  # as many rows as the templates have terms
-    square = F.pow(F.col("c") * F.coalesce("idf", F.lit(other)), 2)
-    norms = counted.groupBy("id", "unit", "size", "whole", "n").agg(F.sqrt(F.sum(square)).alias("norm"), F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("t", "c"))).alias("x"))
-    dots = norms.select("id", "unit", "size", "whole", "n", "norm", F.inline("x")).join(F.broadcast(template), "t")
-    scored = dots.groupBy("id", "unit", "size", "whole", "n", "k").agg(F.round(F.sum(F.col("c") * F.col("w")) / F.first("norm"), 9).alias("cosine")).where(F.col("cosine") >= threshold)
+    unit = ["id", "unit", "size", "whole", "n"]
+    is_known = F.col("idf").isNotNull()
+    vectors = counted.groupBy(unit).agg(
+        F.sum(F.when(is_known, F.pow(F.col("c") * F.col("idf"), 2)).otherwise(0.0)).alias("square"), F.sum(F.when(is_known, 0).otherwise(F.col("c") * F.col("c"))).alias("least"),
+        F.collect_list(F.when(is_known, F.struct("t", "c"))).alias("x"), F.collect_list(F.when(~is_known, F.struct("t", "c"))).alias("others"),
+    )
+    dots = vectors.select(*unit, "square", "least", "others", F.inline("x")).join(F.broadcast(template), "t")
+    dots = dots.groupBy(*unit, "k").agg(F.sum(F.col("c") * F.col("w")).alias("dot"), F.first("square").alias("square"), F.first("least").alias("least"), F.first("others").alias("others"))
+    # no weight is less than 1
+    dots = saved(dots.where(F.col("dot") >= (threshold - 1e-6) * F.sqrt(F.col("square") + F.col("least"))), "licences-units")
+    others = saved(dots.select(F.inline("others")).select("t").distinct(), "licences-others")
+    few = others.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    others = frequencies.withColumnRenamed("n", "files").join(F.broadcast(others) if few else others, "t", "left_semi")
+    parts = dots.select(*unit, "k", "dot", "square", F.inline_outer("others")).join(F.broadcast(others) if few else others, "t", "left")
+    rest = F.pow(F.col("c") * (F.log((1 + total) / (1 + F.coalesce(F.col("files"), F.lit(1)))) + 1), 2)
+    scored = parts.groupBy(*unit, "k").agg(F.round(F.first("dot") / F.sqrt(F.first("square") + F.coalesce(F.sum(rest), F.lit(0.0))), 9).alias("cosine")).where(F.col("cosine") >= threshold)
     best = scored.groupBy("id", "unit", "size", "whole", "n").agg(F.max(F.struct("cosine", (-F.col("k")).alias("k"))).alias("b"))
     per = best.groupBy("id", "size").agg(F.max("b").alias("b"), F.sum(F.when(~F.col("whole"), F.col("n")).otherwise(0)).alias("lines"), F.max(F.when(F.col("whole"), F.col("n")).otherwise(0)).alias("all"))
     names = F.array(*[F.lit(x) for x, _ in TEMPLATES])

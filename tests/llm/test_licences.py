@@ -73,3 +73,16 @@ def test_needed_terms_bound_the_rest():
     for x in lic.template_terms():
         whole = sum((c * idf[t]) ** 2 for t, c in x.items())
         assert sum((c * idf[t]) ** 2 for t, c in x.items() if t not in need) < lic.THRESHOLD**2 * whole
+
+
+def test_common_words_weigh_what_they_weigh(spark):
+    """Of 3000 files most have the words around the notices, so these words hardly count."""
+    notices = {1: "This file is released under the MIT License, see LICENSE for details.", 2: "All text here is licensed under CC BY-NC 4.0."}
+    texts = notices | {i: "all of this text is here, see the file for details under " + f"number{i}" for i in range(10, 3010)}
+    got = {r.id: (r.licence, r.similarity) for r in lic.own_licences(spark.createDataFrame(list(texts.items()), "id long, text string")).collect()}
+    assert {i: x for i, (x, _) in got.items()} == {1: "MIT", 2: "CC-BY-NC-4.0"}
+    df = collections.Counter(w for t in texts.values() for w in set(split(t)))
+    weigh = lambda t: {w: n * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, n in collections.Counter(split(t)).items()}
+    for i, of in ((1, "Released under the MIT License."), (2, "Licensed under CC BY-NC 4.0.")):
+        a, b = weigh(notices[i]), weigh(of)
+        assert got[i][1] == pytest.approx(sum(a.get(w, 0) * x for w, x in b.items()) / math.hypot(*a.values()) / math.hypot(*b.values()), abs=1e-8)
