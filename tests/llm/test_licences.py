@@ -86,3 +86,18 @@ def test_common_words_weigh_what_they_weigh(spark):
     for i, of in ((1, "Released under the MIT License."), (2, "Licensed under CC BY-NC 4.0.")):
         a, b = weigh(notices[i]), weigh(of)
         assert got[i][1] == pytest.approx(sum(a.get(w, 0) * x for w, x in b.items()) / math.hypot(*a.values()) / math.hypot(*b.values()), abs=1e-8)
+
+
+def test_wrapped_headers_full_texts_and_neighbours(spark):
+    filler = "\n".join(f"value{i} = compute{i}(other{i})" for i in range(40))
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n"
+    full = dict(lic.FULL_TEXTS)
+    files = [(1, "/a/x.py", gpl.format(3) + filler), (2, "/a/y.py", gpl.format(2) + filler), (3, "/m/LICENSE", "MIT License\n\nCopyright (c) 2020 A. Author\n\n" + full["MIT"]), (4, "/m/src/z.py", filler),
+             (5, "/b/one", "Licensed under CC BY 4.0."), (6, "/c/two", "This work is licensed under the GNU Lesser General Public License, version 3."), (7, "/d/three", "This work is licensed under the GNU General Public License, version 2.")]
+    files += [(10 + i, f"/t{i}/COPYING", t) for i, (_, t) in enumerate(lic.FULL_TEXTS)]
+    files += [(100 + i, f"/f/{i}", filler) for i in range(30)]
+    out = {r.id: (r.licence, r.origin) for r in lic.licences(spark.createDataFrame(files, "id long, path string, text string")).collect()}
+    assert out[1] == ("GPL-3.0", "own") and out[2] == ("GPL-2.0", "own")
+    assert out[3] == ("MIT", "own") and out[4] == ("MIT", "inherited") and out[100][1] == "none"
+    assert [out[i][0] for i in (5, 6, 7)] == ["CC-BY-4.0", "LGPL-3.0", "GPL-2.0"]
+    assert {n: out[10 + i][0] for i, n in enumerate(full)} == {n: n for n in full}
