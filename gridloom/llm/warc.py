@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import saved, shared_dir, table
 
 MAGIC = "WARC/1.0\r\n"
-#: Rows of (page_id, referred page) that may be broadcast; 16 bytes each. Beyond it the join shuffles.
+#: Rows of (page_id, digest, referred page) that may be broadcast; 48 bytes each. Beyond it the join shuffles.
 BROADCAST_REVISITS = 100_000
 RECORDS_PER_FILE = 2000
 _BASE32HEX, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -55,10 +55,10 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     )
     keys = full.where(F.octet_length("html") >= min_bytes).select("page_id", "digest")
     first = keys.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    again = keys.join(first, "digest").where("page_id < refers_to").select("page_id", "refers_to").distinct()
+    again = keys.join(first, "digest").where("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
     again = saved(again, "warc-revisits")
     few = again.limit(BROADCAST_REVISITS + 1).count() <= BROADCAST_REVISITS
-    return full.join(F.broadcast(again) if few else again, "page_id", "left")
+    return full.join(F.broadcast(again) if few else again, ["page_id", "digest"], "left")
 
 
 def write_archives(records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE) -> None:

@@ -41,6 +41,12 @@ def test_repeats_nulls_and_nothing(spark):
     assert warc.round_trip(frame(spark, [])).count() == 0
 
 
+def test_one_id_with_different_payloads(spark):
+    out = warc.round_trip(frame(spark, [(1, "A"), (1, "B"), (2, "A")])).collect()
+    got = sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to or 0) for r in out)
+    assert got == sorted([(1, digest("A"), "revisit", 2), (1, digest("B"), "response", 0), (2, digest("A"), "response", 0)])
+
+
 def test_pointer_jumping_keeps_the_chain():
     at = np.array([0, 10, 12, 25, 40, 41])
     successor = np.array([10, 25, 40, 40, 60, 99])
