@@ -1,24 +1,26 @@
 """Byte-level BPE: encoding of distinct words by Spark's higher-order functions, and decoding.
 
-Documents are packed into chunks; each chunk's distinct words (matches of the split pattern) are
-gathered once for the whole corpus, so that a word is encoded once however often it occurs (once for every MOST_CHUNKS chunks). A word's bytes are folded with aggregate():
-each step merges the leftmost pair of the lowest rank, and looks up only the two pairs that the merge makes.
-The rank map is a literal of the plan: an array of buckets addressed by a CRC-32, since element_at() on a
-literal map of 50,000 entries would scan it. Decoding maps ids to their byte
-pieces and concatenates them. The words' ids then return to the chunks that hold the words, where each text's
-ids are put together in order.
-
-Defined cases: a null text is empty, with no ids and the digests of no bytes; text that looks like a special
-token is ordinary text; repeated rows and null ids are encoded like others; long words take time in
-proportion to their length times the number of their merges; an empty table gives no rows; extra columns are
-ignored.
+One pass without a shuffle. A task splits its texts into words (matches of the split pattern), numbers each distinct
+word once and sends the new words ahead of the texts that have them, which travel on as word numbers. A word's
+bytes are folded with aggregate(): each step merges the leftmost pair of the lowest rank, and looks up only the two
+pairs that the merge makes. The rank map is a literal of the plan: an array of buckets addressed by a CRC-32, since
+element_at() on a literal map of 50,000 entries would scan it. Decoding maps ids to their byte pieces and
+concatenates them. Behind the fold the same task puts each text's ids and pieces together, in order.
+
+A word is folded once for a task (once for REMEMBERED words or REMEMBERED_BYTES of them, when both sides forget). So the work is in
+proportion to the texts, and a word that every text has costs no more than another. Words over LONG bytes, for which
+folding takes time in proportion to the square of their length, are merged over a heap instead, in n log n.
+
+Defined cases: a null text is empty, with no ids and no bytes; text that looks like a special token is ordinary
+text; repeated rows and null ids are encoded like others; very long texts are split in windows of WINDOW characters, very
+long words by the heap; an empty table gives no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import hashlib
+import heapq
 import re
 import unicodedata
 import zlib
@@ -26,30 +28,32 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import regex
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
-from .suffixes import Chunk, cut, packer
+from .common import release, table
 
-CHUNK = 12 << 20
 #: Above all ranks. Where a part's rank and start lie among the bits of its number; its id is the lowest.
 NEVER, RANK_AT, START_AT = 1 << 20, 40, 17
 START_MASK, ID_MASK = (1 << (RANK_AT - START_AT)) - 1, (1 << START_AT) - 1
 BUCKETS = 1 << 15
 OPEN, CLOSE = chr(0x101), chr(0x102)
-#: Words that a task packs for their chunks at once; chunks of a word in one row; documents to a bucket of words.
-PACKED_ROWS, MOST_CHUNKS, BUCKET_DOCUMENTS = 400_000, 4096, 4000
+#: Words that a task remembers, and their bytes; characters of text that go together; characters split at once; bytes of a long word.
+REMEMBERED, REMEMBERED_BYTES, SLICE, WINDOW, LONG = 600_000, 24 << 20, 1 << 20, 1 << 20, 128
 FAST = 0x250
 #: White space of the pattern's \s, spelled out as libraries differ in it.
 SPACE = "\t-\r \x85\xa0" + f"{chr(0x1680)}{chr(0x2000)}-{chr(0x200A)}{chr(0x2028)}{chr(0x2029)}{chr(0x202F)}{chr(0x205F)}{chr(0x3000)}"
 
 
+def parse_ranks(rank_file: bytes) -> dict[bytes, int]:
+    """Ranks of byte strings, one to a line: base64, blank, rank."""
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
+
+
 @functools.cache
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        return parse_ranks(f.read())
 
 
 def let(value: Column, body) -> Column:
@@ -112,22 +116,20 @@ class RankMap:
 
         parts = let(F.transform(F.sequence(F.lit(1), n), lambda i: F.ascii(F.substring(text, i, F.lit(1)))), singles)
 
-        def merge(acc: Column, low: Column, p: Column) -> Column:
-            """Part p (from 0) takes in the next one; the pairs with its neighbours get their ranks."""
-            start = lambda i: F.shiftright(F.get(acc, i), START_AT).bitwiseAND(F.lit(START_MASK)).cast("int")
-
-            def renewed(x: Column, i: Column) -> Column:
-                own = F.shiftright(x, START_AT).bitwiseAND(F.lit(START_MASK)).cast("int")
-                end = start(F.when(i == p, p + 3).otherwise(p + 2))
-                rank = F.coalesce(self.rank(F.substring(text, own, end - own)), F.lit(NEVER))
-                id_ = F.when(i == p, F.shiftright(low, RANK_AT)).otherwise(x.bitwiseAND(F.lit(ID_MASK)))
-                return F.when((i == p) | (i == p - 1), part(rank, own, id_)).otherwise(x)
+        field = lambda x: F.shiftright(x, START_AT).bitwiseAND(F.lit(START_MASK)).cast("int")
+        pair = lambda start, end: F.coalesce(self.rank(F.substring(text, start, end - start)), F.lit(NEVER))
 
-            return F.filter(F.transform(acc, renewed), lambda _, i: i != p + 1)
+        def merge(acc: Column, low: Column, p: Column) -> Column:
+            """Part p (from 1) takes in the next one; the pairs with its neighbours get their ranks."""
+            start = lambda i: field(F.get(acc, i))
+            own = part(pair(field(low), start(p + 2)), field(low), F.shiftright(low, RANK_AT))
+            before = lambda x: part(pair(field(x), start(p + 1)), field(x), x.bitwiseAND(F.lit(ID_MASK)))
+            left = F.when(p > 1, F.concat(F.slice(acc, F.lit(1), p - 2), F.array(let(F.get(acc, p - 2), before)))).otherwise(F.slice(acc, F.lit(1), F.lit(0)))
+            return F.concat(left, F.array(own), F.slice(acc, p + 2, F.size(acc)))
 
         def step(acc: Column, _: Column) -> Column:
-            low = F.array_min(acc)
-            return F.when(low < F.lit(NEVER << RANK_AT), let(F.array_position(acc, low).cast("int") - 1, lambda p: merge(acc, low, p))).otherwise(acc)
+            merged = lambda low: F.when(low < F.lit(NEVER << RANK_AT), let(F.array_position(acc, low).cast("int"), lambda p: merge(acc, low, p))).otherwise(acc)
+            return let(F.array_min(acc), merged)
 
         ids = lambda acc: F.transform(F.slice(acc, F.lit(1), F.size(acc) - 1), lambda x: x.bitwiseAND(F.lit(ID_MASK)).cast("int"))
         folded = F.aggregate(F.array_repeat(F.lit(0), n - 1), parts, step, ids)
@@ -154,159 +156,166 @@ def splitter(pattern: str):
     return lambda text: full(text) if not text.isascii() and other(text) else fast(text)
 
 
-def bucket_of(word: bytes, buckets: int) -> int:
-    return zlib.crc32(word) % buckets
-
-
-def _distinct_words(pattern: str, buckets: int):
-    """Each chunk's words, sorted and compressed, by bucket."""
-
-    def run(batches):
-        words_of, squeeze = splitter(pattern), zstandard.ZstdCompressor(level=3).compress
-        for p, rows in cut(batches, CHUNK):
-            words: set[str] = set()
-            for b in rows:
-                for x in b.column("text"):
-                    words.update(words_of(x.as_py() or ""))
-            by: dict[int, list[bytes]] = {}
-            for w in sorted(w.encode() for w in words):
-                by.setdefault(bucket_of(w, buckets), []).append(w)
-            blobs = [squeeze(np.array([len(w) for w in own], "<u4").tobytes() + b"".join(own)) for own in by.values()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(by), pa.int32()), pa.array(np.full(len(by), p)), pa.array([len(o) for o in by.values()], pa.int32()), pa.array(blobs, pa.binary())],
-                names=["bucket", "p", "n", "words"],
-            )
-
-    return run
-
+def words_in(text: str, words_of, window: int = WINDOW):
+    """Lists of a text's words, found in windows of so many characters.
 
-def _gather(group: pa.Table) -> pa.Table:
-    """Each distinct word of a bucket with its chunks, at most MOST_CHUNKS to a row."""
-    chunks: dict[bytes, list[int]] = {}
-    expand = zstandard.ZstdDecompressor().decompress
-    for p, n, blob in zip(*(group.column(c).to_pylist() for c in ("p", "n", "words"))):
-        data = expand(blob)
-        ends = np.cumsum(np.frombuffer(data, "<u4", n)).tolist()
-        at = 4 * n
-        for a, b in zip([0, *ends], ends):
-            chunks.setdefault(data[at + a : at + b], []).append(p)
-    words, places = [], []
-    for w, ps in chunks.items():
-        for i in range(0, len(ps), MOST_CHUNKS):
-            words.append(w)
-            places.append(np.array(ps[i : i + MOST_CHUNKS], "<i8").tobytes())
-    return pa.table({"word": pa.array(words, pa.binary()), "places": pa.array(places, pa.binary())})
-
-
-def _pack_ids(batches):
-    """Words and ids of each chunk as few rows."""
-    schema = pa.schema([("word", pa.string()), ("ids", pa.string()), ("decoded", pa.binary())])
-    held: dict[int, tuple[list, list, list]] = {}
-
-    def packed() -> pa.RecordBatch:
-        rows = []
-        for own in held.values():
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                w.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(own, schema)], schema=schema))
-            rows.append(sink.getvalue().to_pybytes())
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(rows, pa.binary())], names=["p", "entries"])
-
-    size = 0
-    for b in batches:
-        words = b.column("word").cast(pa.string()).to_pylist()
-        for word, places, ids, decoded in zip(words, *(b.column(c).to_pylist() for c in ("places", "ids", "decoded"))):
-            for p in np.frombuffer(places, "<i8").tolist():
-                w, i, d = held.setdefault(p, ([], [], []))
-                w.append(word)
-                i.append(ids)
-                d.append(decoded)
-                size += 1
-        if size >= PACKED_ROWS:
-            yield packed()
-            held, size = {}, 0
-    if held:
-        yield packed()
+    The last match of a window may go on behind it, so that the next window begins with it; the pattern looks one character ahead at most.
+    """
+    if len(text) <= window:
+        yield words_of(text)
+        return
+    at, room = 0, window
+    while at < len(text):
+        own = words_of(text[at : at + room])
+        if at + room < len(text):
+            if len(own) < 2:  # a word longer than the window
+                room *= 2
+                continue
+            own.pop()
+        yield own
+        at, room = at + sum(map(len, own)), window
 
 
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one word, by the same merges in plain Python."""
+    """Ids of one word by the same merges, over a linked list and a heap of pairs: n log n steps."""
     if word in ranks:
         return [ranks[word]]
-    parts = [word[i : i + 1] for i in range(len(word))]
-    while len(parts) > 1:
-        low, at = min((ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-        if low == NEVER:
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
-
+    n = len(word)
+    end, before, alive = list(range(1, n + 1)), list(range(-1, n)), bytearray(b"\1") * n
+    heap = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, to = heapq.heappop(heap)
+        m = end[i]
+        if not alive[i] or m >= n or end[m] != to:  # one of its parts has been merged otherwise
+            continue
+        alive[m], end[i] = 0, to
+        if to < n:
+            before[to] = i
+        for a, b in ((before[i], to), (i, end[to] if to < n else n + 1)):
+            if a >= 0 and b <= n and (rank := ranks.get(word[a:b])) is not None:
+                heapq.heappush(heap, (rank, a, b))
+    return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
+
+
+#: What a row is: the order to forget all words, a word to fold, a long word with its ids and pieces, a text with its word numbers.
+FORGET, WORD, GIVEN, TEXT = range(4)
+_SENT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("word", pa.binary()), ("data", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+
+
+class _Numbers(dict):
+    """Numbers of words, those that are new in a list."""
+
+    def __init__(self):
+        super().__init__()
+        self.new, self.size = [], 0
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        self.size += len(word)
+        return n
 
 
-class _Known(dict):
-    """Ids by word. Should a chunk be cut otherwise than when its words were gathered, it folds what is missing."""
+def _words(pattern: str, rank_file: bytes):
+    """Texts as numbers of their words, each new word before the first text that has it."""
 
-    def __init__(self, rank_path: str):
-        super().__init__()
-        self.rank_path = rank_path
-
-    def __missing__(self, word: str) -> str:
-        self[word] = ids = ",".join(map(str, fold(word.encode(), read_ranks(self.rank_path))))
-        return ids
-
-
-def _assemble(pattern: str, rank_path: str):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _OUT.empty_table()
-        ids = _Known(rank_path)
-        pieces: dict[str, bytes] = {}
-        for e in right.column("entries"):
-            t = pa.ipc.open_stream(e.as_py()).read_all()
-            words = t.column("word").to_pylist()
-            ids.update(zip(words, t.column("ids").to_pylist()))
-            if t.column("decoded").null_count < len(t):
-                pieces.update((w, d) for w, d in zip(words, t.column("decoded").to_pylist()) if d is not None)
-        words_of, rows = splitter(pattern), []
-        t = Chunk(left.column("payload")[0].as_py()).table
-        for doc_id, x in zip(t.column("doc_id").to_pylist(), t.column("text")):
-            words = words_of(x.as_py() or "")
-            own = ",".join(map(ids.__getitem__, words))
-            back = b"".join([pieces[w] if w in pieces else w.encode() for w in words]) if pieces else "".join(words).encode()
-            rows.append((doc_id, own.count(",") + 1 if own else 0, hashlib.sha256(own.encode()).hexdigest(), hashlib.sha256(back).hexdigest()))
-        columns = list(zip(*rows)) or [()] * 4
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _OUT)], schema=_OUT)
+    def run(batches):
+        words_of, numbers, ranks, pieces = splitter(pattern), _Numbers(), {}, {}
+
+        def given(word: bytes) -> tuple[int, None, bytes, bytes]:
+            if not ranks:
+                ranks.update(parse_ranks(rank_file))
+                pieces.update((v, k) for k, v in ranks.items())
+            ids = fold(word, ranks)
+            return GIVEN, None, b"".join(map(pieces.__getitem__, ids)), np.array(ids, "<i4").tobytes()
+
+        def sent(rows) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
+
+        def flushed(texts):
+            new = [w.encode() for w in numbers.new]
+            numbers.new = []
+            for at in range(0, len(new), 20_000):
+                yield sent([(WORD, None, w, None) if len(w) <= LONG else given(w) for w in new[at : at + 20_000]])
+            if texts:
+                yield sent(texts)
+            release()
+
+        texts, size = [], 0
+        for b in batches:
+            for doc_id, x in zip(b.column("doc_id").to_pylist(), b.column("text")):
+                t = x.as_py() or ""
+                own = [np.array([*map(numbers.__getitem__, w)], "<u4").tobytes() for w in words_in(t, words_of)]
+                texts.append((TEXT, doc_id, None, b"".join(own)))
+                size += len(t)
+                if size >= SLICE:
+                    yield from flushed(texts)
+                    texts, size = [], 0
+                    if len(numbers) > REMEMBERED or numbers.size > REMEMBERED_BYTES:
+                        yield sent([(FORGET, None, None, None)])
+                        numbers = _Numbers()
+        yield from flushed(texts)
 
     return run
 
 
+def _put_together(batches):
+    """Each text's ids and decoded bytes, from its words' numbers and what the fold gave for the words."""
+    ids_of: list[bytes] = []
+    pieces: list[bytes] = []
+    for b in batches:
+        kinds = b.column("kind").to_numpy()
+        cuts = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1])).tolist() if len(kinds) else []
+        for a, z in zip(cuts, [*cuts[1:], len(kinds)]):
+            own, kind = b.slice(a, z - a), kinds[a]
+            if kind == FORGET:
+                ids_of, pieces = [], []
+            elif kind == WORD:
+                ids = own.column("ids")
+                raw, ends = ids.flatten().to_numpy().astype("<i4").tobytes(), (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist()
+                ids_of += [raw[4 * x : 4 * y] for x, y in zip(ends, ends[1:])]
+                pieces += own.column("word").to_pylist()
+            elif kind == GIVEN:
+                ids_of += own.column("data").to_pylist()
+                pieces += own.column("word").to_pylist()
+            else:
+                ids, back = [], []
+                for data in own.column("data"):
+                    numbers = np.frombuffer(data.as_py(), "<u4").tolist()
+                    ids.append(b"".join(map(ids_of.__getitem__, numbers)))
+                    back.append(b"".join(map(pieces.__getitem__, numbers)))
+                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                offsets = pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("i4"))
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), pa.ListArray.from_arrays(offsets, flat), pa.array(back, pa.binary())], schema=_OUT)
+
+
 def encoded_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """words(word, ...) with ids (decimal, joined by commas) and decoded (null where it equals the word)."""
+    """words(word, ...) with ids, and with the bytes that these decode to instead of word; null words stay null."""
     m = RankMap(ranks)
     letters = words.withColumn("_letters", F.decode("word", "ISO-8859-1"))
-    ids = letters.withColumn("ids", m.encode(F.col("_letters"))).drop("_letters")
-    back = ids.withColumn("decoded", m.decode(F.col("ids"))).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
-    return back.withColumn("decoded", F.when(F.col("decoded") != F.col("word"), F.col("decoded")))
+    ids = letters.withColumn("ids", F.when(F.col("_letters").isNotNull(), m.encode(F.col("_letters")))).drop("_letters")
+    return ids.withColumn("word", F.when(F.col("ids").isNotNull(), m.decode(F.col("ids"))))
 
 
 def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document.
-
-    Chunks are cut twice in the same way, once to gather words and once to meet their ids, rather than written.
-    """
+    """doc_id, ids array<int>, decoded binary of every document."""
+    with open(rank_path, "rb") as f:
+        rank_file = f.read()
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = narrow.mapInArrow(packer(CHUNK, 3), "p long, payload binary")
-    buckets = max(8, docs.count() // BUCKET_DOCUMENTS)
-    words = narrow.mapInArrow(_distinct_words(pattern, buckets), "bucket int, p long, n int, words binary")
-    words = words.groupBy("bucket").applyInArrow(_gather, "word binary, places binary")
-    entries = encoded_words(words, read_ranks(rank_path)).mapInArrow(_pack_ids, "p long, entries binary")
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return chunks.groupBy("p").cogroup(entries.groupBy("p")).applyInArrow(_assemble(pattern, rank_path), schema)
+    sent = narrow.mapInArrow(_words(pattern, rank_file), "kind int, doc_id long, word binary, data binary")
+    short = F.when(F.col("kind") == WORD, F.col("word"))
+    folded = encoded_words(sent.select("kind", "doc_id", "data", F.col("word").alias("given"), short.alias("word")), parse_ranks(rank_file))
+    folded = folded.select("kind", "doc_id", "data", "ids", F.when(F.col("kind") == WORD, F.col("word")).otherwise(F.col("given")).alias("word"))
+    return folded.mapInArrow(_put_together, "doc_id long, ids array<int>, decoded binary")
 
 
 def op9_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    digest = lambda x: F.sha2(x.cast("binary"), 256)
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256")
+    )

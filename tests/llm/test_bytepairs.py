@@ -19,26 +19,68 @@ def sha(b):
     return hashlib.sha256(b).hexdigest()
 
 
-def test_as_the_library_would(spark, docs_of):
-    out = {r.doc_id: r for r in bp.encoded(docs_of(spark, enumerate(ODD)), PATH, PATTERN).collect()}
+def test_as_the_library_would(spark, docs_of, tmp_path):
+    docs_of(spark, enumerate(ODD)).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in bp.op9_byte_level_bpe(spark, str(tmp_path)).collect()}
     for i, t in enumerate(ODD):
         ids = TIK.encode_ordinary(t or "")
         assert (out[i].n_tokens, out[i].ids_sha256, out[i].decoded_sha256) == (len(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode()))
 
 
-def test_repeats_nulls_and_nothing(spark, docs_of):
-    out = bp.encoded(docs_of(spark, [(1, "a b"), (1, "a b"), (None, "a b")]), PATH, PATTERN).collect()
-    assert len(out) == 3 and len({r.ids_sha256 for r in out}) == 1
+def test_ids_and_bytes(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(bp, "SLICE", 10)
+    rows = [(1, "a b"), (1, "a b"), (None, "a b"), (2, "other wordsæ"), (3, None)]
+    out = bp.encoded(docs_of(spark, rows), PATH, PATTERN).collect()
+    want = [(i, TIK.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows]
+    assert sorted((str(r.doc_id), r.ids, bytes(r.decoded)) for r in out) == sorted((str(a), b, c) for a, b, c in want)
+
+
+def test_extra_columns_and_nothing(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    clash = docs_of(spark, [(1, "a b")])
+    for c in ("kind", "word", "data", "ids", "decoded", "given", "_letters", "n_tokens"):
+        clash = clash.withColumn(c, F.lit("x"))
+    assert bp.encoded(clash, PATH, PATTERN).collect()[0].ids == TIK.encode_ordinary("a b")
     assert bp.encoded(docs_of(spark, []), PATH, PATTERN).count() == 0
 
 
+def test_forgetting_words(monkeypatch):
+    """Both sides forget at the same place; checked without Spark, the fold in between done by the plain one."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(bp, "SLICE", 1)
+    monkeypatch.setattr(bp, "REMEMBERED", 2)
+    texts = [f"word{i} shared text {'z' * (300 * (i % 2))}" for i in range(20)]
+    with open(PATH, "rb") as f:
+        sent = list(bp._words(PATTERN, f.read())([pa.record_batch({"doc_id": list(range(20)), "text": texts})]))
+    assert sum(b.column("kind").to_pylist().count(bp.FORGET) for b in sent) >= 19
+    assert any(bp.GIVEN in b.column("kind").to_pylist() for b in sent)
+    folded = [b.append_column("ids", pa.array([bp.fold(w, RANKS) if k == bp.WORD else None for k, w in zip(b.column("kind").to_pylist(), b.column("word").to_pylist())], pa.list_(pa.int32()))) for b in sent]
+    rows = [r for b in bp._put_together(folded) for r in b.to_pylist()]
+    assert [(r["ids"], r["decoded"]) for r in rows] == [(TIK.encode_ordinary(t), t.encode()) for t in texts]
+
+
+def test_very_long_words_and_texts():
+    import random
+    import time
+
+    r = random.Random(0)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyzäß") for _ in range(1 << 20))
+    began = time.time()
+    assert bp.fold(text.encode(), RANKS) == TIK.encode_ordinary(text)
+    assert time.time() - began < 60
+    for t in ("don't  stop\n\n " * 50, "a" * 500 + " b", " " * 300 + "x", "word " * 99 + "'ll !! 12"):
+        for window in (1, 2, 7, 64):
+            assert [w for own in bp.words_in(t, bp.splitter(PATTERN), window) for w in own] == bp.splitter(PATTERN)(t)
+
+
 def test_words_by_higher_order_functions(spark):
     words = sorted({w.encode() for t in ODD if t for w in bp.splitter(PATTERN)(t)} | {k for k in list(RANKS)[::97]})
-    df = spark.createDataFrame([(bytearray(w),) for w in words], "word binary")
+    df = spark.createDataFrame([(bytearray(w), bytearray(w)) for w in words], "own binary, word binary")
     for r in bp.encoded_words(df, RANKS).collect():
-        w = bytes(r.word)
-        assert r.ids == ",".join(map(str, TIK.encode_single_piece(w) if hasattr(TIK, "encode_single_piece") else bp.fold(w, RANKS)))
-        assert r.decoded is None  # that is, the same bytes
+        assert r.ids == TIK._encode_single_piece(bytes(r.own)) == bp.fold(bytes(r.own), RANKS)
+        assert bytes(r.word) == bytes(r.own)
 
 
 @settings(max_examples=200, deadline=None)
