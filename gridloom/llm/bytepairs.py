@@ -3,9 +3,9 @@
 One pass without a shuffle. A task splits its texts into words (matches of the split pattern), numbers each distinct
 word once and sends the new words ahead of the texts that have them, which travel on as word numbers. A word's
 bytes are folded with aggregate(): each step merges the leftmost pair of the lowest rank, and looks up only the two
-pairs that the merge makes. The rank map is a literal of the plan: an array of buckets addressed by a CRC-32, since
-element_at() on a literal map of 50,000 entries would scan it. Decoding maps ids to their byte pieces and
-concatenates them. Behind the fold the same task puts each text's ids and pieces together, in order.
+pairs that the merge makes. The rank map is a literal of the plan: arrays addressed by the ids of a pair, since
+element_at() on a literal map of 50,000 entries would scan it. Words that have a rank themselves need no fold. Decoding maps ids to their
+byte pieces and concatenates them. Behind the fold the same task puts each text's ids and pieces together, in order.
 
 A word is folded once for a task (once for REMEMBERED words or REMEMBERED_BYTES of them, when both sides forget). So the work is in
 proportion to the texts, and a word that every text has costs no more than another. Words over LONG bytes, for which
@@ -23,7 +23,7 @@ import functools
 import heapq
 import re
 import unicodedata
-import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +33,10 @@ from pyspark.sql import functions as F
 
 from .common import release, table
 
-#: Above all ranks. Where a part's rank and start lie among the bits of its number; its id is the lowest.
-NEVER, RANK_AT, START_AT = 1 << 20, 40, 17
+#: Above all ranks. Where a part's rank and start lie among the bits of its number; its id is the lowest. Bits of a rank in the table of pairs.
+NEVER, RANK_AT, START_AT, RANK_BITS = 1 << 20, 40, 17, 20
+SHIFT_AT, SLOT_AT, KEY_MASK = 20, 38, (1 << 2 * START_AT) - 1
 START_MASK, ID_MASK = (1 << (RANK_AT - START_AT)) - 1, (1 << START_AT) - 1
-BUCKETS = 1 << 15
-OPEN, CLOSE = chr(0x101), chr(0x102)
 #: Words that a task remembers, and their bytes; characters of text that go together; characters split at once; bytes of a long word.
 REMEMBERED, REMEMBERED_BYTES, SLICE, WINDOW, LONG = 600_000, 24 << 20, 1 << 20, 1 << 20, 128
 FAST = 0x250
@@ -61,80 +60,116 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def pair_table(ranks: dict[bytes, int]) -> tuple[int, np.ndarray, np.ndarray]:
+    """factor, shifts and slots: a perfect hash table of the ranks of what two ids make together.
+
+    With h = (left << START_AT | right) * factor, the entry (lowest bits of h) << RANK_BITS | rank is in slot
+    (h >> SLOT_AT) + shifts[h >> SHIFT_AT], both cut to the length of their table. The factor is odd, so that the lowest bits tell all pairs
+    apart. Keys of one shift move together to the first place where all of them fit, the largest groups first.
+    """
+    keys = {}
+    for whole, rank in ranks.items():
+        for i in range(1, len(whole)):
+            left, right = ranks.get(whole[:i]), ranks.get(whole[i:])
+            if left is not None and right is not None:
+                keys[left << START_AT | right] = rank
+    k = np.array(list(keys), np.int64)
+    ranked = np.array(list(keys.values()), np.int64)
+    size = 1 << max(4, len(k).bit_length())
+    groups = max(1, size // 4)
+    rng = np.random.default_rng(1)
+    while True:
+        factor = int(rng.integers(1 << 27, 1 << 28)) * 2 + 1
+        h = k * factor
+        group, slot = (h >> SHIFT_AT) & (groups - 1), (h >> SLOT_AT) & (size - 1)
+        if len(np.unique(group * size + slot)) < len(k):
+            continue  # two keys would always share a slot
+        order = np.argsort(group, kind="stable")
+        own = np.split(order, np.flatnonzero(np.diff(group[order])) + 1)
+        entry = ((h & KEY_MASK) << RANK_BITS) + ranked
+        shifts, slots = np.zeros(groups, np.int64), np.full(size, -1, np.int64)
+        taken, free = bytearray(size), 0
+        for at in sorted(own, key=lambda x: (-len(x), x[0] if len(x) else 0)):
+            if not len(at):
+                continue
+            s = slot[at].tolist()
+            shift, tries = 0, 0
+            if len(s) == 1:  # any free slot
+                free = taken.index(0, free)
+                shift = (free - s[0]) % size
+            while any(taken[(x + shift) % size] for x in s) and tries < 4 * size:
+                shift, tries = (shift + 12289) % size, tries + 1
+            if tries == 4 * size:
+                break
+            for x, e in zip(s, entry[at].tolist()):
+                taken[(x + shift) % size] = 1
+                slots[(x + shift) % size] = e
+            shifts[group[at[0]]] = shift
+        else:
+            return factor, shifts, slots
+
+
 class RankMap:
     """Literal rank map and the expressions that use it.
 
-    Bytes are letters of Latin-1 here, one for each byte, so that keys are strings. A key lies in the bucket of its
-    CRC-32, between marks and before its rank in five digits; a bucket is one string, so that the literal has few
-    elements (it goes out with every task, once for each place in the plan). Pairs of single bytes have a table of
-    their own, addressed by both.
+    The rank of two neighbouring parts is looked up by their ids, in pair_table(); that of two single bytes in a table
+    addressed by both.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        letters = {k.decode("latin-1"): v for k, v in ranks.items()}
-        if max(letters.values()) > 99_999:
+        if max(ranks.values()) > 99_999:
             raise ValueError("ranks of more than five digits")
+        numbers = lambda x, kind: F.split(F.lit(",".join(map(str, x))), ",").cast(f"array<{kind}>")
+        self.factor, shifts, slots = pair_table(ranks)
+        self.shifts, self.slots, self.groups, self.size = numbers(shifts.tolist(), "bigint"), numbers(slots.tolist(), "bigint"), len(shifts), len(slots)
+        one = [bytes([i]) for i in range(256)]
+        self.bytes = numbers((ranks[x] for x in one), "bigint")
+        self.pairs = numbers((ranks.get(x + y, NEVER) << RANK_AT for x in one for y in one), "bigint")
+        by_id = {v: k.decode("latin-1") for k, v in ranks.items()}
         mark = chr(0x100)
-        array = lambda x: F.split(F.lit(mark.join(x)), mark)
-        numbers = lambda x: F.split(F.lit(",".join(map(str, x))), ",").cast("array<int>")
-        buckets = [""] * BUCKETS
-        for k, v in letters.items():
-            buckets[zlib.crc32(k.encode()) % BUCKETS] += f"{OPEN}{k}{CLOSE}{v:05d}"
-        self.buckets = array(buckets)
-        self.bytes = numbers(letters[chr(i)] for i in range(256))
-        self.pairs = numbers(letters.get(chr(i >> 8) + chr(i & 255), NEVER) for i in range(1 << 16))
-        by_id = {v: k for k, v in letters.items()}
-        self.pieces = array(by_id.get(i, "") for i in range(max(by_id) + 1))
-
-    def rank(self, key: Column) -> Column:
-        """The rank of a string of bytes, null if it has none."""
-        bucket = F.get(self.buckets, F.crc32(key.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        mark = F.concat(F.lit(OPEN), key, F.lit(CLOSE))
-
-        def within(b: Column) -> Column:
-            at = F.call_function("locate", mark, b)
-            return F.when(at > 0, F.substring(b, at + F.length(mark), F.lit(5)).cast("int"))
-
-        return let(bucket, within)
-
-    def encode(self, text: Column) -> Column:
-        """Ids of a word of at least one byte, in Latin-1 letters: a column, as the fold reads it again and again.
+        self.pieces = F.split(F.lit(mark.join(by_id.get(i, "") for i in range(max(by_id) + 1))), mark)
+
+    def encode(self, codes: Column) -> Column:
+        """Ids of a word of at least one byte, as an array of its bytes: a column, as the fold reads it again and again.
 
         The fold's state is one number for each part: the rank of the pair that it and the next part make, where it
-        starts (from 1), and its id. The least of them is the pair to merge, the leftmost of equal rank, and the pair's
-        rank is the id of what it merges to. A last entry marks the word's end.
+        starts, and its id. The least of them is the pair to merge, the leftmost of equal rank, and the pair's
+        rank is the id of what it merges to. A last entry without a partner marks the word's end.
         """
-        n = F.length(text)
-        part = lambda rank, start, id_: F.shiftleft(rank.cast("long"), RANK_AT) + F.shiftleft(start.cast("long"), START_AT) + id_
+        never = F.lit(NEVER << RANK_AT)
+        id_of = lambda x: x.bitwiseAND(F.lit(ID_MASK))
+        place = lambda x: x.bitwiseAND(F.lit(START_MASK << START_AT))
+
+        def single(code: Column, i: Column) -> Column:
+            return F.coalesce(F.get(self.pairs, code * 256 + F.get(codes, i + 1)), never) + F.shiftleft(i.cast("long"), START_AT) + F.get(self.bytes, code)
 
-        def singles(codes: Column) -> Column:
-            def single(code: Column, i: Column) -> Column:
-                rank = F.coalesce(F.get(self.pairs, code * 256 + F.get(codes, i + 1)), F.lit(NEVER))
-                return part(rank, i + 1, F.get(self.bytes, code))
+        parts = F.concat(F.transform(codes, single), F.array(F.lit((NEVER << RANK_AT) + ID_MASK)))
 
-            return F.concat(F.transform(codes, single), F.array(part(F.lit(NEVER), n + 1, F.lit(0))))
+        def rank(left: Column, right: Column) -> Column:
+            """The rank of two ids together, shifted to its place."""
+            cut = lambda x, n: x.bitwiseAND(F.lit(n - 1)).cast("int")
 
-        parts = let(F.transform(F.sequence(F.lit(1), n), lambda i: F.ascii(F.substring(text, i, F.lit(1)))), singles)
+            def found(h: Column) -> Column:
+                slot = F.get(self.slots, cut(F.shiftright(h, SLOT_AT) + F.get(self.shifts, cut(F.shiftright(h, SHIFT_AT), self.groups)), self.size))
+                return let(slot, lambda e: F.when(F.shiftright(e, RANK_BITS) == h.bitwiseAND(F.lit(KEY_MASK)), F.shiftleft(e.bitwiseAND(F.lit((1 << RANK_BITS) - 1)), RANK_AT)).otherwise(never))
 
-        field = lambda x: F.shiftright(x, START_AT).bitwiseAND(F.lit(START_MASK)).cast("int")
-        pair = lambda start, end: F.coalesce(self.rank(F.substring(text, start, end - start)), F.lit(NEVER))
+            return let((F.shiftleft(left, START_AT) + right) * F.lit(self.factor).cast("long"), found)
 
         def merge(acc: Column, low: Column, p: Column) -> Column:
-            """Part p (from 1) takes in the next one; the pairs with its neighbours get their ranks."""
-            start = lambda i: field(F.get(acc, i))
-            own = part(pair(field(low), start(p + 2)), field(low), F.shiftright(low, RANK_AT))
-            before = lambda x: part(pair(field(x), start(p + 1)), field(x), x.bitwiseAND(F.lit(ID_MASK)))
-            left = F.when(p > 1, F.concat(F.slice(acc, F.lit(1), p - 2), F.array(let(F.get(acc, p - 2), before)))).otherwise(F.slice(acc, F.lit(1), F.lit(0)))
-            return F.concat(left, F.array(own), F.slice(acc, p + 2, F.size(acc)))
+            """Part p (from 0) takes in the next one; the pairs with its neighbours get their ranks."""
+            new = F.shiftright(low, RANK_AT)
+            # one lookup in the plan for both pairs, as the tables are literals
+            left = lambda x, i: F.when(i == p, new).otherwise(id_of(x))
+            right = lambda i: F.when(i == p, id_of(F.get(acc, p + 2))).otherwise(new)
+            renewed = lambda x, i: F.when((i == p) | (i == p - 1), rank(left(x, i), right(i)) + place(x) + left(x, i)).otherwise(x)
+            return F.filter(F.transform(acc, renewed), lambda _, i: i != p + 1)
 
         def step(acc: Column, _: Column) -> Column:
-            merged = lambda low: F.when(low < F.lit(NEVER << RANK_AT), let(F.array_position(acc, low).cast("int"), lambda p: merge(acc, low, p))).otherwise(acc)
+            merged = lambda low: F.when(low < never, let(F.array_position(acc, low).cast("int") - 1, lambda p: merge(acc, low, p))).otherwise(acc)
             return let(F.array_min(acc), merged)
 
-        ids = lambda acc: F.transform(F.slice(acc, F.lit(1), F.size(acc) - 1), lambda x: x.bitwiseAND(F.lit(ID_MASK)).cast("int"))
-        folded = F.aggregate(F.array_repeat(F.lit(0), n - 1), parts, step, ids)
-        whole = self.rank(text)
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
+        ids = lambda acc: F.transform(F.slice(acc, F.lit(1), F.size(acc) - 1), lambda x: id_of(x).cast("int"))
+        return F.aggregate(F.array_repeat(F.lit(0), F.size(codes) - 1), parts, step, ids)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of ids, their pieces one after another."""
@@ -198,9 +233,9 @@ def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-#: What a row is: the order to forget all words, a word to fold, a long word with its ids and pieces, a text with its word numbers.
+#: What a row is: the order to forget all words, a word to fold, a word with its ids and pieces (it has a rank, or is long), a text with its word numbers.
 FORGET, WORD, GIVEN, TEXT = range(4)
-_SENT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("word", pa.binary()), ("data", pa.binary())])
+_SENT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("codes", pa.list_(pa.int32())), ("piece", pa.binary()), ("data", pa.binary())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
 
 
@@ -218,45 +253,56 @@ class _Numbers(dict):
         return n
 
 
+@functools.cache
+def _ranks_and_pieces(rank_file: bytes) -> tuple[dict[bytes, int], dict[int, bytes]]:
+    ranks = parse_ranks(rank_file)
+    return ranks, {v: k for k, v in ranks.items()}
+
+
+def _sent(kind: int, n: int, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, "i4"))] + [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in list(_SENT)[1:]], schema=_SENT)
+
+
 def _words(pattern: str, rank_file: bytes):
     """Texts as numbers of their words, each new word before the first text that has it."""
 
     def run(batches):
-        words_of, numbers, ranks, pieces = splitter(pattern), _Numbers(), {}, {}
-
-        def given(word: bytes) -> tuple[int, None, bytes, bytes]:
-            if not ranks:
-                ranks.update(parse_ranks(rank_file))
-                pieces.update((v, k) for k, v in ranks.items())
-            ids = fold(word, ranks)
-            return GIVEN, None, b"".join(map(pieces.__getitem__, ids)), np.array(ids, "<i4").tobytes()
-
-        def sent(rows) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
+        words_of, numbers = splitter(pattern), _Numbers()
+        ranks, pieces = _ranks_and_pieces(rank_file)
 
-        def flushed(texts):
+        def flushed(ids: list, texts: list):
+            """New words in the order of their numbers, as runs of one kind; then the texts."""
             new = [w.encode() for w in numbers.new]
             numbers.new = []
-            for at in range(0, len(new), 20_000):
-                yield sent([(WORD, None, w, None) if len(w) <= LONG else given(w) for w in new[at : at + 20_000]])
+            given = np.array([len(w) > LONG or w in ranks for w in new], bool)
+            cuts = np.flatnonzero(np.append(True, given[1:] != given[:-1])).tolist() if len(new) else []
+            for a, z in zip(cuts, [*cuts[1:], len(new)]):
+                own = new[a:z]
+                if given[a]:
+                    found = [fold(w, ranks) for w in own]
+                    data = pa.array([np.array(x, "<i4").tobytes() for x in found], pa.binary())
+                    yield _sent(GIVEN, len(own), piece=pa.array([b"".join(map(pieces.__getitem__, x)) for x in found], pa.binary()), data=data)
+                else:
+                    ends = pa.array(np.cumsum([0, *map(len, own)]).astype("i4"))
+                    yield _sent(WORD, len(own), codes=pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(own), "u1").astype("i4"))))
             if texts:
-                yield sent(texts)
+                yield _sent(TEXT, len(texts), doc_id=pa.array(ids, pa.int64()), data=pa.array(texts, pa.binary()))
             release()
 
-        texts, size = [], 0
+        ids, texts, size = [], [], 0
         for b in batches:
             for doc_id, x in zip(b.column("doc_id").to_pylist(), b.column("text")):
                 t = x.as_py() or ""
-                own = [np.array([*map(numbers.__getitem__, w)], "<u4").tobytes() for w in words_in(t, words_of)]
-                texts.append((TEXT, doc_id, None, b"".join(own)))
+                ids.append(doc_id)
+                texts.append(b"".join([array("I", map(numbers.__getitem__, w)).tobytes() for w in words_in(t, words_of)]))
                 size += len(t)
                 if size >= SLICE:
-                    yield from flushed(texts)
-                    texts, size = [], 0
+                    yield from flushed(ids, texts)
+                    ids, texts, size = [], [], 0
                     if len(numbers) > REMEMBERED or numbers.size > REMEMBERED_BYTES:
-                        yield sent([(FORGET, None, None, None)])
+                        yield _sent(FORGET, 1)
                         numbers = _Numbers()
-        yield from flushed(texts)
+        yield from flushed(ids, texts)
 
     return run
 
@@ -276,10 +322,10 @@ def _put_together(batches):
                 ids = own.column("ids")
                 raw, ends = ids.flatten().to_numpy().astype("<i4").tobytes(), (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist()
                 ids_of += [raw[4 * x : 4 * y] for x, y in zip(ends, ends[1:])]
-                pieces += own.column("word").to_pylist()
+                pieces += own.column("piece").to_pylist()
             elif kind == GIVEN:
                 ids_of += own.column("data").to_pylist()
-                pieces += own.column("word").to_pylist()
+                pieces += own.column("piece").to_pylist()
             else:
                 ids, back = [], []
                 for data in own.column("data"):
@@ -292,11 +338,10 @@ def _put_together(batches):
 
 
 def encoded_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """words(word, ...) with ids, and with the bytes that these decode to instead of word; null words stay null."""
+    """words(codes, ...) with ids, and with the bytes that these decode to in column decoded; null where codes is null."""
     m = RankMap(ranks)
-    letters = words.withColumn("_letters", F.decode("word", "ISO-8859-1"))
-    ids = letters.withColumn("ids", F.when(F.col("_letters").isNotNull(), m.encode(F.col("_letters")))).drop("_letters")
-    return ids.withColumn("word", F.when(F.col("ids").isNotNull(), m.decode(F.col("ids"))))
+    ids = words.withColumn("ids", F.when(F.col("codes").isNotNull(), m.encode(F.col("codes"))))
+    return ids.withColumn("decoded", F.when(F.col("ids").isNotNull(), m.decode(F.col("ids"))))
 
 
 def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
@@ -304,10 +349,9 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     with open(rank_path, "rb") as f:
         rank_file = f.read()
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sent = narrow.mapInArrow(_words(pattern, rank_file), "kind int, doc_id long, word binary, data binary")
-    short = F.when(F.col("kind") == WORD, F.col("word"))
-    folded = encoded_words(sent.select("kind", "doc_id", "data", F.col("word").alias("given"), short.alias("word")), parse_ranks(rank_file))
-    folded = folded.select("kind", "doc_id", "data", "ids", F.when(F.col("kind") == WORD, F.col("word")).otherwise(F.col("given")).alias("word"))
+    sent = narrow.mapInArrow(_words(pattern, rank_file), "kind int, doc_id long, codes array<int>, piece binary, data binary")
+    folded = encoded_words(sent, parse_ranks(rank_file))
+    folded = folded.select("kind", "doc_id", "data", "ids", F.coalesce("decoded", "piece").alias("piece"))
     return folded.mapInArrow(_put_together, "doc_id long, ids array<int>, decoded binary")
 
 

@@ -39,7 +39,7 @@ def test_extra_columns_and_nothing(spark, docs_of):
     from pyspark.sql import functions as F
 
     clash = docs_of(spark, [(1, "a b")])
-    for c in ("kind", "word", "data", "ids", "decoded", "given", "_letters", "n_tokens"):
+    for c in ("kind", "codes", "piece", "data", "ids", "decoded", "n_tokens"):
         clash = clash.withColumn(c, F.lit("x"))
     assert bp.encoded(clash, PATH, PATTERN).collect()[0].ids == TIK.encode_ordinary("a b")
     assert bp.encoded(docs_of(spark, []), PATH, PATTERN).count() == 0
@@ -56,7 +56,11 @@ def test_forgetting_words(monkeypatch):
         sent = list(bp._words(PATTERN, f.read())([pa.record_batch({"doc_id": list(range(20)), "text": texts})]))
     assert sum(b.column("kind").to_pylist().count(bp.FORGET) for b in sent) >= 19
     assert any(bp.GIVEN in b.column("kind").to_pylist() for b in sent)
-    folded = [b.append_column("ids", pa.array([bp.fold(w, RANKS) if k == bp.WORD else None for k, w in zip(b.column("kind").to_pylist(), b.column("word").to_pylist())], pa.list_(pa.int32()))) for b in sent]
+    folded = []
+    for b in sent:
+        words = [bytes(c) if c else None for c in b.column("codes").to_pylist()]
+        pieces = pa.array([w or p for w, p in zip(words, b.column("piece").to_pylist())], pa.binary())
+        folded.append(b.set_column(3, "piece", pieces).append_column("ids", pa.array([bp.fold(w, RANKS) if w else None for w in words], pa.list_(pa.int32()))))
     rows = [r for b in bp._put_together(folded) for r in b.to_pylist()]
     assert [(r["ids"], r["decoded"]) for r in rows] == [(TIK.encode_ordinary(t), t.encode()) for t in texts]
 
@@ -76,11 +80,31 @@ def test_very_long_words_and_texts():
 
 
 def test_words_by_higher_order_functions(spark):
-    words = sorted({w.encode() for t in ODD if t for w in bp.splitter(PATTERN)(t)} | {k for k in list(RANKS)[::97]})
-    df = spark.createDataFrame([(bytearray(w), bytearray(w)) for w in words], "own binary, word binary")
+    words = sorted({w.encode() for t in ODD if t for w in bp.splitter(PATTERN)(t) if len(w.encode()) <= bp.LONG} | {k for k in list(RANKS)[::97]})
+    df = spark.createDataFrame([(bytearray(w), list(w)) for w in words], "own binary, codes array<int>")
     for r in bp.encoded_words(df, RANKS).collect():
         assert r.ids == TIK._encode_single_piece(bytes(r.own)) == bp.fold(bytes(r.own), RANKS)
-        assert bytes(r.word) == bytes(r.own)
+        assert bytes(r.decoded) == bytes(r.own)
+
+
+def test_table_of_pairs():
+    factor, shifts, slots = bp.pair_table(RANKS)
+
+    def look(a, b):
+        k = a << bp.START_AT | b
+        h = k * factor
+        e = slots[((h >> bp.SLOT_AT) + shifts[(h >> bp.SHIFT_AT) & (len(shifts) - 1)]) & (len(slots) - 1)]
+        return e & ((1 << bp.RANK_BITS) - 1) if e >> bp.RANK_BITS == h & bp.KEY_MASK else None
+
+    for k, rank in list(RANKS.items())[::7]:
+        for i in range(1, len(k)):
+            if k[:i] in RANKS and k[i:] in RANKS:
+                assert look(RANKS[k[:i]], RANKS[k[i:]]) == rank
+    by_id = {v: k for k, v in RANKS.items()}
+    for a in range(0, 50_000, 331):
+        for b in range(0, 50_000, 373):
+            assert look(a, b) == RANKS.get(by_id[a] + by_id[b])
+    assert bp.pair_table({bytes([i]): i for i in range(256)})[2].max() == -1
 
 
 @settings(max_examples=200, deadline=None)
