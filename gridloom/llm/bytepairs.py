@@ -35,6 +35,8 @@ from .common import release, table
 
 #: Above all ranks. Where a part's rank and start lie among the bits of its number; its id is the lowest. Bits of a rank in the table of pairs.
 NEVER, RANK_AT, START_AT, RANK_BITS = 1 << 20, 40, 17, 20
+#: What stands behind a word's bytes.
+END = 256
 SHIFT_AT, SLOT_AT, KEY_MASK = 20, 38, (1 << 2 * START_AT) - 1
 START_MASK, ID_MASK = (1 << (RANK_AT - START_AT)) - 1, (1 << START_AT) - 1
 #: Words that a task remembers, and their bytes; characters of text that go together; characters split at once; bytes of a long word.
@@ -122,28 +124,26 @@ class RankMap:
         numbers = lambda x, kind: F.split(F.lit(",".join(map(str, x))), ",").cast(f"array<{kind}>")
         self.factor, shifts, slots = pair_table(ranks)
         self.shifts, self.slots, self.groups, self.size = numbers(shifts.tolist(), "bigint"), numbers(slots.tolist(), "bigint"), len(shifts), len(slots)
-        one = [bytes([i]) for i in range(256)]
-        self.bytes = numbers((ranks[x] for x in one), "bigint")
-        self.pairs = numbers((ranks.get(x + y, NEVER) << RANK_AT for x in one for y in one), "bigint")
+        one = [bytes([i]) for i in range(256)] + [None]  # the last stands for a word's end
+        self.bytes = numbers((ID_MASK if x is None else ranks[x] for x in one), "bigint")
+        self.pairs = numbers(((NEVER if x is None or y is None else ranks.get(x + y, NEVER)) << RANK_AT for x in one for y in one), "bigint")
         by_id = {v: k.decode("latin-1") for k, v in ranks.items()}
         mark = chr(0x100)
         self.pieces = F.split(F.lit(mark.join(by_id.get(i, "") for i in range(max(by_id) + 1))), mark)
 
     def encode(self, codes: Column) -> Column:
-        """Ids of a word of at least one byte, as an array of its bytes: a column, as the fold reads it again and again.
+        """Ids of a word, as an array of its bytes with END behind: a column, as the fold reads it again and again.
 
         The fold's state is one number for each part: the rank of the pair that it and the next part make, where it
         starts, and its id. The least of them is the pair to merge, the leftmost of equal rank, and the pair's
-        rank is the id of what it merges to. A last entry without a partner marks the word's end.
+        rank is the id of what it merges to. END stays as a part without a partner.
         """
         never = F.lit(NEVER << RANK_AT)
         id_of = lambda x: x.bitwiseAND(F.lit(ID_MASK))
         place = lambda x: x.bitwiseAND(F.lit(START_MASK << START_AT))
 
         def single(code: Column, i: Column) -> Column:
-            return F.coalesce(F.get(self.pairs, code * 256 + F.get(codes, i + 1)), never) + F.shiftleft(i.cast("long"), START_AT) + F.get(self.bytes, code)
-
-        parts = F.concat(F.transform(codes, single), F.array(F.lit((NEVER << RANK_AT) + ID_MASK)))
+            return F.coalesce(F.get(self.pairs, code * (END + 1) + F.get(codes, i + 1)), never) + F.shiftleft(i.cast("long"), START_AT) + F.get(self.bytes, code)
 
         def rank(left: Column, right: Column) -> Column:
             """The rank of two ids together, shifted to its place."""
@@ -168,8 +168,8 @@ class RankMap:
             merged = lambda low: F.when(low < never, let(F.array_position(acc, low).cast("int") - 1, lambda p: merge(acc, low, p))).otherwise(acc)
             return let(F.array_min(acc), merged)
 
-        ids = lambda acc: F.transform(F.slice(acc, F.lit(1), F.size(acc) - 1), lambda x: id_of(x).cast("int"))
-        return F.aggregate(F.array_repeat(F.lit(0), F.size(codes) - 1), parts, step, ids)
+        ids = lambda acc: F.filter(F.transform(acc, lambda x: id_of(x).cast("int")), lambda x: x != ID_MASK)
+        return F.aggregate(F.array_repeat(F.lit(0), F.size(codes) - 2), F.transform(codes, single), step, ids)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of ids, their pieces one after another."""
@@ -283,8 +283,10 @@ def _words(pattern: str, rank_file: bytes):
                     data = pa.array([np.array(x, "<i4").tobytes() for x in found], pa.binary())
                     yield _sent(GIVEN, len(own), piece=pa.array([b"".join(map(pieces.__getitem__, x)) for x in found], pa.binary()), data=data)
                 else:
-                    ends = pa.array(np.cumsum([0, *map(len, own)]).astype("i4"))
-                    yield _sent(WORD, len(own), codes=pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(own), "u1").astype("i4"))))
+                    ends = np.cumsum([0, *(len(w) + 1 for w in own)])
+                    codes = np.frombuffer(b"\0".join(own) + b"\0", "u1").astype("i4")
+                    codes[ends[1:] - 1] = END
+                    yield _sent(WORD, len(own), codes=pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(codes)))
             if texts:
                 yield _sent(TEXT, len(texts), doc_id=pa.array(ids, pa.int64()), data=pa.array(texts, pa.binary()))
             release()
