@@ -26,9 +26,13 @@ def _own_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
 
-    Where it is unset the session is a local one (as in tests), and a folder of this process is used.
+    Where it is unset, a local session (as in tests) uses a folder of this process; any other is refused, as its
+    executors would not see that folder.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (named or _own_dir()).rstrip("/")
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:

@@ -251,8 +251,8 @@ def licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as files source/lang/doc_id, whose licences are found or inherited."""
+    """documents as files source/lang/doc_id, whose licences are found or inherited; a null part is an empty name."""
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.lit(""), F.col("source"), F.col("lang"), F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", F.lit(""), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang", "doc_id")])
     files = docs.select(F.col("doc_id").cast("long").alias("id"), path.alias("path"), F.col("text").cast("string").alias("text"))
     return licences(files).withColumnRenamed("id", "doc_id")

@@ -57,12 +57,36 @@ def test_pointer_jumping_keeps_the_chain():
     assert warc.reachable(np.arange(n), np.arange(n) + 1).all()
 
 
-def test_candidates_inside_payloads_are_seen_and_rejected(spark, tmp_path):
-    warc.write_archives(warc.with_revisits(frame(spark, ROWS).coalesce(1)), f"{tmp_path}/w")
-    data = b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("*.txt")))
-    found = warc.parse_candidates("f", data)
-    keep = warc.reachable(np.array([f[1] for f in found]), np.array([f[2] for f in found]))
-    assert len(found) > keep.sum() == len(ROWS)
+def test_candidates_inside_payloads_are_seen_and_rejected():
+    record = lambda t: f"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: {len(t)}\r\n\r\n{t}\r\n\r\n"
+    data = (record("a") + record("x" + FAKE + FAKE) + record("b")).encode()
+    lines = data.split(warc.MAGIC.encode())
+    batch = warc.pa.record_batch({"path": ["f"] * len(lines), "block": [0] * len(lines), "segment": lines})
+    found = warc.pa.Table.from_batches(warc._candidates([batch]))
+    assert sum(x is not None for x in found.column("successor").to_pylist()) == 5
+    chain = warc._chain(found).to_pylist()
+    assert [r["at"] for r in chain if r["kept"]] == [0, len(record("a")), len(data) - len(record("b"))]
+    assert len({r["owner"] for r in chain if r["owner"] is not None}) == 1 and sum(r["owner"] is not None for r in chain) == 3
+
+
+def test_ranges_of_files(spark, tmp_path):
+    """Records, payloads and magic strings across the borders of what a task reads, and a file that ends in a record."""
+    rows = [(i, h) for k in range(30) for i, h in ((5 * k, f"{k}" + "z" * (37 * k)), (5 * k + 1, f"{k}{FAKE}tail"), (5 * k + 2, None if k else "WARC/1.0\r\n"), (5 * k + 3, FAKE * 3 + str(k)))]
+    warc.write_archives(warc.with_revisits(frame(spark, rows).coalesce(1)), f"{tmp_path}/w", per_file=50)
+    files = sorted((tmp_path / "w").glob("*.txt"))
+    files[0].write_bytes(files[0].read_bytes()[:-9])  # its last record is cut off
+    for c in (tmp_path / "w").glob(".*.crc"):
+        c.unlink()
+    for size in (501, 4001, 1 << 20):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        try:
+            out = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.read_archives(spark, f"{tmp_path}/w").collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert len(out) == len(rows) - 1
+        assert all((len((h or "").encode()), digest(h)) == out.get(i, (len((h or "").encode()), digest(h))) for i, h in rows)
 
 
 def test_base32(spark):
