@@ -1,13 +1,15 @@
 """Packing documents into token sequences: first-fit decreasing in randomised groups.
 
-Documents go to groups of about GROUP at random. A group is tokenised and packed in one task:
-full sequences are cut off long documents, the rests are placed first-fit decreasing with a
+Texts become ids once, row by row, and the ids a table in the shared folder; so the groups, which documents join at
+random by their place in that table, stay the same however often a task is repeated. A group has about GROUP documents and GROUP_IDS ids and
+is packed in one task: full sequences are cut off long documents, the rests are placed first-fit decreasing with a
 tournament tree over the bins' free space, and since documents may be cut freely the emptiest
 bins then fill the gaps of the others. What a group's last bin holds is cut at powers of two,
 at which a sequence needs no padding.
 
-Defined cases: a null text is empty and has the end id alone; a repeated row is a document of its
-own; very long documents give many full sequences; an empty table gives no rows.
+Defined cases: a null text is empty and has the end id alone; a null id stays null; a repeated row is a document of its
+own; of equally long documents the one that comes first in its group is placed first; a very long document is one row of ids and gives many full
+sequences; an empty table gives no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,15 +22,16 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, table
+from .common import release, saved, table
 
 CAPACITY = 4096
 END_ID = 2
-GROUP = 2048
+GROUP, GROUP_IDS = 2048, 1 << 20
+#: Bytes of ids that leave a task at once.
+SLICE = 4 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 #: Words whose ids a worker remembers.
@@ -115,15 +118,15 @@ def powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]
     return out
 
 
-#: The tokenizer's own split of normalised text into words, for all characters and for those below FAST.
+#: The tokenizer's own split of normalised text into words, spelled out for texts of characters below FAST.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-FAST = 0x250
+FAST, SPACE = 0x250, "\t-\r \x85\xa0"
 
 
 def _fast_words():
-    """WORDS in the standard library's syntax, right for texts of characters below FAST."""
+    """WORDS in the standard library's syntax, whose own white space and letters differ."""
     kinds = {k: "".join(re.escape(chr(c)) for c in range(FAST) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
-    return re.compile(WORDS.replace(r"\p{L}", kinds["L"]).replace(r"\p{N}", kinds["N"])).findall
+    return re.compile(WORDS.replace(r"\s", SPACE).replace(r"\p{L}", kinds["L"]).replace(r"\p{N}", kinds["N"])).findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -145,7 +148,8 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words, self.fast = regex.compile(WORDS).findall, _fast_words()
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.fast = _fast_words()
         self.other = re.compile(f"[^\0-{chr(FAST - 1)}]").search
         self.letters = _byte_letters()
         self.old: dict[str, bytes] = {}
@@ -161,15 +165,12 @@ class WordIds(dict):
         self[word] = ids
         return ids
 
-    def split(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.fast(text.lower())
-        if self.other(text):
-            return self.words(self.tokenizer.normalizer.normalize_str(text))
-        return self.fast(unicodedata.normalize("NFC", text).lower())
-
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text)))
+        """Ids of a text. Those of characters below FAST, in lower case too, are split here; others by the tokenizer itself."""
+        low = text.lower()
+        if not text.isascii() and (self.other(text) or self.other(low)):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.__getitem__, self.fast(low)))
 
 
 @functools.cache
@@ -177,19 +178,42 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _pack_group(path: str, capacity: int):
-    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+def _tokens(path: str):
+    """doc_id, n and ids of each row, the end id last."""
+
+    def run(batches):
         ids_of, end = word_ids(path).ids, np.array([END_ID], "<u4").tobytes()
+
+        def batch(docs, ids):
+            release()
+            return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
+
+        docs, ids, size = [], [], 0
+        for b in batches:
+            for doc_id, x in zip(b.column("doc_id").to_pylist(), b.column("text")):
+                docs.append(doc_id)
+                ids.append(ids_of(x.as_py() or "") + end)
+                size += len(ids[-1])
+                if size >= SLICE:
+                    yield batch(docs, ids)
+                    docs, ids, size = [], [], 0
+        if docs:
+            yield batch(docs, ids)
+
+    return run
+
+
+def _pack_group(capacity: int):
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         release()
-        ids, docs = [], group.column("doc_id").to_pylist()
-        for x in group.column("text"):
-            ids.append(ids_of(x.as_py() or "") + end)
+        ids, docs = group.column("ids"), group.column("doc_id").to_pylist()
+        lengths = group.column("n").to_pylist()
         rows = []
         base = key[0].as_py() << 32
-        for s, pieces in enumerate(pack([len(x) // 4 for x in ids], capacity)):
+        for s, pieces in enumerate(pack(lengths, capacity)):
             at = 0
             for i, start, n in pieces:
-                rows.append((docs[i], start, n, zlib.crc32(ids[i][4 * start : 4 * (start + n)]), len(ids[i]) // 4, base + s, at))
+                rows.append((docs[i], start, n, zlib.crc32(memoryview(ids[i].as_buffer())[4 * start : 4 * (start + n)]), lengths[i], base + s, at))
                 at += n
         columns = list(zip(*rows)) or [()] * len(_ARROW)
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_ARROW)
@@ -200,16 +224,14 @@ def _pack_group(path: str, capacity: int):
 def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """docs(doc_id, text) as pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    The group comes from a hash of the row's place, so that repeated ids spread as well; rows of about
-    group documents meet in one task.
+    The group comes from a hash of the row's place, so that repeated ids spread as well.
     """
-    groups = max(1, -(-docs.count() // group))
-    dealt = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("g"),
-    )
-    return dealt.groupBy("g").applyInArrow(_pack_group(tokenizer_path, capacity), SCHEMA)
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    tokens = saved(narrow.mapInArrow(_tokens(tokenizer_path), "doc_id long, n long, ids binary"), "packing-ids")
+    size = tokens.agg(F.count("*").alias("rows"), F.sum("n").alias("ids")).first()
+    groups = max(1, -(-size.rows // group), -(-(size.ids or 0) // GROUP_IDS))
+    dealt = tokens.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+    return dealt.groupBy("g").applyInArrow(_pack_group(capacity), SCHEMA)
 
 
 def op5_packing_first_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

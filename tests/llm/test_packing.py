@@ -54,6 +54,26 @@ def test_repeats_nulls_and_nothing(spark, docs_of):
     assert packing.packed(docs_of(spark, []), PATH).count() == 0
 
 
+def test_ids_of_every_character():
+    """Every code point between letters, digits, blanks and marks."""
+    t, w = Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    t.encode_special_tokens = True
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b 1{chr(c)}2 {chr(c)} .{chr(c)}'s" for c in points if c < 0x3000]
+    texts += ["".join(f"x{chr(c)}" for c in points[i : i + 64]) for i in range(0x3000, len(points), 64)]
+    wrong = [x for x, e in zip(texts, t.encode_batch(texts, add_special_tokens=False)) if w.ids(x) != np.array(e.ids, "<u4").tobytes()]
+    assert not wrong
+
+
+def test_clashing_columns(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    d = docs_of(spark, [(1, "a b"), (None, "c")])
+    for c in ("g", "n", "ids", "start", "length", "offset", "sequence_id"):
+        d = d.withColumn(c, F.lit("x"))
+    assert {str(r.doc_id) for r in packing.packed(d, PATH).collect()} == {"1", "None"}
+
+
 @pytest.mark.parametrize("text", ["A B", "ÉA bß", "Ω漢 x"])
 def test_words_are_remembered_in_generations(text, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 1)
