@@ -8,14 +8,16 @@ bands of registers give candidates: at a similarity of 0.8 one in 20,000 pairs s
 
 Copies of a text count once. Within a band's bucket nobody meets everybody: all meet the member
 that shares most buckets with others (of near copies, that is the one they derive from). The
-links that hold (Jaccard of the shingle sets >= SIMILARITY, on the texts) give components. Only where a
+links that hold (probability Jaccard of the weighted shingles >= SIMILARITY, computed from the texts) give components. Only where a
 bucket still spans several components, its members of different components are compared in
 blocks of BLOCK, and the links found there join the others. So every candidate pair is either
 verified or already connected.
 
 Defined cases: a null text is empty; texts without words are near nothing but their own copies; a null doc_id is
-a document whose class has the least id of the others in it, or null; repeated rows are repeated;
-an empty table gives no rows; extra columns are ignored.
+a document whose class has the least id of the others in it, or null; repeated rows are repeated, and rows of one id with different texts
+are classed by their texts; very long texts are hashed as a whole, in memory of about 80 times their bytes; an empty table gives no rows; extra columns are
+ignored. keep_first() keeps one row of each class: a null id counts as greater than any other, of equal ids the
+smaller text id wins, of rows that are equal in both the one with the smallest hash of all its columns.
 """
 
 from __future__ import annotations
@@ -117,16 +119,22 @@ def with_text_id(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("tid"), text.alias("text"))
 
 
+def weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """A text's shingles in order, and their weights."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    _, key, count = shingles(data, np.array([0, len(data)]))
+    return key, 1 + np.log(count)
+
+
 def _jaccards(batches):
     for batch in batches:
-        sets: dict[bytes, np.ndarray] = {}
+        sets: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
 
         def of(tid, text):
             if tid not in sets:
                 if len(sets) > 2000:
                     sets.clear()
-                data = np.frombuffer(text.encode(), np.uint8)
-                sets[tid] = shingles(data, np.array([0, len(data)]))[1]
+                sets[tid] = weighted(text)
             return sets[tid]
 
         keep = []
@@ -135,12 +143,26 @@ def _jaccards(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def similar(x: np.ndarray, y: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Whether two sorted sets have a Jaccard similarity of at least `least`."""
-    if not len(x) or not len(y) or min(len(x), len(y)) < least * max(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both >= least * (len(x) + len(y) - both)
+def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
+    """Sum over common elements d of 1 / sum over all e of max(x_e / x_d, y_e / y_d), for elements in order with weights.
+
+    By x_e / y_e, the elements from d on count in x, those before it in y; so sums along that order give all terms.
+    """
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    if not len(i):
+        return 0.0
+    a, b = x[1][i], y[1][j]
+    order = np.argsort(a / b, kind="stable")
+    a, b = a[order], b[order]
+    only_x, only_y = x[1].sum() - a.sum(), y[1].sum() - b.sum()
+    above = only_x + np.cumsum(a[::-1])[::-1]
+    below = only_y + np.cumsum(b) - b
+    return float((1 / (above / a + below / b)).sum())
+
+
+def similar(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], least: float = SIMILARITY) -> bool:
+    """Whether two weighted sets have a probability Jaccard similarity of at least `least`."""
+    return probability_jaccard(x, y) >= least - 1e-12
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -173,8 +195,7 @@ def _in_blocks(group: pa.Table) -> pa.Table:
     t = group.to_pydict()
     sets = []
     for x in t["text"]:
-        data = np.frombuffer(x.encode(), np.uint8)
-        sets.append(shingles(data, np.array([0, len(data)]))[1])
+        sets.append(weighted(x))
     out = []
     one, two = t["one"][0], t["two"][0]
     left = [i for i, b in enumerate(t["block"]) if b == one]
@@ -187,8 +208,8 @@ def _in_blocks(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id of every document: the least doc_id of its class."""
+def labelled_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, tid, label of every document: the label is a text id that all texts of a class share."""
     known = with_text_id(docs).mapInArrow(_narrow, "doc_id long, tid binary, bands array<long>")
     known = saved(known, "minhash-signatures")
     once = known.groupBy("tid").agg(F.first("bands", ignorenulls=True).alias("bands")).where("bands is not null")
@@ -222,7 +243,12 @@ def classes(docs: DataFrame) -> DataFrame:
         more = saved(found, "minhash-links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
-    labelled = known.select("doc_id", "tid").join(labels, F.col("tid") == F.col("id"), "left").select("doc_id", F.coalesce("label", "tid").alias("label"))
+    return known.select("doc_id", "tid").join(labels, F.col("tid") == F.col("id"), "left").select("doc_id", "tid", F.coalesce("label", "tid").alias("label"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id of every document: the least doc_id of its class."""
+    labelled = labelled_texts(docs)
     least = saved(labelled.groupBy("label").agg(F.min("doc_id").alias("class_id")), "minhash-classes")  # so that the join may split a large class
     return labelled.join(least, "label").select("doc_id", "class_id")
 
@@ -241,10 +267,27 @@ def _narrow(batches):
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without those whose class has a document with a smaller doc_id (rows of one doc_id stay or go together)."""
-    gone = saved(classes(docs).where("doc_id > class_id").select("doc_id").distinct(), "minhash-gone")
-    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    """docs with one row of each class: that with the smallest doc_id, as the docstring above says."""
+    rows = saved(labelled_texts(docs).groupBy("label", "doc_id", "tid").agg(F.count("*").alias("n")), "minhash-rows")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tid")
+    first = saved(rows.groupBy("label").agg(F.min(rank).alias("first")), "minhash-first")
+    placed = rows.join(first, "label").select("doc_id", "tid", "n", (rank == F.col("first")).alias("is_first"))
+    gone = saved(placed.where("not is_first").select("doc_id", "tid"), "minhash-gone")
+    again = saved(placed.where("is_first and n > 1").select("doc_id", "tid"), "minhash-again")
+    tid = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_id"), tid.alias("_tid"))
+
+    def meet(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        ids = F.broadcast(ids) if few else ids
+        return rows.join(ids, rows._id.eqNullSafe(ids.doc_id) & (rows._tid == ids.tid), how)
+
+    stay = meet(keyed, gone, "left_anti")
+    if again.isEmpty():
+        return stay.select("row.*")
+    # equal rows of one id and text: one by partial aggregates, which a hot one can't crowd
+    once = meet(stay, again, "left_semi").groupBy("_id", "_tid").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return meet(stay, again, "left_anti").select("row.*").unionByName(once.select("row.*"))
 
 
 def op8_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
