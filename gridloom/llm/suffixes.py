@@ -14,8 +14,8 @@ Every byte covered by a string of LENGTH bytes that also starts in a document wi
    over HOT texts have spreads over all shards by the strings themselves.
 5. Each occurrence of a string with a smaller doc_id elsewhere is a span to remove, back at its chunk.
 
-The hashes decide only where strings meet; what is equal is decided on the bytes. (Two texts whose 31-bit digests
-agree by chance, and which alone share a string, would be taken for copies in step 3: 2**-31 for each such pair.)
+The hashes decide only where strings meet; what is equal is decided on the bytes. (Copies are told by digests of 128 bits, and
+in step 3 by 63 of them.)
 
 Defined cases: a null text is empty; texts under LENGTH bytes lose nothing; rows with the same doc_id never remove from each
 other; a null doc_id counts as greater than any other; an empty table gives no rows; other columns stay as
@@ -182,7 +182,27 @@ def _copy_rows(batches):
             yield pa.RecordBatch.from_arrays(columns, names=["p", "digest", "rows", "key", "n"])
 
 
-_MANY = np.uint32(1 << 31)
+_MANY = np.uint64(1 << 63)
+#: Bits of a hash within its bucket; more hashes than these tell apart only look shared.
+_IN_BUCKET = 40
+
+
+def addresses(v: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and place in the bucket of each hash: the bucket by its high bits, the place by its bits mixed once more."""
+    with np.errstate(over="ignore"):
+        bucket = (v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        return bucket << np.uint64(_IN_BUCKET) | mix64(v ^ _M) & np.uint64((1 << _IN_BUCKET) - 1)
+
+
+def _short(v: np.ndarray) -> bytes:
+    """The places of addresses, five bytes each."""
+    return np.ascontiguousarray(v, "<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _long(data: bytes, bucket: int) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel() | np.uint64(bucket << _IN_BUCKET)
 
 
 def _hash_rows(buckets: int):
@@ -194,8 +214,8 @@ def _hash_rows(buckets: int):
                 r = c.rows[at]
                 first = np.ones(len(v), bool)
                 first[1:] = (v[1:] != v[:-1]) | (r[1:] != r[:-1])
-                v, r = v[first], r[first]
-                mark = np.array([int.from_bytes(d[:4], "little") & 0x7FFFFFFF for d in c.digests], np.uint32)[r] if len(r) else np.zeros(0, np.uint32)
+                v, r = addresses(v[first], buckets), r[first]
+                mark = np.array([int.from_bytes(d[:8], "little") >> 1 for d in c.digests], np.uint64)[r] if len(r) else np.zeros(0, np.uint64)
                 order = np.lexsort((mark, v))
                 v, mark = v[order], mark[order]
                 new = np.ones(len(v), bool)
@@ -203,15 +223,14 @@ def _hash_rows(buckets: int):
                 v, mark = v[new], mark[new]
                 starts = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, int)
                 count = np.diff(np.append(starts, len(v)))
-                v, mark = v[starts], np.where(count > 1, _MANY | count.astype(np.uint32), mark[starts])
-                # v is sorted, so buckets by its high bits are slices
-                bucket = (v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                v, mark = v[starts], np.where(count > 1, _MANY | count.astype(np.uint64), mark[starts])
+                bucket = v >> np.uint64(_IN_BUCKET)  # v is sorted, so buckets are slices
                 cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(v) else np.zeros(0, int)
                 ends = np.append(cut[1:], len(v))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(bucket[cut].astype(np.int32)), pa.array(np.full(len(cut), p)),
-                        pa.array([v[x:y].tobytes() for x, y in zip(cut, ends)], pa.binary()),
+                        pa.array([_short(v[x:y]) for x, y in zip(cut, ends)], pa.binary()),
                         pa.array([mark[x:y].tobytes() for x, y in zip(cut, ends)], pa.binary()),
                     ],
                     names=["bucket", "p", "hashes", "marks"],
@@ -233,16 +252,17 @@ def _shared(group: pa.Table) -> pa.Table:
     """For each chunk those of its hashes in the bucket that several texts have: those of few and of many."""
     release()
     ps = group.column("p").to_pylist()
-    parts = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("hashes")]
+    bucket = group.column("bucket")[0].as_py()
+    parts = [_long(x.as_py(), bucket) for x in group.column("hashes")]
     v = np.concatenate(parts)
-    mark = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in group.column("marks")])
+    mark = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in group.column("marks")])
     source = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
     order = np.argsort(v, kind="stable")
     v, mark, source = v[order], mark[order], source[order]
     starts = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
     sizes = np.diff(np.append(starts, len(v)))
     many = mark >= _MANY
-    texts = np.add.reduceat(np.where(many, mark & (_MANY - np.uint32(1)), 1).astype(np.int64), starts)
+    texts = np.add.reduceat(np.where(many, mark & (_MANY - np.uint64(1)), 1).astype(np.int64), starts)
     several = np.logical_or.reduceat(many, starts) | (np.maximum.reduceat(mark, starts) != np.minimum.reduceat(mark, starts))
     kind = np.repeat(np.where(several, np.where(texts > HOT, 2, 1), 0), sizes)
     v, source, kind = v[kind > 0], source[kind > 0], kind[kind > 0]
@@ -280,7 +300,7 @@ def _among(v: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
     return sorted_[np.minimum(np.searchsorted(sorted_, v), len(sorted_) - 1)] == v
 
 
-def _run_rows(shards: int):
+def _run_rows(shards: int, buckets: int):
     schema = pa.schema([("shard", pa.int32()), ("p", pa.int64())] + [(x, pa.binary()) for x in ("bytes", "lengths", "counts", "starts", "keys")])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -293,8 +313,9 @@ def _run_rows(shards: int):
             later = np.zeros(len(c), bool)
             for row, first in copies.items():
                 later[row] = c.keys[row] > first
-            hot = _among(v, many)
-            use = (_among(v, few) | hot) & ~later[r]
+            place = addresses(v, buckets)
+            hot = _among(place, many)
+            use = (_among(place, few) | hot) & ~later[r]
             at, v, r, hot = at[use], v[use], r[use], hot[use]
             new = np.ones(len(at), bool)
             new[1:] = (np.diff(at) > 1) | (v[1:] != v[:-1]) | hot[1:]
@@ -501,11 +522,12 @@ class Spans:
         digests = saved(digests, "suffix-digests")
         first = saved(digests.groupBy("digest").agg(F.min("key").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n"), "suffix-first")
         copies = digests.select("p", "digest", "rows").join(first, "digest").mapInArrow(_copy_lists, _LIST)
-        hashes = self.chunks.mapInArrow(_hash_rows(max(1, n * per_chunk // BUCKET_HASHES)), "bucket int, p long, hashes binary, marks binary")
+        buckets = min(1 << 24, max(1, n * per_chunk // BUCKET_HASHES))
+        hashes = self.chunks.mapInArrow(_hash_rows(buckets), "bucket int, p long, hashes binary, marks binary")
         shared = hashes.groupBy("bucket").applyInArrow(_shared, _LIST)
         copies = saved(copies, "suffix-copies")
         lists = saved(shared, "suffix-hashes").unionByName(copies)
-        runs = self.chunks.groupBy("p").cogroup(lists.groupBy("p")).applyInArrow(_run_rows(2 * n), _RUNS)  # shards of about a chunk's size
+        runs = self.chunks.groupBy("p").cogroup(lists.groupBy("p")).applyInArrow(_run_rows(2 * n, buckets), _RUNS)  # shards of about a chunk's size
         spans = saved(runs.groupBy("shard").applyInArrow(_shard, _LIST), "suffix-spans")
         self.lists = spans.unionByName(copies)
 

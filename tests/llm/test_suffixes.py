@@ -65,6 +65,48 @@ def test_hot_strings_and_many_parts(spark, docs_of, prose, monkeypatch):
         assert mins.tolist() == [first[s[i : i + 50]] for i in range(len(s) - 49)]
 
 
+@pytest.mark.parametrize("hot", [0, 2, 4096])
+def test_hot_hashes_spread_over_shards(prose, monkeypatch, hot):
+    """All steps in one Python process, with hashes hot from so many texts on."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(sx, "HOT", hot)
+    docs, shards, buckets = [x for x in rows(prose) if x[0] is not None], 5, 3
+    payloads = []
+    for p in range(3):
+        own = docs[p::3]
+        payloads.append((p, sx._ipc(pa.record_batch({"doc_id": pa.array([i for i, _ in own], pa.int64()), "text": pa.array([t for _, t in own], pa.string())}), 3)))
+    chunks = pa.record_batch({"p": pa.array([p for p, _ in payloads], pa.int64()), "payload": pa.array([b for _, b in payloads], pa.binary())})
+    table = lambda parts: pa.Table.from_batches(list(parts))
+    groups = lambda t, key: [t.filter(pa.compute.equal(t.column(key), k)) for k in t.column(key).unique()]
+    shared = pa.concat_tables([sx._shared(g) for g in groups(table(sx._hash_rows(buckets)([chunks])), "bucket")])
+    assert hot == 4096 or any(r["b"] for r in shared.to_pylist())
+    digests = table(sx._copy_rows([chunks])).to_pylist()
+    first = {}
+    for r in digests:
+        k, n = first.get(r["digest"], (r["key"], 0))
+        first[r["digest"]] = (min(k, r["key"]), n + r["n"])
+    copies = [(r["p"], r["rows"], first[r["digest"]][0]) for r in digests if first[r["digest"]][1] > 1]
+    copies = table(sx._copy_lists([pa.record_batch({c: pa.array(x) for c, x in zip(("p", "rows", "first"), zip(*copies))})]))
+    lists = pa.concat_tables([shared, copies])
+    of = lambda t, p: t.filter(pa.compute.equal(t.column("p"), p))
+    left = lambda p: pa.Table.from_batches([chunks.slice(p, 1)])
+    runs = pa.concat_tables([sx._run_rows(shards, buckets)(left(p), of(lists, p)) for p in range(3)])
+    spans = pa.concat_tables([sx._shard(g) for g in groups(runs, "shard")])
+    lists = pa.concat_tables([spans, copies])
+    out = [r for p in range(3) for r in sx._report(sx.Chunk(payloads[p][1]), of(lists, p)).to_pylist()]
+    assert sorted((str(r["doc_id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]) for r in out) == brute(docs)
+
+
+def test_addresses_fit_five_bytes():
+    v = np.random.default_rng(0).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2)
+    a = np.sort(sx.addresses(v, 7))
+    for b in range(7):
+        own = a[a >> np.uint64(40) == b]
+        assert (sx._long(sx._short(own), b) == own).all()
+    assert len(np.unique(a)) == 1000
+
+
 def test_long_text_and_nothing(spark, docs_of, prose):
     long = prose(1, 40_000)
     r = [(1, long), (2, long[1000:3000]), (3, "z" * 200_000)]
