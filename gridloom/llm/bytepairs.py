@@ -42,7 +42,7 @@ START_MASK, ID_MASK = (1 << (RANK_AT - START_AT)) - 1, (1 << START_AT) - 1
 #: Words that a task remembers, and their bytes; characters of text that go together; characters split at once; bytes of a long word.
 REMEMBERED, REMEMBERED_BYTES, SLICE, WINDOW, LONG = 800_000, 24 << 20, 1 << 20, 1 << 20, 128
 #: Rows that a task should have at least, on average, as it folds a word once.
-TASK_ROWS = 20_000
+TASK_ROWS = 40_000
 FAST = 0x250
 #: White space of the pattern's \s, spelled out as libraries differ in it.
 SPACE = "\t-\r \x85\xa0" + f"{chr(0x1680)}{chr(0x2000)}-{chr(0x200A)}{chr(0x2028)}{chr(0x2029)}{chr(0x202F)}{chr(0x205F)}{chr(0x3000)}"
@@ -129,9 +129,6 @@ class RankMap:
         one = [bytes([i]) for i in range(256)] + [None]  # the last stands for a word's end
         self.bytes = numbers((ID_MASK if x is None else ranks[x] for x in one), "bigint")
         self.pairs = numbers(((NEVER if x is None or y is None else ranks.get(x + y, NEVER)) << RANK_AT for x in one for y in one), "bigint")
-        by_id = {v: k.decode("latin-1") for k, v in ranks.items()}
-        mark = chr(0x100)
-        self.pieces = F.split(F.lit(mark.join(by_id.get(i, "") for i in range(max(by_id) + 1))), mark)
 
     def encode(self, codes: Column) -> Column:
         """Ids of a word, as an array of its bytes with END behind: a column, as the fold reads it again and again.
@@ -173,10 +170,6 @@ class RankMap:
         ids = lambda acc: F.filter(F.transform(acc, lambda x: id_of(x).cast("int")), lambda x: x != ID_MASK)
         return F.aggregate(F.array_repeat(F.lit(0), F.size(codes) - 2), F.transform(codes, single), step, ids)
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of ids, their pieces one after another."""
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""), "ISO-8859-1")
-
 
 @functools.cache
 def splitter(pattern: str):
@@ -235,9 +228,9 @@ def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-#: What a row is: the order to forget all words, a word to fold, a word with its ids and pieces (it has a rank, or is long), a text with its word numbers.
+#: What a row is: the order to forget all words, a word to fold, a word with its ids (it has a rank, or is long), a text with its word numbers.
 FORGET, WORD, GIVEN, TEXT = range(4)
-_SENT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("codes", pa.list_(pa.int32())), ("piece", pa.binary()), ("data", pa.binary())])
+_SENT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("codes", pa.list_(pa.int32())), ("data", pa.binary())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
 
 
@@ -270,7 +263,7 @@ def _words(pattern: str, rank_file: bytes):
 
     def run(batches):
         words_of, numbers = splitter(pattern), _Numbers()
-        ranks, pieces = _ranks_and_pieces(rank_file)
+        ranks, _ = _ranks_and_pieces(rank_file)
 
         def flushed(ids: list, texts: list):
             """New words in the order of their numbers, as runs of one kind; then the texts."""
@@ -283,7 +276,7 @@ def _words(pattern: str, rank_file: bytes):
                 if given[a]:
                     found = [fold(w, ranks) for w in own]
                     data = pa.array([np.array(x, "<i4").tobytes() for x in found], pa.binary())
-                    yield _sent(GIVEN, len(own), piece=pa.array([b"".join(map(pieces.__getitem__, x)) for x in found], pa.binary()), data=data)
+                    yield _sent(GIVEN, len(own), data=data)
                 else:
                     ends = np.cumsum([0, *(len(w) + 1 for w in own)])
                     codes = np.frombuffer(b"\0".join(own) + b"\0", "u1").astype("i4")
@@ -311,41 +304,45 @@ def _words(pattern: str, rank_file: bytes):
     return run
 
 
-def _put_together(batches):
+def _put_together(rank_file: bytes):
     """Each text's ids and decoded bytes, from its words' numbers and what the fold gave for the words."""
-    ids_of: list[bytes] = []
-    pieces: list[bytes] = []
-    for b in batches:
-        kinds = b.column("kind").to_numpy()
-        cuts = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1])).tolist() if len(kinds) else []
-        for a, z in zip(cuts, [*cuts[1:], len(kinds)]):
-            own, kind = b.slice(a, z - a), kinds[a]
-            if kind == FORGET:
-                ids_of, pieces = [], []
-            elif kind == WORD:
-                ids = own.column("ids")
-                raw, ends = ids.flatten().to_numpy().astype("<i4").tobytes(), (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist()
-                ids_of += [raw[4 * x : 4 * y] for x, y in zip(ends, ends[1:])]
-                pieces += own.column("piece").to_pylist()
-            elif kind == GIVEN:
-                ids_of += own.column("data").to_pylist()
-                pieces += own.column("piece").to_pylist()
-            else:
-                ids, back = [], []
-                for data in own.column("data"):
-                    numbers = np.frombuffer(data.as_py(), "<u4").tolist()
-                    ids.append(b"".join(map(ids_of.__getitem__, numbers)))
-                    back.append(b"".join(map(pieces.__getitem__, numbers)))
-                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                offsets = pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("i4"))
-                yield pa.RecordBatch.from_arrays([own.column("doc_id"), pa.ListArray.from_arrays(offsets, flat), pa.array(back, pa.binary())], schema=_OUT)
+
+    def run(batches):
+        piece_of = _ranks_and_pieces(rank_file)[1].__getitem__
+        ids_of: list[bytes] = []
+        pieces: list[bytes] = []
+        for b in batches:
+            kinds = b.column("kind").to_numpy()
+            cuts = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1])).tolist() if len(kinds) else []
+            for a, z in zip(cuts, [*cuts[1:], len(kinds)]):
+                own, kind = b.slice(a, z - a), kinds[a]
+                if kind == FORGET:
+                    ids_of, pieces = [], []
+                elif kind == WORD:
+                    ids = own.column("ids")
+                    flat, ends = ids.flatten().to_numpy().astype("<i4"), (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist()
+                    raw, parts = flat.tobytes(), list(map(piece_of, flat.tolist()))
+                    ids_of += [raw[4 * x : 4 * y] for x, y in zip(ends, ends[1:])]
+                    pieces += [b"".join(parts[x:y]) for x, y in zip(ends, ends[1:])]
+                elif kind == GIVEN:
+                    ids_of += own.column("data").to_pylist()
+                    pieces += [b"".join(map(piece_of, np.frombuffer(x, "<i4").tolist())) for x in own.column("data").to_pylist()]
+                else:
+                    ids, back = [], []
+                    for data in own.column("data"):
+                        numbers = np.frombuffer(data.as_py(), "<u4").tolist()
+                        ids.append(b"".join(map(ids_of.__getitem__, numbers)))
+                        back.append(b"".join(map(pieces.__getitem__, numbers)))
+                    flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                    offsets = pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("i4"))
+                    yield pa.RecordBatch.from_arrays([own.column("doc_id"), pa.ListArray.from_arrays(offsets, flat), pa.array(back, pa.binary())], schema=_OUT)
+
+    return run
 
 
 def encoded_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """words(codes, ...) with ids, and with the bytes that these decode to in column decoded; null where codes is null."""
-    m = RankMap(ranks)
-    ids = words.withColumn("ids", F.when(F.col("codes").isNotNull(), m.encode(F.col("codes"))))
-    return ids.withColumn("decoded", F.when(F.col("ids").isNotNull(), m.decode(F.col("ids"))))
+    """words(codes, ...) with ids, null where codes is null."""
+    return words.withColumn("ids", F.when(F.col("codes").isNotNull(), RankMap(ranks).encode(F.col("codes"))))
 
 
 def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
@@ -354,10 +351,9 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
         rank_file = f.read()
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     narrow = narrow.coalesce(max(1, -(-docs.count() // TASK_ROWS)))  # of no effect where there are fewer partitions
-    sent = narrow.mapInArrow(_words(pattern, rank_file), "kind int, doc_id long, codes array<int>, piece binary, data binary")
-    folded = encoded_words(sent, parse_ranks(rank_file))
-    folded = folded.select("kind", "doc_id", "data", "ids", F.coalesce("decoded", "piece").alias("piece"))
-    return folded.mapInArrow(_put_together, "doc_id long, ids array<int>, decoded binary")
+    sent = narrow.mapInArrow(_words(pattern, rank_file), "kind int, doc_id long, codes array<int>, data binary")
+    folded = encoded_words(sent, parse_ranks(rank_file)).select("kind", "doc_id", "data", "ids")
+    return folded.mapInArrow(_put_together(rank_file), "doc_id long, ids array<int>, decoded binary")
 
 
 def op9_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
