@@ -16,6 +16,23 @@ class Deskew:
     fine_step: float = 0.2
     min_angle: float = 0.2
     binarized: bool = False
+    stop_early: bool = False
+
+
+@dataclass(frozen=True)
+class Preparation:
+    """The binary page in which lines are sought instead of the grey one."""
+
+    method: str = "adaptive"
+    level: float = 127
+    block: int = 31
+    c: float = 5
+    invert: bool = False
+    denoise: bool = False
+    strokes: bool = False
+    stroke_size: int = 2
+    stroke_iterations: int = 1
+    stroke_shape: str = "ellipse"
 
 
 @dataclass(frozen=True)
@@ -35,6 +52,7 @@ class Lines:
     region: tuple[int, int, int, int] = (0, 0, 0, 0)
     skew: float = 0.0
     skew_step: float = 0.2
+    prepare: Preparation | None = None
 
 
 @dataclass(frozen=True)
@@ -66,6 +84,8 @@ class Stage1:
     peak: float = 0.3
     eps: int = 10
     padding: int = 20
+    crop: bool = True
+    protect: dict | None = None
 
 
 @dataclass(frozen=True)
@@ -110,12 +130,72 @@ def from_dict(kind, values: dict, base=None):
         old = getattr(base, k)
         if v is None:
             continue
-        new[k] = from_dict(type(old), v, old) if dataclasses.is_dataclass(old) else tuple(v) if isinstance(old, tuple) else v
+        if k == "prepare":
+            v = v if isinstance(v, Preparation) else from_dict(Preparation, v, old)
+        new[k] = from_dict(type(old), v, old) if dataclasses.is_dataclass(old) and isinstance(v, dict) else tuple(v) if isinstance(old, tuple) else v
     made = dataclasses.replace(base, **new)
     check(made)
     return made
 
 
+#: Parameters of a sectioned file by section, and the field that each one sets (a dot leads into a part).
+_LINES = {
+    "threshold": "threshold", "horizontal_kernel_size": "h_size", "vertical_kernel_size": "v_size", "alignment_threshold": "alignment", "h_min_length_image_ratio": "h_min",
+    "h_min_length_relative_ratio": "h_relative", "v_min_length_image_ratio": "v_min", "v_min_length_relative_ratio": "v_relative", "min_aspect_ratio": "min_aspect",
+    "max_h_length_ratio": "max_h", "max_v_length_ratio": "max_v", "close_line_distance": "close_distance", "skew_tolerance": "skew", "skew_angle_step": "skew_step",
+}
+_PREPARATION = {
+    "binarization_method": "method", "binarization_threshold": "level", "adaptive_block_size": "block", "adaptive_c": "c", "binarization_invert": "invert", "binarization_denoise": "denoise",
+    "stroke_enhancement": "strokes", "stroke_kernel_size": "stroke_size", "stroke_iterations": "stroke_iterations", "stroke_kernel_shape": "stroke_shape",
+}
+_DESKEW = {"method": "method", "use_binarization": "binarized", "coarse_range": "coarse_range", "coarse_step": "coarse_step", "fine_range": "fine_range", "fine_step": "fine_step", "min_angle_correction": "min_angle"}
+
+
+def _lines(found: dict) -> dict:
+    out = {_LINES[k]: v for k, v in found.items() if k in _LINES}
+    out["region"] = [found.get(f"search_region_{side}") or 0 for side in ("top", "bottom", "left", "right")]
+    if found.get("line_detection_use_preprocessing"):
+        out["prepare"] = {field: found[f"line_detection_{k}"] for k, field in _PREPARATION.items() if f"line_detection_{k}" in found}
+    return out
+
+
+def _deskew(found: dict) -> dict:
+    out = {_DESKEW[k]: v for k, v in found.items() if k in _DESKEW}
+    return out if found.get("enable", True) else out | {"min_angle": 1e9}  # no page is turned so far
+
+
+def from_sections(kind, found: dict):
+    """A Stage1 or Stage2 from a file with a section for each step, as page pipelines commonly have.
+
+    Sections that this engine has no use for (folders, workers, debugging) are passed over; a step that is not enabled is left out.
+    """
+    part = lambda name: found.get(name) or {}
+    on = lambda name: bool(part(name).get("enable", True))
+    lines = {"lines": _lines(part("table_line_detection"))} if "table_line_detection" in found else {}
+    deskew = {"deskew": _deskew(part("deskewing"))} if "deskewing" in found else {}
+    values = lines | deskew | {"eps": part("table_detection").get("table_detection_eps")}
+    if kind is Stage1:
+        m, t, s = part("mark_removal"), part("tag_removal"), part("page_splitting")
+        values |= {
+            "marks": on("mark_removal"), "dilate_iter": m.get("dilate_iter"), "kernel_size": m.get("kernel_size"), "tags": on("tag_removal"), "margin": on("margin_removal"), "split": on("page_splitting"),
+            "margin_method": "gradient" if part("margin_removal").get("use_gradient_detection") else None, "search_ratio": s.get("search_ratio"), "line_len_frac": s.get("line_len_frac"), "line_thick": s.get("line_thick"), "peak": s.get("peak_thr"),
+            "padding": part("table_detection").get("table_crop_padding"), "crop": part("table_detection").get("enable_table_cropping"),
+            "tag": {"min_dark": t.get("min_dark"), "min_score": t.get("min_score"), "reject_red": t.get("reject_red"), "iou": t.get("nms_iou"), "rows": t.get("rows_mode")},
+        }
+        if m.get("protect_table_lines"):
+            p = m.get("table_detection_params") or {}
+            values["protect"] = {"threshold": p.get("threshold", 40), "h_size": p.get("horizontal_kernel_size", 100), "v_size": p.get("vertical_kernel_size", 100), "thickness": m.get("table_line_thickness", 3)}
+    else:
+        v, b, f = part("vertical_strip_cutting"), part("binarization"), part("final_deskew")
+        values |= {
+            "coverage": part("table_recovery").get("coverage_ratio"), "padding_left": v.get("padding_left"), "padding_right": v.get("padding_right"), "min_width": v.get("min_width"),
+            "longest_only": v.get("use_longest_lines_only"), "min_length_ratio": v.get("min_length_ratio"), "binarize": on("binarization"), "binarize_method": b.get("method"), "final_deskew": on("final_deskew"), "final": _deskew(f),
+        }
+    return from_dict(kind, values)
+
+
 def from_json(kind, path: str):
+    """Reads fields of the kind itself, or sections of steps."""
     with open(path, encoding="utf-8") as f:
-        return from_dict(kind, json.load(f))
+        found = json.load(f)
+    return from_sections(kind, found) if "table_line_detection" in found or "deskewing" in found else from_dict(kind, found)

@@ -72,11 +72,18 @@ def remove_margin_keep_borders(image: np.ndarray, blur: int = 5, close: int = 15
     return image[max(ys[0] - safety, 0) : min(ys[-1] + safety + 1, h), max(xs[0] - safety, 0) : min(xs[-1] + safety + 1, w)]
 
 
-def line_mask(image: np.ndarray, threshold: int, h_size: int, v_size: int, skew: float = 0.0, skew_step: float = 0.2, strokes: bool = False, method: str | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Masks of horizontal and vertical lines: ink that an opening with a long line keeps, at any small turn."""
+def line_mask(image: np.ndarray, threshold: int, h_size: int, v_size: int, skew: float = 0.0, skew_step: float = 0.2, prepare: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Masks of horizontal and vertical lines: ink that an opening with a long line keeps, at any small turn.
+
+    prepare: options of px.binarize() for a binary page to search instead, and of px.strengthen() under "strokes".
+    """
     g = px.gray(image)
-    if method:
-        g = px.binarize(g, method, strokes=strokes)
+    if prepare:
+        options = dict(prepare)
+        strokes = options.pop("strokes", None)
+        g = px.binarize(g, **options)
+        if strokes:
+            g = px.strengthen(g, **strokes)
     ink = px.fixed(255 - g, threshold)
     if skew <= 0:
         return px.open_line(ink, h_size, False), px.open_line(ink, v_size, True)
@@ -156,8 +163,8 @@ def capsule_mask(roi: np.ndarray, pad: int = 8, close: int = 9, open_: int = 3,
     """The dark capsule in the middle of a region, widened; in the padded region's frame cut back to the region."""
     p = np.pad(roi, pad, constant_values=255)
     soft = px.gaussian_blur(p, 5)
-    mask = px.otsu(soft, True) | px.fixed(p, 190, True) | px.adaptive(p, 31, 5, True)
-    mask[:2], mask[-2:], mask[:, :2], mask[:, -2:] = 0, 0, 0, 0
+    mask = px.otsu(soft, True) | px.fixed(soft, 190, True) | px.adaptive(soft, 31, 5, True)
+    mask[:pad], mask[-pad:], mask[:, :pad], mask[:, -pad:] = 0, 0, 0, 0
     mask = px.opening(px.closing(mask, px.element("ellipse", close)), px.element("ellipse", open_))
     labels, stats = label_image(mask)
     if not len(stats):
@@ -165,7 +172,7 @@ def capsule_mask(roi: np.ndarray, pad: int = 8, close: int = 9, open_: int = 3,
     cy, cx = p.shape[0] / 2, p.shape[1] / 2
     d = (stats[:, 0] + stats[:, 2] / 2 - cx) ** 2 + (stats[:, 1] + stats[:, 3] / 2 - cy) ** 2
     own = np.where(labels == d.argmin() + 1, 255, 0).astype(np.uint8)
-    return px.dilate(own, px.element("rect", grow))[pad : pad + roi.shape[0], pad : pad + roi.shape[1]]
+    return px.dilate(own[pad : pad + roi.shape[0], pad : pad + roi.shape[1]], px.element("ellipse", grow))
 
 
 def white_boxes(image: np.ndarray, boxes, margin: int = 2) -> np.ndarray:

@@ -63,7 +63,7 @@ def map_images(images: DataFrame, kernel) -> DataFrame:
 def measure(images: DataFrame, kernel, schema: str) -> DataFrame:
     """kernel(image), a list of tuples, for each page: rows of page_id and the schema's columns. Pages with errors give none."""
     full = f"page_id string, {schema}"
-    kinds = {"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "int": pa.int32()}
+    kinds = {"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
     arrow = pa.schema([(n, kinds[t]) for n, t in (x.split() for x in full.split(", "))])
 
     def run(batches):
@@ -94,8 +94,18 @@ def skew_angles(images: DataFrame, method: str = "histogram_variance", **options
     return measure(images, lambda i: [(geo.skew_angle(i, method, **options),)], "angle double")
 
 
-def remove_marks(images: DataFrame, dilate_iter: int = 2, kernel_size: int = 3) -> DataFrame:
-    return map_images(images, lambda i: comp.remove_marks(i, dilate_iter, kernel_size))
+def remove_marks(images: DataFrame, dilate_iter: int = 2, kernel_size: int = 3, protect: dict | None = None) -> DataFrame:
+    """protect: options of comp.line_mask() and thickness, for table lines that stay whatever their grey."""
+
+    def kernel(i):
+        if protect is None:
+            return comp.remove_marks(i, dilate_iter, kernel_size)
+        options = dict(protect)
+        thick = px.element("rect", options.pop("thickness", 3))
+        across, along = comp.line_mask(i, **options)
+        return comp.remove_marks(i, dilate_iter, kernel_size, px.dilate(across | along, thick))
+
+    return map_images(images, kernel)
 
 
 def remove_margin(images: DataFrame, method: str = "paper", **options) -> DataFrame:
@@ -107,12 +117,42 @@ def remove_margin(images: DataFrame, method: str = "paper", **options) -> DataFr
         except RuntimeError:
             return i
 
-    if method not in ("paper", "gradient"):
+    cut = {"paper": kernel, "gradient": kernel, "keep_borders": lambda i: comp.remove_margin_keep_borders(i, **options)}
+    if method not in cut:
         raise ValueError(f"unknown method {method!r}")
-    return map_images(images, kernel)
+    return map_images(images, cut[method])
+
+
+def margin_status(images: DataFrame, method: str = "paper", **options) -> DataFrame:
+    """page_id, status (cut, or why the page stays), x, y, width, height of what remove_margin() keeps."""
+    masks = {"paper": comp.paper_mask, "gradient": comp.gradient_mask}
+    if method not in masks:
+        raise ValueError(f"unknown method {method!r}")
+
+    def kernel(i):
+        try:
+            x1, y1, x2, y2 = geo.largest_rectangle(masks[method](i, **options))
+        except RuntimeError as e:
+            return [(str(e), 0, 0, i.shape[1], i.shape[0])]
+        return [("cut", x1, y1, x2 - x1 + 1, y2 - y1 + 1)]
+
+    return measure(images, kernel, "status string, x long, y long, width long, height long")
+
 
+def largest_rect(images: DataFrame, above: int = 127) -> DataFrame:
+    """page_id, x, y, width, height, area of the largest rectangle of pixels over a level; pages without one give none."""
 
-def line_segments(images: DataFrame, threshold=40, h_size=8, v_size=8, h_min=0.2, v_min=0.2, min_aspect=3.0, skew=0.0, skew_step=0.2, region=(0, 0, 0, 0)) -> DataFrame:
+    def kernel(i):
+        mask = px.fixed(px.gray(i), above)
+        if not mask.any():
+            return []
+        x1, y1, x2, y2 = geo.largest_rectangle(mask)
+        return [(x1, y1, x2 - x1 + 1, y2 - y1 + 1, (x2 - x1 + 1) * (y2 - y1 + 1))]
+
+    return measure(images, kernel, "x long, y long, width long, height long, area long")
+
+
+def line_segments(images: DataFrame, threshold=40, h_size=8, v_size=8, h_min=0.2, v_min=0.2, min_aspect=3.0, skew=0.0, skew_step=0.2, region=(0, 0, 0, 0), prepare: dict | None = None) -> DataFrame:
     """page_id, orient, seq, pos, s, e, score (aspect in thousandths), width, height of lines' components.
 
     region: pixels left out at the top, bottom, left and right; an impossible one means the whole page.
@@ -123,7 +163,7 @@ def line_segments(images: DataFrame, threshold=40, h_size=8, v_size=8, h_min=0.2
         top, bottom, left, right = region
         if min(region) < 0 or top + bottom >= h or left + right >= w:
             top = bottom = left = right = 0
-        masks = comp.line_mask(i[top : h - bottom, left : w - right], threshold, h_size, v_size, skew, skew_step)
+        masks = comp.line_mask(i[top : h - bottom, left : w - right], threshold, h_size, v_size, skew, skew_step, prepare)
         out = []
         for o, m, least, across, along in (("h", masks[0], h_min, top, left), ("v", masks[1], v_min, left, top)):
             for seq, pos, s, e, aspect in comp.line_components(m, o == "v", least, min_aspect):
@@ -152,13 +192,18 @@ def crop(images: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def cut_strips(images: DataFrame, bounds: DataFrame) -> DataFrame:
-    """One page <page_id>_colNN for each of bounds(page_id, column_index, left, right)."""
-    named = images.join(bounds, "page_id").select(
-        F.concat_ws("_col", "page_id", F.lpad(F.col("column_index").cast("string"), F.greatest(F.lit(2), F.length(F.col("column_index").cast("string"))), F.lit("0"))).alias("page_id"),
-        "height", "width", "n_channels", "data", "error", F.col("left").alias("x1"), F.lit(0).cast("long").alias("y1"), F.col("right").alias("x2"), F.col("height").cast("long").alias("y2"),
-    )
-    wanted = named.select("page_id", "x1", "y1", "x2", "y2")
-    return crop(named.drop("x1", "y1", "x2", "y2"), wanted)
+    """One page <page_id>_colNN for each of bounds(page_id, column_index, left, right); each page is sliced once."""
+    lists = bounds.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("column_index", "left", "right"))).alias("strips"))
+
+    def run(batches):
+        for batch in batches:
+            for strips, (page, h, w, c, data, error) in zip(batch.column("strips").to_pylist(), _rows(batch)):
+                whole = to_array(h, w, c, data.as_py()) if error is None and data.is_valid else None
+                for s in strips:
+                    name = f"{page}_col{s['column_index']:02d}"
+                    yield _table([(name, None, None, None, None, error) if whole is None else image_row(name, whole[:, s["left"] : s["right"]])], _ARROW)
+
+    return images.join(lists, "page_id").mapInArrow(run, IMAGE)
 
 
 def split_pages(images: DataFrame, search_ratio=0.5, line_len_frac=0.3, line_thick=3, peak=0.3) -> DataFrame:
@@ -187,6 +232,13 @@ def gutter(image: np.ndarray, search_ratio=0.5, line_len_frac=0.3, line_thick=3,
     return (two[0][0] + two[0][1]) // 2 if len(two) == 1 else (two[0][1] + two[1][0]) // 2
 
 
+def remove_tags_classic(images: DataFrame, dark: int = 110, **bounds) -> DataFrame:
+    """Pages whose tags are painted white: dark regions of the band that tags.classic_filter() takes (bounds are its own)."""
+    from . import tags
+
+    return white_fill(images, tags.classic_filter(tag_boxes(images, dark), **bounds))
+
+
 def tag_boxes(images: DataFrame, dark: int = 110) -> DataFrame:
     """page_id, box_id, x, y, w, h, area, dark of dark regions in the band of tags, in the page's frame."""
 

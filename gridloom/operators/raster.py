@@ -35,13 +35,18 @@ def histogram(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("page_id", "v").agg(F.count("*").alias("n"))
 
 
+def _wide(column: str) -> Column:
+    """Sums of up to 2**62 multiply without overflow."""
+    return F.col(column).cast("decimal(19,0)")
+
+
 def otsu(pixels: DataFrame) -> DataFrame:
     """page_id, t: the smallest grey level with the greatest variance between classes, from histograms."""
     w = Window.partitionBy("page_id").orderBy("v")
     all_ = Window.partitionBy("page_id")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     h = histogram(pixels).select("page_id", "v", F.sum("n").over(upto).alias("n0"), F.sum(F.col("n") * F.col("v")).over(upto).alias("s0"), F.sum("n").over(all_).alias("n1"), F.sum(F.col("n") * F.col("v")).over(all_).alias("s1"))
-    between = F.when(F.col("n0") < F.col("n1"), F.pow((F.col("s0") * F.col("n1") - F.col("s1") * F.col("n0")).cast("double"), 2) / (F.col("n0").cast("double") * (F.col("n1") - F.col("n0"))))
+    between = F.when(F.col("n0") < F.col("n1"), F.pow((_wide("s0") * _wide("n1") - _wide("s1") * _wide("n0")).cast("double"), 2) / (F.col("n0").cast("double") * (F.col("n1") - F.col("n0"))))
     best = h.withColumn("sigma", F.coalesce(between, F.lit(0.0)))
     nth = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("sigma"), "v"))
     return best.withColumn("nth", nth).where("nth = 1").select("page_id", F.col("v").alias("t"))
@@ -74,15 +79,16 @@ def runs(ink: DataFrame, along: str = "x") -> DataFrame:
     return islands.groupBy("page_id", "line", "g").agg(F.min("p").alias("a"), F.max("p").alias("b")).drop("g")
 
 
-def opened(runs_: DataFrame, k: int, extent: DataFrame) -> DataFrame:
-    """Runs that an opening with a line of k pixels keeps. extent: page_id, size along the runs.
+def opened(runs_: DataFrame, k: int, extent: DataFrame | None = None) -> DataFrame:
+    """Runs that an opening with a line of k pixels keeps. extent: page_id, size along the runs; without it a page ends with its last ink.
 
     What lies outside the page never erodes, so a run at the border may be shorter: by the kernel's part beyond the border.
     """
     n = F.col("b") - F.col("a") + 1
     start, end = F.col("a") == 0, F.col("b") == F.col("size") - 1
     need = F.when(start & end, F.lit(1)).when(start, F.lit(k - k // 2)).when(end, F.lit(k // 2 + 1)).otherwise(F.lit(k))
-    return runs_.join(extent, "page_id").where(n >= need).select("page_id", "line", "a", "b")
+    sized = runs_.withColumn("size", F.max("b").over(Window.partitionBy("page_id")) + 1) if extent is None else runs_.join(extent, "page_id")
+    return sized.where(n >= need).select("page_id", "line", "a", "b")
 
 
 def components(ink: DataFrame) -> DataFrame:

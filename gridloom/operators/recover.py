@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lines import anchor_sets
 
 
-def inner_boundaries(cells: DataFrame) -> DataFrame:
+def inner_boundaries(cells: DataFrame, with_cells: bool = False) -> DataFrame:
     """page_id, orient, row, col, row2, col2, coord, a, b: what lies between each cell and its right or lower neighbour.
 
-    Both windows lie within a page, so the cells are dealt once.
+    Both windows lie within a page, so the cells are dealt once. with_cells adds each cell as a row of orient 'c', its
+    sides as coord, row2 (x1, y1) and a, b (x2, y2).
     """
     right = Window.partitionBy("page_id", "row").orderBy("col")
     below = Window.partitionBy("page_id", "col").orderBy("row")
@@ -20,7 +23,8 @@ def inner_boundaries(cells: DataFrame) -> DataFrame:
     side = lambda o, ok, row2, col2, c, a, b: F.when(ok, F.struct(F.lit(o).alias("orient"), row2.alias("row2"), col2.alias("col2"), F.col(c).alias("coord"), F.col(a).alias("a"), F.col(b).alias("b")))
     v = side("v", F.col("col_2") == F.col("col") + 1, F.col("row"), F.col("col_2"), "x2", "y1", "y2")
     h = side("h", F.col("row_2") == F.col("row") + 1, F.col("row_2"), F.col("col"), "y2", "x1", "x2")
-    found = cells.select("page_id", "row", "col", F.explode(F.array_compact(F.array(v, h))).alias("n"))
+    own = F.struct(F.lit("c").alias("orient"), F.col("y1").alias("row2"), F.col("col").alias("col2"), F.col("x1").alias("coord"), F.col("x2").alias("a"), F.col("y2").alias("b"))
+    found = cells.select("page_id", "row", "col", F.explode(F.array_compact(F.array(v, h, own) if with_cells else F.array(v, h))).alias("n"))
     return found.select("page_id", "n.orient", "row", "col", "n.row2", "n.col2", "n.coord", "n.a", "n.b")
 
 
@@ -47,31 +51,60 @@ def merge_edges(covered: DataFrame, ratio: float = 0.8) -> DataFrame:
 _MERGED = "row long, col long, rowspan long, colspan long, x1 long, y1 long, x2 long, y2 long"
 
 
+def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of n nodes the least node that edges a-b connect it to: labels of an edge's ends meet, then jump to their labels'."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _joined(page, cells: np.ndarray, edges: np.ndarray, kind: pa.DataType) -> pa.Table:
+    """One page's cells (row, col, x1, y1, x2, y2) joined along its edges (row, col, row2, col2)."""
+    names = [x.split()[0] for x in _MERGED.split(", ")]
+    if not len(cells):
+        return pa.table({"page_id": pa.array([], kind)} | {n: pa.array([], pa.int64()) for n in names})
+    width = int(max(cells[:, 1].max(), edges[:, [1, 3]].max(initial=0))) + 1
+    key = cells[:, 0] * width + cells[:, 1]
+    order = np.argsort(key, kind="stable")
+    at = lambda r, c: order[np.searchsorted(key[order], r * width + c)]
+    label = least_labels(len(cells), at(edges[:, 0], edges[:, 1]), at(edges[:, 2], edges[:, 3]))
+    order = np.argsort(label, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(label[order]) > 0))
+    low, high = np.minimum.reduceat(cells[order], starts), np.maximum.reduceat(cells[order], starts)
+    columns = (low[:, 0], low[:, 1], high[:, 0] - low[:, 0] + 1, high[:, 1] - low[:, 1] + 1, low[:, 2], low[:, 3], high[:, 4], high[:, 5])
+    return pa.table({"page_id": pa.array([page] * len(low), kind)} | {n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
+
+
+def _matrix(t: pa.Table, columns: tuple[str, ...]) -> np.ndarray:
+    return np.stack([t.column(c).to_numpy() for c in columns], 1).astype(np.int64) if t.num_rows else np.zeros((0, len(columns)), np.int64)
+
+
 def _union(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One page's cells joined along its edges; the page bounds the number of both."""
-    at = {rc: i for i, rc in enumerate(zip(left.column("row").to_pylist(), left.column("col").to_pylist()))}
-    parent = list(range(len(at)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    for a, b, c, d in zip(*(right.column(x).to_pylist() for x in ("row", "col", "row2", "col2"))):
-        i, j = root(at[a, b]), root(at[c, d])
-        parent[max(i, j)] = min(i, j)
-    groups: dict[int, list] = {}
-    rows = left.select(["row", "col", "x1", "y1", "x2", "y2"]).to_pydict()
-    for i, cell in enumerate(zip(*rows.values())):
-        groups.setdefault(root(i), []).append(cell)
     page = left.column("page_id")[0].as_py() if left.num_rows else None
-    out = []
-    for g in groups.values():
-        r, c, x1, y1, x2, y2 = zip(*g)
-        out.append((min(r), min(c), max(r) - min(r) + 1, max(c) - min(c) + 1, min(x1), min(y1), max(x2), max(y2)))
-    names = [x.split()[0] for x in _MERGED.split(", ")]
-    columns = list(zip(*out)) or [()] * 8
-    return pa.table({"page_id": pa.array([page] * len(out), left.schema.field("page_id").type)} | {n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
+    return _joined(page, _matrix(left, ("row", "col", "x1", "y1", "x2", "y2")), _matrix(right, ("row", "col", "row2", "col2")), left.schema.field("page_id").type)
+
+
+def _union_rows(group: pa.Table) -> pa.Table:
+    is_cell = pa.compute.equal(group.column("orient"), "c")
+    cells, edges = group.filter(is_cell), group.filter(pa.compute.invert(is_cell))
+    sides = _matrix(cells, ("row", "col", "coord", "row2", "a", "b"))
+    return _joined(group.column("page_id")[0].as_py(), sides, _matrix(edges, ("row", "col", "row2", "col2")), group.schema.field("page_id").type)
+
+
+def merged_table(cells: DataFrame, lines: DataFrame, tol: int = 15, ratio: float = 0.8) -> DataFrame:
+    """The groups of cells that no line parts, as merged_cells() gives them; cells and boundaries pass the plan together, once."""
+    covered = coverage(inner_boundaries(cells, True), lines, tol)
+    rows = covered.where((F.col("orient") == "c") | (F.coalesce(F.col("coverage"), F.lit(-1.0)) < ratio))
+    return rows.groupBy("page_id").applyInArrow(_union_rows, f"page_id {dict(cells.dtypes)['page_id']}, {_MERGED}")
 
 
 def merged_cells(cells: DataFrame, edges: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,13 +14,14 @@ def strip_positions(lines: DataFrame, longest_only: bool = False, min_length_rat
     return lines.select("page_id", "x").distinct()
 
 
-def rescaled(positions: DataFrame, widths: DataFrame, tolerance: float = 0.05) -> DataFrame:
+def rescaled(positions: DataFrame, widths: DataFrame | Column, tolerance: float = 0.05) -> DataFrame:
     """page_id, x, width: positions scaled to the width where the greatest exceeds it by more than the tolerance.
 
-    Halves round to even.
+    Halves round to even. widths: page_id, width, or a column.
     """
     most = F.max("x").over(Window.partitionBy("page_id"))
-    both = positions.join(widths, "page_id").withColumn("_most", most)
+    sized = positions.withColumn("width", widths) if isinstance(widths, Column) else positions.join(widths, "page_id")
+    both = sized.withColumn("_most", most)
     too_far = (F.col("_most") > F.col("width")) & ((F.col("_most") - F.col("width")) / F.col("_most") > tolerance)
     return both.select("page_id", F.when(too_far, F.bround(F.col("x") * (F.col("width") / F.col("_most")), 0).cast("long")).otherwise(F.col("x")).alias("x"), "width")
 

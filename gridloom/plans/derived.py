@@ -7,7 +7,7 @@ arithmetic that Spark and DuckDB share, so each has an SQL twin in oracles.py.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,10 +28,8 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("label").orderBy("vec_id")
-    rows = table(spark, sf_dir, "embeddings").select(
-        F.col("label").cast("long").alias("page_id"), (F.row_number().over(w) - 1).cast("long").alias("y"), "embedding"
-    )
+    """Pages of 64 rows, so that a page has the same size however large the table is."""
+    rows = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 64).alias("page_id"), (F.col("vec_id") % 64).cast("long").alias("y"), "embedding")
     cells = rows.select("page_id", "y", F.posexplode("embedding").alias("x", "c"))
     v = F.floor((F.col("c").cast("double") + 0.5) * 255)
     return cells.select("page_id", "y", F.col("x").cast("long").alias("x"), F.least(F.greatest(v, F.lit(0)), F.lit(255)).cast("long").alias("v"))

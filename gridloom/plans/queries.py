@@ -6,19 +6,26 @@ them against brute force.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.config import Deskew, Stage1, Stage2
+from gridloom.kernels import pixels as px
 from gridloom.operators import grid, lines, pages, raster, recover, strips, tags
 
 from . import derived as d
+from . import drawn, stages
 
 # --- derived relations in SQL --------------------------------------------------------------
 
 SEG = """seg AS (SELECT CAST(floor(l_orderkey / 8) AS BIGINT) AS page_id, CASE WHEN l_linenumber % 2 = 0 THEN 'h' ELSE 'v' END AS orient,
  CAST(l_orderkey * 16 + l_linenumber AS BIGINT) AS seq, CAST(floor(l_extendedprice / 100) AS BIGINT) AS pos, CAST(floor(l_discount * 1000) AS BIGINT) AS s,
  CAST(floor(l_discount * 1000) + floor(l_quantity * 20) AS BIGINT) AS e FROM lineitem)"""
-PIX = """rows_ AS (SELECT CAST(label AS BIGINT) AS page_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS y, embedding FROM embeddings),
+PIX = """rows_ AS (SELECT CAST(floor(vec_id / 64) AS BIGINT) AS page_id, vec_id % 64 AS y, embedding FROM embeddings),
  pix AS (SELECT page_id, y, CAST(x AS BIGINT) AS x, CAST(least(greatest(floor((CAST(embedding[x + 1] AS DOUBLE) + 0.5) * 255), 0), 255) AS BIGINT) AS v
  FROM rows_, LATERAL (SELECT unnest(range(len(embedding))) AS x))"""
 INK = """lines_ AS (SELECT CAST(doc_id AS BIGINT) AS page_id, string_split(text, chr(10)) AS ls FROM documents),
@@ -111,16 +118,12 @@ def _covered(s, sf):
 
 
 def _merged_cells(s, sf):
-    return recover.merged_cells(_cells_(s, sf), recover.merge_edges(_covered(s, sf), 0.5))
+    return recover.merged_table(_cells_(s, sf), seg(s, sf), 15, 0.5)
 
 
 def _positions(s, sf):
     sides = recover.all_boundaries(_merged_cells(s, sf))
-    return strips.rescaled(strips.strip_positions(sides, True, 0.5), sides.select("page_id").distinct().withColumn("width", F.lit(900).cast("long")))
-
-
-def _extent(s, sf):
-    return d.ink(s, sf).groupBy("page_id").agg((F.max("x") + 1).alias("size"))
+    return strips.rescaled(strips.strip_positions(sides, True, 0.5), F.lit(900).cast("long"))
 
 
 def _columns(s, sf):
@@ -183,8 +186,8 @@ QUERIES = {
     "projection_sharpness": lambda s, sf: raster.sharpness(raster.projection(d.pixels(s, sf), "y")),
     "projection_variance": lambda s, sf: raster.variance(_columns(s, sf)),
     "ink_runs": lambda s, sf: raster.runs(d.ink(s, sf)),
-    "open_runs_h": lambda s, sf: raster.opened(raster.runs(d.ink(s, sf)), 6, _extent(s, sf)),
-    "open_runs_v": lambda s, sf: raster.opened(raster.runs(d.ink(s, sf), "y"), 4, d.ink(s, sf).groupBy("page_id").agg((F.max("y") + 1).alias("size"))),
+    "open_runs_h": lambda s, sf: raster.opened(raster.runs(d.ink(s, sf)), 6),
+    "open_runs_v": lambda s, sf: raster.opened(raster.runs(d.ink(s, sf), "y"), 4),
     "components_stats": lambda s, sf: raster.components(_otsu_binary(s, sf).where("v > 0")),
     "densest_column": lambda s, sf: raster.densest(d.ink(s, sf), "x"),
     "gutter_segments": lambda s, sf: raster.gutter_segments(_columns(s, sf), _widths(s, sf), 0.5, 0.9),
@@ -195,6 +198,7 @@ QUERIES = {
     "tag_scores": _scores,
     "nms_boxes": lambda s, sf: tags.nms(d.boxes(s, sf), 0.3),
     "row_filter_median": lambda s, sf: tags.row_filter_median(d.boxes(s, sf)).select("page_id", "box_id"),
+    "row_filter_theil_sen": lambda s, sf: tags.row_filter_theil_sen(d.boxes(s, sf), 20.0).select("page_id", "box_id"),
     "theil_sen": lambda s, sf: tags.theil_sen(d.boxes(s, sf).select("page_id", F.col("box_id").alias("point_id"), (F.col("x") + F.col("w") / 2).alias("px"), (F.col("y") + F.col("h") / 2).alias("py"))).select("page_id", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept")),
     "nearest_to_centre": lambda s, sf: tags.nearest_to_centre(d.boxes(s, sf).select("page_id", F.col("box_id").alias("label"), F.col("x").alias("cx"), F.col("y").alias("cy")), F.lit(500), F.lit(300)),
 }
@@ -275,6 +279,7 @@ SQL = {
     "nms_boxes": _rec(NMS, ", fin AS (SELECT page_id, arg_max(kept, rn) AS kept FROM nms GROUP BY page_id) SELECT page_id, k.b AS box_id, k.x AS x, k.y AS y, k.w AS w, k.h AS h FROM (SELECT page_id, unnest(kept) AS k FROM fin)"),
     "row_filter_median": f"WITH {BOX}, p AS (SELECT page_id, median(y + h / 2) AS y0, median(h) AS hm, count(*) AS n FROM box GROUP BY page_id) SELECT box.page_id, box_id FROM box JOIN p ON p.page_id = box.page_id WHERE n < 2 OR abs(y + h / 2 - y0) <= greatest(0.25::DOUBLE * hm, 28)",
     "theil_sen": f"WITH {THEIL} SELECT page_id, round(CAST(slope AS DOUBLE), 6) AS slope, round(intercept, 6) AS intercept FROM fit",
+    "row_filter_theil_sen": f"WITH {THEIL}, pm AS (SELECT page_id, median(h) AS hm, count(*) AS n FROM box GROUP BY page_id) SELECT box.page_id, box_id FROM box JOIN fit ON fit.page_id = box.page_id JOIN pm ON pm.page_id = box.page_id WHERE n < 2 OR abs(y + h / 2 - (slope * (x + w / 2) + intercept)) <= greatest(0.25::DOUBLE * hm, 20)",
     "nearest_to_centre": f"WITH {BOX} SELECT page_id, box_id AS label, x AS cx, y AS cy FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY (x - 250) * (x - 250) + (y - 150) * (y - 150), box_id) AS k FROM box) WHERE k = 1",
 }
 _OTSU = f"""{PIX}, hs AS (SELECT page_id, v, count(*) AS n FROM pix GROUP BY page_id, v),
@@ -292,56 +297,158 @@ SQL["components_stats"] = _rec(
 )
 
 
-# --- queries over images, made from the same pixels ----------------------------------------
+# --- queries over drawn pages, whose results SQL knows from the arithmetic of their drawing -------
 
 
-def _images(s: SparkSession, sf: str, scale: int = 8) -> DataFrame:
-    """The embeddings' rasters as page images, each pixel `scale` squared."""
-    rows = d.pixels(s, sf).groupBy("page_id", "y").agg(F.sort_array(F.collect_list(F.struct("x", "v"))).alias("r"))
-    hexed = lambda v: F.repeat(F.lpad(F.hex(v), 2, "0"), scale)
-    line = F.array_join(F.transform("r", lambda p: hexed(p["v"])), "")
-    lined = rows.select("page_id", "y", F.repeat(line, scale).alias("line"), (F.size("r") * scale).alias("width"))
-    whole = lined.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("y", "line"))).alias("ls"), F.max("width").alias("width"))
-    data = F.unhex(F.array_join(F.transform("ls", lambda x: x["line"]), ""))
-    return whole.select(F.col("page_id").cast("string").alias("page_id"), (F.size("ls") * scale).alias("height"), "width", F.lit(1).alias("n_channels"), data.alias("data"), F.lit(None).cast("string").alias("error"))
+def _drawn(draw):
+    return lambda s, sf: drawn.pages_of(s, sf, draw)
 
 
-def _digest(images: DataFrame) -> DataFrame:
-    return images.select("page_id", "height", "width", "n_channels", F.sha2("data", 256).alias("sha256"), "error")
+_ruled, _part = _drawn(drawn.ruled), _drawn(drawn.shaded_part)
+_ONE = Stage1(marks=False, margin=False, split=False, tags=False, deskew=Deskew(min_angle=1.0))
+_TWO = Stage2(deskew=Deskew(min_angle=1.0), binarize=False, final_deskew=False)
 
 
-def _stage2(name):
-    def run(s, sf):
-        from .stages import stage2
+def _row_sums(kernel):
+    """page_id, y, total: of what the kernel makes of a page the sums of v * (x + 1) along rows."""
+
+    def sums(image):
+        out = kernel(image).astype("int64")
+        return [(y, t) for y, t in enumerate((out * (1 + np.arange(out.shape[1]))).sum(1).tolist())]
+
+    return lambda s, sf: pages.measure(_part(s, sf), sums, "y long, total long")
+
+
+def _sizes(images: DataFrame) -> DataFrame:
+    return images.select("page_id", "height", "width", "n_channels", "error")
+
+
+def _levels(images: DataFrame) -> DataFrame:
+    return pages.measure(images, lambda i: [(int((i == 0).sum()), int((i == 255).sum()))], "black long, white long")
+
+
+def _stages(name, pick=lambda df: df):
+    return lambda s, sf: pick(stages.run(_ruled(s, sf), _ONE, _TWO)[name])
+
 
-        return stage2(_images(s, sf))[name]
+def _angle_found(method):
+    def run(s, sf):
+        found = pages.skew_angles(drawn.pages_of(s, sf, drawn.turned), method, **({"binarized": True} if method == "radon" else {}))
+        drawn_by = F.col("page_id").cast("long") % 5 - 2
+        return found.select("page_id", drawn_by.alias("drawn"), (F.abs(F.col("angle") + drawn_by) <= 0.3).alias("found"))
 
     return run
 
 
-def _stage1_lines(s, sf):
-    from .stages import stage1
+def _written_and_read(s, sf):
+    """Pages as PNG files in the shared folder, and back."""
+    from gridloom.sources import images
+
+    named = s.conf.get("spark.checkpoint.dir", None)
+    if not named and s.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    path = f"{named or 'file://' + tempfile.mkdtemp()}/pages-{uuid.uuid4().hex}"
+    images.write_png(_ruled(s, sf), path)
+    return _levels(images.read_images(s, path))
+
+
+def _neighbours(source: str, f: str, offsets, out: str) -> str:
+    """f of v over the offsets (y, x) that lie on the page."""
+    at = ", ".join(f"({dy}, {dx})" for dy, dx in offsets)
+    return f"{out} AS (SELECT p.page_id, p.y, p.x, {f}(q.v) AS v FROM {source} p, (VALUES {at}) o(dy, dx) JOIN {source} q ON q.page_id = p.page_id AND q.y = p.y + dy AND q.x = p.x + dx GROUP BY ALL)"
+
+
+def _weighted(weights: str, y: str, x: str, out: str = "sm") -> str:
+    """Sums of v under weights(dy, dx, w), at places that y and x bring back onto the page."""
+    return f"{out} AS (SELECT p.page_id, p.y, p.x, sum(w * q.v) AS v FROM shade p, ({weights}) o JOIN shade q ON q.page_id = p.page_id AND q.y = {y} AND q.x = {x} GROUP BY p.page_id, p.y, p.x)"
+
 
-    return stage1(_images(s, sf))["lines"]
+_H, _W = drawn.PART
+_GAUSS = "SELECT a.d AS dy, b.d AS dx, a.w * b.w AS w FROM g5 a, g5 b"
+_G5 = "g0 AS (SELECT d, exp(-(d * d) / 2.42::DOUBLE) AS w FROM (SELECT unnest(range(-2, 3)) AS d)), g5 AS (SELECT d, w / (SELECT sum(w) FROM g0) AS w FROM g0)"
+_EDGE = (f"greatest(least(p.y + dy, {_H - 1}), 0)", f"greatest(least(p.x + dx, {_W - 1}), 0)")
+_MIRROR = tuple(f"abs(CASE WHEN {c} > {n - 1} THEN 2 * {n - 1} - ({c}) ELSE {c} END)" for c, n in (("p.y + dy", _H), ("p.x + dx", _W)))
+_SQUARE = [(y, x) for y in (-1, 0, 1) for x in (-1, 0, 1)]
+_SOBEL = "VALUES (-1, -1, -1), (0, -1, -2), (1, -1, -1), (-1, 1, 1), (0, 1, 2), (1, 1, 1)"
+
+
+def _summed(ctes: str, v: str, source: str) -> str:
+    return f"WITH {drawn.SHADED}, {ctes} SELECT page_id, CAST(y AS BIGINT) AS y, CAST(sum(({v}) * (x + 1)) AS BIGINT) AS total FROM {source} GROUP BY page_id, y"
 
 
 QUERIES |= {
-    "binarize_adaptive": lambda s, sf: _digest(pages.binarize(_images(s, sf), "adaptive")),
-    "strengthen": lambda s, sf: _digest(pages.strengthen(_images(s, sf))),
-    "deskew_angle": lambda s, sf: pages.skew_angles(_images(s, sf)),
-    "radon_angle": lambda s, sf: pages.skew_angles(_images(s, sf), "radon"),
-    "rotate": lambda s, sf: _digest(pages.map_images(_images(s, sf), _turned)),
-    "mark_removal": lambda s, sf: _digest(pages.remove_marks(_images(s, sf))),
-    "margin_removal": lambda s, sf: _digest(pages.remove_margin(_images(s, sf))),
-    "split_pages": lambda s, sf: _digest(pages.split_pages(_images(s, sf))),
-    "line_segments": lambda s, sf: pages.line_segments(_images(s, sf)),
-    "tag_boxes": lambda s, sf: pages.tag_boxes(_images(s, sf)),
-    "stage1_lines": _stage1_lines,
-    "stage2_strips": lambda s, sf: _digest(_stage2("strips")(s, sf)),
+    "image_threshold": _row_sums(lambda i: px.binarize(i, "fixed", level=127)),
+    "binarize_adaptive": _row_sums(lambda i: px.binarize(i, "adaptive", block=5, c=5)),
+    "strengthen": _row_sums(px.strengthen),
+    "dilate": _row_sums(lambda i: px.dilate(i, px.element("rect", 3))),
+    "erode": _row_sums(lambda i: px.erode(i, px.element("rect", 3))),
+    "closing": _row_sums(lambda i: px.closing(i, px.element("rect", 3))),
+    "opening_cross": _row_sums(lambda i: px.opening(i, px.element("cross", 3))),
+    "gaussian_blur": _row_sums(lambda i: px.gaussian_blur(i, 5)),
+    "sobel_x": _row_sums(lambda i: px.sobel(i)[0]),
+    "area_quarter": _row_sums(px.area_quarter),
+    "blend": _row_sums(lambda i: px.blend(i, 255 - i, 0.7)),
+    "deskew_angle": _angle_found("histogram_variance"),
+    "radon_angle": _angle_found("radon"),
+    "mark_removal": lambda s, sf: _levels(pages.remove_marks(drawn.pages_of(s, sf, drawn.marked))),
+    "margin_removal": lambda s, sf: _sizes(pages.remove_margin(drawn.pages_of(s, sf, drawn.margined))),
+    "margin_status": lambda s, sf: pages.margin_status(drawn.pages_of(s, sf, drawn.margined)),
+    "largest_rect": lambda s, sf: pages.largest_rect(drawn.pages_of(s, sf, drawn.margined)),
+    "split_pages": lambda s, sf: _sizes(pages.split_pages(drawn.pages_of(s, sf, drawn.spread))),
+    "line_segments": lambda s, sf: pages.line_segments(_ruled(s, sf)).select("page_id", "orient", "pos", "s", "e"),
+    "tag_boxes": lambda s, sf: pages.tag_boxes(drawn.pages_of(s, sf, drawn.tagged)),
+    "tags_whitened": lambda s, sf: _levels(pages.remove_tags_classic(drawn.pages_of(s, sf, drawn.tagged))),
+    "stage1_lines": _stages("stage1_lines", lambda df: df.select("page_id", "orient", "idx", "pos", "s", "e", "width", "height")),
+    "stage1_tables": _stages("stage1_tables", _sizes),
+    "stage2_merged": _stages("stage2_merged"),
+    "stage2_strips": _stages("stage2_strips", _sizes),
+    "image_source": _written_and_read,
+}
+
+#: Of the drawn table's lines those that the detection keeps: a column line must be 60 pixels long, which the short one is with three rows.
+_KEPT = f"""{drawn.GRID}, kept AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS idx, lead(x) OVER (PARTITION BY page_id ORDER BY i) AS nx FROM col_ WHERE i <> 1 OR m = 3)"""
+_BLACK = "3 * (m + 1) * (n * dx + 3) + 3 * n * (m * dy + 3 - 3 * (m + 1)) + 3 * ((m - 1) * dy + 3 - 3 * m)"
+_BED = f"(SELECT CAST(s_suppkey AS VARCHAR) AS page_id, 28 + s_suppkey % 5 AS y, 34 + s_suppkey % 11 AS x, {drawn.HEIGHT} - 58 - s_suppkey % 7 - s_suppkey % 5 AS h, {drawn.WIDTH} - 63 - s_suppkey % 3 - s_suppkey % 11 AS w FROM supplier)"
+_TURNS = "SELECT CAST(s_suppkey AS VARCHAR) AS page_id, s_suppkey % 5 - 2 AS drawn, true AS found FROM supplier"
+SQL |= {
+    "image_threshold": _summed("one AS (SELECT 1)", "CASE WHEN v > 127 THEN 255 ELSE 0 END", "shade"),
+    "binarize_adaptive": _summed(f"{_G5}, {_weighted(_GAUSS, *_EDGE)}, both_ AS (SELECT s.page_id, s.y, s.x, s.v, sm.v AS mean FROM shade s JOIN sm ON sm.page_id = s.page_id AND sm.y = s.y AND sm.x = s.x)", "CASE WHEN v > round_even(mean, 0) - 5 THEN 255 ELSE 0 END", "both_"),
+    "strengthen": _summed(_neighbours("shade", "min", [(0, 0), (0, 1), (1, 0)], "st"), "v", "st"),
+    "dilate": _summed(_neighbours("shade", "max", _SQUARE, "di"), "v", "di"),
+    "erode": _summed(_neighbours("shade", "min", _SQUARE, "er"), "v", "er"),
+    "closing": _summed(f"{_neighbours('shade', 'max', _SQUARE, 'di')}, {_neighbours('di', 'min', _SQUARE, 'cl')}", "v", "cl"),
+    "opening_cross": _summed(f"{_neighbours('shade', 'min', [x for x in _SQUARE if 0 in x], 'er')}, {_neighbours('er', 'max', [x for x in _SQUARE if 0 in x], 'op')}", "v", "op"),
+    "gaussian_blur": _summed(f"{_G5}, {_weighted(_GAUSS, *_MIRROR)}", "round_even(v, 0)", "sm"),
+    "sobel_x": _summed(_weighted(f"SELECT * FROM ({_SOBEL}) t(dy, dx, w)", *_MIRROR), "v", "sm"),
+    "area_quarter": _summed("qu AS (SELECT page_id, y // 4 AS y, x // 4 AS x, round_even(avg(v), 0) AS v FROM shade WHERE x < 88 GROUP BY ALL)", "v", "qu"),
+    "blend": _summed("one AS (SELECT 1)", "round_even(v * 0.7::DOUBLE + (255 - v) * (1::DOUBLE - 0.7::DOUBLE), 0)", "shade"),
+    "deskew_angle": _TURNS,
+    "radon_angle": _TURNS,
+    "mark_removal": f"WITH {drawn.GRID} SELECT page_id, {_BLACK} AS black, {drawn.HEIGHT * drawn.WIDTH} - ({_BLACK}) AS white FROM grid",
+    # blurring takes the page's corner pixels, so that the largest rectangle leaves out its first and last column
+    "margin_removal": f"SELECT page_id, CAST(h AS INTEGER) AS height, CAST(w - 2 AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM {_BED}",
+    "margin_status": f"SELECT page_id, 'cut' AS status, x + 1 AS x, y, w - 2 AS width, h AS height FROM {_BED}",
+    "largest_rect": f"SELECT page_id, x, y, w AS width, h AS height, w * h AS area FROM {_BED}",
+    "split_pages": f"SELECT CAST(s_suppkey AS VARCHAR) || side AS page_id, {drawn.HEIGHT} AS height, CAST(CASE WHEN side = '_left' THEN 209 + s_suppkey % 17 ELSE {drawn.WIDTH} - 209 - s_suppkey % 17 END AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM supplier, (VALUES ('_left'), ('_right')) t(side)",
+    "line_segments": f"WITH {_KEPT} SELECT page_id, 'h' AS orient, y AS pos, {drawn.LEFT} - 1 AS s, {drawn.LEFT} + n * dx + 2 AS e FROM row_ UNION ALL SELECT page_id, 'v', x, {drawn.TOP} + CASE WHEN i = 1 THEN dy ELSE 0 END - 1, {drawn.TOP} + m * dy + 2 FROM kept",
+    "tag_boxes": "SELECT CAST(s_suppkey AS VARCHAR) AS page_id, t AS box_id, 12 + 62 * t + s_suppkey % 10 AS x, 24 AS y, 42 AS w, 52 AS h, 42 * 52 AS area, 1.0::DOUBLE AS dark FROM supplier, (SELECT unnest(range(0, 6)) AS t)",
+    "tags_whitened": f"SELECT CAST(s_suppkey AS VARCHAR) AS page_id, 0 AS black, {drawn.HEIGHT * drawn.WIDTH} AS white FROM supplier",
+    "stage1_lines": f"WITH {_KEPT} SELECT page_id || '_full' AS page_id, 'h' AS orient, j AS idx, y AS pos, {drawn.LEFT} - 1 AS s, {drawn.LEFT} + n * dx + 2 AS e, {drawn.WIDTH} AS width, {drawn.HEIGHT} AS height FROM row_ UNION ALL SELECT page_id || '_full', 'v', idx, x, {drawn.TOP} + CASE WHEN i = 1 THEN dy ELSE 0 END - 1, {drawn.TOP} + m * dy + 2, {drawn.WIDTH}, {drawn.HEIGHT} FROM kept",
+    "stage1_tables": f"WITH {drawn.GRID} SELECT page_id || '_full' AS page_id, CAST(m * dy + 40 AS INTEGER) AS height, CAST(n * dx + 40 AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM grid",
+    "stage2_merged": f"""WITH {_KEPT}, ce AS (SELECT c.page_id, j AS row, idx AS col, x - 20 AS x1, nx - 20 AS x2, r.y - 80 AS y1, r.y + r.dy - 80 AS y2, c.m FROM kept c JOIN row_ r ON r.page_id = c.page_id WHERE nx IS NOT NULL AND j < r.m)
+ SELECT page_id || '_full' AS page_id, row, col, 1 AS rowspan, CASE WHEN m = 3 AND row = 0 AND col = 0 THEN 2 ELSE 1 END AS colspan, x1, y1, CASE WHEN m = 3 AND row = 0 AND col = 0 THEN lead(x2) OVER (PARTITION BY page_id, row ORDER BY col) ELSE x2 END AS x2, y2 FROM ce QUALIFY m <> 3 OR row > 0 OR col <> 1""",
+    "stage2_strips": f"WITH {_KEPT} SELECT page_id || '_full_col' || lpad(CAST(idx + 1 AS VARCHAR), 2, '0') AS page_id, CAST(m * dy + 40 AS INTEGER) AS height, CAST(least(nx, n * dx + 40) - greatest(x - 40, 0) AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM kept WHERE nx IS NOT NULL",
+    "image_source": f"WITH {drawn.GRID} SELECT page_id, {_BLACK} AS black, {drawn.HEIGHT * drawn.WIDTH} - ({_BLACK}) AS white FROM grid",
 }
 
 
+QUERIES["rotate"] = lambda s, sf: pages.measure(_ruled(s, sf), _turned, "turned long, kept boolean")
+
+
 def _turned(image):
+    """Ink of the page turned by 1.5 degrees, and whether turning it back gives nearly the page."""
     from gridloom.kernels.geometry import rotate
 
-    return rotate(image, 1.5)
+    there = rotate(image, 1.5)
+    back = rotate(there, -1.5)
+    return [(int((there < 128).sum()), bool(((back < 128) != (image < 128)).mean() < 0.01))]

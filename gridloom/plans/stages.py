@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.config import Deskew, Lines, Stage1, Stage2, Tags
+from gridloom.config import Deskew, Lines, Preparation, Stage1, Stage2, Tags
 from gridloom.operators import grid, lines, pages, recover, strips, tags
 
 
@@ -22,15 +22,23 @@ def upright(images: DataFrame, c: Deskew) -> DataFrame:
 
 def detect_lines(images: DataFrame, c: Lines) -> DataFrame:
     """page_id, orient, idx, pos, s, e, width, height of the lines of each page."""
-    found = pages.line_segments(images, c.threshold, c.h_size, c.v_size, c.h_min, c.v_min, c.min_aspect, c.skew, c.skew_step, c.region)
+    found = pages.line_segments(images, c.threshold, c.h_size, c.v_size, c.h_min, c.v_min, c.min_aspect, c.skew, c.skew_step, c.region, preparation(c.prepare))
     sizes = images.select("page_id", F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"))
     merged = lines.align_clusters(found, c.alignment)
-    long = lines.filter_relative(merged.where("orient = 'h'"), c.h_relative).unionByName(lines.filter_relative(merged.where("orient = 'v'"), c.v_relative))
+    long = lines.filter_relative(merged, F.when(F.col("orient") == "h", c.h_relative).otherwise(c.v_relative))
     sized = long.join(sizes, "page_id")
     kept = lines.filter_long(sized, F.col("width"), F.col("height"), c.max_h, c.max_v)
     return lines.merge_close(kept, c.close_distance).join(sizes, "page_id")
 
 
+def preparation(c: Preparation | None) -> dict | None:
+    """Options of the line detection's binary page."""
+    if c is None:
+        return None
+    strokes = {"size": c.stroke_size, "iterations": c.stroke_iterations, "shape": c.stroke_shape} if c.strokes else None
+    return {"method": c.method, "level": c.level, "block": c.block, "c": c.c, "invert": c.invert, "denoise": c.denoise, "strokes": strokes}
+
+
 def remove_tags(images: DataFrame, c: Tags) -> DataFrame:
     """Pages with their generation tags whitened."""
     found = pages.tag_candidates(images)
@@ -44,17 +52,30 @@ def remove_tags(images: DataFrame, c: Tags) -> DataFrame:
     return pages.white_fill(images, scored.select("page_id", "x", (F.col("y") + F.col("band_top")).alias("y"), "w", "h"), capsules=True)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """What several outputs of a stage share (upright pages, their lines): computed once, on disk where memory lacks."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+class Outputs(dict):
+    """A stage's DataFrames by name. What several of them share (upright pages, their lines) is computed once and kept
+    until release(), on disk where memory lacks."""
+
+    def __init__(self):
+        super().__init__()
+        self.held: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self.held[-1]
+
+    def release(self) -> None:
+        """Frees what the outputs share; they can still be used, and compute it again."""
+        while self.held:
+            self.held.pop().unpersist()
 
 
-def stage1(images: DataFrame, c: Stage1 | None = None) -> dict[str, DataFrame]:
+def stage1(images: DataFrame, c: Stage1 | None = None) -> Outputs:
     """pages, lines, axes, cells, structure, bounds, tables (cropped pages) of page scans."""
-    c = c or Stage1()
+    c, out = c or Stage1(), Outputs()
     p = images
     if c.marks:
-        p = pages.remove_marks(p, c.dilate_iter, c.kernel_size)
+        p = pages.remove_marks(p, c.dilate_iter, c.kernel_size, c.protect)
     if c.margin:
         p = pages.remove_margin(p, c.margin_method)
     p = upright(p, c.deskew)
@@ -64,26 +85,26 @@ def stage1(images: DataFrame, c: Stage1 | None = None) -> dict[str, DataFrame]:
         p = p.withColumn("page_id", F.concat("page_id", F.lit("_full")))
     if c.tags:
         p = remove_tags(p, c.tag)
-    p = _kept(p)
-    found = _kept(detect_lines(p, c.lines))
+    p = out.keep(p)
+    found = out.keep(detect_lines(p, c.lines))
     axis = grid.axes(found, c.eps)
     cells = grid.cells(axis)
     sizes = p.select("page_id", F.col("width").cast("long").alias("w"), F.col("height").cast("long").alias("h"))
     box = grid.crop_bounds(cells, axis, 1 << 30, 1 << 30, c.padding).join(sizes, "page_id")
     box = box.select("page_id", "x1", "y1", F.least("x2", "w").alias("x2"), F.least("y2", "h").alias("y2"))
-    return {"pages": p, "lines": found, "axes": axis, "cells": cells, "structure": grid.structure(axis), "bounds": box, "tables": pages.crop(p, box)}
+    out |= {"pages": p, "lines": found, "axes": axis, "cells": cells, "structure": grid.structure(axis), "bounds": box, "tables": pages.crop(p, box) if c.crop else p}
+    return out
 
 
-def stage2(tables: DataFrame, c: Stage2 | None = None) -> dict[str, DataFrame]:
+def stage2(tables: DataFrame, c: Stage2 | None = None) -> Outputs:
     """tables, lines, axes, cells, merged, bounds, strips (column images) of cropped tables."""
-    c = c or Stage2()
-    p = _kept(upright(tables, c.deskew))
-    found = _kept(detect_lines(p, c.lines))
+    c, out = c or Stage2(), Outputs()
+    p = out.keep(upright(tables, c.deskew))
+    found = out.keep(detect_lines(p, c.lines))
     axis = grid.axes(found, c.eps)
     cells = grid.cells(axis)
     spans = found.select("page_id", "orient", F.col("idx").alias("seq"), "pos", "s", "e")
-    covered = recover.coverage(recover.inner_boundaries(cells), spans)
-    merged = recover.merged_cells(cells, recover.merge_edges(covered, c.coverage))
+    merged = recover.merged_table(cells, spans, ratio=c.coverage)
     sides = recover.all_boundaries(merged)
     widths = p.where("data is not null").select("page_id", F.col("width").cast("long").alias("width"))
     at = strips.rescaled(strips.strip_positions(sides, c.longest_only, c.min_length_ratio), widths)
@@ -93,13 +114,17 @@ def stage2(tables: DataFrame, c: Stage2 | None = None) -> dict[str, DataFrame]:
         cut = pages.binarize(cut, c.binarize_method)
     if c.final_deskew:
         cut = upright(cut, c.final)
-    return {"tables": p, "lines": found, "axes": axis, "cells": cells, "merged": merged, "bounds": bounds, "strips": cut}
+    out |= {"tables": p, "lines": found, "axes": axis, "cells": cells, "merged": merged, "bounds": bounds, "strips": cut}
+    return out
 
 
-def run(images: DataFrame, one: Stage1 | None = None, two: Stage2 | None = None) -> dict[str, DataFrame]:
+def run(images: DataFrame, one: Stage1 | None = None, two: Stage2 | None = None) -> Outputs:
     """Both stages in one plan, without a hop over files between them."""
-    first = stage1(images, one)
-    return {f"stage1_{k}": v for k, v in first.items()} | {f"stage2_{k}": v for k, v in stage2(first["tables"], two).items()}
+    first, out = stage1(images, one), Outputs()
+    second = stage2(first["tables"], two)
+    out |= {f"stage1_{k}": v for k, v in first.items()} | {f"stage2_{k}": v for k, v in second.items()}
+    out.held = first.held + second.held
+    return out
 
 
 def report(images: DataFrame) -> DataFrame:

@@ -131,6 +131,26 @@ def read_lines_json(spark: SparkSession, path: str) -> DataFrame:
     return side("horizontal_lines", "h", 1, 0, 2).unionByName(side("vertical_lines", "v", 0, 1, 3))
 
 
+def read_structure_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """structure(page_id, xs, ys, num_rows, num_cols) and cells(page_id, row, col, x1, y1, x2, y2) of files as structure_json() makes them.
+
+    A cell's row and column are the places of its corner among ys and xs.
+    """
+    found = spark.read.schema(STRUCTURE).option("multiLine", True).json(path).select(stem(F.col("_metadata.file_path")).alias("page_id"), "*")
+    box = found.select("page_id", "xs", "ys", F.explode("cells").alias("c"))
+    place = lambda axis, i: (F.array_position(axis, F.col("c")[i]) - 1).cast("long")
+    cells = box.select("page_id", place("ys", 1).alias("row"), place("xs", 0).alias("col"), *[F.col("c")[i].alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
+    return found.drop("cells"), cells
+
+
+def three_channels(images: DataFrame) -> DataFrame:
+    """Grey pages widened to three equal channels, others as they are."""
+    from gridloom.kernels.pixels import bgr
+    from gridloom.operators.pages import map_images
+
+    return map_images(images, bgr)
+
+
 def read_recovered_json(spark: SparkSession, path: str) -> DataFrame:
     """page_id, row, col, rowspan, colspan, x1, y1, x2, y2; a table that was skipped ([] for rows and cols) has no cells."""
     found = spark.read.schema(RECOVERED).option("multiLine", True).json(path).select(stem(F.col("_metadata.file_path")).alias("page_id"), F.explode("cells").alias("c"))

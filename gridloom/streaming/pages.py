@@ -19,7 +19,11 @@ def tables_stream(pages: DataFrame, out: str, checkpoint: str, config: Stage1 |
     """A query that writes each batch's cropped tables under out; a batch that runs again replaces its own files."""
 
     def write(batch: DataFrame, number: int) -> None:
-        stage1(batch, config)["tables"].withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+        found = stage1(batch, config)
+        try:
+            found["tables"].withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+        finally:
+            found.release()
 
     return pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
 

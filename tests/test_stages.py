@@ -128,3 +128,76 @@ def test_overlay_and_region(scans):
     far = pages.line_segments(scans, 40, 40, 40, 0.1, 0.1, 2.0, region=(10_000, 0, 0, 0))
     assert far.count() == pages.line_segments(scans, 40, 40, 40, 0.1, 0.1, 2.0).count()
     assert pages.line_segments(scans, 40, 40, 40, 0.1, 0.1, 2.0, skew=0.4).count() > 0
+
+
+def test_sectioned_config(tmp_path):
+    import json
+
+    from gridloom import config
+
+    one = {
+        "output_dir": "x", "mark_removal": {"enable": True, "kernel_size": 1, "protect_table_lines": True, "table_line_thickness": 5, "table_detection_params": {"threshold": 40}},
+        "margin_removal": {"enable": False}, "page_splitting": {"enable": False}, "tag_removal": {"enable": False}, "deskewing": {"enable": False, "method": "radon", "use_binarization": True, "fine_step": 0.1},
+        "table_line_detection": {"threshold": 20, "horizontal_kernel_size": 80, "search_region_top": 30, "line_detection_use_preprocessing": True, "line_detection_adaptive_block_size": 21, "line_detection_stroke_enhancement": True},
+        "table_detection": {"table_detection_eps": 7, "table_crop_padding": 25, "enable_table_cropping": False}, "optimization": {"max_workers": 6},
+    }
+    (tmp_path / "one.json").write_text(json.dumps(one))
+    c = config.from_json(config.Stage1, f"{tmp_path}/one.json")
+    assert (c.marks, c.margin, c.split, c.tags, c.crop, c.eps, c.padding, c.kernel_size) == (True, False, False, False, False, 7, 25, 1)
+    assert (c.lines.threshold, c.lines.h_size, c.lines.region, c.lines.prepare.block, c.lines.prepare.strokes) == (20, 80, (30, 0, 0, 0), 21, True)
+    assert c.protect["thickness"] == 5 and c.deskew.method == "radon" and c.deskew.binarized and c.deskew.min_angle > 90
+    two = {"deskewing": {"fine_step": 0.1}, "table_recovery": {"coverage_ratio": 0.5}, "vertical_strip_cutting": {"padding_left": 5, "use_longest_lines_only": True}, "binarization": {"enable": False}, "final_deskew": {"enable": True, "coarse_range": 2}}
+    (tmp_path / "two.json").write_text(json.dumps(two))
+    c = config.from_json(config.Stage2, f"{tmp_path}/two.json")
+    assert (c.coverage, c.padding_left, c.longest_only, c.binarize, c.final_deskew, c.final.coarse_range, c.deskew.fine_step) == (0.5, 5, True, False, True, 2, 0.1)
+    with pytest.raises(ValueError):
+        config.from_dict(config.Stage1, {"deskew": {"fine_step": -1}})
+
+
+def test_lines_of_a_prepared_page_and_protected_lines(spark):
+    from gridloom.config import Lines, Preparation
+    from gridloom.plans import stages
+    from gridloom.sources.images import from_arrays
+
+    page = make_page([40, 120, 200, 280], [40, 100, 160])
+    pale = np.where(page == 0, 215, 255).astype(np.uint8)  # too pale for a threshold of 45
+    images = from_arrays(spark, {"p": pale})
+    seek = lambda c: {(r.orient, r.pos) for r in stages.detect_lines(images, c).collect()}
+    plain = Lines(45, 15, 15)
+    assert not seek(plain)
+    import dataclasses
+
+    assert seek(dataclasses.replace(plain, prepare=Preparation("fixed", level=230))) == {("h", 40), ("h", 100), ("h", 160), ("v", 40), ("v", 120), ("v", 200), ("v", 280)}
+    both = np.where(page == 0, 215, 255).astype(np.uint8)
+    both[180:183, 10:60] = 0
+    both[150:153, 220:230] = 214  # a pale mark; the pale lines are protected
+    from gridloom.operators import pages
+    from gridloom.operators.pages import to_array
+
+    r = pages.remove_marks(from_arrays(spark, {"p": both}), 1, 1, {"threshold": 20, "h_size": 60, "v_size": 60, "thickness": 3}).first()
+    out = to_array(r.height, r.width, r.n_channels, bytes(r.data))
+    assert (out[page == 0] == 215).all() and out[151, 225] == 255
+
+
+def test_structure_json_round_trip(spark, tmp_path):
+    from gridloom.operators import grid
+    from gridloom.sources import images
+
+    axis = spark.createDataFrame([("p", o, i, c, 1) for o, cs in (("h", (10, 60, 90)), ("v", (5, 50, 95))) for i, c in enumerate(cs)], "page_id string, orient string, idx long, center long, n long")
+    cells = grid.cells(axis)
+    (tmp_path / "p.json").write_text(images.structure_json(grid.structure(axis), cells).first().json)
+    structure, back = images.read_structure_json(spark, f"{tmp_path}/p.json")
+    assert structure.first().xs == [5, 50, 95] and structure.first().num_rows == 2
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, cells.select(back.columns).collect()))
+
+
+def test_release_frees_what_outputs_share(spark):
+    from gridloom.config import Stage1
+    from gridloom.plans import stages
+    from gridloom.sources.images import from_arrays
+
+    out = stages.stage1(from_arrays(spark, {"p": make_page([40, 120, 200], [40, 100, 160])}), Stage1(marks=False, margin=False, split=False))
+    assert out["cells"].count() == 4 and all(df.is_cached for df in out.held)
+    held = list(out.held)
+    out.release()
+    assert not out.held and not any(df.is_cached for df in held) and out["cells"].count() == 4
