@@ -183,7 +183,7 @@ def test_structure_json_round_trip(spark, tmp_path):
     from gridloom.operators import grid
     from gridloom.sources import images
 
-    axis = spark.createDataFrame([("p", o, i, c, 1) for o, cs in (("h", (10, 60, 90)), ("v", (5, 50, 95))) for i, c in enumerate(cs)], "page_id string, orient string, idx long, center long, n long")
+    axis = grid.axes(spark.createDataFrame([("p", o, c, 0, 99) for o, cs in (("h", (10, 60, 90)), ("v", (5, 50, 95))) for c in cs], "page_id string, orient string, pos long, s long, e long"), 5)
     cells = grid.cells(axis)
     (tmp_path / "p.json").write_text(images.structure_json(grid.structure(axis), cells).first().json)
     structure, back = images.read_structure_json(spark, f"{tmp_path}/p.json")
