@@ -6,7 +6,7 @@ text alone.
 
 Defined cases: a null text scores as an empty one; a null doc_id is scored, and never held out; labels that are
 null or whose document is missing teach nothing; of contradicting labels of one id the
-greater counts; with no usable labels, or of one class only, every text gets that class's
+greater counts; very long texts are scored whole, in pieces of a few MB; with no usable labels, or of one class only, every text gets that class's
 rate (0.5 without labels); an empty table gives no rows; columns named like the results are
 not read.
 """
@@ -82,6 +82,21 @@ def sliced(texts: pa.Array):
         at = end
 
 
+def pieces(data: np.ndarray, size: int = 4 * SLICE):
+    """Parts of a text's bytes of about `size`, each but the last ending before white space (a word longer than `size` is kept whole)."""
+    at = 0
+    while at < len(data):
+        end = at + size
+        while end < len(data):
+            blank = np.flatnonzero(data[end : end + size] <= 32)
+            if len(blank):
+                end += int(blank[0])
+                break
+            end += size
+        yield data[at:end]
+        at = min(end, len(data))
+
+
 def scored_with(score, threshold: float):
     """A function for mapInArrow over (doc_id, held_out, text): doc_id, held_out, score, predicted."""
 
@@ -132,8 +147,36 @@ def _class_tables() -> np.ndarray:
 _CLASSES = _class_tables()
 
 
-def structure(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts in one buffer: statistics (row per text), then row and bucket of each distinct word."""
+def structure(data: np.ndarray, offsets: np.ndarray, size: int = 4 * SLICE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts in one buffer: statistics (row per text), then row and bucket of each distinct word. A text over `size` bytes goes in pieces."""
+    if len(offsets) == 2 and len(data) > size:
+        return _structure_of_pieces(data, size)
+    return _structure(data, offsets)[:3]
+
+
+def _structure_of_pieces(data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """structure() of one text: counts add up, distinct words and pairs unite, also the pair across a border."""
+    k, total, words, number = len(_CLASSES), 0, np.zeros(0, np.int64), 0
+    pairs, last = np.zeros(0, np.uint64), None
+    for part in pieces(data, size):
+        stats, _, wb, hashes, own_pairs = _structure(part, np.array([0, len(part)]))
+        n = len(hashes)
+        counts = np.concatenate([stats[0, :k] * len(part), stats[0, [k + 1, k + 4, k + 5]] * n])
+        total, number, words = total + counts, number + n, np.union1d(words, wb)
+        if last is not None and n:
+            with np.errstate(over="ignore"):
+                own_pairs = np.append(own_pairs, mix64(last * _ODD + hashes[:1]) >> np.uint64(24))
+        last = hashes[-1:] if n else last
+        pairs = np.union1d(pairs, own_pairs)
+    some = max(number, 1)
+    out = np.zeros((1, k + 6))
+    out[0, :k] = total[:k] / len(data)
+    out[0, k:] = np.log1p(len(data)), total[k] / some, len(words) / some, len(pairs) / some, total[k + 1] / some, total[k + 2] / some
+    return out, np.zeros(len(words), np.int64), words
+
+
+def _structure(data: np.ndarray, offsets: np.ndarray):
+    """structure() at once; also the hash of each word, and the distinct pairs' hashes if there is one text."""
     n, lengths = len(offsets) - 1, np.diff(offsets)
     row = np.repeat(np.arange(n), lengths)
     stats = np.zeros((n, len(_CLASSES) + 6))
@@ -173,7 +216,7 @@ def structure(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     odd = _CLASSES[7:10].sum(0)[data[ends - 1]] > 0 if len(ends) else np.zeros(0, bool)
     stats[:, k + 4] = np.bincount(r[odd], minlength=n) / some
     stats[:, k + 5] = np.bincount(r, (ends - starts) > 30, n) / some
-    return stats, wr, wb
+    return stats, wr, wb, words, pair & np.uint64((1 << 40) - 1) if n == 1 else None
 
 
 class FactorisationMachine:
@@ -349,6 +392,27 @@ def ordinary_dictionary(ordinary: list[str], size: int = ORDINARY_BYTES) -> byte
     return b"".join(reversed(taken))
 
 
+def windows_of(text: str, size: int = SLICE):
+    """A text's windows of WINDOW words in lower case, one of a blank if it has none; a long text's words are found piece by piece."""
+    if len(text) <= size:
+        w = text.lower().split()
+        yield from [f" {' '.join(w[i : i + WINDOW])} ".encode() for i in range(0, len(w), WINDOW)] or [b" "]
+        return
+    at, rest, none = 0, [], True
+    while at < len(text):
+        end = text.find(" ", at + size)
+        end = len(text) if end < 0 else end
+        rest += text[at:end].lower().split()
+        at = end
+        whole = len(rest) if at >= len(text) else len(rest) - len(rest) % WINDOW
+        for i in range(0, whole, WINDOW):
+            none = False
+            yield f" {' '.join(rest[i : min(i + WINDOW, whole)])} ".encode()
+        rest = rest[whole:]
+    if none:
+        yield b" "
+
+
 class CompressionDistance:
     """Toxicity by how much shorter windows compress with a toxic than with an ordinary dictionary.
 
@@ -389,18 +453,28 @@ class CompressionDistance:
             self._made = made
         return self._made
 
-    def features(self, texts) -> np.ndarray:
-        windows, counts = [], []
-        for t in texts:
-            w = t.lower().split()
-            own = [f" {' '.join(w[i : i + WINDOW])} ".encode() for i in range(0, len(w), WINDOW)] or [b" "]
-            windows += own
-            counts.append(len(own))
+    def _gains(self, windows: list[bytes]) -> np.ndarray:
+        """How much shorter each window is with the toxic dictionary."""
         gain = np.zeros(len(windows))
         for sign, compressor in zip((1, -1), self._compressors()):
-            for at in range(0, len(windows), 50_000):
-                done = compressor.multi_compress_to_buffer(windows[at : at + 50_000])
-                gain[at : at + len(done)] += sign * np.fromiter((len(done[i]) for i in range(len(done))), float, len(done))
+            done = compressor.multi_compress_to_buffer(windows)
+            gain += sign * np.fromiter((len(done[i]) for i in range(len(done))), float, len(done))
+        return gain
+
+    def features(self, texts) -> np.ndarray:
+        held, counts, gains = [], [], [np.zeros(0)]
+        for t in texts:
+            n = 0
+            for w in windows_of(t):
+                held.append(w)
+                n += 1
+                if len(held) >= 50_000:
+                    gains.append(self._gains(held))
+                    held = []
+            counts.append(n)
+        if held:
+            gains.append(self._gains(held))
+        gain = np.concatenate(gains)
         row = np.repeat(np.arange(len(counts)), counts)
         n = len(counts)
         most = np.zeros(n)
@@ -414,9 +488,8 @@ class CompressionDistance:
         out = np.full(len(texts), self.rate)
         if not self.fitted:
             return out
-        for at in range(0, len(texts), 512):
-            release()
-            own = [x.as_py() or "" for x in texts.slice(at, 512)]
+        for at, _, offsets in sliced(texts):
+            own = [x.as_py() or "" for x in texts.slice(at, len(offsets) - 1)]
             # a sum for each row, which a matrix product may order otherwise from one batch to another
             out[at : at + len(own)] = sigmoid(((self.features(own) - self.centre) / self.spread * self.weights[:-1]).sum(1) + self.weights[-1])
         return out

@@ -14,7 +14,7 @@ both versions have paragraphs, then four times as many as before for as long as
 
 Defined cases: a null text is empty, and its set of paragraphs too; two empty sets have likeness
 1; repeated paragraphs count once; repeated rows and ids are documents of their own, ordered by id,
-then text; a null id comes after the others; with one document the next is itself; an empty table gives no rows; extra columns are ignored.
+then text; a null id comes after the others; with one document the next is itself; a very long text is one row of digests, 8 bytes for each of its paragraphs; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ ROUNDS = 12
 #: Rows that a range of document ids has, on average; ranges at most.
 RANGE_ROWS, MOST_RANGES = 1000, 4096
 _LINES = rf"[^\n]{{1,{PARAGRAPH - 1}}}(?:\s|$)|[^\n]{{1,{PARAGRAPH}}}"
-_PLUS, _MINUS, _CELL = 1 << 24, (1 << 24) + 1, (1 << 25) - 1
+_PLUS, _MINUS, _CELL = 1 << 30, (1 << 30) + 1, (1 << 31) - 1
 
 
 def digests(text: Column) -> Column:
@@ -76,28 +76,28 @@ _WHAT, _SIZE, _AT = "shiftright(slot, 40)", "(shiftright(slot, 32) & 255)", f"(s
 
 
 def _peel(cells: DataFrame, subtable: int) -> DataFrame:
-    """One round: takes the digests that lie alone in a cell of the subtable out of all their cells."""
+    """One round: takes the digests that lie alone in a cell of the subtable out of all their cells, each into a row of its own."""
     size = F.expr(f"cast({FINGERPRINT} * power(2, {_SIZE}) as long)")
     own = F.expr(_AT)
     alone = (F.abs("n") == 1) & (own < F.lit(_PLUS)) & (_check(F.col("k")) == F.col("h")) & (_cell(F.col("k"), subtable, size) == own)
     base = F.col("slot") - own
-    row = lambda slot, n, k, h: F.struct(slot.alias("slot"), n.cast("long").alias("n"), k.cast("long").alias("k"), h.cast("long").alias("h"))
-    others = [row(base + _cell(F.col("k"), j, size), -F.col("n"), F.col("k"), F.col("h")) for j in range(3) if j != subtable]
-    mark = row(base + F.when(F.col("n") > 0, F.lit(_PLUS)).otherwise(F.lit(_MINUS)), F.lit(1), F.lit(0), F.lit(0))
-    same = row(F.col("slot"), F.col("n"), F.col("k"), F.col("h"))
+    row = lambda slot, digest, n, k, h: F.struct(slot.alias("slot"), digest.cast("long").alias("digest"), n.cast("long").alias("n"), k.cast("long").alias("k"), h.cast("long").alias("h"))
+    others = [row(base + _cell(F.col("k"), j, size), F.lit(0), -F.col("n"), F.col("k"), F.col("h")) for j in range(3) if j != subtable]
+    mark = row(base + F.when(F.col("n") > 0, F.lit(_PLUS)).otherwise(F.lit(_MINUS)), F.col("k"), F.lit(1), F.lit(0), F.lit(0))
+    same = row(F.col("slot"), F.col("digest"), F.col("n"), F.col("k"), F.col("h"))
     return _sums(cells.select("rid", F.inline(F.when(alone, F.array(*others, mark)).otherwise(F.array(same)))))
 
 
 def _sums(rows: DataFrame) -> DataFrame:
-    summed = rows.groupBy("rid", "slot").agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
+    summed = rows.groupBy("rid", "slot", "digest").agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
     return summed.where("n != 0 or k != 0 or h != 0")
 
 
 def _attempt(pairs: DataFrame, sizes: dict[int, Column], rounds: int = ROUNDS) -> DataFrame:
     """Differences of pairs(rid, own, edited, next) by sketches of the sizes given for attempts.
 
-    Returns rid, pair (0: edited, 1: next), attempt, plus, minus, left: digests found on either side, and
-    cells that did not come out empty.
+    Returns rid, pair (0: edited, 1: next), attempt, plus, minus, left: arrays of the digests found on either side, and
+    how many cells did not come out empty.
     """
     tries = list(sizes)
     sized = pairs.select("rid", "own", "edited", "next", *[sizes[a].cast("int").alias(f"size{a}") for a in tries])
@@ -112,18 +112,18 @@ def _attempt(pairs: DataFrame, sizes: dict[int, Column], rounds: int = ROUNDS) -
     to = F.when(F.col("role") == 0, F.array(*targets((0, 1), 1))).when(F.col("role") == 1, F.array(*targets((0,), -1))).otherwise(F.array(*targets((1,), -1)))
     placed = keys.select("rid", "key", F.inline(to))
     many = F.expr(f"cast({FINGERPRINT} * power(2, size) as long)")
-    cells = _sums(placed.select("rid", _slot(F.col("what"), F.col("size"), _cell(F.col("key"), F.col("j"), many)).alias("slot"), "n", F.col("key").alias("k"), _check(F.col("key")).alias("h")))
+    cells = _sums(placed.select("rid", _slot(F.col("what"), F.col("size"), _cell(F.col("key"), F.col("j"), many)).alias("slot"), F.lit(0).cast("long").alias("digest"), "n", F.col("key").alias("k"), _check(F.col("key")).alias("h")))
     for r in range(rounds):
         cells = _peel(cells, r % 3)
     what, at = F.expr(_WHAT), F.expr(_AT)
-    total = lambda mark: F.sum(F.when(at == mark, F.col("n")).otherwise(0))
+    digests_of = lambda mark: F.collect_list(F.when(at == mark, F.col("digest")))
     return cells.groupBy("rid", what.alias("what")).agg(
-        total(_PLUS).alias("plus"), total(_MINUS).alias("minus"), F.sum((at < _PLUS).cast("int")).alias("left")
+        digests_of(_PLUS).alias("plus"), digests_of(_MINUS).alias("minus"), F.sum((at < _PLUS).cast("int")).alias("left")
     ).select("rid", (F.col("what") % 2).cast("int").alias("pair"), F.floor(F.col("what") / 2).cast("int").alias("attempt"), "plus", "minus", "left")
 
 
 def differences(pairs: DataFrame) -> DataFrame:
-    """rid, pair, plus, minus for every pair with a difference: digests only in the first or the second version.
+    """rid, pair, plus, minus for every pair with a difference: the digests that only the first or only the second version has.
 
     pairs: rid, own, edited, next (arrays of digests), read from a written table.
     """
@@ -204,6 +204,7 @@ def op1_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     read = saved(read, "iblt-digests")
     found = differences(read)
+    found = found.select("rid", "pair", F.size("plus").alias("plus"), F.size("minus").alias("minus"))
     pair = lambda p: F.max(F.when(F.col("pair") == p, F.struct("plus", "minus")))
     found = found.groupBy("rid").agg(pair(0).alias("e"), pair(1).alias("x"))
     out = read.select("rid", "doc_id", "n_chars", "edited_sha256", "own", "edited", F.size("next").alias("n_next")).join(found, "rid", "left")

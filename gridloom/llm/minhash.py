@@ -15,7 +15,7 @@ verified or already connected.
 
 Defined cases: a null text is empty; texts without words are near nothing but their own copies; a null doc_id is
 a document whose class has the least id of the others in it, or null; repeated rows are repeated, and rows of one id with different texts
-are classed by their texts; very long texts are hashed as a whole, in memory of about 80 times their bytes; an empty table gives no rows; extra columns are
+are classed by their texts; very long texts are hashed whole, their words in pieces of a few MB; an empty table gives no rows; extra columns are
 ignored. keep_first() keeps one row of each class: a null id counts as greater than any other, of equal ids the
 smaller text id wins, of rows that are equal in both the one with the smallest hash of all its columns.
 """
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .classify import sliced
+from .classify import pieces, sliced
 from .common import mix64, saved, table
 
 WORDS, SIMILARITY = 5, 0.8
@@ -40,8 +40,11 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of each word (run of bytes over 32) of texts in one buffer."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, size: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of each word (run of bytes over 32) of texts in one buffer; a text over `size` bytes goes in pieces."""
+    if len(offsets) == 2 and len(data) > size:
+        h = np.concatenate([word_hashes(p, np.array([0, len(p)]), len(p))[1] for p in pieces(data, size)])
+        return np.zeros(len(h), np.int64), h
     lengths = np.diff(offsets)
     row = np.repeat(np.arange(len(lengths)), lengths)
     inside = data > 32

@@ -5,12 +5,14 @@ sqrt(R^2 - |x|^2) and a query gains 0, so |q - x|^2 = |q|^2 + R^2 - 2 q.x falls
 Pivots come from a bounded sample (PIVOTS rows, the smallest by hash). Each vector is keyed by its
 nearest pivot and the distance to it; vectors sorted by that key are cut into blocks, each an
 annulus around its pivot, with the least and greatest distance of its vectors to every pivot.
-A query first searches the blocks with the smallest triangle-inequality bounds (its own annulus
-and those around it); its k-th distance so far is then a radius, and only blocks whose bound
-does not exceed it are searched as well. Scores are integers and exact, so results are exact.
-
-Queries travel in blocks too: a task meets one block of queries and one block of vectors at a
-time. Equal vectors are indexed once with their k + 1 smallest ids, which any query's result can
+A query's blocks are sorted by their triangle-inequality bound: its own annulus first, then those around it. Rounds
+expand along that order, FIRST_BLOCKS at first and GROWTH times as far each time; the k-th distance so far is the query's
+radius, and it stops at the first block whose bound exceeds it, as all further ones do too. Scores are integers and exact, so results
+are exact.
+
+Queries are keyed and sorted as vectors are, so that those of one piece need much the same blocks; a task meets one piece of
+queries and one block of vectors at a time. A round computes the bounds of all pieces against all blocks' summaries, a thousandth of
+the work of scoring them. Equal vectors are indexed once with their k + 1 smallest ids, which any query's result can
 at most use of them, so one vector that many rows share costs no more than another.
 
 Defined cases: a null vector, or one with a null or non-finite component, takes no part (neither as query nor as candidate),
@@ -32,7 +34,7 @@ from .common import saved, table
 PIVOTS = 32
 BLOCK = 1024
 QUERY_BLOCK = 512
-FIRST_BLOCKS = 4
+FIRST_BLOCKS, GROWTH = 4, 16
 SUMMARIES = 1024
 #: Rounding of a distance at most, as a share of the largest norm (its square has about 64 roundings of 1e-16).
 _SLACK = 1e-6
@@ -158,11 +160,9 @@ def _query_blocks(pivots: np.ndarray, reach: float, dim: int, size: int):
     return run
 
 
-def _wanted(pivots: int, slack: float, first: int | None):
-    """Of (piece of queries, block summaries) pairs those to search.
-
-    first: each query's so many blocks with the smallest bounds; None: all within the query's radius.
-    """
+def _wanted(pivots: int, slack: float, low: int, high: int):
+    """Of (piece of queries, block summaries) pairs those to search: each query's blocks from place low to high by their
+    bounds, as far as these lie within its radius (if it has one yet)."""
 
     def run(batches):
         for batch in batches:
@@ -171,17 +171,16 @@ def _wanted(pivots: int, slack: float, first: int | None):
                 near = np.frombuffer(b"".join(row["nears"])).reshape(-1, pivots)
                 far = np.frombuffer(b"".join(row["fars"])).reshape(-1, pivots)
                 blocks = np.array(row["blocks"], "i8")
+                if low >= len(blocks):
+                    continue
                 bound = np.zeros((len(d), len(blocks)))
                 for p in range(pivots):
                     np.maximum(bound, near[None, :, p] - d[:, p, None], out=bound)
                     np.maximum(bound, d[:, p, None] - far[None, :, p], out=bound)
-                if first is not None:
-                    k = min(first, len(blocks))
-                    hit = np.zeros(bound.shape, bool)
-                    np.put_along_axis(hit, np.argpartition(bound, k - 1, 1)[:, :k], True, 1)
-                else:
-                    radius = np.frombuffer(row["radius"])
-                    hit = bound <= radius[:, None] + slack
+                hit = np.zeros(bound.shape, bool)
+                np.put_along_axis(hit, np.argsort(bound, 1, kind="stable")[:, low:high], True, 1)
+                if row["radius"] is not None:
+                    hit &= bound <= np.frombuffer(row["radius"])[:, None] + slack
                 columns = np.flatnonzero(hit.any(0))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -261,40 +260,42 @@ class PivotIndex:
         ordered = keyed.repartitionByRange(parts, "pivot", "distance").sortWithinPartitions("pivot", "distance")
         self.blocks = saved(ordered.mapInArrow(_cut(p, self.reach, self.dim, block), _BLOCKS), "pivot-blocks")
 
-    def _summaries(self) -> DataFrame:
-        """Block bounds, many to a row."""
-        s = F.collect_list(F.struct("block", "near", "far"))
-        chunk = F.pmod(F.xxhash64("block"), F.lit(max(1, -(-self.blocks.count() // SUMMARIES))))
+    def _summaries(self) -> tuple[DataFrame, int]:
+        """Block bounds, many to a row, and how many rows there are at most."""
+        s = F.sort_array(F.collect_list(F.struct("block", "near", "far")))
+        chunks = max(1, -(-self.blocks.count() // SUMMARIES))
+        chunk = F.pmod(F.xxhash64("block"), F.lit(chunks))
         g = self.blocks.groupBy(chunk.cast("int").alias("chunk")).agg(s.alias("s"))
-        return saved(g.select("chunk", F.col("s.block").alias("blocks"), F.col("s.near").alias("nears"), F.col("s.far").alias("fars")), "pivot-bounds")
+        return saved(g.select("chunk", F.col("s.block").alias("blocks"), F.col("s.near").alias("nears"), F.col("s.far").alias("fars")), "pivot-bounds"), chunks
 
     def search(self, queries: DataFrame) -> DataFrame:
         """queries(id, v) as query_id, rank, vec_id, score."""
         args = (self.pivots, self.reach, self.dim)
-        pieces = queries.select("id", "v").mapInArrow(
-            _query_blocks(*args, QUERY_BLOCK), "piece long, query_ids binary, query_vectors binary, query_distances binary"
-        )
+        parts = max(1, min(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-queries.count() // QUERY_BLOCK)))
+        keyed = queries.select(F.array("id").alias("ids"), "v").mapInArrow(_keyed(*args), "ids array<long>, v array<double>, pivot int, distance double")
+        ordered = keyed.repartitionByRange(parts, "pivot", "distance").sortWithinPartitions("pivot", "distance").select(F.get("ids", F.lit(0)).alias("id"), "v")
+        pieces = ordered.mapInArrow(_query_blocks(*args, QUERY_BLOCK), "piece long, query_ids binary, query_vectors binary, query_distances binary")
         pieces = saved(pieces, "pivot-queries")
-        bounds = self._summaries()
-        chunks = [r.chunk for r in bounds.select("chunk").collect()]  # one for SUMMARIES * BLOCK vectors
-        if not chunks:
-            return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-        every = F.explode(F.array(*map(F.lit, chunks))).alias("chunk")
+        bounds, chunks = self._summaries()
+        every = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")  # one for SUMMARIES * BLOCK vectors
         np_, slack = len(self.pivots), _SLACK * float(np.sqrt(self.reach))
-        meets = pieces.select("piece", "query_distances", every).join(bounds, "chunk")
-        first = saved(meets.mapInArrow(_wanted(np_, slack, FIRST_BLOCKS), _NEEDS), "pivot-first")
-        hits = saved(self._scored(first, pieces), "pivot-hits")
-        best = _best(hits, self.k)
-        # a query's radius: the distance at its k-th score, or all where it has fewer
-        kth = best.groupBy("piece", "row").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-        kth = kth.groupBy("piece").agg(F.collect_list(F.struct("row", F.when(F.col("n") >= self.k, F.col("least")).alias("least"))).alias("kth"))
-        again = pieces.join(kth, "piece", "left").mapInArrow(_radii(self.reach, self.dim), "piece long, query_distances binary, radius binary")
-        again = again.select("piece", "query_distances", "radius", every).join(bounds, "chunk")
-        more = again.mapInArrow(_wanted(np_, slack, None), _NEEDS)
-        before = first.withColumnRenamed("rows", "before")
-        more = more.join(before, ["piece", "block"], "left").mapInArrow(_without, _NEEDS)
-        more_hits = self._scored(more, pieces)
-        return _best(hits.unionByName(more_hits), self.k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        radii = pieces.select("piece", "query_distances", F.lit(None).cast("binary").alias("radius"))
+        hits, low, high = None, 0, FIRST_BLOCKS
+        while True:
+            meets = radii.select("piece", "query_distances", "radius", every).join(bounds, "chunk")
+            need = saved(meets.mapInArrow(_wanted(np_, slack, low, high), _NEEDS), "pivot-needs")
+            if need.isEmpty():
+                break
+            new = self._scored(need, pieces)
+            hits = saved(_best(new if hits is None else hits.unionByName(new), self.k).drop("rank"), "pivot-hits")
+            # a query's radius: the distance at its k-th score, or all where it has fewer
+            kth = hits.groupBy("piece", "row").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+            kth = kth.groupBy("piece").agg(F.collect_list(F.struct("row", F.when(F.col("n") >= self.k, F.col("least")).alias("least"))).alias("kth"))
+            radii = pieces.join(kth, "piece", "left").mapInArrow(_radii(self.reach, self.dim), "piece long, query_distances binary, radius binary")
+            low, high = high, high * GROWTH
+        if hits is None:
+            return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return _best(hits, self.k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
     def _scored(self, need: DataFrame, pieces: DataFrame) -> DataFrame:
         pairs = need.join(pieces.drop("query_distances"), "piece").join(self.blocks.select("block", "ids", "vectors"), "block")
@@ -320,17 +321,6 @@ def _radii(reach: float, dim: int):
     return run
 
 
-def _without(batches):
-    """Drops the queries that have searched a block before."""
-    for batch in batches:
-        out = [
-            np.setdiff1d(np.frombuffer(r["rows"], "<i4"), np.frombuffer(r["before"] or b"", "<i4")).astype("<i4").tobytes()
-            for r in batch.select(["rows", "before"]).to_pylist()
-        ]
-        new = pa.RecordBatch.from_arrays([batch.column("piece"), batch.column("block"), pa.array(out, pa.binary())], names=["piece", "block", "rows"])
-        yield new.filter(pa.array([len(x) > 0 for x in out], pa.bool_()))
-
-
 def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """For the rows whose id is divisible by `every`, the k best of all other rows."""
     vectors = saved(quantised(embeddings), "pivot-vectors")

@@ -109,3 +109,47 @@ def test_words_and_statistics():
     (_, data, offsets), = classify.sliced(texts)
     stats, row, _ = classify.structure(data, offsets)
     assert np.bincount(row, minlength=3).tolist() == [2, 0, 3] and np.isfinite(stats).all()
+
+
+def test_long_texts_in_pieces():
+    """Statistics and windows of a text are the same whatever the size of its pieces."""
+    r = np.random.default_rng(3)
+    text = " ".join("".join(r.choice(list("abCD1,.é"), r.integers(1, 9))) + ("\n" if r.random() < 0.1 else "") for _ in range(3000)) + " " + "z" * 500 + " end"
+    data = np.frombuffer(text.encode(), np.uint8)
+    offsets = np.array([0, len(data)])
+    whole = classify.structure(data, offsets)
+    for size in (64, 777, 5000):
+        assert b"".join(p.tobytes() for p in classify.pieces(data, size)) == data.tobytes()
+        part = classify.structure(data, offsets, size)
+        assert all(np.allclose(a, b) for a, b in zip(whole, part))
+        assert list(classify.windows_of(text, size)) == list(classify.windows_of(text))
+    assert list(classify.windows_of(" " * 50, 8)) == list(classify.windows_of("")) == [b" "]
+
+
+def test_machine_against_the_double_sum():
+    """The linear-time score equals w0 + sum w x + the sum over all pairs of features."""
+    texts = ["good words in a fine order here", "BAD!!! words $$$ 123", "", "one two three four five six seven", "Noise ### noise"] * 8
+    m = classify.FactorisationMachine(texts, np.array([1, 0, 0, 1, 0] * 8), epochs=2)
+    got = m(pa.array(texts[:5]))
+    (_, data, offsets), = classify.sliced(pa.array(texts[:5], pa.string()))
+    r, c, x = m._features(*classify.structure(data, offsets))
+    for i in range(5):
+        own, value = c[r == i], x[r == i]
+        z = m.w0 + (m.w[own] * value).sum()
+        z += sum(m.v[own[a]] @ m.v[own[b]] * value[a] * value[b] for a in range(len(own)) for b in range(a))
+        assert got[i] == pytest.approx(float(classify.sigmoid(np.array([z]))[0]), abs=1e-9)
+
+
+def test_distance_by_plain_compression():
+    """The windows' gains are the differences of the lengths that the two compressors give."""
+    import zstandard
+
+    texts = ["you vile grumbak person and more words here", "a calm plain sentence about old maps and rivers"] * 30
+    d = classify.CompressionDistance(texts, np.array([1, 0] * 30))
+    windows = [w for t in texts[:2] for w in classify.windows_of(t)]
+    lengths = []
+    for content in (d.ordinary, d.toxic + d.ordinary):
+        dictionary = zstandard.ZstdCompressionDict(content or b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        c = zstandard.ZstdCompressor(level=classify.LEVEL, dict_data=dictionary, write_checksum=False, write_content_size=False, write_dict_id=False)
+        lengths.append([len(c.compress(w)) for w in windows])
+    assert d._gains(windows).tolist() == [a - b for a, b in zip(*lengths)]
