@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .classify import pieces, sliced
-from .common import mix64, saved, table
+from .common import mix64, release, saved, table
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
@@ -135,8 +135,9 @@ def _jaccards(batches):
 
         def of(tid, text):
             if tid not in sets:
-                if len(sets) > 2000:
+                if len(sets) > 500:
                     sets.clear()
+                    release()
                 sets[tid] = weighted(text)
             return sets[tid]
 
@@ -271,12 +272,12 @@ def _narrow(batches):
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """docs with one row of each class: that with the smallest doc_id, as the docstring above says."""
-    rows = saved(labelled_texts(docs).groupBy("label", "doc_id", "tid").agg(F.count("*").alias("n")), "minhash-rows")
+    labelled = labelled_texts(docs)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tid")
-    first = saved(rows.groupBy("label").agg(F.min(rank).alias("first")), "minhash-first")
-    placed = rows.join(first, "label").select("doc_id", "tid", "n", (rank == F.col("first")).alias("is_first"))
-    gone = saved(placed.where("not is_first").select("doc_id", "tid"), "minhash-gone")
-    again = saved(placed.where("is_first and n > 1").select("doc_id", "tid"), "minhash-again")
+    first = saved(labelled.groupBy("label").agg(F.min(rank).alias("first")), "minhash-first")
+    rows = labelled.groupBy("label", "doc_id", "tid").agg(F.count("*").alias("n")).join(first, "label")
+    other = saved(rows.select("doc_id", "tid", (rank == F.col("first")).alias("is_first"), "n").where("not is_first or n > 1"), "minhash-gone")
+    gone, again = (other.where(x).select("doc_id", "tid") for x in ("not is_first", "is_first"))
     tid = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_id"), tid.alias("_tid"))
 

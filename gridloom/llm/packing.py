@@ -31,11 +31,11 @@ CAPACITY = 4096
 END_ID = 2
 GROUP, GROUP_IDS = 2048, 1 << 20
 #: Bytes of ids that leave a task at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 #: Words whose ids a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 
 class Tournament:
