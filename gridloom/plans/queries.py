@@ -355,12 +355,14 @@ def _written_and_read(s, sf):
 def _neighbours(source: str, f: str, offsets, out: str) -> str:
     """f of v over the offsets (y, x) that lie on the page."""
     at = ", ".join(f"({dy}, {dx})" for dy, dx in offsets)
-    return f"{out} AS (SELECT p.page_id, p.y, p.x, {f}(q.v) AS v FROM {source} p, (VALUES {at}) o(dy, dx) JOIN {source} q ON q.page_id = p.page_id AND q.y = p.y + dy AND q.x = p.x + dx GROUP BY ALL)"
+    moved = f"(SELECT p.page_id, p.y, p.x, p.y + dy AS ty, p.x + dx AS tx FROM {source} p, (VALUES {at}) o(dy, dx))"
+    return f"{out} AS (SELECT n.page_id, n.y, n.x, {f}(q.v) AS v FROM {moved} n JOIN {source} q ON q.page_id = n.page_id AND q.y = n.ty AND q.x = n.tx GROUP BY n.page_id, n.y, n.x)"
 
 
 def _weighted(weights: str, y: str, x: str, out: str = "sm") -> str:
     """Sums of v under weights(dy, dx, w), at places that y and x bring back onto the page."""
-    return f"{out} AS (SELECT p.page_id, p.y, p.x, sum(w * q.v) AS v FROM shade p, ({weights}) o JOIN shade q ON q.page_id = p.page_id AND q.y = {y} AND q.x = {x} GROUP BY p.page_id, p.y, p.x)"
+    moved = f"(SELECT p.page_id, p.y, p.x, {y} AS ty, {x} AS tx, w FROM shade p, ({weights}) o)"
+    return f"{out} AS (SELECT n.page_id, n.y, n.x, sum(w * q.v) AS v FROM {moved} n JOIN shade q ON q.page_id = n.page_id AND q.y = n.ty AND q.x = n.tx GROUP BY n.page_id, n.y, n.x)"
 
 
 _H, _W = drawn.PART
