@@ -6,7 +6,7 @@ text alone.
 
 Defined cases: a null text scores as an empty one; a null doc_id is scored, and never held out; labels that are
 null or whose document is missing teach nothing; of contradicting labels of one id the
-greater counts; very long texts are scored whole, in pieces of a few MB; with no usable labels, or of one class only, every text gets that class's
+greater counts, of its texts the least; very long texts are scored whole, in pieces of a few MB; with no usable labels, or of one class only, every text gets that class's
 rate (0.5 without labels); an empty table gives no rows; columns named like the results are
 not read.
 """
@@ -32,7 +32,8 @@ SLICE = 1 << 20
 def learning_rows(docs: DataFrame, labels: DataFrame, label: str, rows: tuple[int, int]) -> tuple[list[str], np.ndarray, float]:
     """At most rows[c] texts of each class c, their labels, and the share of class 1 among all that may teach.
 
-    Rows that are held out are in none of these.
+    Rows that are held out are in none of these. Of several texts with one id the least teaches, so that an id with
+    very many rows can't crowd out the others.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = known.where(~held_out() & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -41,7 +42,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str, rows: tuple[in
     ids = picked[0].unionByName(picked[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # at most sum(rows) ids of 12 bytes: a bounded broadcast
-    found = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * sum(rows)).toPandas()
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()
     share = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
     return found.text.tolist(), found.y.to_numpy(int), share
 

@@ -75,6 +75,15 @@ def test_held_out_rows_teach_nothing(tables):
     assert (classify.learning_rows(docs, wrong, "toxic", (1000, 1000))[1] == y).all()
 
 
+def test_an_id_with_many_rows_crowds_out_nobody(spark, docs_of):
+    docs = docs_of(spark, [(i, f"text {i}") for i in range(40)] + [(i, f"more {j}") for i in (0, 1, 3) for j in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    texts, y, share = classify.learning_rows(docs, labels, "toxic", (30, 30))
+    alone = classify.learning_rows(docs.where("text like 'text %'"), labels, "toxic", (30, 30))
+    assert sorted(y) == sorted(alone[1]) and set(y) == {0, 1} and share == alone[2]
+    assert sorted(t for t in texts if t != "more 0") == sorted(t for t in alone[0] if t not in ("text 0", "text 1", "text 3"))
+
+
 def test_sum_of_squares_identity():
     """The linear-time pairs equal the sum over all pairs."""
     rng = np.random.default_rng(0)
