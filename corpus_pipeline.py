@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's rows as Parquet in the
 shared folder and gives them to the next one. All but the last return documents' own columns. The classifiers
 learn from the labels of documents that are still there.
+
+Defined cases, for every stage: null texts count as empty; null ids, nulls in other columns and extra columns, whatever their names, stay as
+they are (packing returns its own columns); very long texts are taken whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,29 +19,36 @@ from gridloom.llm.common import saved, table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those that score as toxic."""
+    """docs without those that score as toxic. Equal texts, so also repeated rows, go or stay together."""
     model = classify.fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return classify.keep_by_score(docs, model, _below(classify.TOXIC_THRESHOLD))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those that score as low in quality."""
+    """docs without those that score as low in quality. Equal texts go or stay together; empty ones are scored as well."""
     model = classify.fit_quality(docs, table(spark, sf_dir, "labels"))
     return classify.keep_by_score(docs, model, _from(classify.QUALITY_THRESHOLD))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs with one document of each class of near duplicates, that with the smallest doc_id."""
+    """docs with one document of each class of near duplicates, that with the smallest doc_id.
+
+    A null id is greater than any other. Rows that share an id are told by their texts, equal ones leave one row. All empty
+    texts are copies of each other.
+    """
     return minhash.keep_first(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without the bytes that a document with a smaller doc_id has in a string of 50."""
+    """docs without the bytes that a document with a smaller doc_id has in a string of 50.
+
+    No row goes, even if its text is empty then. Rows of one id take nothing from each other; null ids are greater than any other.
+    """
     return suffixes.keep_new(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of docs in sequences of tokens."""
+    """The pieces of docs in sequences of tokens. Every row is a document of its own; an empty one has the end id alone."""
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
