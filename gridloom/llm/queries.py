@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytepairs, classify, fingerprints, licences, minhash, packing, pivots, suffixes, warc
+from . import bytepairs, classify, fingerprints, infill, licences, minhash, packing, pivots, suffixes, warc
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,7 @@ QUERIES = {
         minhash.op8_prob_min_hash,
         bytepairs.op9_byte_level_bpe,
         warc.op10_warc_boundary_chain,
+        infill.op13_fill_in_middle,
     )
 }
 
@@ -33,4 +34,11 @@ SQL: dict[str, str] = {
     "op10_warc_boundary_chain": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages), h AS (SELECT page_id, strlen(body) AS n, sha1(body) AS hex FROM p),
  d AS (SELECT page_id, n, {_BASE32} AS digest FROM h), m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS top FROM d)
  SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to FROM m""",
+    "op13_fill_in_middle": """WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+ h AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(d, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(d, 25, 8) AS BIGINT) AS h4 FROM t),
+ f AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+ CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+ p AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1, n - b) AS s FROM f)
+ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+ sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""",
 }

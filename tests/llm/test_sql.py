@@ -2,7 +2,6 @@ import glob
 import os
 
 import duckdb
-import pandas as pd
 import pytest
 
 from gridloom.llm import queries
@@ -10,9 +9,9 @@ from gridloom.llm import queries
 SF = "/root/testdata/sf0.001"
 
 
-def rows(df):
-    df = df[sorted(df.columns)]
-    return sorted(repr(tuple(None if pd.isna(v) else v for v in r)) for r in df.itertuples(index=False, name=None))
+def rows(names, values):
+    at = sorted(range(len(names)), key=names.__getitem__)
+    return sorted(repr([v[i] for i in at]) for v in values)
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
@@ -20,4 +19,5 @@ def test_same_as_sql(spark, name):
     con = duckdb.connect()
     for f in glob.glob(f"{SF}/*.parquet"):
         con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
-    assert rows(queries.QUERIES[name](spark, SF).toPandas()) == rows(con.execute(queries.SQL[name]).df())
+    found, expected = queries.QUERIES[name](spark, SF), con.execute(queries.SQL[name])
+    assert rows(found.columns, found.collect()) == rows([c[0] for c in expected.description], expected.fetchall())
