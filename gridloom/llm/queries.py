@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytepairs, classify, fingerprints, infill, licences, minhash, packing, pivots, suffixes, warc
+from . import bytepairs, centroids, classify, fingerprints, infill, licences, minhash, packing, pivots, suffixes, warc
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,7 @@ QUERIES = {
         minhash.op8_prob_min_hash,
         bytepairs.op9_byte_level_bpe,
         warc.op10_warc_boundary_chain,
+        centroids.op11_lloyd_clusters,
         infill.op13_fill_in_middle,
     )
 }
