@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytepairs, centroids, classify, fingerprints, infill, licences, minhash, packing, pivots, suffixes, warc
+from . import bytepairs, centroids, classify, fingerprints, infill, licences, minhash, mixing, packing, pivots, suffixes, warc
 
 QUERIES = {
     f.__name__: f
@@ -18,6 +18,7 @@ QUERIES = {
         bytepairs.op9_byte_level_bpe,
         warc.op10_warc_boundary_chain,
         centroids.op11_lloyd_clusters,
+        mixing.op12_pivotal_mix,
         infill.op13_fill_in_middle,
     )
 }
