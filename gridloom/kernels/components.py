@@ -122,3 +122,19 @@ def _label_four(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
                     parent[root(j)] = root(k)
                     k += 1
     return np.array([root(i) for i in range(len(row))])
+
+
+def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of n nodes the least node that edges a-b connect it to: labels of an edge's ends meet, then jump to their labels'."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

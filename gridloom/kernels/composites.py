@@ -6,6 +6,7 @@ import numpy as np
 
 from . import geometry as geo
 from . import pixels as px
+from . import trees
 from .components import label_image, largest_filled
 
 
@@ -131,26 +132,14 @@ def tag_regions(g: np.ndarray, dark: int = 110, kernel: int = 5, iterations: int
     return [(x, y, w, h, a, float((g[y : y + h, x : x + w] < dark).mean())) for x, y, w, h, a in label_image(mask)[1].tolist()]
 
 
-def stable_regions(g: np.ndarray, levels=range(40, 220, 12), delta: int = 5, area: tuple[int, int] = (1500, 60000), change: float = 0.25) -> list[tuple[int, int, int, int]]:
-    """Boxes of dark regions whose area hardly changes between levels t - delta and t + delta.
-
-    A stack of thresholds instead of a component tree: regions are the same up to the steps between levels.
-    """
-    found: dict[tuple, None] = {}
-    for t in levels:
-        labels, stats = label_image(g < t)
-        low, high = label_image(g < t - delta), label_image(g < t + delta)
-        for k, (x, y, w, h, a) in enumerate(stats.tolist()):
-            if not area[0] <= a <= area[1]:
-                continue
-            inside = labels[y : y + h, x : x + w] == k + 1
-            outer = high[0][y : y + h, x : x + w][inside]
-            inner = low[0][y : y + h, x : x + w][inside]
-            bigger = int(high[1][np.bincount(outer[outer > 0]).argmax() - 1][4])
-            smaller = int(np.bincount(inner).max()) if (inner > 0).any() else 0
-            if (bigger - smaller) / a <= change:
-                found[x, y, w, h] = None
-    return list(found)
+def stable_regions(g: np.ndarray, delta: int = 5, area: tuple[int, int] = (1500, 60000), change: float = 0.25) -> list[tuple[int, int, int, int]]:
+    """Boxes of maximally stable dark regions: nodes of the component tree that hardly grow, and no more than those just inside and around them."""
+    tree = trees.component_tree(g)
+    own = trees.growth(tree, delta)
+    up, down = trees.neighbours(tree, own)
+    keep = (tree.area >= area[0]) & (tree.area <= area[1]) & (own <= change) & (own <= up) & (own <= down)
+    boxes = {(x1, y1, x2 - x1 + 1, y2 - y1 + 1): None for x1, y1, x2, y2 in tree.box[keep].tolist()}
+    return list(boxes)
 
 
 def glyph_count(roi: np.ndarray, level: int = 185, kernel: int = 3, least: int = 60) -> int:

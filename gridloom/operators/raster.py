@@ -67,8 +67,8 @@ def sharpness(projected: DataFrame) -> DataFrame:
 
 def variance(projected: DataFrame) -> DataFrame:
     """Population variance, from whole-number sums, so that the order of rows can't show in it."""
-    n, s, q = F.count("*"), F.sum("total"), F.sum(F.col("total") * F.col("total"))
-    return projected.groupBy("page_id").agg(((n * q - s * s).cast("double") / (n * n).cast("double")).alias("variance"))
+    sums = projected.groupBy("page_id").agg(F.count("*").alias("n"), F.sum("total").alias("s"), F.sum(_wide("total") * _wide("total")).cast("decimal(19,0)").alias("q"))
+    return sums.select("page_id", ((_wide("n") * F.col("q") - _wide("s") * _wide("s")).cast("double") / (_wide("n") * _wide("n")).cast("double")).alias("variance"))
 
 
 def runs(ink: DataFrame, along: str = "x") -> DataFrame:
@@ -79,6 +79,11 @@ def runs(ink: DataFrame, along: str = "x") -> DataFrame:
     return islands.groupBy("page_id", "line", "g").agg(F.min("p").alias("a"), F.max("p").alias("b")).drop("g")
 
 
+def least_run(start: Column, end: Column, k: int) -> Column:
+    """The length that an opening with k pixels asks of a run, given whether it touches the page's start or end."""
+    return F.when(start & end, F.lit(1)).when(start, F.lit(k - k // 2)).when(end, F.lit(k // 2 + 1)).otherwise(F.lit(k))
+
+
 def opened(runs_: DataFrame, k: int, extent: DataFrame | None = None) -> DataFrame:
     """Runs that an opening with a line of k pixels keeps. extent: page_id, size along the runs; without it a page ends with its last ink.
 
@@ -86,7 +91,7 @@ def opened(runs_: DataFrame, k: int, extent: DataFrame | None = None) -> DataFra
     """
     n = F.col("b") - F.col("a") + 1
     start, end = F.col("a") == 0, F.col("b") == F.col("size") - 1
-    need = F.when(start & end, F.lit(1)).when(start, F.lit(k - k // 2)).when(end, F.lit(k // 2 + 1)).otherwise(F.lit(k))
+    need = least_run(start, end, k)
     sized = runs_.withColumn("size", F.max("b").over(Window.partitionBy("page_id")) + 1) if extent is None else runs_.join(extent, "page_id")
     return sized.where(n >= need).select("page_id", "line", "a", "b")
 

@@ -8,6 +8,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.kernels.components import least_labels
+
 from .lines import anchor_sets
 
 
@@ -51,22 +53,6 @@ def merge_edges(covered: DataFrame, ratio: float = 0.8) -> DataFrame:
 _MERGED = "row long, col long, rowspan long, colspan long, x1 long, y1 long, x2 long, y2 long"
 
 
-def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of each of n nodes the least node that edges a-b connect it to: labels of an edge's ends meet, then jump to their labels'."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _joined(page, cells: np.ndarray, edges: np.ndarray, kind: pa.DataType) -> pa.Table:
     """One page's cells (row, col, x1, y1, x2, y2) joined along its edges (row, col, row2, col2)."""
     names = [x.split()[0] for x in _MERGED.split(", ")]

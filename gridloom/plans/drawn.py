@@ -16,11 +16,20 @@ from gridloom.operators.pages import IMAGE, image_row
 from .derived import table
 
 WIDTH, HEIGHT, LEFT, TOP = 400, 300, 40, 100
+#: Pages that one task draws.
+PAGES = 64
 GRID = f"""grid AS (SELECT CAST(s_suppkey AS VARCHAR) AS page_id, CAST(s_suppkey AS BIGINT) AS k, 3 + s_suppkey % 3 AS n, 2 + s_suppkey % 2 AS m, 52 + s_suppkey % 9 AS dx, 50 + s_suppkey % 7 AS dy FROM supplier),
  col_ AS (SELECT page_id, k, n, m, dx, dy, i, {LEFT} + i * dx AS x FROM grid, LATERAL (SELECT unnest(range(0, n + 1)) AS i)),
  row_ AS (SELECT page_id, k, n, m, dx, dy, j, {TOP} + j * dy AS y FROM grid, LATERAL (SELECT unnest(range(0, m + 1)) AS j))"""
 
 
+#: Bars of text and their first row.
+BARS, BAR_TOP = 4, 180
+#: The pixels of the ruled table.
+DARK = """ink_ AS (SELECT page_id, x - 1 AS x1, x + 1 AS x2, {TOP} + CASE WHEN i = 1 THEN dy ELSE 0 END - 1 AS y1, {TOP} + m * dy + 1 AS y2 FROM col_ UNION ALL SELECT page_id, {LEFT} - 1, {LEFT} + n * dx + 1, y - 1, y + 1 FROM row_),
+ dk AS (SELECT DISTINCT page_id, y, x FROM ink_, LATERAL (SELECT unnest(range(y1, y2 + 1)) AS y), LATERAL (SELECT unnest(range(x1, x2 + 1)) AS x))""".format(TOP=TOP, LEFT=LEFT)
+
+
 def layout(k: int) -> tuple[list[int], list[int]]:
     n, m, dx, dy = 3 + k % 3, 2 + k % 2, 52 + k % 9, 50 + k % 7
     return [LEFT + i * dx for i in range(n + 1)], [TOP + j * dy for j in range(m + 1)]
@@ -45,6 +54,14 @@ def tagged(k: int) -> np.ndarray:
     return page
 
 
+def tagged_text(k: int) -> np.ndarray:
+    """The page with tags and, further down, bars of text, which are none of the tags' business."""
+    page = tagged(k)
+    for r in range(BARS):
+        page[BAR_TOP + 20 * r : BAR_TOP + 6 + 20 * r, 30 + k % 7 + 11 * r : 300 + k % 13] = 40
+    return page
+
+
 def marked(k: int) -> np.ndarray:
     """The table with pale marks well away from its lines."""
     page = ruled(k)
@@ -108,4 +125,7 @@ def pages_of(spark: SparkSession, sf_dir: str, draw) -> DataFrame:
                 columns = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string()))], names=[x.split()[0] for x in IMAGE.split(", ")])
 
-    return table(spark, sf_dir, "supplier").select("s_suppkey").mapInArrow(run, IMAGE)
+    keys = table(spark, sf_dir, "supplier").select("s_suppkey")
+    count = keys.count()
+    tasks = max(min(count, spark.sparkContext.defaultParallelism), -(-count // PAGES), 1)
+    return keys.repartition(tasks, "s_suppkey").mapInArrow(run, IMAGE)

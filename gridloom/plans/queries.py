@@ -18,7 +18,7 @@ from gridloom.kernels import pixels as px
 from gridloom.operators import grid, lines, pages, raster, recover, strips, tags
 
 from . import derived as d
-from . import drawn, stages
+from . import drawn, raster_queries, stages
 
 # --- derived relations in SQL --------------------------------------------------------------
 
@@ -327,8 +327,28 @@ def _levels(images: DataFrame) -> DataFrame:
     return pages.measure(images, lambda i: [(int((i == 0).sum()), int((i == 255).sum()))], "black long, white long")
 
 
+def _image_sums(images: DataFrame) -> DataFrame:
+    """page_id, width, y, total: row sums of v * (x + 1) of the images themselves."""
+
+    def sums(i):
+        return [(i.shape[1], y, t) for y, t in enumerate((i.astype("int64") * (1 + np.arange(i.shape[1]))).sum(1).tolist())]
+
+    return pages.measure(images, sums, "width long, y long, total long")
+
+
+_held: list[stages.Outputs] = []
+
+
 def _stages(name, pick=lambda df: df):
-    return lambda s, sf: pick(stages.run(_ruled(s, sf), _ONE, _TWO)[name])
+    """What an earlier query kept is given up first, so that none is served from it and one query's pages at most are kept."""
+
+    def run(s, sf):
+        while _held:
+            _held.pop().release()
+        _held.append(stages.run(_ruled(s, sf), _ONE, _TWO))
+        return pick(_held[-1][name])
+
+    return run
 
 
 def _angle_found(method):
@@ -393,17 +413,17 @@ QUERIES |= {
     "deskew_angle": _angle_found("histogram_variance"),
     "radon_angle": _angle_found("radon"),
     "mark_removal": lambda s, sf: _levels(pages.remove_marks(drawn.pages_of(s, sf, drawn.marked))),
-    "margin_removal": lambda s, sf: _sizes(pages.remove_margin(drawn.pages_of(s, sf, drawn.margined))),
+    "margin_removal": lambda s, sf: _image_sums(pages.remove_margin(drawn.pages_of(s, sf, drawn.margined))),
     "margin_status": lambda s, sf: pages.margin_status(drawn.pages_of(s, sf, drawn.margined)),
     "largest_rect": lambda s, sf: pages.largest_rect(drawn.pages_of(s, sf, drawn.margined)),
-    "split_pages": lambda s, sf: _sizes(pages.split_pages(drawn.pages_of(s, sf, drawn.spread))),
+    "split_pages": lambda s, sf: _image_sums(pages.split_pages(drawn.pages_of(s, sf, drawn.spread))),
     "line_segments": lambda s, sf: pages.line_segments(_ruled(s, sf)).select("page_id", "orient", "pos", "s", "e"),
     "tag_boxes": lambda s, sf: pages.tag_boxes(drawn.pages_of(s, sf, drawn.tagged)),
-    "tags_whitened": lambda s, sf: _levels(pages.remove_tags_classic(drawn.pages_of(s, sf, drawn.tagged))),
+    "tags_whitened": lambda s, sf: _image_sums(pages.remove_tags_classic(drawn.pages_of(s, sf, drawn.tagged_text))),
     "stage1_lines": _stages("stage1_lines", lambda df: df.select("page_id", "orient", "idx", "pos", "s", "e", "width", "height")),
-    "stage1_tables": _stages("stage1_tables", _sizes),
+    "stage1_tables": _stages("stage1_tables", _image_sums),
     "stage2_merged": _stages("stage2_merged"),
-    "stage2_strips": _stages("stage2_strips", _sizes),
+    "stage2_strips": _stages("stage2_strips", _image_sums),
     "image_source": _written_and_read,
 }
 
@@ -428,23 +448,31 @@ SQL |= {
     "radon_angle": _TURNS,
     "mark_removal": f"WITH {drawn.GRID} SELECT page_id, {_BLACK} AS black, {drawn.HEIGHT * drawn.WIDTH} - ({_BLACK}) AS white FROM grid",
     # blurring takes the page's corner pixels, so that the largest rectangle leaves out its first and last column
-    "margin_removal": f"SELECT page_id, CAST(h AS INTEGER) AS height, CAST(w - 2 AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM {_BED}",
+    "margin_removal": f"SELECT page_id, w - 2 AS width, y, 240 * (w - 2) * (w - 1) // 2 AS total FROM (SELECT page_id, h, w FROM {_BED}) b, LATERAL (SELECT unnest(range(0, h)) AS y)",
     "margin_status": f"SELECT page_id, 'cut' AS status, x + 1 AS x, y, w - 2 AS width, h AS height FROM {_BED}",
     "largest_rect": f"SELECT page_id, x, y, w AS width, h AS height, w * h AS area FROM {_BED}",
-    "split_pages": f"SELECT CAST(s_suppkey AS VARCHAR) || side AS page_id, {drawn.HEIGHT} AS height, CAST(CASE WHEN side = '_left' THEN 209 + s_suppkey % 17 ELSE {drawn.WIDTH} - 209 - s_suppkey % 17 END AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM supplier, (VALUES ('_left'), ('_right')) t(side)",
+    "split_pages": f"""WITH sp AS (SELECT CAST(s_suppkey AS VARCHAR) || side AS page_id, side, CAST(CASE WHEN side = '_left' THEN 209 + s_suppkey % 17 ELSE {drawn.WIDTH} - 209 - s_suppkey % 17 END AS BIGINT) AS w FROM supplier, (VALUES ('_left'), ('_right')) t(side))
+ SELECT page_id, w AS width, y, 255 * (w * (w + 1) // 2 - CASE WHEN y < 10 OR y >= {drawn.HEIGHT - 10} THEN 0 WHEN side = '_left' THEN w ELSE 6 END) AS total FROM sp, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y)""",
     "line_segments": f"WITH {_KEPT} SELECT page_id, 'h' AS orient, y AS pos, {drawn.LEFT} - 1 AS s, {drawn.LEFT} + n * dx + 2 AS e FROM row_ UNION ALL SELECT page_id, 'v', x, {drawn.TOP} + CASE WHEN i = 1 THEN dy ELSE 0 END - 1, {drawn.TOP} + m * dy + 2 FROM kept",
     "tag_boxes": "SELECT CAST(s_suppkey AS VARCHAR) AS page_id, t AS box_id, 12 + 62 * t + s_suppkey % 10 AS x, 24 AS y, 42 AS w, 52 AS h, 42 * 52 AS area, 1.0::DOUBLE AS dark FROM supplier, (SELECT unnest(range(0, 6)) AS t)",
-    "tags_whitened": f"SELECT CAST(s_suppkey AS VARCHAR) AS page_id, 0 AS black, {drawn.HEIGHT * drawn.WIDTH} AS white FROM supplier",
+    "tags_whitened": f"""WITH br AS (SELECT s_suppkey AS k, r, {drawn.BAR_TOP} + 20 * r AS y, 30 + s_suppkey % 7 + 11 * r AS a, 300 + s_suppkey % 13 AS b FROM supplier, (SELECT unnest(range(0, {drawn.BARS})) AS r)),
+ rw AS (SELECT s_suppkey AS k, y FROM supplier, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y))
+ SELECT CAST(rw.k AS VARCHAR) AS page_id, CAST({drawn.WIDTH} AS BIGINT) AS width, rw.y, CAST(255 * {drawn.WIDTH * (drawn.WIDTH + 1) // 2} - coalesce(215 * (b * (b + 1) // 2 - a * (a + 1) // 2), 0) AS BIGINT) AS total FROM rw LEFT JOIN br ON br.k = rw.k AND rw.y >= br.y AND rw.y < br.y + 6""",
     "stage1_lines": f"WITH {_KEPT} SELECT page_id || '_full' AS page_id, 'h' AS orient, j AS idx, y AS pos, {drawn.LEFT} - 1 AS s, {drawn.LEFT} + n * dx + 2 AS e, {drawn.WIDTH} AS width, {drawn.HEIGHT} AS height FROM row_ UNION ALL SELECT page_id || '_full', 'v', idx, x, {drawn.TOP} + CASE WHEN i = 1 THEN dy ELSE 0 END - 1, {drawn.TOP} + m * dy + 2, {drawn.WIDTH}, {drawn.HEIGHT} FROM kept",
-    "stage1_tables": f"WITH {drawn.GRID} SELECT page_id || '_full' AS page_id, CAST(m * dy + 40 AS INTEGER) AS height, CAST(n * dx + 40 AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM grid",
+    "stage1_tables": f"""WITH {drawn.GRID}, {drawn.DARK}, ta AS (SELECT page_id, n * dx + 40 AS w, y FROM grid, LATERAL (SELECT unnest(range(0, m * dy + 40)) AS y))
+ SELECT t.page_id || '_full' AS page_id, w AS width, t.y, CAST(255 * (w * (w + 1) // 2 - coalesce(sum(x - {drawn.LEFT - 21}), 0)) AS BIGINT) AS total FROM ta t LEFT JOIN dk ON dk.page_id = t.page_id AND dk.y = t.y + {drawn.TOP - 20} GROUP BY t.page_id, w, t.y""",
     "stage2_merged": f"""WITH {_KEPT}, ce AS (SELECT c.page_id, j AS row, idx AS col, x - 20 AS x1, nx - 20 AS x2, r.y - 80 AS y1, r.y + r.dy - 80 AS y2, c.m FROM kept c JOIN row_ r ON r.page_id = c.page_id WHERE nx IS NOT NULL AND j < r.m)
  SELECT page_id || '_full' AS page_id, row, col, 1 AS rowspan, CASE WHEN m = 3 AND row = 0 AND col = 0 THEN 2 ELSE 1 END AS colspan, x1, y1, CASE WHEN m = 3 AND row = 0 AND col = 0 THEN lead(x2) OVER (PARTITION BY page_id, row ORDER BY col) ELSE x2 END AS x2, y2 FROM ce QUALIFY m <> 3 OR row > 0 OR col <> 1""",
-    "stage2_strips": f"WITH {_KEPT} SELECT page_id || '_full_col' || lpad(CAST(idx + 1 AS VARCHAR), 2, '0') AS page_id, CAST(m * dy + 40 AS INTEGER) AS height, CAST(least(nx, n * dx + 40) - greatest(x - 40, 0) AS INTEGER) AS width, 1 AS n_channels, CAST(NULL AS VARCHAR) AS error FROM kept WHERE nx IS NOT NULL",
+    "stage2_strips": f"""WITH {_KEPT}, {drawn.DARK}, st AS (SELECT page_id, idx, greatest(x - 40, 0) AS a, least(nx, n * dx + 40) AS b, y FROM kept, LATERAL (SELECT unnest(range(0, m * dy + 40)) AS y) WHERE nx IS NOT NULL)
+ SELECT s.page_id || '_full_col' || lpad(CAST(idx + 1 AS VARCHAR), 2, '0') AS page_id, CAST(b - a AS BIGINT) AS width, s.y, CAST(255 * ((b - a) * (b - a + 1) // 2 - coalesce(sum(x - {drawn.LEFT - 20} - a + 1), 0)) AS BIGINT) AS total
+ FROM st s LEFT JOIN dk ON dk.page_id = s.page_id AND dk.y = s.y + {drawn.TOP - 20} AND x - {drawn.LEFT - 20} >= a AND x - {drawn.LEFT - 20} < b GROUP BY s.page_id, idx, a, b, s.y""",
     "image_source": f"WITH {drawn.GRID} SELECT page_id, {_BLACK} AS black, {drawn.HEIGHT * drawn.WIDTH} - ({_BLACK}) AS white FROM grid",
 }
 
 
-QUERIES["rotate"] = lambda s, sf: pages.measure(_ruled(s, sf), _turned, "turned long, kept boolean")
+QUERIES["rotate_there_and_back"] = lambda s, sf: pages.measure(_ruled(s, sf), _turned, "turned long, kept boolean")
+QUERIES |= raster_queries.QUERIES
+SQL |= raster_queries.SQL
 
 
 def _turned(image):
