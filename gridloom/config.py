@@ -17,6 +17,7 @@ class Deskew:
     min_angle: float = 0.2
     binarized: bool = False
     stop_early: bool = False
+    enabled: bool = True
 
 
 @dataclass(frozen=True)
@@ -57,13 +58,38 @@ class Lines:
 
 @dataclass(frozen=True)
 class Tags:
-    size: tuple[int, int] = (30, 300)
-    aspect: tuple[float, float] = (0.25, 1.8)
-    min_dark: float = 0.4
+    """method: auto (stable regions of a band, scored) or classic (dark regions of the dark rows)."""
+
+    method: str = "auto"
+    # auto: the band and a tag's size as shares of the page
+    band_top: float = 0.08
+    band_bottom: float = 0.42
+    min_width: float = 0.015
+    max_width: float = 0.10
+    min_height: float = 0.015
+    max_height: float = 0.10
+    min_aspect: float = 0.3
+    max_aspect: float = 2.5
+    min_dark: float = 0.52
     reject_red: bool = True
     iou: float = 0.30
-    min_score: float = 0.5
+    min_score: float = 0.55
     rows: str = "median"
+    glyph_kernel: int = 3
+    pad: int = 8
+    mask_close: int = 11
+    mask_open: int = 3
+    mask_grow: int = 3
+    # classic
+    dark: int = 110
+    row_dark: int = 200
+    dark_share: float = 0.7
+    min_area: int = 2000
+    max_area: int = 60000
+    classic_min_aspect: float = 0.3
+    classic_max_aspect: float = 1.8
+    kernel: int = 5
+    iterations: int = 2
 
 
 @dataclass(frozen=True)
@@ -75,6 +101,11 @@ class Stage1:
     dilate_iter: int = 2
     kernel_size: int = 3
     margin_method: str = "paper"
+    margin_blur: int = 5
+    margin_close: int = 25
+    margin_close_iter: int = 2
+    margin_erode: int = 0
+    margin_strong: float = 50.0
     deskew: Deskew = field(default_factory=Deskew)
     lines: Lines = field(default_factory=Lines)
     tag: Tags = field(default_factory=Tags)
@@ -97,10 +128,11 @@ class Stage2:
     padding_left: int = 20
     padding_right: int = 20
     min_width: int = 1
+    cut: bool = True
     longest_only: bool = False
     min_length_ratio: float = 0.9
     binarize: bool = True
-    binarize_method: str = "otsu"
+    binary: Preparation = field(default_factory=lambda: Preparation("otsu", block=11, c=2))
     final_deskew: bool = True
     final: Deskew = field(default_factory=lambda: Deskew("radon", fine_step=0.2, min_angle=0.1, binarized=True))
 
@@ -117,6 +149,10 @@ def check(config) -> None:
             raise ValueError(f"{f.name} must lie between 0 and 1")
         elif f.name in ("threshold",) and not 0 <= v <= 255:
             raise ValueError(f"{f.name} must lie between 0 and 255")
+        elif isinstance(config, Tags) and f.name == "method" and v not in ("auto", "classic"):
+            raise ValueError(f"unknown way to remove tags {v!r}")
+        elif f.name == "margin_method" and v not in ("paper", "gradient", "keep_borders"):
+            raise ValueError(f"unknown way to remove margins {v!r}")
 
 
 def from_dict(kind, values: dict, base=None):
@@ -132,13 +168,16 @@ def from_dict(kind, values: dict, base=None):
             continue
         if k == "prepare":
             v = v if isinstance(v, Preparation) else from_dict(Preparation, v, old)
+        elif isinstance(old, bool) and not isinstance(v, bool):
+            raise ValueError(f"{k} must be true or false")
         new[k] = from_dict(type(old), v, old) if dataclasses.is_dataclass(old) and isinstance(v, dict) else tuple(v) if isinstance(old, tuple) else v
     made = dataclasses.replace(base, **new)
     check(made)
     return made
 
 
-#: Parameters of a sectioned file by section, and the field that each one sets (a dot leads into a part).
+#: The sections of a file and their parameters, with the field that each one sets (a dot leads into a part).
+_DESKEW = {"enable": "enabled", "method": "method", "use_binarization": "binarized", "coarse_range": "coarse_range", "coarse_step": "coarse_step", "fine_range": "fine_range", "fine_step": "fine_step", "min_angle_correction": "min_angle"}
 _LINES = {
     "threshold": "threshold", "horizontal_kernel_size": "h_size", "vertical_kernel_size": "v_size", "alignment_threshold": "alignment", "h_min_length_image_ratio": "h_min",
     "h_min_length_relative_ratio": "h_relative", "v_min_length_image_ratio": "v_min", "v_min_length_relative_ratio": "v_relative", "min_aspect_ratio": "min_aspect",
@@ -148,49 +187,105 @@ _PREPARATION = {
     "binarization_method": "method", "binarization_threshold": "level", "adaptive_block_size": "block", "adaptive_c": "c", "binarization_invert": "invert", "binarization_denoise": "denoise",
     "stroke_enhancement": "strokes", "stroke_kernel_size": "stroke_size", "stroke_iterations": "stroke_iterations", "stroke_kernel_shape": "stroke_shape",
 }
-_DESKEW = {"method": "method", "use_binarization": "binarized", "coarse_range": "coarse_range", "coarse_step": "coarse_step", "fine_range": "fine_range", "fine_step": "fine_step", "min_angle_correction": "min_angle"}
+_TAGS = {
+    "method": "method", "band_top": "band_top", "band_bottom": "band_bottom", "min_width_ratio": "min_width", "max_width_ratio": "max_width", "min_height_ratio": "min_height", "max_height_ratio": "max_height",
+    "min_aspect_ratio": "min_aspect", "max_aspect_ratio": "max_aspect", "min_dark": "min_dark", "reject_red": "reject_red", "nms_iou": "iou", "min_score": "min_score", "rows_mode": "rows",
+    "glyph_kernel_size": "glyph_kernel", "pad_px": "pad", "mask_close_kernel_size": "mask_close", "mask_open_kernel_size": "mask_open", "mask_dilate_kernel_size": "mask_grow",
+    "thresh_dark": "dark", "row_sum_thresh": "row_dark", "dark_ratio": "dark_share", "min_area": "min_area", "max_area": "max_area", "min_aspect": "classic_min_aspect", "max_aspect": "classic_max_aspect",
+    "morph_kernel_size": "kernel", "morph_iterations": "iterations",
+}
+_TAG_METHODS = {"auto_whitefill_broadmask": "auto", "classic": "classic"}
+_COMMON = {
+    "deskewing": {k: f"deskew.{v}" for k, v in _DESKEW.items()},
+    "table_line_detection": {k: f"lines.{v}" for k, v in _LINES.items()},
+    "table_detection": {"table_detection_eps": "eps"},
+}
+_SECTIONS = {
+    "Stage1": _COMMON | {
+        "mark_removal": {"enable": "marks", "dilate_iter": "dilate_iter", "kernel_size": "kernel_size"},
+        "tag_removal": {"enable": "tags"} | {k: f"tag.{v}" for k, v in _TAGS.items()},
+        "margin_removal": {"enable": "margin", "blur_ksize": "margin_blur", "close_ksize": "margin_close", "close_iter": "margin_close_iter", "erode_after_close": "margin_erode", "gradient_threshold": "margin_strong"},
+        "inscribed_margin_removal": {"inscribed_blur_ksize": "margin_blur", "inscribed_close_ksize": "margin_close", "inscribed_close_iter": "margin_close_iter"},
+        "page_splitting": {"enable": "split", "search_ratio": "search_ratio", "line_len_frac": "line_len_frac", "line_thick": "line_thick", "peak_thr": "peak"},
+        "table_detection": {"table_detection_eps": "eps", "table_crop_padding": "padding", "enable_table_cropping": "crop"},
+    },
+    "Stage2": _COMMON | {
+        "table_recovery": {"coverage_ratio": "coverage"},
+        "vertical_strip_cutting": {"enable": "cut", "padding_left": "padding_left", "padding_right": "padding_right", "min_width": "min_width", "use_longest_lines_only": "longest_only", "min_length_ratio": "min_length_ratio"},
+        "binarization": {"enable": "binarize", "method": "binary.method", "threshold": "binary.level", "adaptive_block_size": "binary.block", "adaptive_c": "binary.c", "invert": "binary.invert", "denoise": "binary.denoise"},
+        "final_deskew": {"enable": "final_deskew"} | {k: f"final.{v}" for k, v in _DESKEW.items() if k != "enable"},
+    },
+}
+_STROKES = {"enable": "binary.strokes", "kernel_size": "binary.stroke_size", "iterations": "binary.stroke_iterations", "kernel_shape": "binary.stroke_shape"}
+#: What a file may have and this engine has no use for: folders, workers, debugging, and parameters that no step reads any more.
+PASSED_OVER = {
+    None: {"input_dir", "output_dir", "debug_dir", "verbose", "save_debug_images", "optimization", "table_fitting", "roi_margins"},
+    "Stage1": {("table_detection", "table_detection_kernel_ratio")},
+    "Stage2": {("table_detection", "table_detection_kernel_ratio"), ("table_detection", "enable_table_cropping"), ("table_detection", "table_crop_padding"), "inscribed_margin_removal"},
+}
 
 
-def _lines(found: dict) -> dict:
-    out = {_LINES[k]: v for k, v in found.items() if k in _LINES}
-    out["region"] = [found.get(f"search_region_{side}") or 0 for side in ("top", "bottom", "left", "right")]
-    if found.get("line_detection_use_preprocessing"):
-        out["prepare"] = {field: found[f"line_detection_{k}"] for k, field in _PREPARATION.items() if f"line_detection_{k}" in found}
-    return out
+def _put(values: dict, path: str, value) -> None:
+    *parts, last = path.split(".")
+    for p in parts:
+        values = values.setdefault(p, {})
+    values[last] = value
 
 
-def _deskew(found: dict) -> dict:
-    out = {_DESKEW[k]: v for k, v in found.items() if k in _DESKEW}
-    return out if found.get("enable", True) else out | {"min_angle": 1e9}  # no page is turned so far
+def _special(kind: str, section: str, found: dict, values: dict) -> set[str]:
+    """Parameters that don't set one field each; returns their names."""
+    if section == "table_line_detection":
+        sides = [f"search_region_{side}" for side in ("top", "bottom", "left", "right")]
+        _put(values, "lines.region", [found.get(s) or 0 for s in sides])
+        prefix = "line_detection_"
+        prepared = {f: found[n] for k, f in _PREPARATION.items() for n in (k, prefix + k) if n in found}
+        use = {"use_preprocessing", prefix + "use_preprocessing"}
+        if any(found.get(n) for n in use):
+            _put(values, "lines.prepare", prepared)
+        return {*sides, *use, *_PREPARATION, *(prefix + k for k in _PREPARATION)}
+    if section == "mark_removal":
+        if found.get("protect_table_lines"):
+            p = found.get("table_detection_params") or {}
+            if unknown := set(p) - {"threshold", "horizontal_kernel_size", "vertical_kernel_size"}:
+                raise ValueError(f"unknown parameters: {', '.join(sorted(unknown))}")
+            values["protect"] = {"threshold": p.get("threshold", 40), "h_size": p.get("horizontal_kernel_size", 100), "v_size": p.get("vertical_kernel_size", 100), "thickness": found.get("table_line_thickness", 3)}
+        return {"protect_table_lines", "table_detection_params", "table_line_thickness"}
+    if section == "margin_removal":
+        if found.get("use_gradient_detection"):
+            values["margin_method"] = "gradient"
+        return {"use_gradient_detection"}
+    if section == "tag_removal" and found.get("method") in _TAG_METHODS:
+        _put(values, "tag.method", _TAG_METHODS[found["method"]])
+        return {"method"}
+    if section == "binarization":
+        strokes = found.get("stroke_enhancement") or {}
+        if unknown := set(strokes) - set(_STROKES):
+            raise ValueError(f"unknown parameters: {', '.join(sorted(unknown))}")
+        for k, v in strokes.items():
+            _put(values, _STROKES[k], v)
+        return {"stroke_enhancement"}
+    return set()
 
 
 def from_sections(kind, found: dict):
     """A Stage1 or Stage2 from a file with a section for each step, as page pipelines commonly have.
 
-    Sections that this engine has no use for (folders, workers, debugging) are passed over; a step that is not enabled is left out.
+    Every parameter sets its field; what PASSED_OVER names has none, and anything else raises ValueError. A step that is not enabled is left out.
     """
-    part = lambda name: found.get(name) or {}
-    on = lambda name: bool(part(name).get("enable", True))
-    lines = {"lines": _lines(part("table_line_detection"))} if "table_line_detection" in found else {}
-    deskew = {"deskew": _deskew(part("deskewing"))} if "deskewing" in found else {}
-    values = lines | deskew | {"eps": part("table_detection").get("table_detection_eps")}
-    if kind is Stage1:
-        m, t, s = part("mark_removal"), part("tag_removal"), part("page_splitting")
-        values |= {
-            "marks": on("mark_removal"), "dilate_iter": m.get("dilate_iter"), "kernel_size": m.get("kernel_size"), "tags": on("tag_removal"), "margin": on("margin_removal"), "split": on("page_splitting"),
-            "margin_method": "gradient" if part("margin_removal").get("use_gradient_detection") else None, "search_ratio": s.get("search_ratio"), "line_len_frac": s.get("line_len_frac"), "line_thick": s.get("line_thick"), "peak": s.get("peak_thr"),
-            "padding": part("table_detection").get("table_crop_padding"), "crop": part("table_detection").get("enable_table_cropping"),
-            "tag": {"min_dark": t.get("min_dark"), "min_score": t.get("min_score"), "reject_red": t.get("reject_red"), "iou": t.get("nms_iou"), "rows": t.get("rows_mode")},
-        }
-        if m.get("protect_table_lines"):
-            p = m.get("table_detection_params") or {}
-            values["protect"] = {"threshold": p.get("threshold", 40), "h_size": p.get("horizontal_kernel_size", 100), "v_size": p.get("vertical_kernel_size", 100), "thickness": m.get("table_line_thickness", 3)}
-    else:
-        v, b, f = part("vertical_strip_cutting"), part("binarization"), part("final_deskew")
-        values |= {
-            "coverage": part("table_recovery").get("coverage_ratio"), "padding_left": v.get("padding_left"), "padding_right": v.get("padding_right"), "min_width": v.get("min_width"),
-            "longest_only": v.get("use_longest_lines_only"), "min_length_ratio": v.get("min_length_ratio"), "binarize": on("binarization"), "binarize_method": b.get("method"), "final_deskew": on("final_deskew"), "final": _deskew(f),
-        }
+    sections, passed, values = _SECTIONS[kind.__name__], PASSED_OVER[None] | PASSED_OVER[kind.__name__], {}
+    for section, own in found.items():
+        if section in passed:
+            continue
+        if section not in sections:
+            raise ValueError(f"unknown section {section!r}")
+        fields = sections[section]
+        special = _special(kind.__name__, section, own or {}, values)
+        for k, v in (own or {}).items():
+            if k in special or (section, k) in passed:
+                continue
+            if k not in fields:
+                raise ValueError(f"unknown parameter {k!r} of {section!r}")
+            _put(values, fields[k], v)
     return from_dict(kind, values)
 
 
@@ -198,4 +293,5 @@ def from_json(kind, path: str):
     """Reads fields of the kind itself, or sections of steps."""
     with open(path, encoding="utf-8") as f:
         found = json.load(f)
-    return from_sections(kind, found) if "table_line_detection" in found or "deskewing" in found else from_dict(kind, found)
+    sections = _SECTIONS[kind.__name__]
+    return from_sections(kind, found) if any(k in sections and isinstance(v, dict) and not hasattr(kind(), k) for k, v in found.items()) else from_dict(kind, found)

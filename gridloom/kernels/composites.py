@@ -27,7 +27,7 @@ def paper_mask(image: np.ndarray, blur: int = 5, close: int = 25, close_iter: in
     """The page against its background, as the largest region with its holes closed."""
     g = px.gray(image)
     if blur:
-        g = px.gaussian_blur(g, blur)
+        g = px.gaussian_blur(g, blur + (blur % 2 == 0))
     mask = px.otsu(g)
     if mask.mean() < 127:
         mask = 255 - mask
@@ -171,8 +171,9 @@ def white_boxes(image: np.ndarray, boxes, margin: int = 2) -> np.ndarray:
     return out
 
 
-def white_capsules(image: np.ndarray, boxes) -> np.ndarray:
+def white_capsules(image: np.ndarray, boxes, **options) -> np.ndarray:
+    """options: of capsule_mask()."""
     out, g = image.copy(), px.gray(image)
     for x, y, w, h in boxes:
-        out[y : y + h, x : x + w][capsule_mask(g[y : y + h, x : x + w]) > 0] = 255
+        out[y : y + h, x : x + w][capsule_mask(g[y : y + h, x : x + w], **options) > 0] = 255
     return out

@@ -218,13 +218,15 @@ def area_quarter(image: np.ndarray) -> np.ndarray:
 
 
 def hue_saturation(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hue in 0..179 and saturation in 0..255 of a BGR image."""
-    b, g, r = (image[..., k].astype(np.float64) for k in range(3))
+    """Hue in 0..179 and saturation in 0..255 of a BGR image, as whole numbers."""
+    b, g, r = (image[..., k].astype(np.int64) for k in range(3))
     v, low = np.maximum(np.maximum(b, g), r), np.minimum(np.minimum(b, g), r)
     d = v - low
-    safe = np.where(d > 0, d, 1)
-    h = np.where(v == r, (g - b) / safe, np.where(v == g, 2 + (b - r) / safe, 4 + (r - g) / safe))
-    return np.where(d > 0, (h * 30) % 180, 0), np.where(v > 0, d / np.where(v > 0, v, 1) * 255, 0)
+    n = np.arange(1, 256)
+    by_v, by_d = (np.append(0, np.rint(of * 4096 / n)).astype(np.int64) for of in (255, 30))
+    turn = np.where(v == r, g - b, np.where(v == g, b - r + 2 * d, r - g + 4 * d))
+    h = (turn * by_d[d] + 2048) >> 12
+    return np.where(h < 0, h + 180, h), (d * by_v[v] + 2048) >> 12
 
 
 def blend(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:

@@ -232,32 +232,33 @@ def gutter(image: np.ndarray, search_ratio=0.5, line_len_frac=0.3, line_thick=3,
     return (two[0][0] + two[0][1]) // 2 if len(two) == 1 else (two[0][1] + two[1][0]) // 2
 
 
-def remove_tags_classic(images: DataFrame, dark: int = 110, **bounds) -> DataFrame:
+def remove_tags_classic(images: DataFrame, dark: int = 110, least: int = 200, kernel: int = 5, iterations: int = 2, **bounds) -> DataFrame:
     """Pages whose tags are painted white: dark regions of the band that tags.classic_filter() takes (bounds are its own)."""
     from . import tags
 
-    return white_fill(images, tags.classic_filter(tag_boxes(images, dark), **bounds))
+    return white_fill(images, tags.classic_filter(tag_boxes(images, dark, least, kernel, iterations), **bounds))
 
 
-def tag_boxes(images: DataFrame, dark: int = 110) -> DataFrame:
+def tag_boxes(images: DataFrame, dark: int = 110, least: int = 200, kernel: int = 5, iterations: int = 2) -> DataFrame:
     """page_id, box_id, x, y, w, h, area, dark of dark regions in the band of tags, in the page's frame."""
 
-    def kernel(i):
+    def run(i):
         g = px.gray(i)
-        band = comp.dark_band(g, dark)
+        band = comp.dark_band(g, dark, least)
         if band is None:
             return []
-        return [(k, x, y + band[0], w, h, a, d) for k, (x, y, w, h, a, d) in enumerate(comp.tag_regions(g[band[0] : band[1]], dark))]
+        return [(k, x, y + band[0], w, h, a, d) for k, (x, y, w, h, a, d) in enumerate(comp.tag_regions(g[band[0] : band[1]], dark, kernel, iterations))]
 
-    return measure(images, kernel, "box_id long, x long, y long, w long, h long, area long, dark double")
+    return measure(images, run, "box_id long, x long, y long, w long, h long, area long, dark double")
 
 
-def tag_candidates(images: DataFrame, top: float = 0.0, bottom: float = 0.4, pad: int = 24) -> DataFrame:
-    """page_id, box_id, x, y, w, h, dark, sat, hue, glyphs, band_width, band_height, band_top of stable regions of the band."""
+def tag_candidates(images: DataFrame, top: float = 0.08, bottom: float = 0.42, glyph_kernel: int = 3, pad: int = 24) -> DataFrame:
+    """page_id, box_id, x, y, w, h, dark, sat, hue, glyphs, band_width, band_height, band_top, page_width, page_height of stable regions of the band."""
 
     def kernel(i):
         h = i.shape[0]
-        y0, y1 = int(top * h), int(bottom * h)
+        y0 = max(0, min(h - 1, int(top * h)))
+        y1 = max(y0 + 1, min(h, int(bottom * h)))
         band = i[y0:y1]
         g = px.gray(band)
         hue, sat = px.hue_saturation(px.bgr(band))
@@ -267,14 +268,16 @@ def tag_candidates(images: DataFrame, top: float = 0.0, bottom: float = 0.4, pad
             x2, y2 = max(x, 0), max(y, 0)
             roi = (slice(y2, y + hh), slice(x2, x + w))
             if g[roi].size:
-                out.append((k, x, y, w, hh, float((g[roi] < 160).mean()), float(sat[roi].mean()), float(hue[roi].mean()), comp.glyph_count(g[roi]), g.shape[1], g.shape[0], y0))
+                dark = float((g[roi] < 160).mean())
+                out.append((k, x, y, w, hh, dark, float(sat[roi].mean()), float(hue[roi].mean()), comp.glyph_count(g[roi], kernel=glyph_kernel), g.shape[1], g.shape[0], y0, i.shape[1], h))
         return out
 
-    return measure(images, kernel, "box_id long, x long, y long, w long, h long, dark double, sat double, hue double, glyphs long, band_width long, band_height long, band_top long")
+    columns = "box_id long, x long, y long, w long, h long, dark double, sat double, hue double, glyphs long, band_width long, band_height long, band_top long, page_width long, page_height long"
+    return measure(images, kernel, columns)
 
 
-def white_fill(images: DataFrame, boxes: DataFrame, capsules: bool = False, margin: int = 2) -> DataFrame:
-    """Pages with their boxes(page_id, x, y, w, h) painted white; with capsules only the dark shape within each."""
+def white_fill(images: DataFrame, boxes: DataFrame, capsules: dict | None = None, margin: int = 2) -> DataFrame:
+    """Pages with their boxes(page_id, x, y, w, h) painted white; with capsules (options of comp.capsule_mask()) only the dark shape within each."""
     lists = boxes.groupBy("page_id").agg(F.collect_list(F.struct("x", "y", "w", "h")).alias("boxes"))
 
     def run(batches):
@@ -284,7 +287,7 @@ def white_fill(images: DataFrame, boxes: DataFrame, capsules: bool = False, marg
                     yield _table([(page, None, None, None, None, error)], _ARROW)
                     continue
                 i, own = to_array(h, w, c, data.as_py()), [(x["x"], x["y"], x["w"], x["h"]) for x in b or ()]
-                yield _table([image_row(page, comp.white_capsules(i, own) if capsules else comp.white_boxes(i, own, margin))], _ARROW)
+                yield _table([image_row(page, comp.white_boxes(i, own, margin) if capsules is None else comp.white_capsules(i, own, **capsules))], _ARROW)
 
     return images.join(lists, "page_id", "left").mapInArrow(run, IMAGE)
 

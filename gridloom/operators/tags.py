@@ -19,11 +19,14 @@ def classic_filter(boxes: DataFrame, min_area=2000, max_area=60000, min_aspect=0
     return boxes.where((aspect > min_aspect) & (aspect < max_aspect) & (F.col("area") > min_area) & (F.col("area") < max_area) & (F.col("dark") >= min_dark))
 
 
-def candidate_reason(width: int, height: int, size: tuple[int, int], aspect: tuple[float, float], min_dark: float, reject_red: bool = True) -> Column:
-    """Why a box (also dark, sat, hue) is no candidate: bounds, shape, light, red; null for candidates."""
+def candidate_reason(width, height, size: tuple, aspect: tuple[float, float], min_dark: float, reject_red: bool = True, tall: tuple | None = None) -> Column:
+    """Why a box (also dark, sat, hue) is no candidate: bounds, shape, light, red; null for candidates.
+
+    size: least and greatest width, and height unless `tall` has its own; these and the page's sides may be columns.
+    """
     a = F.col("w") / F.greatest("h", F.lit(1))
     out = (F.col("x") < 0) | (F.col("y") < 0) | (F.col("x") + F.col("w") > width) | (F.col("y") + F.col("h") > height)
-    fits = F.col("w").between(*size) & F.col("h").between(*size) & a.between(*aspect)
+    fits = F.col("w").between(*size) & F.col("h").between(*(tall or size)) & a.between(*aspect)
     red = (F.col("sat") > 70) & ((F.col("hue") < 15) | (F.col("hue") > 165)) & (F.col("dark") < 0.70)
     reason = F.when(out, "bounds").when(~fits, "shape").when(F.col("dark") < min_dark, "light")
     return reason.when(red, "red") if reject_red else reason

@@ -62,6 +62,24 @@ def tagged_text(k: int) -> np.ndarray:
     return page
 
 
+#: The capsules' first row and the red frame's size and thickness.
+CAPSULES, CAPSULE_TOP, FRAME, THICK = 5, 40, (58, 70), 8
+
+
+def capsules(k: int) -> np.ndarray:
+    """A colour page with five dark tags of 42 by 52 pixels, each with three bright glyphs, and a red frame, which is a stamp and none of them."""
+    page = np.full((HEIGHT, WIDTH, 3), 255, np.uint8)
+    for t in range(CAPSULES):
+        x, y = 12 + 62 * t + k % 10, CAPSULE_TOP + k % 3
+        page[y : y + 52, x : x + 42] = 30
+        for g in range(3):
+            page[y + 4 + 16 * g : y + 14 + 16 * g, x + 16 : x + 26] = 220
+    x = 325 + k % 10
+    page[CAPSULE_TOP : CAPSULE_TOP + FRAME[1], x : x + FRAME[0]] = (40, 40, 210)
+    page[CAPSULE_TOP + THICK : CAPSULE_TOP + FRAME[1] - THICK, x + THICK : x + FRAME[0] - THICK] = 255
+    return page
+
+
 def marked(k: int) -> np.ndarray:
     """The table with pale marks well away from its lines."""
     page = ruled(k)

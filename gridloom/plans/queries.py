@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.config import Deskew, Stage1, Stage2
+from gridloom.config import Deskew, Stage1, Stage2, Tags
 from gridloom.kernels import pixels as px
 from gridloom.operators import grid, lines, pages, raster, recover, strips, tags
 
@@ -336,6 +336,23 @@ def _image_sums(images: DataFrame) -> DataFrame:
     return pages.measure(images, sums, "width long, y long, total long")
 
 
+_AUTO = Tags(min_width=0.01, max_width=0.15, min_height=0.05, max_height=0.25, min_aspect=0.15, max_aspect=3.0, min_dark=0.2, min_score=0.4, mask_close=15, mask_open=5, mask_grow=5)
+
+
+def _colour_sums(images: DataFrame) -> DataFrame:
+    """page_id, y, total: row sums of (b + 2 g + 3 r) * (x + 1)."""
+
+    def sums(i):
+        weights = (1 + np.arange(i.shape[1]))[:, None] * np.arange(1, 4)
+        return [(y, t) for y, t in enumerate((i.astype("int64") * weights).sum((1, 2)).tolist())]
+
+    return pages.measure(images, sums, "y long, total long")
+
+
+def _tags_found(s, sf):
+    return stages.find_tags(drawn.pages_of(s, sf, drawn.capsules), _AUTO).select("page_id", "x", "y", "w", "h", F.round("dark", 6).alias("dark"), "glyphs")
+
+
 _held: list[stages.Outputs] = []
 
 
@@ -419,6 +436,8 @@ QUERIES |= {
     "split_pages": lambda s, sf: _image_sums(pages.split_pages(drawn.pages_of(s, sf, drawn.spread))),
     "line_segments": lambda s, sf: pages.line_segments(_ruled(s, sf)).select("page_id", "orient", "pos", "s", "e"),
     "tag_boxes": lambda s, sf: pages.tag_boxes(drawn.pages_of(s, sf, drawn.tagged)),
+    "tags_auto_found": _tags_found,
+    "tags_auto_whitened": lambda s, sf: _colour_sums(stages.remove_tags(drawn.pages_of(s, sf, drawn.capsules), _AUTO)),
     "tags_whitened": lambda s, sf: _image_sums(pages.remove_tags_classic(drawn.pages_of(s, sf, drawn.tagged_text))),
     "stage1_lines": _stages("stage1_lines", lambda df: df.select("page_id", "orient", "idx", "pos", "s", "e", "width", "height")),
     "stage1_tables": _stages("stage1_tables", _image_sums),
@@ -455,6 +474,10 @@ SQL |= {
  SELECT page_id, w AS width, y, 255 * (w * (w + 1) // 2 - CASE WHEN y < 10 OR y >= {drawn.HEIGHT - 10} THEN 0 WHEN side = '_left' THEN w ELSE 6 END) AS total FROM sp, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y)""",
     "line_segments": f"WITH {_KEPT} SELECT page_id, 'h' AS orient, y AS pos, {drawn.LEFT} - 1 AS s, {drawn.LEFT} + n * dx + 2 AS e FROM row_ UNION ALL SELECT page_id, 'v', x, {drawn.TOP} + CASE WHEN i = 1 THEN dy ELSE 0 END - 1, {drawn.TOP} + m * dy + 2 FROM kept",
     "tag_boxes": "SELECT CAST(s_suppkey AS VARCHAR) AS page_id, t AS box_id, 12 + 62 * t + s_suppkey % 10 AS x, 24 AS y, 42 AS w, 52 AS h, 42 * 52 AS area, 1.0::DOUBLE AS dark FROM supplier, (SELECT unnest(range(0, 6)) AS t)",
+    "tags_auto_found": f"SELECT CAST(s_suppkey AS VARCHAR) AS page_id, 12 + 62 * t + s_suppkey % 10 AS x, {drawn.CAPSULE_TOP} + s_suppkey % 3 AS y, 42 AS w, 52 AS h, round((42 * 52 - 300) / CAST(42 * 52 AS DOUBLE), 6) AS dark, 3 AS glyphs FROM supplier, (SELECT unnest(range(0, {drawn.CAPSULES})) AS t)",
+    "tags_auto_whitened": f"""WITH fr AS (SELECT s_suppkey AS k, y, x FROM supplier, (SELECT unnest(range(0, {drawn.FRAME[1]})) AS y), (SELECT unnest(range(0, {drawn.FRAME[0]})) AS x) WHERE least(x, y, {drawn.FRAME[0] - 1} - x, {drawn.FRAME[1] - 1} - y) < {drawn.THICK}),
+ rs AS (SELECT k, y + {drawn.CAPSULE_TOP} AS y, sum(x + 326 + k % 10) AS t FROM fr GROUP BY ALL)
+ SELECT CAST(s_suppkey AS VARCHAR) AS page_id, r.y, CAST(255 * 6 * {drawn.WIDTH * (drawn.WIDTH + 1) // 2} - 780 * coalesce(t, 0) AS BIGINT) AS total FROM supplier, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y) r LEFT JOIN rs ON rs.k = s_suppkey AND rs.y = r.y""",
     "tags_whitened": f"""WITH br AS (SELECT s_suppkey AS k, r, {drawn.BAR_TOP} + 20 * r AS y, 30 + s_suppkey % 7 + 11 * r AS a, 300 + s_suppkey % 13 AS b FROM supplier, (SELECT unnest(range(0, {drawn.BARS})) AS r)),
  rw AS (SELECT s_suppkey AS k, y FROM supplier, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y))
  SELECT CAST(rw.k AS VARCHAR) AS page_id, CAST({drawn.WIDTH} AS BIGINT) AS width, rw.y, CAST(255 * {drawn.WIDTH * (drawn.WIDTH + 1) // 2} - coalesce(215 * (b * (b + 1) // 2 - a * (a + 1) // 2), 0) AS BIGINT) AS total FROM rw LEFT JOIN br ON br.k = rw.k AND rw.y >= br.y AND rw.y < br.y + 6""",

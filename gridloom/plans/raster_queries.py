@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators import colour
 from gridloom.operators import regions as rg
 from gridloom.operators import stencils as st
 from gridloom.operators import turning as tn
@@ -230,7 +231,40 @@ _SKEWED = f"""{PIX}, on_ AS (SELECT page_id, y, x, unnest(range(0, {len(tn.angle
  dil AS (SELECT DISTINCT p.page_id, u.orient, p.y, p.x FROM pix p JOIN uni u ON u.page_id = p.page_id AND abs(u.y - p.y) <= 1 AND abs(u.x - p.x) <= 1),
  clo AS (SELECT a.page_id, a.orient, a.y, a.x FROM dil a WHERE NOT EXISTS (SELECT 1 FROM pix n WHERE n.page_id = a.page_id AND abs(n.y - a.y) <= 1 AND abs(n.x - a.x) <= 1 AND NOT EXISTS (SELECT 1 FROM dil b WHERE b.page_id = n.page_id AND b.orient = a.orient AND b.y = n.y AND b.x = n.x)))"""
 
+# --- colours -----------------------------------------------------------------------------------
+
+
+def _coloured(s, sf):
+    """The small pages in colour: green and red are the values some places further on."""
+    at = lambda k: F.element_at("v", (F.pmod(F.col("i") + k, F.size("v")) + 1).cast("int"))
+    level = F.transform("embedding", lambda c: F.least(F.greatest(F.floor((c.cast("double") + 0.5) * 255), F.lit(0)), F.lit(255)))
+    cells = d.table(s, sf, "embeddings").select(F.col("vec_id").cast("long").alias("page_id"), level.alias("v")).select("page_id", "v", F.explode(F.sequence(F.lit(0), F.size("v") - 1)).alias("i"))
+    return cells.select("page_id", F.floor(F.col("i") / 8).alias("y"), (F.col("i") % 8).cast("long").alias("x"), *(at(k).alias(c) for c, k in (("b", 0), ("g", 7), ("r", 13))))
+
+
+def _colours(s, sf):
+    hue, sat = colour.hue_saturation(F.col("b"), F.col("g"), F.col("r"))
+    return _coloured(s, sf).select("page_id", "y", "x", hue.alias("hue"), sat.alias("sat"), colour.grey(F.col("b"), F.col("g"), F.col("r")).alias("grey"))
+
+
+def _box_colours(s, sf):
+    i, k = F.col("vec_id"), F.col("k")
+    boxes = d.table(s, sf, "embeddings").select(i.cast("long").alias("page_id"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("k"), "vec_id")
+    boxes = boxes.select("page_id", k.alias("box_id"), *(v.cast("long").alias(n) for n, v in (("x", (i + k) % 4), ("y", (i + 2 * k) % 3), ("w", 2 + (i + k) % 5), ("h", 1 + (i + k) % 4))))
+    found = colour.box_colours(_coloured(s, sf), boxes, 128)
+    return found.select("page_id", "box_id", *(F.round(c, 9).alias(c) for c in ("dark", "sat", "hue")))
+
+
+_COLOURS = """lvl AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(least(greatest(floor((CAST(c AS DOUBLE) + 0.5) * 255), 0), 255) AS BIGINT)) AS v FROM embeddings),
+ bgr AS (SELECT CAST(vec_id AS BIGINT) AS page_id, i // 8 AS y, i % 8 AS x, v[i + 1] AS b, v[(i + 7) % len(v) + 1] AS g, v[(i + 13) % len(v) + 1] AS r FROM lvl, LATERAL (SELECT unnest(range(len(v))) AS i)),
+ hsd AS (SELECT *, greatest(b, g, r) AS mx, greatest(b, g, r) - least(b, g, r) AS d FROM bgr),
+ hst AS (SELECT *, CASE WHEN mx = r THEN g - b WHEN mx = g THEN b - r + 2 * d ELSE r - g + 4 * d END AS t, CASE WHEN d > 0 THEN CAST(round_even(122880::DOUBLE / d, 0) AS BIGINT) ELSE 0 END AS hd, CASE WHEN mx > 0 THEN CAST(round_even(1044480::DOUBLE / mx, 0) AS BIGINT) ELSE 0 END AS sd FROM hsd),
+ hsv AS (SELECT page_id, y, x, CASE WHEN CAST(floor((t * hd + 2048) / 4096::DOUBLE) AS BIGINT) < 0 THEN CAST(floor((t * hd + 2048) / 4096::DOUBLE) AS BIGINT) + 180 ELSE CAST(floor((t * hd + 2048) / 4096::DOUBLE) AS BIGINT) END AS hue,
+  (d * sd + 2048) >> 12 AS sat, (b * 1868 + g * 9617 + r * 4899 + 8192) >> 14 AS grey FROM hst)"""
+
 QUERIES = {
+    "pixel_colours": _colours,
+    "box_colours": _box_colours,
     "skewed_lines": _skewed,
     "component_tree": _nodes,
     "stable_regions": _stable,
@@ -248,6 +282,9 @@ QUERIES = {
 _STOP = f"""{_search("y", "sharpness")}, fl AS (SELECT *, CASE WHEN score <= lag(score) OVER (PARTITION BY page_id ORDER BY k) THEN 1 ELSE 0 END AS f FROM wide),
  ed AS (SELECT *, CASE WHEN f = 1 AND lag(f) OVER (PARTITION BY page_id ORDER BY k) = 1 THEN k END AS e FROM fl), st AS (SELECT page_id, min(e) AS e FROM ed GROUP BY page_id)"""
 SQL = {
+    "pixel_colours": f"WITH {_COLOURS} SELECT * FROM hsv",
+    "box_colours": f"""WITH {_COLOURS}, bx AS (SELECT CAST(vec_id AS BIGINT) AS page_id, k AS box_id, (vec_id + k) % 4 AS x, (vec_id + 2 * k) % 3 AS y, 2 + (vec_id + k) % 5 AS w, 1 + (vec_id + k) % 4 AS h FROM embeddings, (SELECT unnest(range(0, 3)) AS k))
+ SELECT b.page_id, box_id, round(avg(CASE WHEN grey < 128 THEN 1.0::DOUBLE ELSE 0 END), 9) AS dark, round(avg(sat), 9) AS sat, round(avg(hue), 9) AS hue FROM bx b JOIN hsv p ON p.page_id = b.page_id AND p.x >= b.x AND p.x < b.x + w AND p.y >= b.y AND p.y < b.y + h GROUP BY b.page_id, box_id""",
     "skewed_lines": f"WITH {_SKEWED} SELECT page_id, orient, y, CAST(sum(x + 1) AS BIGINT) AS total FROM clo GROUP BY page_id, orient, y",
     "component_tree": f"WITH RECURSIVE {_REGIONS} SELECT page_id, level, first, area, x, y, w, h, round(growth, 9) AS growth FROM gro",
     "stable_regions": f"""WITH RECURSIVE {_REGIONS}, kid AS (SELECT page_id, up AS level, pfirst AS first, min(growth) AS g FROM par WHERE up IS NOT NULL GROUP BY ALL)

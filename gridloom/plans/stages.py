@@ -17,7 +17,8 @@ from gridloom.operators import grid, lines, pages, recover, strips, tags
 
 
 def upright(images: DataFrame, c: Deskew) -> DataFrame:
-    return pages.deskew(images, **dataclasses.asdict(c))
+    options = dataclasses.asdict(c)
+    return pages.deskew(images, **options) if options.pop("enabled") else images
 
 
 def detect_lines(images: DataFrame, c: Lines) -> DataFrame:
@@ -39,17 +40,34 @@ def preparation(c: Preparation | None) -> dict | None:
     return {"method": c.method, "level": c.level, "block": c.block, "c": c.c, "invert": c.invert, "denoise": c.denoise, "strokes": strokes}
 
 
-def remove_tags(images: DataFrame, c: Tags) -> DataFrame:
-    """Pages with their generation tags whitened."""
-    found = pages.tag_candidates(images)
-    size, aspect = c.size, c.aspect
-    reason = tags.candidate_reason(1 << 30, 1 << 30, size, aspect, c.min_dark, c.reject_red)
-    fits = (F.col("x") + F.col("w") <= F.col("band_width")) & (F.col("y") + F.col("h") <= F.col("band_height"))
-    kept = tags.nms(found.where(fits & reason.isNull()), c.iou)
+def find_tags(images: DataFrame, c: Tags) -> DataFrame:
+    """page_id, box_id, x, y, w, h in the page's frame, dark, glyphs of the tags that the auto method finds."""
+    found = pages.tag_candidates(images, c.band_top, c.band_bottom, c.glyph_kernel)
+    share = lambda side, ratio: F.floor(F.col(side) * ratio)
+    wide = (share("page_width", c.min_width), share("page_width", c.max_width))
+    tall = (share("page_height", c.min_height), share("page_height", c.max_height))
+    reason = tags.candidate_reason(F.col("band_width"), F.col("band_height"), wide, (c.min_aspect, c.max_aspect), c.min_dark, c.reject_red, tall)
+    kept = tags.nms(found.where(reason.isNull()), c.iou)
     scored = found.join(kept.select("page_id", "box_id"), ["page_id", "box_id"], "left_semi").where(tags.tag_score(F.col("dark"), F.col("glyphs"), F.col("w"), F.col("h")) >= c.min_score)
     by_row = {"median": tags.row_filter_median, "theilsen": tags.row_filter_theil_sen}.get(c.rows.lower())
     scored = by_row(scored) if by_row else scored
-    return pages.white_fill(images, scored.select("page_id", "x", (F.col("y") + F.col("band_top")).alias("y"), "w", "h"), capsules=True)
+    return scored.select("page_id", "box_id", "x", (F.col("y") + F.col("band_top")).alias("y"), "w", "h", "dark", "glyphs")
+
+
+def remove_tags(images: DataFrame, c: Tags) -> DataFrame:
+    """Pages with their generation tags whitened."""
+    if c.method == "classic":
+        regions = {"dark": c.dark, "least": c.row_dark, "kernel": c.kernel, "iterations": c.iterations}
+        return pages.remove_tags_classic(images, **regions, min_area=c.min_area, max_area=c.max_area, min_aspect=c.classic_min_aspect, max_aspect=c.classic_max_aspect, min_dark=c.dark_share)
+    return pages.white_fill(images, find_tags(images, c), {"pad": c.pad, "close": c.mask_close, "open_": c.mask_open, "grow": c.mask_grow})
+
+
+def margin_options(c: Stage1) -> dict:
+    """Options of the margin's method."""
+    if c.margin_method == "gradient":
+        return {"strong": c.margin_strong}
+    own = {"blur": c.margin_blur, "close": c.margin_close}
+    return own if c.margin_method == "keep_borders" else own | {"close_iter": c.margin_close_iter, "erode_after": c.margin_erode}
 
 
 class Outputs(dict):
@@ -77,7 +95,7 @@ def stage1(images: DataFrame, c: Stage1 | None = None) -> Outputs:
     if c.marks:
         p = pages.remove_marks(p, c.dilate_iter, c.kernel_size, c.protect)
     if c.margin:
-        p = pages.remove_margin(p, c.margin_method)
+        p = pages.remove_margin(p, c.margin_method, **margin_options(c))
     p = upright(p, c.deskew)
     if c.split:
         p = pages.split_pages(p, c.search_ratio, c.line_len_frac, c.line_thick, c.peak)
@@ -110,8 +128,12 @@ def stage2(tables: DataFrame, c: Stage2 | None = None) -> Outputs:
     at = strips.rescaled(strips.strip_positions(sides, c.longest_only, c.min_length_ratio), widths)
     bounds = strips.strip_bounds(at, c.padding_left, c.padding_right, c.min_width)
     cut = pages.cut_strips(p, bounds)
+    if not c.cut:
+        cut = cut.where("false")
     if c.binarize:
-        cut = pages.binarize(cut, c.binarize_method)
+        b = c.binary
+        cut = pages.strengthen(cut, b.stroke_size, b.stroke_iterations, b.stroke_shape) if b.strokes else cut
+        cut = pages.binarize(cut, b.method, level=b.level, block=b.block, c=b.c, invert=b.invert, denoise=b.denoise)
     if c.final_deskew:
         cut = upright(cut, c.final)
     out |= {"tables": p, "lines": found, "axes": axis, "cells": cells, "merged": merged, "bounds": bounds, "strips": cut}

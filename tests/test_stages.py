@@ -66,7 +66,7 @@ def test_tags_are_whitened(spark):
     page[100:170, 100:160] = 30
     for x in (110, 126, 142):
         page[120:150, x : x + 8] = 250
-    out = stages.remove_tags(src.from_arrays(spark, {"p": page}), config.Tags()).first()
+    out = stages.remove_tags(src.from_arrays(spark, {"p": page}), config.Tags(max_width=0.15, max_height=0.15)).first()
     left = np.frombuffer(out.data, np.uint8).reshape(600, 500)
     assert (left < 100).sum() < (page < 100).sum() / 4
 
@@ -145,7 +145,7 @@ def test_sectioned_config(tmp_path):
     c = config.from_json(config.Stage1, f"{tmp_path}/one.json")
     assert (c.marks, c.margin, c.split, c.tags, c.crop, c.eps, c.padding, c.kernel_size) == (True, False, False, False, False, 7, 25, 1)
     assert (c.lines.threshold, c.lines.h_size, c.lines.region, c.lines.prepare.block, c.lines.prepare.strokes) == (20, 80, (30, 0, 0, 0), 21, True)
-    assert c.protect["thickness"] == 5 and c.deskew.method == "radon" and c.deskew.binarized and c.deskew.min_angle > 90
+    assert c.protect["thickness"] == 5 and c.deskew.method == "radon" and c.deskew.binarized and not c.deskew.enabled
     two = {"deskewing": {"fine_step": 0.1}, "table_recovery": {"coverage_ratio": 0.5}, "vertical_strip_cutting": {"padding_left": 5, "use_longest_lines_only": True}, "binarization": {"enable": False}, "final_deskew": {"enable": True, "coarse_range": 2}}
     (tmp_path / "two.json").write_text(json.dumps(two))
     c = config.from_json(config.Stage2, f"{tmp_path}/two.json")
@@ -201,3 +201,93 @@ def test_release_frees_what_outputs_share(spark):
     held = list(out.held)
     out.release()
     assert not out.held and not any(df.is_cached for df in held) and out["cells"].count() == 4
+
+
+def _changed(v):
+    """Another value of the same kind."""
+    if isinstance(v, bool):
+        return not v
+    if isinstance(v, str):
+        return {"otsu": "fixed", "adaptive": "fixed", "radon": "histogram_variance", "median": "theilsen", "cross": "rect", "ellipse": "rect", "auto_whitefill_broadmask": "classic"}[v]
+    return v / 2 if isinstance(v, float) else v + 1
+
+
+def _sections():
+    """Every parameter of a file with sections, for both stages."""
+    deskew = {"enable": True, "method": "radon", "use_binarization": True, "coarse_range": 4.0, "coarse_step": 0.4, "fine_range": 0.8, "fine_step": 0.3, "min_angle_correction": 0.15}
+    prepared = {
+        "binarization_method": "adaptive", "binarization_threshold": 120, "adaptive_block_size": 21, "adaptive_c": 7, "binarization_invert": False, "binarization_denoise": True,
+        "stroke_enhancement": True, "stroke_kernel_size": 2, "stroke_iterations": 2, "stroke_kernel_shape": "cross",
+    }
+    lines = {
+        "threshold": 21, "horizontal_kernel_size": 80, "vertical_kernel_size": 41, "alignment_threshold": 3, "h_min_length_image_ratio": 0.1, "h_min_length_relative_ratio": 0.4, "v_min_length_image_ratio": 0.25,
+        "v_min_length_relative_ratio": 0.35, "min_aspect_ratio": 2, "max_h_length_ratio": 0.9, "max_v_length_ratio": 0.8, "close_line_distance": 44, "search_region_top": 30, "search_region_bottom": 31,
+        "search_region_left": 5, "search_region_right": 6, "skew_tolerance": 2, "skew_angle_step": 0.4, "line_detection_use_preprocessing": True,
+    } | {f"line_detection_{k}": v for k, v in prepared.items()}
+    one = {
+        "deskewing": deskew, "table_line_detection": lines, "table_detection": {"table_detection_eps": 9, "table_crop_padding": 25, "enable_table_cropping": True},
+        "mark_removal": {"enable": True, "dilate_iter": 3, "kernel_size": 1, "protect_table_lines": True, "table_line_thickness": 5, "table_detection_params": {"threshold": 41, "horizontal_kernel_size": 99, "vertical_kernel_size": 98}},
+        "tag_removal": {
+            "enable": True, "method": "auto_whitefill_broadmask", "thresh_dark": 160, "row_sum_thresh": 100, "dark_ratio": 0.15, "min_area": 1000, "max_area": 80000, "min_aspect": 0.2, "max_aspect": 2.4, "morph_kernel_size": 7,
+            "morph_iterations": 3, "band_top": 0.1, "band_bottom": 0.4, "rows_mode": "median", "min_dark": 0.2, "min_score": 0.4, "reject_red": True, "nms_iou": 0.2, "pad_px": 9, "min_width_ratio": 0.01, "max_width_ratio": 0.15,
+            "min_height_ratio": 0.05, "max_height_ratio": 0.25, "min_aspect_ratio": 0.15, "max_aspect_ratio": 3.0, "glyph_kernel_size": 5, "mask_close_kernel_size": 15, "mask_open_kernel_size": 5, "mask_dilate_kernel_size": 5,
+        },
+        "margin_removal": {"enable": True, "use_gradient_detection": True, "gradient_threshold": 49, "blur_ksize": 9, "close_ksize": 20, "close_iter": 3, "erode_after_close": 2},
+        "page_splitting": {"enable": True, "search_ratio": 0.3, "line_len_frac": 0.4, "line_thick": 4, "peak_thr": 0.2},
+    }
+    two = {
+        "deskewing": deskew, "table_line_detection": lines, "table_detection": {"table_detection_eps": 9}, "table_recovery": {"coverage_ratio": 0.5},
+        "vertical_strip_cutting": {"enable": True, "padding_left": 5, "padding_right": 6, "min_width": 2, "use_longest_lines_only": True, "min_length_ratio": 0.7},
+        "binarization": {"enable": True, "method": "otsu", "threshold": 120, "adaptive_block_size": 13, "adaptive_c": 3, "invert": False, "denoise": False, "stroke_enhancement": {"enable": False, "kernel_size": 3, "iterations": 2, "kernel_shape": "ellipse"}},
+        "final_deskew": deskew,
+    }
+    return one, two
+
+
+def test_each_parameter_of_a_file_has_an_effect():
+    import copy
+
+    for kind, found in zip((config.Stage1, config.Stage2), _sections()):
+        base = config.from_sections(kind, found)
+        paths = [(s, k) for s, own in found.items() for k in own if not isinstance(own[k], dict)]
+        paths += [(s, k, n) for s, own in found.items() for k in own if isinstance(own[k], dict) for n in own[k]]
+        for *way, last in paths:
+            other = copy.deepcopy(found)
+            at = other
+            for w in way:
+                at = at[w]
+            at[last] = _changed(at[last])
+            assert config.from_sections(kind, other) != base, (kind.__name__, *way, last)
+
+
+@pytest.mark.parametrize("wrong", [
+    {"no_such_step": {}}, {"deskewing": {"angle": 3}}, {"tag_removal": {"method": "magic"}}, {"mark_removal": {"protect_table_lines": True, "table_detection_params": {"size": 2}}},
+    {"table_line_detection": {"line_detection_level": 3}}, {"page_splitting": {"search_ratio": 3}}, {"mark_removal": {"enable": 1}},
+])
+def test_what_no_step_reads_is_refused(wrong):
+    with pytest.raises(ValueError):
+        config.from_sections(config.Stage1, {"deskewing": {}} | wrong)
+    assert config.from_sections(config.Stage1, {"verbose": True, "optimization": {"max_workers": 6}, "deskewing": {}}) == config.Stage1()
+
+
+def test_classic_and_margin_options_reach_the_pages(spark):
+    page = np.full((300, 400), 255, np.uint8)
+    page[24:76, 40:300] = 30
+    images = src.from_arrays(spark, {"p": page})
+    gone = lambda c: (np.frombuffer(stages.remove_tags(images, c).first().data, np.uint8) < 100).sum() == 0
+    wide = config.Tags("classic", classic_max_aspect=6.0)
+    assert gone(wide) and not gone(config.Tags("classic"))
+    import dataclasses
+
+    for option in ({"dark": 20}, {"row_dark": 300}, {"max_area": 10_000}, {"dark_share": 1.1}):
+        assert not gone(dataclasses.replace(wide, **option)), option
+    scan = np.full((300, 400), 25, np.uint8)
+    scan[30:270, 40:360] = 240
+    size = lambda **o: tuple(stages.stage1(src.from_arrays(spark, {"s": scan}), config.Stage1(marks=False, split=False, deskew=config.Deskew(enabled=False), **o))["pages"].select("height", "width").first())
+    assert size() == (240, 318) and size(margin_erode=11) == (230, 308) and size(margin_method="gradient", margin_strong=2000.0) == (300, 400)
+    assert size(margin_method="gradient") != (300, 400)
+
+
+def test_no_strips_when_they_are_not_cut(spark):
+    images = src.from_arrays(spark, {"p": make_page([40, 120, 200], [40, 100, 160])})
+    assert stages.stage2(images, config.Stage2(cut=False))["strips"].count() == 0
