@@ -360,6 +360,15 @@ def suffix_array(text: np.ndarray, depth: int, words: np.ndarray | None = None)
     sa = np.argsort(words[:n])
     ordered = words[sa]
     head = np.append(True, ordered[1:] != ordered[:-1]) if n else np.zeros(0, bool)
+    for p in range(max(n - 7, 0), n):
+        # a suffix of less than 8 bytes is smaller than those that go on with zeros, of which its word has as many
+        first, end = np.searchsorted(ordered, words[p], "left"), np.searchsorted(ordered, words[p], "right")
+        at = first + np.flatnonzero(sa[first:end] == p)[0]
+        sa[first + 1 : at + 1] = sa[first:at].copy()
+        sa[first] = p
+    short = np.flatnonzero(sa >= n - 7)
+    head[short] = True
+    head[(short + 1)[short + 1 < n]] = True
     del ordered
     rank = np.empty(n + 1, np.int64)
     group = np.maximum.accumulate(np.where(head, np.arange(n), 0))

@@ -131,6 +131,14 @@ def test_suffix_array(text):
     assert [text[i : i + 64] for i in sa] == sorted(text[i : i + 64] for i in range(len(text)))
 
 
+def test_suffix_arrays_with_zero_bytes():
+    r = np.random.default_rng(7)
+    for k in range(300):
+        text = r.integers(0, 1 + k % 4, r.integers(0, 60), dtype=np.uint8).tobytes()
+        sa = sx.suffix_array(np.frombuffer(text, np.uint8), 64).tolist()
+        assert sa == sorted(range(len(text)), key=lambda i: text[i:])
+
+
 def test_smallest_hashes_by_definition():
     t = np.random.default_rng(0).integers(97, 100, 40_000).astype(np.uint8)
     out = sx.smallest_hashes(t)
