@@ -11,7 +11,7 @@ their own below its directory, the nearest such directory first. All of it runs
 
 Defined cases: a null or empty text has no licence of its own; a null path has no ancestors; of equal cosines the
 longer template wins, then the first in TEMPLATES; of several licence files in one directory the highest share of licence text, then the smallest
-id; repeated rows are scanned each; an empty table gives no rows; extra columns are ignored.
+id; repeated and null ids are rows each, with their own text's licence; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -142,7 +142,7 @@ def needed_terms(idf: dict[str, float], threshold: float = THRESHOLD) -> list[st
 def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """id, licence, similarity, share: the best template of each file that reaches the threshold.
 
-    files: id (unique), text. share: what part of the file's terms lies in units that reach it.
+    files: id, text; rows of one id must have one text, and count as often as they are there. share: what part of the file's terms lies in units that reach it.
     """
     spark = files.sparkSession
     total, frequencies = document_frequencies(files)
@@ -212,6 +212,12 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return per.select("id", F.get(names, -F.col("b.k")).alias("licence"), F.col("b.cosine").alias("similarity"), share.alias("share"))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """The same for rows of the same id and text alone: 128 bits of hashes."""
+    parts = (F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("/"), F.coalesce(text, F.lit("")))
+    return F.concat(F.hex(F.xxhash64(F.lit(1), *parts)), F.lit("-"), F.hex(F.xxhash64(F.lit(2), *parts)))
+
+
 def directory(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
@@ -226,11 +232,12 @@ def ancestors(folder: Column) -> Column:
 def licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """id, path, licence, similarity, origin (own, inherited, none), licence_path of every file.
 
-    files: id (unique), path, text. Directories, not files, meet their ancestors.
+    files: id, path, text. Ids may repeat or be null: own licences are found by id and text together. Directories, not files, meet their ancestors.
     """
-    own = saved(own_licences(files.select("id", "text"), threshold), "licences-own")
-    all_ = files.select("id", "path", directory(F.col("path")).alias("folder"))
-    named = all_.join(own, "id", "left")
+    keyed = files.withColumn("key", row_key(F.col("id"), F.col("text")))
+    own = saved(own_licences(keyed.select(F.col("key").alias("id"), "text"), threshold), "licences-own").withColumnRenamed("id", "key")
+    all_ = keyed.select("id", "key", "path", directory(F.col("path")).alias("folder"))
+    named = all_.join(own, "key", "left").drop("key")
     named = saved(named, "licences-named")
     w = Window.partitionBy("folder").orderBy(F.desc("share"), "id")
     speaks = named.where((F.col("share") >= FILE_SHARE) & F.col("folder").isNotNull()).withColumn("nth", F.row_number().over(w)).where("nth = 1")

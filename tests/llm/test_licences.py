@@ -101,3 +101,19 @@ def test_wrapped_headers_full_texts_and_neighbours(spark):
     assert out[3] == ("MIT", "own") and out[4] == ("MIT", "inherited") and out[100][1] == "none"
     assert [out[i][0] for i in (5, 6, 7)] == ["CC-BY-4.0", "LGPL-3.0", "GPL-2.0"]
     assert {n: out[10 + i][0] for i, n in enumerate(full)} == {n: n for n in full}
+
+
+def test_repeated_and_null_ids_keep_to_their_own_texts(spark):
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    rows = [(7, "/a/1", mit), (7, "/b/2", "plain text"), (7, "/c/3", apache), (None, "/d/4", mit), (None, "/e/5", "plain text"), (8, "/f/6", "plain text")] + [(9, "/g/7", mit)] * 5
+    out = [tuple(r) for r in lic.licences(spark.createDataFrame(rows, "id long, path string, text string").withColumn("key", F.lit("clash"))).select("id", "path", "licence", "origin").collect()]
+    name = {mit: ("MIT", "own"), apache: ("Apache-2.0", "own"), "plain text": (None, "none")}
+    assert sorted(map(repr, out)) == sorted(repr((i, p, *name[t])) for i, p, t in rows)
+
+
+def test_query_on_odd_rows(spark, tmp_path):
+    rows = [(7, "Released under the MIT License.", None, "s"), (7, "plain", "en", "s"), (None, "All rights reserved.", "en", None), (None, None, "en", "t"), (3, "", "en", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({"id": F.lit("clash"), "path": F.lit("clash"), "share": F.lit(3)})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = lic.op4_licence_scan(spark, str(tmp_path)).collect()
+    assert len(out) == 5 and sorted(repr((r.doc_id, r.licence)) for r in out if r.origin == "own") == ["(7, 'MIT')", "(None, 'proprietary')"]
