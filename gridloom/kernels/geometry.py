@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 
 from . import pixels as px
@@ -92,6 +94,7 @@ def skew_by_projection(image: np.ndarray, coarse_range=5.0, coarse_step=0.5, fin
 def skew_by_radon(image: np.ndarray, coarse_range=5.0, coarse_step=0.5, fine_range=1.0, fine_step=0.2, binarized=False) -> float:
     """The turn with the greatest variance of the sums along rows of edges (or of ink, if binarized)."""
     g = px.gray(image)
+    coarse_step = 0.5 if coarse_step == 1.0 else coarse_step  # 1.0 stands for "not set"
     of = lambda x: px.otsu(x, True) if binarized else px.canny(x).astype(np.uint8) * 255
     full, small = of(g), of(px.area_quarter(g))
     score = lambda x: lambda a: float(np.var(shear_rows(x, a)))
@@ -101,9 +104,17 @@ def skew_by_radon(image: np.ndarray, coarse_range=5.0, coarse_step=0.5, fine_ran
 METHODS = {"histogram_variance": skew_by_projection, "radon": skew_by_radon}
 
 
+def known_method(method: str) -> str:
+    """The method itself, or, with a warning, the one that stands in for it."""
+    if method in METHODS:
+        return method
+    warnings.warn(f"no way to find a skew is named {method!r}; histogram_variance is used", stacklevel=3)
+    return "histogram_variance"
+
+
 def skew_angle(image: np.ndarray, method: str = "histogram_variance", **options) -> float:
     """By a method's name; an unknown or unavailable one falls back to histogram_variance."""
-    f = METHODS.get(method, skew_by_projection)
+    f = METHODS[known_method(method)]
     return f(image, **{k: v for k, v in options.items() if k in f.__code__.co_varnames})
 
 

@@ -52,3 +52,18 @@ def crop_bounds(cells_: DataFrame, axis: DataFrame, width: int, height: int, pad
     low = lambda a, b: F.greatest(F.coalesce(a, b, F.lit(0)) - padding, F.lit(0))
     high = lambda a, b, most: F.least(F.coalesce(a, b, F.lit(most)) + padding, F.lit(most))
     return both.select("page_id", low("x1", "a1").alias("x1"), low("y1", "b1").alias("y1"), high("x2", "a2", width).alias("x2"), high("y2", "b2", height).alias("y2"))
+
+
+def structure_lines(axis: DataFrame) -> DataFrame:
+    """page_id, orient, pos, s, e: the grid's lines from end to end, for overlays; an axis without the other one has no lines."""
+    of = lambda f, o: f(F.when(F.col("orient") == o, F.col("c")))
+    ends = axis.groupBy("page_id").agg(*(of(f, o).alias(f"{o}{k}") for o in "hv" for k, f in ((0, F.min), (1, F.max))))
+    across = lambda k: F.when(F.col("orient") == "h", F.col(f"v{k}")).otherwise(F.col(f"h{k}"))
+    return axis.join(ends, "page_id").select("page_id", "orient", F.col("c").alias("pos"), across(0).alias("s"), across(1).alias("e")).where("s is not null")
+
+
+def cell_outlines(cells_: DataFrame) -> DataFrame:
+    """page_id, orient, pos, s, e: the sides of cells (x1, y1, x2, y2), for overlays; a side that two cells share once."""
+    side = lambda o, pos, s, e: F.struct(F.lit(o).alias("orient"), F.col(pos).alias("pos"), F.col(s).alias("s"), F.col(e).alias("e"))
+    sides = F.array(side("h", "y1", "x1", "x2"), side("h", "y2", "x1", "x2"), side("v", "x1", "y1", "y2"), side("v", "x2", "y1", "y2"))
+    return cells_.select("page_id", F.explode(sides).alias("l")).select("page_id", "l.*").distinct()

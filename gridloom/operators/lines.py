@@ -128,3 +128,18 @@ def anchor_sets(lines: DataFrame, tol: int = 15) -> DataFrame:
 
     sets = F.transform("f.anchors", lambda a, i: F.struct(a.alias("anchor"), spans(i.cast("long")).alias("spans")))
     return _anchored(lines, tol).select(*KEY, sets.alias("anchors"))
+
+
+def analysis(segments: DataFrame, clustered: DataFrame, kept: DataFrame) -> DataFrame:
+    """page_id, segments, h_clusters, v_clusters, h_lines, v_lines, avg_h_length, avg_v_length (0 without lines): what line detection did to a page.
+
+    segments: before merging; clustered: after it (also pos); kept: after all filters. A page that has lost all its lines still has a row.
+    """
+    of = lambda o, c: F.when(F.col("orient") == o, c)
+    before = segments.groupBy("page_id").agg(F.count("*").alias("segments"))
+    merged = clustered.groupBy("page_id").agg(*(F.count_distinct(of(o, F.col("pos"))).alias(f"{o}_clusters") for o in "hv"))
+    length = F.col("e") - F.col("s")
+    after = kept.groupBy("page_id").agg(*(F.count(of(o, F.lit(1))).alias(f"{o}_lines") for o in "hv"), *(F.avg(of(o, length)).alias(f"avg_{o}_length") for o in "hv"))
+    both = before.join(merged, "page_id", "left").join(after, "page_id", "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("h_clusters", "v_clusters", "h_lines", "v_lines")]
+    return both.select("page_id", "segments", *counts, *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("avg_h_length", "avg_v_length")))

@@ -87,10 +87,12 @@ def strengthen(images: DataFrame, size: int = 2, iterations: int = 1, shape: str
 
 
 def deskew(images: DataFrame, method: str = "histogram_variance", min_angle: float = 0.2, **options) -> DataFrame:
+    method = geo.known_method(method)  # the driver warns, once
     return map_images(images, lambda i: geo.deskew(i, method, min_angle, **options)[0])
 
 
 def skew_angles(images: DataFrame, method: str = "histogram_variance", **options) -> DataFrame:
+    method = geo.known_method(method)
     return measure(images, lambda i: [(geo.skew_angle(i, method, **options),)], "angle double")
 
 
@@ -292,8 +294,8 @@ def white_fill(images: DataFrame, boxes: DataFrame, capsules: dict | None = None
     return images.join(lists, "page_id", "left").mapInArrow(run, IMAGE)
 
 
-def overlay(images: DataFrame, lines: DataFrame, share: float = 0.7) -> DataFrame:
-    """Pages with lines(page_id, orient, pos, s, e) drawn over them."""
+def overlay(images: DataFrame, lines: DataFrame, share: float = 0.7, colour: tuple[int, int, int] = (0, 0, 255)) -> DataFrame:
+    """Pages with lines(page_id, orient, pos, s, e) drawn over them: detected ones, grid.structure_lines() or grid.cell_outlines()."""
     lists = lines.groupBy("page_id").agg(F.collect_list(F.struct("orient", "pos", "s", "e")).alias("boxes"))
 
     def run(batches):
@@ -304,7 +306,7 @@ def overlay(images: DataFrame, lines: DataFrame, share: float = 0.7) -> DataFram
                 i = px.bgr(to_array(h, w, c, data.as_py()))
                 ends = [(x["s"], x["pos"], x["e"], x["pos"]) if x["orient"] == "h" else (x["pos"], x["s"], x["pos"], x["e"]) for x in b or ()]
                 drawn = i.copy()
-                drawn[geo.draw_lines(i.shape, ends) > 0] = (0, 0, 255)
+                drawn[geo.draw_lines(i.shape, ends) > 0] = colour
                 yield _table([image_row(page, px.blend(drawn, i, share))], _ARROW)
 
     return images.join(lists, "page_id", "left").mapInArrow(run, IMAGE)

@@ -109,6 +109,11 @@ def shaded_part(k: int) -> np.ndarray:
     return np.ascontiguousarray(shaded(k)[TOP - 10 : TOP - 10 + PART[0], LEFT - 10 : LEFT - 10 + PART[1]])
 
 
+def sometimes(k: int) -> np.ndarray | None:
+    """The ruled page, or for each seventh key none, as where a file can't be read."""
+    return None if k % 7 == 3 else ruled(k)
+
+
 def spread(k: int) -> np.ndarray:
     """Two pages side by side with a dark line between them, 8 to 24 pixels from the middle."""
     page = np.full((HEIGHT, WIDTH), 255, np.uint8)

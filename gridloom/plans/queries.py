@@ -286,6 +286,11 @@ _OTSU = f"""{PIX}, hs AS (SELECT page_id, v, count(*) AS n FROM pix GROUP BY pag
  cm AS (SELECT page_id, v, sum(n) OVER w AS n0, sum(n * v) OVER w AS s0, sum(n) OVER (PARTITION BY page_id) AS n1, sum(n * v) OVER (PARTITION BY page_id) AS s1 FROM hs WINDOW w AS (PARTITION BY page_id ORDER BY v ROWS UNBOUNDED PRECEDING)),
  sg AS (SELECT page_id, v, coalesce(CASE WHEN n0 < n1 THEN pow(CAST(s0 * n1 - s1 * n0 AS DOUBLE), 2) / (CAST(n0 AS DOUBLE) * (n1 - n0)) END, 0) AS sigma FROM cm),
  ot AS (SELECT page_id, v AS t FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY sigma DESC, v) AS k FROM sg) WHERE k = 1)"""
+SQL["line_analysis"] = SQL["align_clusters"].replace("SELECT page_id, orient, CAST(i - 1 AS BIGINT) AS idx", ", cl AS (SELECT page_id, orient, CAST(i - 1 AS BIGINT) AS idx", 1) + f"""), {_merge('cl', 45)},
+ fl AS (SELECT * FROM mrg WHERE (orient <> 'h' OR e - s <= 800) AND (orient <> 'v' OR e - s <= 600)),
+ bf AS (SELECT page_id, count(*) AS segments FROM seg GROUP BY page_id), cc AS (SELECT page_id, count(DISTINCT pos) FILTER (orient = 'h') AS h, count(DISTINCT pos) FILTER (orient = 'v') AS v FROM cl GROUP BY page_id),
+ af AS (SELECT page_id, count(*) FILTER (orient = 'h') AS h, count(*) FILTER (orient = 'v') AS v, avg(e - s) FILTER (orient = 'h') AS ah, avg(e - s) FILTER (orient = 'v') AS av FROM fl GROUP BY page_id)
+ SELECT bf.page_id, segments, cc.h AS h_clusters, cc.v AS v_clusters, coalesce(af.h, 0) AS h_lines, coalesce(af.v, 0) AS v_lines, round(coalesce(ah, 0), 6) AS avg_h_length, round(coalesce(av, 0), 6) AS avg_v_length FROM bf LEFT JOIN cc ON cc.page_id = bf.page_id LEFT JOIN af ON af.page_id = bf.page_id"""
 SQL["otsu_threshold"] = f"WITH {_OTSU} SELECT * FROM ot"
 SQL["otsu_binarize"] = f"WITH {_OTSU} SELECT pix.page_id, y, x, CAST(CASE WHEN v > t THEN 255 ELSE 0 END AS BIGINT) AS v FROM pix JOIN ot ON ot.page_id = pix.page_id"
 SQL["components_stats"] = _rec(
@@ -377,14 +382,61 @@ def _angle_found(method):
     return run
 
 
+def _shared(s: SparkSession, tag: str) -> str:
+    """A new path in the folder that the cluster names; a local session without one uses a folder of its own."""
+    named = s.conf.get("spark.checkpoint.dir", None)
+    if not named and s.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{named or 'file://' + tempfile.mkdtemp()}/{tag}-{uuid.uuid4().hex}"
+
+
+def _run_info(s, sf):
+    """A run over pages of which some can't be read."""
+    run = stages.write_with_info(pages.binarize(drawn.pages_of(s, sf, drawn.sometimes), "fixed"), _shared(s, "run"), "binarize", "drawn")
+    return run.select("stage", "source", "pages", "failed", "status")
+
+
+def _structure_shown(s, sf):
+    while _held:
+        _held.pop().release()
+    _held.append(stages.stage1(_ruled(s, sf), _ONE))
+    return _colour_sums(pages.overlay(_held[-1]["pages"], grid.structure_lines(_held[-1]["axes"])))
+
+
+def _cells_shown(s, sf):
+    """The merged cells of stage 2 over its tables, in green."""
+    while _held:
+        _held.pop().release()
+    _held.append(stages.run(_ruled(s, sf), _ONE, _TWO))
+    return _colour_sums(pages.overlay(_held[-1]["stage2_tables"], grid.cell_outlines(_held[-1]["stage2_merged"]), colour=(0, 255, 0)))
+
+
+def _line_analysis(s, sf):
+    before = seg(s, sf)
+    clustered = lines.align_clusters(before.withColumn("score", F.col("e") - F.col("s") + 1), 30)
+    found = lines.analysis(before, clustered, lines.filter_long(lines.merge_close(clustered, 45), 1000, 1000, 0.8, 0.6))
+    return found.select("page_id", "segments", "h_clusters", "v_clusters", "h_lines", "v_lines", F.round("avg_h_length", 6).alias("avg_h_length"), F.round("avg_v_length", 6).alias("avg_v_length"))
+
+
+def _sql_functions(s, sf):
+    """The session's SQL functions over boxes."""
+    from gridloom.functions import geometry
+
+    geometry.register(s)
+    x, w = F.col("x"), F.col("w")
+    return d.boxes(s, sf).select(
+        "page_id", "box_id", F.call_function("gl_overlap", x, x + w, F.lit(100).cast("long"), F.lit(300).cast("long")).alias("overlap"),
+        F.call_function("gl_gray", *(F.col(c).cast("int") % 256 for c in ("x", "y", "w"))).alias("grey"), F.call_function("gl_threshold", x, F.lit(250).cast("long")).alias("above"),
+        F.call_function("gl_glyph_score", F.col("box_id") % 9).alias("glyph_score"), F.call_function("gl_strip_name", F.lit("p"), (F.col("box_id") % 120).cast("int")).alias("strip"),
+        F.call_function("gl_base_name", F.concat(F.lit("b"), F.col("box_id").cast("string"), F.when(F.col("box_id") % 2 == 0, "_border_cropped").otherwise(""))).alias("base"),
+    )
+
+
 def _written_and_read(s, sf):
     """Pages as PNG files in the shared folder, and back."""
     from gridloom.sources import images
 
-    named = s.conf.get("spark.checkpoint.dir", None)
-    if not named and s.sparkContext.master.split("[")[0] != "local":
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    path = f"{named or 'file://' + tempfile.mkdtemp()}/pages-{uuid.uuid4().hex}"
+    path = _shared(s, "pages")
     images.write_png(_ruled(s, sf), path)
     return _levels(images.read_images(s, path))
 
@@ -436,6 +488,13 @@ QUERIES |= {
     "split_pages": lambda s, sf: _image_sums(pages.split_pages(drawn.pages_of(s, sf, drawn.spread))),
     "line_segments": lambda s, sf: pages.line_segments(_ruled(s, sf)).select("page_id", "orient", "pos", "s", "e"),
     "tag_boxes": lambda s, sf: pages.tag_boxes(drawn.pages_of(s, sf, drawn.tagged)),
+    "run_info": _run_info,
+    "overlay_structure": _structure_shown,
+    "overlay_cells": _cells_shown,
+    "line_analysis": _line_analysis,
+    "sql_functions": _sql_functions,
+    "search_region": lambda s, sf: pages.line_segments(_ruled(s, sf), region=(90, 60, 10, 0)).select("page_id", "orient", "pos", "s", "e"),
+    "denoise_open": _row_sums(lambda i: px.binarize(i, "fixed", level=200, denoise=True)),
     "tags_auto_found": _tags_found,
     "tags_auto_whitened": lambda s, sf: _colour_sums(stages.remove_tags(drawn.pages_of(s, sf, drawn.capsules), _AUTO)),
     "tags_whitened": lambda s, sf: _image_sums(pages.remove_tags_classic(drawn.pages_of(s, sf, drawn.tagged_text))),
@@ -451,7 +510,30 @@ _KEPT = f"""{drawn.GRID}, kept AS (SELECT *, row_number() OVER (PARTITION BY pag
 _BLACK = "3 * (m + 1) * (n * dx + 3) + 3 * n * (m * dy + 3 - 3 * (m + 1)) + 3 * ((m - 1) * dy + 3 - 3 * m)"
 _BED = f"(SELECT CAST(s_suppkey AS VARCHAR) AS page_id, 28 + s_suppkey % 5 AS y, 34 + s_suppkey % 11 AS x, {drawn.HEIGHT} - 58 - s_suppkey % 7 - s_suppkey % 5 AS h, {drawn.WIDTH} - 63 - s_suppkey % 3 - s_suppkey % 11 AS w FROM supplier)"
 _TURNS = "SELECT CAST(s_suppkey AS VARCHAR) AS page_id, s_suppkey % 5 - 2 AS drawn, true AS found FROM supplier"
+#: Pixels under an overlay's lines (ov: page_id, y, x): 3 wide, longer by one at both ends.
+_UNDER = """ov AS (SELECT DISTINCT page_id, y, x FROM ol, LATERAL (SELECT unnest(range(y1, y2 + 1)) AS y), LATERAL (SELECT unnest(range(x1, x2 + 1)) AS x))"""
+_CELLS = f"""ce AS (SELECT c.page_id, j AS row, idx AS col, x - 20 AS x1, nx - 20 AS x2, r.y - 80 AS y1, r.y + r.dy - 80 AS y2, c.m FROM kept c JOIN row_ r ON r.page_id = c.page_id WHERE nx IS NOT NULL AND j < r.m),
+ me AS (SELECT page_id, x1, y1, CASE WHEN m = 3 AND row = 0 AND col = 0 THEN lead(x2) OVER (PARTITION BY page_id, row ORDER BY col) ELSE x2 END AS x2, y2 FROM ce QUALIFY m <> 3 OR row > 0 OR col <> 1)"""
+
+
+def _shown(places: str, y0: str, x0: str, share: str) -> str:
+    """Row sums of a page of `places` (page_id, w, y) under an overlay whose pixels gain `share` in each channel over 0.3 of what lies there."""
+    weigh = lambda v: " + ".join(f"{k + 1} * round_even(0.7::DOUBLE * ({c}) + {v} * (1::DOUBLE - 0.7::DOUBLE), 0)" for k, c in enumerate(share.split()))
+    return f"""al AS (SELECT page_id, y, x, true AS o, false AS d FROM ov UNION ALL SELECT page_id, y - {y0}, x - {x0}, false, true FROM dk), px_ AS (SELECT page_id, y, x, bool_or(o) AS o, bool_or(d) AS d FROM al GROUP BY ALL)
+ SELECT p.page_id || '_full' AS page_id, p.y, CAST(255 * 6 * (w * (w + 1) // 2) + coalesce(sum((x + 1) * (CASE WHEN o THEN CASE WHEN d THEN {weigh('0')} ELSE {weigh('255')} END ELSE 0 END - 255 * 6)), 0) AS BIGINT) AS total
+ FROM {places} p LEFT JOIN px_ q ON q.page_id = p.page_id AND q.y = p.y AND q.x >= 0 AND q.x < w GROUP BY p.page_id, p.y, w"""
+
+
 SQL |= {
+    "run_info": "SELECT 'binarize' AS stage, 'drawn' AS source, count(*) AS pages, count(*) FILTER (s_suppkey % 7 = 3) AS failed, CASE WHEN count(*) FILTER (s_suppkey % 7 = 3) > 0 THEN 'partial' ELSE 'completed' END AS status FROM supplier",
+    "overlay_structure": f"""WITH {_KEPT}, {drawn.DARK}, ol AS (SELECT page_id, {drawn.LEFT} - 1 AS x1, {drawn.LEFT} + n * dx + 1 AS x2, y - 1 AS y1, y + 1 AS y2 FROM row_ UNION ALL SELECT page_id, x - 1, x + 1, {drawn.TOP} - 1, {drawn.TOP} + m * dy + 1 FROM kept),
+ {_UNDER}, ro AS (SELECT page_id, {drawn.WIDTH} AS w, y FROM grid, LATERAL (SELECT unnest(range(0, {drawn.HEIGHT})) AS y)), {_shown('ro', '0', '0', '0 0 255')}""",
+    "overlay_cells": f"""WITH {_KEPT}, {drawn.DARK}, {_CELLS}, ol AS (SELECT page_id, x1 - 1 AS x1, x2 + 1 AS x2, y1 - 1 AS y1, y1 + 1 AS y2 FROM me UNION ALL SELECT page_id, x1 - 1, x2 + 1, y2 - 1, y2 + 1 FROM me UNION ALL SELECT page_id, x1 - 1, x1 + 1, y1 - 1, y2 + 1 FROM me UNION ALL SELECT page_id, x2 - 1, x2 + 1, y1 - 1, y2 + 1 FROM me),
+ {_UNDER}, ro AS (SELECT page_id, n * dx + 40 AS w, y FROM grid, LATERAL (SELECT unnest(range(0, m * dy + 40)) AS y)), {_shown('ro', str(drawn.TOP - 20), str(drawn.LEFT - 20), '0 255 0')}""",
+    "sql_functions": f"""WITH {BOX} SELECT page_id, box_id, greatest(0, least(x + w, 300) - greatest(x, 100)) AS overlap, CAST((x % 256 * 1868 + y % 256 * 9617 + w % 256 * 4899 + 8192) >> 14 AS INTEGER) AS grey, CAST(CASE WHEN x > 250 THEN 255 ELSE 0 END AS BIGINT) AS above,
+ 1.0::DOUBLE / (1 + abs(least(box_id % 9, 6) - 3)) AS glyph_score, 'p_col' || lpad(CAST(box_id % 120 AS VARCHAR), CAST(greatest(2, length(CAST(box_id % 120 AS VARCHAR))) AS INTEGER), '0') AS strip, 'b' || CAST(box_id AS VARCHAR) AS base FROM box""",
+    "search_region": f"WITH {drawn.GRID} SELECT page_id, 'h' AS orient, y AS pos, {drawn.LEFT} - 1 AS s, {drawn.LEFT} + n * dx + 2 AS e FROM row_ WHERE y < 235 UNION ALL SELECT page_id, 'v', x, {drawn.TOP} + CASE WHEN i = 1 THEN dy ELSE 0 END - 1, least({drawn.TOP} + m * dy + 2, 240) FROM col_",
+    "denoise_open": _summed(f"bi AS (SELECT page_id, y, x, CASE WHEN v > 200 THEN 255 ELSE 0 END AS v FROM shade), {_neighbours('bi', 'min', [(-1, -1), (-1, 0), (0, -1), (0, 0)], 'er')}, {_neighbours('er', 'max', [(0, 0), (0, 1), (1, 0), (1, 1)], 'op')}", "v", "op"),
     "image_threshold": _summed("one AS (SELECT 1)", "CASE WHEN v > 127 THEN 255 ELSE 0 END", "shade"),
     "binarize_adaptive": _summed(f"{_G5}, {_weighted(_GAUSS, *_EDGE)}, both_ AS (SELECT s.page_id, s.y, s.x, s.v, sm.v AS mean FROM shade s JOIN sm ON sm.page_id = s.page_id AND sm.y = s.y AND sm.x = s.x)", "CASE WHEN v > round_even(mean, 0) - 5 THEN 255 ELSE 0 END", "both_"),
     "strengthen": _summed(_neighbours("shade", "min", [(0, 0), (0, 1), (1, 0)], "st"), "v", "st"),

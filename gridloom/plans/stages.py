@@ -7,9 +7,10 @@ stage returns a dict of DataFrames; nothing runs before one of them is used, and
 from __future__ import annotations
 
 import dataclasses
+import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridloom.config import Deskew, Lines, Preparation, Stage1, Stage2, Tags
@@ -149,6 +150,28 @@ def run(images: DataFrame, one: Stage1 | None = None, two: Stage2 | None = None)
     return out
 
 
+def observed(images: DataFrame) -> tuple[DataFrame, Observation]:
+    """images, and counts (pages, failed) that the first job over them gathers on its way."""
+    seen = Observation()
+    return images.observe(seen, F.count(F.lit(1)).alias("pages"), F.count(F.when(F.col("error").isNotNull() | F.col("data").isNull(), 1)).alias("failed")), seen
+
+
+def write_with_info(images: DataFrame, path: str, stage: str, source: str) -> DataFrame:
+    """Writes images as Parquet under path and, beside them, their run's info as JSON; returns that one row.
+
+    stage, source, started, pages, failed, status: counted in the write itself, without another pass.
+    """
+    started = datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")
+    seen, counts = observed(images)
+    seen.write.mode("overwrite").parquet(f"{path}/pages")
+    got = counts.get
+    status = "failed" if got["pages"] and got["failed"] == got["pages"] else "partial" if got["failed"] else "completed"
+    row = (stage, source, started, got["pages"], got["failed"], status)
+    info = images.sparkSession.createDataFrame([row], "stage string, source string, started string, pages long, failed long, status string")
+    info.coalesce(1).write.mode("overwrite").json(f"{path}/run_info")
+    return info
+
+
 def report(images: DataFrame) -> DataFrame:
     """How many pages succeeded and failed, and the reasons."""
     return images.groupBy(F.coalesce("error", F.lit("ok")).alias("status")).agg(F.count("*").alias("pages"))

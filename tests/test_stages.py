@@ -291,3 +291,81 @@ def test_classic_and_margin_options_reach_the_pages(spark):
 def test_no_strips_when_they_are_not_cut(spark):
     images = src.from_arrays(spark, {"p": make_page([40, 120, 200], [40, 100, 160])})
     assert stages.stage2(images, config.Stage2(cut=False))["strips"].count() == 0
+
+
+def test_run_info_is_counted_in_the_write(spark, tmp_path):
+    from gridloom.operators.pages import image_row
+
+    rows = [image_row("a", make_page([40, 120], [40, 100])), image_row("b", None, "ValueError: unreadable"), image_row("c", make_page([40, 120], [40, 100]))]
+    images = spark.createDataFrame(rows, pages.IMAGE)
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    info = stages.write_with_info(images.mapInArrow(counted, pages.IMAGE), f"{tmp_path}/run", "stage1", "scans").first()
+    assert (info.stage, info.source, info.pages, info.failed, info.status) == ("stage1", "scans", 3, 1, "partial") and info.started
+    assert calls.value == 3 and spark.read.parquet(f"{tmp_path}/run/pages").count() == 3
+    assert spark.read.json(f"{tmp_path}/run/run_info").first().failed == 1
+    empty = stages.write_with_info(images.where("false"), f"{tmp_path}/none", "stage1", "scans").first()
+    assert (empty.pages, empty.failed, empty.status) == (0, 0, "completed")
+    lost = stages.write_with_info(images.where("error is not null"), f"{tmp_path}/lost", "stage1", "scans").first()
+    assert lost.status == "failed"
+
+
+def test_unknown_deskew_warns_and_falls_back(spark):
+    from gridloom.kernels import geometry as geo
+
+    images = src.from_arrays(spark, {"p": make_page([40, 120, 200], [40, 100, 160])})
+    with pytest.warns(UserWarning, match="magic"):
+        found = pages.skew_angles(images, "magic")
+    assert found.first().angle == pages.skew_angles(images, "histogram_variance").first().angle
+    page = geo.rotate(make_page([40, 120, 200], [40, 100, 160]), 1.5)
+    assert geo.skew_by_radon(page, coarse_step=1.0, binarized=True) == geo.skew_by_radon(page, coarse_step=0.5, binarized=True)
+
+
+def test_disabled_deskew_leaves_the_plan_alone(spark):
+    images = src.from_arrays(spark, {"p": make_page([40, 120], [40, 100])})
+    assert stages.upright(images, config.Deskew(enabled=False)) is images
+
+
+def test_overlays_of_structure_and_cells(spark):
+    from gridloom.operators import grid
+
+    axis = spark.createDataFrame([("p", o, i, c) for o, cs in (("h", (10, 40)), ("v", (5, 30, 50))) for i, c in enumerate(cs)] + [("q", "v", 0, 9)], "page_id string, orient string, idx long, c long")
+    assert sorted(map(tuple, grid.structure_lines(axis).collect())) == [("p", "h", 10, 5, 50), ("p", "h", 40, 5, 50), ("p", "v", 5, 10, 40), ("p", "v", 30, 10, 40), ("p", "v", 50, 10, 40)]
+    sides = grid.cell_outlines(grid.cells(axis)).collect()
+    assert len(sides) == 7  # two cells share a side
+    images = src.from_arrays(spark, {"p": np.full((60, 60), 255, np.uint8)})
+    r = pages.overlay(images, grid.cell_outlines(grid.cells(axis)), colour=(255, 0, 0)).first()
+    shown = np.frombuffer(r.data, np.uint8).reshape(60, 60, 3)
+    assert shown[10, 20].tolist() == [255, 77, 77] and shown[25, 20].tolist() == [255, 255, 255]
+
+
+def test_line_analysis_of_a_page_without_lines_left(spark):
+    from gridloom.operators import lines
+
+    make = lambda rows: spark.createDataFrame(rows, "page_id long, orient string, seq long, pos long, s long, e long")
+    before = make([(1, "h", 0, 10, 0, 50), (1, "h", 1, 11, 0, 40), (1, "v", 2, 5, 0, 9), (2, "v", 3, 5, 0, 9)])
+    clustered = make([(1, "h", 0, 10, 0, 50), (1, "v", 2, 5, 0, 9), (2, "v", 3, 5, 0, 9)])
+    found = sorted(map(tuple, lines.analysis(before, clustered, make([(1, "h", 0, 10, 0, 50)])).collect()))
+    assert found == [(1, 3, 1, 1, 1, 0, 50.0, 0.0), (2, 1, 0, 1, 0, 0, 0.0, 0.0)]
+
+
+def test_colours_as_the_kernel(spark):
+    from pyspark.sql import functions as F
+
+    from gridloom.kernels import pixels as px
+    from gridloom.operators import colour
+
+    r = np.random.default_rng(3)
+    bgr = np.concatenate([r.integers(0, 256, (500, 3)), [[0, 0, 0], [255, 255, 255], [7, 7, 7], [0, 0, 255], [0, 255, 0], [255, 0, 0], [255, 0, 254], [1, 0, 0]]]).astype(np.uint8)
+    hue, sat = px.hue_saturation(bgr[None])
+    df = spark.createDataFrame([tuple(map(int, x)) for x in bgr], "b long, g long, r long")
+    h, s = colour.hue_saturation(F.col("b"), F.col("g"), F.col("r"))
+    rows = df.select(h.alias("h"), s.alias("s"), colour.grey(F.col("b"), F.col("g"), F.col("r")).alias("v")).collect()
+    assert [(x.h, x.s) for x in rows] == list(zip(hue[0].tolist(), sat[0].tolist()))
+    assert [x.v for x in rows] == px.gray(bgr[None])[0].tolist()
+    assert [(x.h, x.s) for x in rows[500:506]] == [(0, 0), (0, 0), (0, 0), (0, 255), (60, 255), (120, 255)]
