@@ -118,3 +118,13 @@ def test_ranks_of_six_digits_are_refused():
 
 def test_pattern_is_spelled_out():
     assert re.compile(f"[{bp.SPACE}]").fullmatch(" ") and not re.compile(f"[{bp.SPACE}]").fullmatch("\x1c")
+
+
+def test_tasks_are_bound_by_bytes(spark, docs_of, monkeypatch):
+    docs = docs_of(spark, [(i, "word " * 200) for i in range(400)]).repartition(32).select("text")
+    assert bp.tasks_of(docs) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(bp, "TASK_BYTES", 400_000 // 20)
+    assert bp.tasks_of(docs) == 20 and docs.coalesce(bp.tasks_of(docs)).rdd.getNumPartitions() == 20
+    monkeypatch.setattr(bp, "TASK_BYTES", 1000)
+    assert docs.coalesce(bp.tasks_of(docs)).rdd.getNumPartitions() == 32
+    assert bp.tasks_of(docs_of(spark, [(1, None)])) == spark.sparkContext.defaultParallelism
