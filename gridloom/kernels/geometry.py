@@ -125,18 +125,30 @@ def deskew(image: np.ndarray, method: str = "histogram_variance", min_angle: flo
 
 
 def largest_rectangle(mask: np.ndarray) -> tuple[int, int, int, int]:
-    """x1, y1, x2, y2 (inclusive) of the largest all-set rectangle, the first found by rows; none raises RuntimeError."""
-    heights, best, most = np.zeros(mask.shape[1] + 1, np.int64), None, 0
-    for y in range(mask.shape[0]):
-        heights[:-1] = np.where(mask[y] > 0, heights[:-1] + 1, 0)
-        stack: list[tuple[int, int]] = []
-        for x, h in enumerate(heights.tolist()):
-            start = x
-            while stack and stack[-1][1] >= h:
-                start, high = stack.pop()
-                if high * (x - start) > most:
-                    most, best = high * (x - start), (start, y - high + 1, x - 1, y)
-            stack.append((start, h))
+    """x1, y1, x2, y2 (inclusive) of the largest all-set rectangle; none raises RuntimeError.
+
+    Of equals the one that ends in the first row, then that with the first right side, then the highest. For each row and column: how far
+    the set pixels reach up, and how wide that height stays set on both sides.
+    """
+    h, w = mask.shape
+    at = np.arange(w)
+    height, left, right = np.zeros(w, np.int64), np.zeros(w, np.int64), np.full(w, w)
+    best, most = None, 0
+    for y in range(h):
+        on = mask[y] > 0
+        if not on.any():
+            height[:], left[:], right[:] = 0, 0, w
+            continue
+        start = np.maximum.accumulate(np.where(on, 0, at + 1))
+        end = np.minimum.accumulate(np.where(on, w, at)[::-1])[::-1]
+        height = np.where(on, height + 1, 0)
+        left, right = np.where(on, np.maximum(left, start), 0), np.where(on, np.minimum(right, end), w)
+        area = height * (right - left)
+        top = int(area.max())
+        if top > most:
+            ties = np.flatnonzero(area == top)
+            k = ties[np.lexsort((-height[ties], right[ties]))[0]]
+            most, best = top, (int(left[k]), y - int(height[k]) + 1, int(right[k]) - 1, y)
     if best is None:
         raise RuntimeError("no rectangle in the mask")
     return best

@@ -42,10 +42,27 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+#: Bytes of images that go into one batch.
+BATCH_BYTES = 8 << 20
+
+
+def _batched(rows, schema: pa.Schema):
+    """Rows as batches of about BATCH_BYTES."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 64 + sum(len(v) for v in row if isinstance(v, bytes))
+        if size >= BATCH_BYTES:
+            yield _table(held, schema)
+            held, size = [], 0
+    if held:
+        yield _table(held, schema)
+
+
 def map_images(images: DataFrame, kernel) -> DataFrame:
     """kernel(image) for each page: an image, or a list of (suffix, image) which makes a page of each."""
 
-    def run(batches):
+    def made_of(batches):
         for batch in batches:
             for page, h, w, c, data, error in _rows(batch):
                 try:
@@ -55,9 +72,9 @@ def map_images(images: DataFrame, kernel) -> DataFrame:
                     rows = [image_row(page, made)] if isinstance(made, np.ndarray) else [image_row(page + s, m) for s, m in made]
                 except Exception as e:  # a page's failure is its value
                     rows = [image_row(page, None, f"{type(e).__name__}: {e}" if error is None else error)]
-                yield _table(rows, _ARROW)
+                yield from rows
 
-    return images.mapInArrow(run, IMAGE)
+    return images.mapInArrow(lambda batches: _batched(made_of(batches), _ARROW), IMAGE)
 
 
 def measure(images: DataFrame, kernel, schema: str) -> DataFrame:
@@ -66,13 +83,13 @@ def measure(images: DataFrame, kernel, schema: str) -> DataFrame:
     kinds = {"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
     arrow = pa.schema([(n, kinds[t]) for n, t in (x.split() for x in full.split(", "))])
 
-    def run(batches):
+    def measured(batches):
         for batch in batches:
             for page, h, w, c, data, error in _rows(batch):
                 if error is None and data.is_valid:
-                    yield _table([(page, *r) for r in kernel(to_array(h, w, c, data.as_py()))], arrow)
+                    yield from ((page, *r) for r in kernel(to_array(h, w, c, data.as_py())))
 
-    return images.mapInArrow(run, full)
+    return images.mapInArrow(lambda batches: _batched(measured(batches), arrow), full)
 
 
 def binarize(images: DataFrame, method: str = "otsu", **options) -> DataFrame:
@@ -183,14 +200,14 @@ def crop(images: DataFrame, bounds: DataFrame) -> DataFrame:
             b = {n: batch.column(n).to_pylist() for n in ("x1", "y1", "x2", "y2")}
             for k, (page, h, w, c, data, error) in enumerate(_rows(batch)):
                 if error is not None or not data.is_valid:
-                    yield _table([(page, None, None, None, None, error)], _ARROW)
+                    yield page, None, None, None, None, error
                     continue
                 i = to_array(h, w, c, data.as_py())
                 if b["x1"][k] is not None:
                     i = i[b["y1"][k] : b["y2"][k], b["x1"][k] : b["x2"][k]]
-                yield _table([image_row(page, i)], _ARROW)
+                yield image_row(page, i)
 
-    return images.join(bounds, "page_id", "left").mapInArrow(run, IMAGE)
+    return images.join(bounds, "page_id", "left").mapInArrow(lambda batches: _batched(run(batches), _ARROW), IMAGE)
 
 
 def cut_strips(images: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -203,9 +220,9 @@ def cut_strips(images: DataFrame, bounds: DataFrame) -> DataFrame:
                 whole = to_array(h, w, c, data.as_py()) if error is None and data.is_valid else None
                 for s in strips:
                     name = f"{page}_col{s['column_index']:02d}"
-                    yield _table([(name, None, None, None, None, error) if whole is None else image_row(name, whole[:, s["left"] : s["right"]])], _ARROW)
+                    yield (name, None, None, None, None, error) if whole is None else image_row(name, whole[:, s["left"] : s["right"]])
 
-    return images.join(lists, "page_id").mapInArrow(run, IMAGE)
+    return images.join(lists, "page_id").mapInArrow(lambda batches: _batched(run(batches), _ARROW), IMAGE)
 
 
 def split_pages(images: DataFrame, search_ratio=0.5, line_len_frac=0.3, line_thick=3, peak=0.3) -> DataFrame:
@@ -286,12 +303,12 @@ def white_fill(images: DataFrame, boxes: DataFrame, capsules: dict | None = None
         for batch in batches:
             for b, (page, h, w, c, data, error) in zip(batch.column("boxes").to_pylist(), _rows(batch)):
                 if error is not None or not data.is_valid:
-                    yield _table([(page, None, None, None, None, error)], _ARROW)
+                    yield page, None, None, None, None, error
                     continue
                 i, own = to_array(h, w, c, data.as_py()), [(x["x"], x["y"], x["w"], x["h"]) for x in b or ()]
-                yield _table([image_row(page, comp.white_boxes(i, own, margin) if capsules is None else comp.white_capsules(i, own, **capsules))], _ARROW)
+                yield image_row(page, comp.white_boxes(i, own, margin) if capsules is None else comp.white_capsules(i, own, **capsules))
 
-    return images.join(lists, "page_id", "left").mapInArrow(run, IMAGE)
+    return images.join(lists, "page_id", "left").mapInArrow(lambda batches: _batched(run(batches), _ARROW), IMAGE)
 
 
 def overlay(images: DataFrame, lines: DataFrame, share: float = 0.7, colour: tuple[int, int, int] = (0, 0, 255)) -> DataFrame:
@@ -307,6 +324,6 @@ def overlay(images: DataFrame, lines: DataFrame, share: float = 0.7, colour: tup
                 ends = [(x["s"], x["pos"], x["e"], x["pos"]) if x["orient"] == "h" else (x["pos"], x["s"], x["pos"], x["e"]) for x in b or ()]
                 drawn = i.copy()
                 drawn[geo.draw_lines(i.shape, ends) > 0] = colour
-                yield _table([image_row(page, px.blend(drawn, i, share))], _ARROW)
+                yield image_row(page, px.blend(drawn, i, share))
 
-    return images.join(lists, "page_id", "left").mapInArrow(run, IMAGE)
+    return images.join(lists, "page_id", "left").mapInArrow(lambda batches: _batched(run(batches), _ARROW), IMAGE)

@@ -32,9 +32,10 @@ def turn(angle: float) -> tuple[float, float]:
     return math.cos(t), math.sin(t)
 
 
-def _origin(c: Column, s: Column, x: Column, y: Column, half: int) -> tuple[Column, Column]:
-    """Where a pixel of the turned page comes from, in 1/1024 pixels: turned counter-clockwise around (width // 2, height // 2)."""
-    cx, cy = F.floor(F.col("width") / 2).cast("double"), F.floor(F.col("height") / 2).cast("double")
+def _origin(c: Column, s: Column, x: Column, y: Column, half: int, centre: str = "pixel") -> tuple[Column, Column]:
+    """Where a pixel of the turned page comes from, in 1/1024 pixels: turned counter-clockwise around its middle pixel, or its true middle."""
+    of = lambda n: F.floor(F.col(n) / 2).cast("double") if centre == "pixel" else (F.col(n) - 1) / F.lit(2.0)
+    cx, cy = of("width"), of("height")
     at = lambda d: F.rint(d * float(SCALE)).cast("long")
     sx = at(c * x) + at(-s * y + (cx - c * cx + s * cy)) + half
     sy = at(s * x) + at(c * y + (cy - s * cx - c * cy)) + half
@@ -73,18 +74,21 @@ def _quads(pixels: DataFrame, border: str) -> DataFrame:
     return rows.select("page_id", F.col("y").alias("ty"), F.explode(every).alias("e")).select("page_id", "ty", "e.x0", "e.q")
 
 
-def rotated(pixels: DataFrame, angle: float, method: str = "cubic", border: str = "replicate") -> DataFrame:
+def rotated(pixels: DataFrame, angle: float, method: str = "cubic", border: str = "replicate", centre: str = "pixel", truncate: bool = False) -> DataFrame:
     """pixels turned counter-clockwise by `angle` degrees around the middle, in their own size.
 
-    method: nearest, linear (2 x 2 weights) or cubic (4 x 4); border: replicate, or zero. A place joins with the rows of pixels that it
+    method: nearest, linear (2 x 2 weights) or cubic (4 x 4); border: replicate, or zero; centre: pixel (width // 2, height // 2), or middle, half
+    a pixel before it where a side is even; truncate: cuts values to whole numbers instead of rounding them. A place joins with the rows of pixels that it
     needs, four at most, each of which brings its four columns along.
     """
     if method not in ("nearest", "linear", "cubic"):
         raise ValueError(f"unknown interpolation {method!r}")
     if border not in ("replicate", "zero"):
         raise ValueError(f"unknown border {border!r}")
+    if centre not in ("pixel", "middle"):
+        raise ValueError(f"unknown centre {centre!r}")
     c, s = map(F.lit, turn(angle))
-    sx, sy = _origin(c, s, F.col("x"), F.col("y"), SCALE // 2 if method == "nearest" else SCALE // STEPS // 2)
+    sx, sy = _origin(c, s, F.col("x"), F.col("y"), SCALE // 2 if method == "nearest" else SCALE // STEPS // 2, centre)
     places = pixels.join(sizes_of(pixels), "page_id").select("page_id", "y", "x", "height", "width", sx.alias("sx"), sy.alias("sy"))
     top, left = F.col("height") - 1, F.col("width") - 1
     if method == "nearest":
@@ -106,7 +110,7 @@ def rotated(pixels: DataFrame, angle: float, method: str = "cubic", border: str
     met = rows.select("page_id", "y", "x", "x0", "wx", F.col("t.w").alias("w"), ty.alias("ty")).join(_quads(pixels, border), ["page_id", "ty", "x0"], "left")
     part = sum((F.get("wx", F.lit(i)) * F.coalesce(F.get("q", F.lit(i)), F.lit(0)) for i in range(4)), F.lit(0.0))
     total = met.groupBy("page_id", "y", "x").agg(F.sum(F.col("w") * part).alias("total"))
-    return total.select("page_id", "y", "x", F.least(F.greatest(F.rint("total"), F.lit(0.0)), F.lit(255.0)).cast("long").alias("v"))
+    return total.select("page_id", "y", "x", F.least(F.greatest(F.floor("total").cast("double") if truncate else F.rint("total"), F.lit(0.0)), F.lit(255.0)).cast("long").alias("v"))
 
 
 def turned_ink(ink: DataFrame, angles: list[float]) -> DataFrame:

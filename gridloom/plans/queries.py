@@ -390,6 +390,21 @@ def _shared(s: SparkSession, tag: str) -> str:
     return f"{named or 'file://' + tempfile.mkdtemp()}/{tag}-{uuid.uuid4().hex}"
 
 
+def _sinks():
+    from gridloom.sources import images
+
+    return images
+
+
+def _structure_read_back(s, sf):
+    """Structures written as a JSON file a page, and their cells read again."""
+    texts = _sinks().structure_json(grid.structure(_axis(s, sf)), _cells_(s, sf))
+    path = _shared(s, "structures")
+    texts.select(F.col("json").alias("value"), F.col("page_id").cast("string").alias("page")).repartition("page").write.partitionBy("page").text(path)
+    found = s.read.schema(_sinks().STRUCTURE).option("multiLine", False).json(path).select(F.regexp_extract("_metadata.file_path", "page=([^/]*)/", 1).cast("long").alias("page_id"), "*")
+    return _sinks().structure_cells(found)
+
+
 def _run_info(s, sf):
     """A run over pages of which some can't be read."""
     run = stages.write_with_info(pages.binarize(drawn.pages_of(s, sf, drawn.sometimes), "fixed"), _shared(s, "run"), "binarize", "drawn")
@@ -488,6 +503,10 @@ QUERIES |= {
     "split_pages": lambda s, sf: _image_sums(pages.split_pages(drawn.pages_of(s, sf, drawn.spread))),
     "line_segments": lambda s, sf: pages.line_segments(_ruled(s, sf)).select("page_id", "orient", "pos", "s", "e"),
     "tag_boxes": lambda s, sf: pages.tag_boxes(drawn.pages_of(s, sf, drawn.tagged)),
+    "lines_json": lambda s, sf: _sinks().lines_json(_merged_lines(s, sf)),
+    "structure_json": lambda s, sf: _sinks().structure_json(grid.structure(_axis(s, sf)), _cells_(s, sf)),
+    "recovered_json": lambda s, sf: _sinks().recovered_json(_merged_cells(s, sf)),
+    "structure_read_back": _structure_read_back,
     "run_info": _run_info,
     "overlay_structure": _structure_shown,
     "overlay_cells": _cells_shown,
@@ -524,7 +543,13 @@ def _shown(places: str, y0: str, x0: str, share: str) -> str:
  FROM {places} p LEFT JOIN px_ q ON q.page_id = p.page_id AND q.y = p.y AND q.x >= 0 AND q.x < w GROUP BY p.page_id, p.y, w"""
 
 
+_LINE = "list([{}] ORDER BY idx) FILTER (orient = '{}')"
 SQL |= {
+    "lines_json": _rec(f"{SEG}, {_merge('seg', 45)}", f", js AS (SELECT page_id, coalesce({_LINE.format('s, pos, e, pos', 'h')}, []) AS horizontal_lines, coalesce({_LINE.format('pos, s, pos, e', 'v')}, []) AS vertical_lines FROM mrg GROUP BY page_id) SELECT page_id, CAST(to_json(struct_pack(horizontal_lines := horizontal_lines, vertical_lines := vertical_lines)) AS VARCHAR) AS json FROM js"),
+    "structure_json": _rec(GRID, """, st AS (SELECT page_id, list(center ORDER BY center) FILTER (orient = 'v') AS xs, list(center ORDER BY center) FILTER (orient = 'h') AS ys FROM clus GROUP BY page_id), cl AS (SELECT page_id, list([x1, y1, x2, y2] ORDER BY col, row) AS cells FROM cells GROUP BY page_id)
+ SELECT st.page_id, CAST(to_json(struct_pack(xs := coalesce(xs, []), ys := coalesce(ys, []), cells := coalesce(cells, []), num_rows := greatest(len(coalesce(ys, [])) - 1, 0), num_cols := greatest(len(coalesce(xs, [])) - 1, 0))) AS VARCHAR) AS json FROM st LEFT JOIN cl ON cl.page_id = st.page_id"""),
+    "recovered_json": _rec(MERGED, """ SELECT page_id, CAST(to_json(struct_pack(rows := max(row + rowspan), cols := max(col + colspan), cells := list(struct_pack(row := row, col := col, rowspan := rowspan, colspan := colspan, bbox := [x1, y1, x2, y2]) ORDER BY row, col, rowspan, colspan, x1, y1, x2, y2))) AS VARCHAR) AS json FROM mgd GROUP BY page_id"""),
+    "structure_read_back": _rec(GRID, "SELECT page_id, row, col, x1, y1, x2, y2 FROM cells"),
     "run_info": "SELECT 'binarize' AS stage, 'drawn' AS source, count(*) AS pages, count(*) FILTER (s_suppkey % 7 = 3) AS failed, CASE WHEN count(*) FILTER (s_suppkey % 7 = 3) > 0 THEN 'partial' ELSE 'completed' END AS status FROM supplier",
     "overlay_structure": f"""WITH {_KEPT}, {drawn.DARK}, ol AS (SELECT page_id, {drawn.LEFT} - 1 AS x1, {drawn.LEFT} + n * dx + 1 AS x2, y - 1 AS y1, y + 1 AS y2 FROM row_ UNION ALL SELECT page_id, x - 1, x + 1, {drawn.TOP} - 1, {drawn.TOP} + m * dy + 1 FROM kept),
  {_UNDER}, ro AS (SELECT page_id, {drawn.WIDTH} AS w, y FROM grid, LATERAL (SELECT unnest(range(0, {drawn.HEIGHT})) AS y)), {_shown('ro', '0', '0', '0 0 255')}""",

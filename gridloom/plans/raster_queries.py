@@ -32,8 +32,8 @@ def row_sums(pixels: DataFrame) -> DataFrame:
 _ROW_SUMS = "SELECT page_id, y, CAST(sum(v * (x + 1)) AS BIGINT) AS total FROM {} GROUP BY page_id, y"
 
 
-def _origin(c: str, s: str, x: str, y: str, half: int) -> tuple[str, str]:
-    cx, cy = "CAST(w // 2 AS DOUBLE)", "CAST(h // 2 AS DOUBLE)"
+def _origin(c: str, s: str, x: str, y: str, half: int, centre: str = "pixel") -> tuple[str, str]:
+    cx, cy = ("CAST(w // 2 AS DOUBLE)", "CAST(h // 2 AS DOUBLE)") if centre == "pixel" else ("((w - 1) / 2::DOUBLE)", "((h - 1) / 2::DOUBLE)")
     at = lambda v: f"CAST(round_even(({v}) * 1024::DOUBLE, 0) AS BIGINT)"
     return (
         f"{at(f'{c} * {x}')} + {at(f'-{s} * {y} + ({cx} - {c} * {cx} + {s} * {cy})')} + {half}",
@@ -41,10 +41,10 @@ def _origin(c: str, s: str, x: str, y: str, half: int) -> tuple[str, str]:
     )
 
 
-def _rotation(angle: float, method: str, border: str, source: str = "pix") -> str:
+def _rotation(angle: float, method: str, border: str, source: str = "pix", centre: str = "pixel", whole: str = "round_even({}, 0)") -> str:
     """rot: page_id, y, x, v."""
     c, s = map(_dbl, tn.turn(angle))
-    sx, sy = _origin(c, s, "x", "y", 512 if method == "nearest" else 16)
+    sx, sy = _origin(c, s, "x", "y", 512 if method == "nearest" else 16, centre)
     places = f"pl AS (SELECT p.page_id, y, x, h, w, {sx} AS sx, {sy} AS sy FROM {source} p JOIN sz ON sz.page_id = p.page_id)"
     if method == "nearest":
         tap = "ta AS (SELECT page_id, y, x, h, w, sy >> 10 AS ty, sx >> 10 AS tx, 1::DOUBLE AS wt FROM pl)"
@@ -56,7 +56,7 @@ def _rotation(angle: float, method: str, border: str, source: str = "pix") -> st
         tap = f"""sp AS (SELECT page_id, y, x, h, w, sx >> 10 AS x0, (sx >> 5) & 31 AS fx, sy >> 10 AS y0, (sy >> 5) & 31 AS fy FROM pl),
  ta AS (SELECT page_id, y, x, h, w, y0 + j AS ty, x0 + i AS tx, ({one('i', 'fx')}) * ({one('j', 'fy')}) AS wt FROM sp, (SELECT unnest(range(-1, 3)) AS i), (SELECT unnest(range(-1, 3)) AS j))"""
     ty, tx = ("least(greatest(ty, 0), h - 1)", "least(greatest(tx, 0), w - 1)") if border == "replicate" else ("ty", "tx")
-    return f"""{places}, {tap}, rot AS (SELECT t.page_id, t.y, t.x, CAST(least(greatest(round_even(sum(wt * coalesce(p.v, 0)), 0), 0), 255) AS BIGINT) AS v
+    return f"""{places}, {tap}, rot AS (SELECT t.page_id, t.y, t.x, CAST(least(greatest({whole.format("sum(wt * coalesce(p.v, 0))")}, 0), 255) AS BIGINT) AS v
  FROM ta t LEFT JOIN {source} p ON p.page_id = t.page_id AND p.y = {ty} AND p.x = {tx} GROUP BY t.page_id, t.y, t.x)"""
 
 
@@ -272,6 +272,7 @@ QUERIES = {
     "gradient_border": lambda s, sf: st.border_bounds(d.pixels(s, sf), 12, 150.0, 0.27, 2),
     "rotate": lambda s, sf: row_sums(tn.rotated(d.pixels(s, sf), 1.5)),
     "rotate_linear": lambda s, sf: row_sums(tn.rotated(d.pixels(s, sf), -3.2, "linear", "zero")),
+    "rotate_truncated": lambda s, sf: row_sums(tn.rotated(d.pixels(s, sf), -2.4, "linear", "replicate", "middle", True)),
     "rotate_nearest": lambda s, sf: row_sums(tn.rotated(d.pixels(s, sf), 2.0, "nearest", "zero")),
     "radon_scores": _searched("x", "variance"),
     "projection_scores": _searched("y", "sharpness"),
@@ -295,6 +296,7 @@ SQL = {
  coalesce((SELECT max(i) FROM cls WHERE cls.page_id = sz.page_id AND i >= w - 12) - 2, w - 1) AS "right", coalesce((SELECT max(i) FROM rws WHERE rws.page_id = sz.page_id AND i >= h - 12) - 2, h - 1) AS bottom FROM sz""",
     "rotate": f"WITH {PIX}, {_rotation(1.5, 'cubic', 'replicate')} {_ROW_SUMS.format('rot')}",
     "rotate_linear": f"WITH {PIX}, {_rotation(-3.2, 'linear', 'zero')} {_ROW_SUMS.format('rot')}",
+    "rotate_truncated": f"WITH {PIX}, {_rotation(-2.4, 'linear', 'replicate', centre='middle', whole='floor({})')} {_ROW_SUMS.format('rot')}",
     "rotate_nearest": f"WITH {PIX}, {_rotation(2.0, 'nearest', 'zero')} {_ROW_SUMS.format('rot')}",
     "radon_scores": f"WITH {_search('x', 'variance')} SELECT * FROM sco",
     "projection_scores": f"WITH {_search('y', 'sharpness')} SELECT * FROM sco",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridloom.config import Deskew, Lines, Preparation, Stage1, Stage2, Tags
 from gridloom.operators import grid, lines, pages, recover, strips, tags
+from gridloom.sources import images as sinks
 
 
 def upright(images: DataFrame, c: Deskew) -> DataFrame:
@@ -175,3 +176,45 @@ def write_with_info(images: DataFrame, path: str, stage: str, source: str) -> Da
 def report(images: DataFrame) -> DataFrame:
     """How many pages succeeded and failed, and the reasons."""
     return images.groupBy(F.coalesce("error", F.lit("ok")).alias("status")).agg(F.count("*").alias("pages"))
+
+
+#: What save() writes of a stage's outputs: images as PNG files, the rest as JSON or Parquet, each in a folder of its own.
+_IMAGES = ("pages", "tables", "strips")
+
+
+def save(out: Outputs, path: str, debug: bool = False) -> dict[str, str]:
+    """Writes a stage's outputs below a folder that all executors share; returns the folder of each.
+
+    Images become <name>/<page_id>.png, lines, structure and merged cells <name>_json with a JSON text for each page, bounds Parquet. With
+    debug, also debug/lines and debug/cells: the pages with what was found drawn over them. run()'s outputs go to stage1/ and stage2/.
+    """
+    stages_ = sorted({k.split("_", 1)[0] for k in out if k.startswith(("stage1_", "stage2_"))})
+    if stages_:
+        made = {}
+        for s in stages_:
+            part = Outputs()
+            part |= {k.removeprefix(f"{s}_"): v for k, v in out.items() if k.startswith(f"{s}_")}
+            made |= {f"{s}_{k}": v for k, v in save(part, f"{path}/{s}", debug).items()}
+        return made
+    made = {}
+
+    def put(name: str, write) -> None:
+        made[name] = f"{path}/{name}"
+        write(made[name])
+
+    for name in _IMAGES:
+        if name in out:
+            put(name, lambda to, name=name: sinks.write_png(out[name], to))
+    texts = {"lines_json": ("lines",), "structure_json": ("structure", "cells"), "recovered_json": ("merged",)}
+    for name, needs in texts.items():
+        if all(n in out for n in needs):
+            rows = getattr(sinks, name)(*(out[n] for n in needs))
+            put(name, lambda to, rows=rows: rows.write.mode("overwrite").json(to))
+    if "bounds" in out:
+        put("bounds", lambda to: out["bounds"].write.mode("overwrite").parquet(to))
+    if debug:
+        base = out["pages" if "pages" in out else "tables"]
+        shown = {"lines": out["lines"], "cells": grid.cell_outlines(out.get("merged", out["cells"]))}
+        for name, lines_ in shown.items():
+            put(f"debug/{name}", lambda to, lines_=lines_: sinks.write_png(pages.overlay(base, lines_), to))
+    return made

@@ -137,10 +137,14 @@ def read_structure_json(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     A cell's row and column are the places of its corner among ys and xs.
     """
     found = spark.read.schema(STRUCTURE).option("multiLine", True).json(path).select(stem(F.col("_metadata.file_path")).alias("page_id"), "*")
+    return found.drop("cells"), structure_cells(found)
+
+
+def structure_cells(found: DataFrame) -> DataFrame:
+    """The cells of structures (page_id and STRUCTURE), one row each."""
     box = found.select("page_id", "xs", "ys", F.explode("cells").alias("c"))
     place = lambda axis, i: (F.array_position(axis, F.col("c")[i]) - 1).cast("long")
-    cells = box.select("page_id", place("ys", 1).alias("row"), place("xs", 0).alias("col"), *[F.col("c")[i].alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
-    return found.drop("cells"), cells
+    return box.select("page_id", place("ys", 1).alias("row"), place("xs", 0).alias("col"), *[F.col("c")[i].alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 
 def three_channels(images: DataFrame) -> DataFrame:

@@ -142,3 +142,16 @@ def test_canny_marks_edges():
     image[:, 15:] = 255
     edges = px.canny(image)
     assert edges[10:20, 13:17].any(1).all() and not edges[:, :10].any()
+
+
+def test_largest_rectangle_like_all_rectangles():
+    r = np.random.default_rng(8)
+    for _ in range(60):
+        mask = r.random((r.integers(1, 9), r.integers(1, 9))) < r.choice([0.4, 0.7, 0.95])
+        h, w = mask.shape
+        found = [((y2 - y1 + 1) * (x2 - x1 + 1), -y2, -x2, y2 - y1 + 1, (x1, y1, x2, y2)) for y1 in range(h) for y2 in range(y1, h) for x1 in range(w) for x2 in range(x1, w) if mask[y1 : y2 + 1, x1 : x2 + 1].all()]
+        if found:
+            assert geo.largest_rectangle(mask) == max(found)[-1]
+        else:
+            with pytest.raises(RuntimeError):
+                geo.largest_rectangle(mask)

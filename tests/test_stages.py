@@ -369,3 +369,16 @@ def test_colours_as_the_kernel(spark):
     assert [(x.h, x.s) for x in rows] == list(zip(hue[0].tolist(), sat[0].tolist()))
     assert [x.v for x in rows] == px.gray(bgr[None])[0].tolist()
     assert [(x.h, x.s) for x in rows[500:506]] == [(0, 0), (0, 0), (0, 0), (0, 255), (60, 255), (120, 255)]
+
+
+def test_outputs_are_laid_out_in_folders(spark, tmp_path):
+    images = src.from_arrays(spark, {"p": make_page(XS, YS), "q": make_page(XS, YS)})
+    out = stages.run(images, ONE, TWO)
+    made = stages.save(out, str(tmp_path), debug=True)
+    out.release()
+    assert set(made) >= {"stage1_pages", "stage1_tables", "stage1_lines_json", "stage1_structure_json", "stage1_debug/lines", "stage2_strips", "stage2_recovered_json", "stage2_bounds", "stage2_debug/cells"}
+    assert src.read_images(spark, made["stage2_strips"]).count() == 6 and src.read_images(spark, made["stage1_debug/lines"]).count() == 2
+    texts = [json.loads(r.json) for r in spark.read.json(made["stage1_structure_json"]).collect()]
+    assert [t["num_cols"] for t in texts] == [3, 3]
+    plain = stages.save(stages.stage1(images, ONE), f"{tmp_path}/one")
+    assert not any(k.startswith("debug") for k in plain)
