@@ -40,7 +40,11 @@ def coverage(boundaries: DataFrame, lines: DataFrame, tol: int = 15) -> DataFram
     overlap = lambda x: F.greatest(F.lit(0).cast("long"), F.least(F.col("b"), x["e"]) - F.greatest(F.col("a"), x["s"]))
     covered = F.aggregate(F.col("spans"), F.lit(0).cast("long"), lambda total, x: total + overlap(x))
     share = F.when(F.col("spans").isNotNull(), F.when(F.col("a") >= F.col("b"), F.lit(1.0)).otherwise(covered / (F.col("b") - F.col("a"))))
-    met = boundaries.join(anchor_sets(lines, tol), ["page_id", "orient"], "left").withColumn("spans", near["spans"])
+    # both orientations of a page in one row: the boundaries, which are dealt by page, stay where they are
+    of = lambda o: F.first(F.when(F.col("orient") == o, F.col("anchors")), ignorenulls=True).alias(f"_{o}")
+    sets = anchor_sets(lines, tol).groupBy("page_id").agg(of("h"), of("v"))
+    own = F.when(F.col("orient") == "h", F.col("_h")).when(F.col("orient") == "v", F.col("_v"))
+    met = boundaries.join(sets, "page_id", "left").withColumn("anchors", own).withColumn("spans", near["spans"])
     columns = [c for c in boundaries.columns if c not in ("page_id", "orient")]
     return met.select("page_id", "orient", *columns, share.alias("coverage"))
 
