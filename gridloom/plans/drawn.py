@@ -89,6 +89,17 @@ def marked(k: int) -> np.ndarray:
     return page
 
 
+#: Rows and columns of the dark block below the pale table.
+BLOCK = (275, 295, 50, 350)
+
+
+def pale(k: int) -> np.ndarray:
+    """A table too pale to count as ink, pale marks away from it, and a dark block of text."""
+    page = np.where(marked(k) == 255, 255, 200).astype(np.uint8)
+    page[BLOCK[0] : BLOCK[1], BLOCK[2] : BLOCK[3]] = 0
+    return page
+
+
 def shaded(k: int) -> np.ndarray:
     """The page under uneven light, so that every grey level occurs: what pixel kernels are held against."""
     y, x = np.mgrid[0:HEIGHT, 0:WIDTH]

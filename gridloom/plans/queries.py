@@ -456,6 +456,13 @@ def _written_and_read(s, sf):
     return _levels(images.read_images(s, path))
 
 
+def _jpeg_written_and_read(s, sf):
+    """Pages as JPEG files and back; what is lost is far from half the contrast, so a threshold brings back each pixel."""
+    path = _shared(s, "pages")
+    _sinks().write_jpeg(_ruled(s, sf), path, 90)
+    return _image_sums(pages.binarize(_sinks().read_images(s, path), "fixed"))
+
+
 def _neighbours(source: str, f: str, offsets, out: str) -> str:
     """f of v over the offsets (y, x) that lie on the page."""
     at = ", ".join(f"({dy}, {dx})" for dy, dx in offsets)
@@ -503,6 +510,10 @@ QUERIES |= {
     "split_pages": lambda s, sf: _image_sums(pages.split_pages(drawn.pages_of(s, sf, drawn.spread))),
     "line_segments": lambda s, sf: pages.line_segments(_ruled(s, sf)).select("page_id", "orient", "pos", "s", "e"),
     "tag_boxes": lambda s, sf: pages.tag_boxes(drawn.pages_of(s, sf, drawn.tagged)),
+    "bit_or": lambda s, sf: raster.combine(d.pixels(s, sf), raster.threshold(d.pixels(s, sf), 140), "or"),
+    "bit_xor": lambda s, sf: raster.combine(d.pixels(s, sf), raster.threshold(d.pixels(s, sf), 140), "xor"),
+    "greyscale": lambda s, sf: _image_sums(pages.map_images(drawn.pages_of(s, sf, drawn.capsules), px.gray)),
+    "marks_protected": lambda s, sf: _image_sums(pages.remove_marks(drawn.pages_of(s, sf, drawn.pale), protect={"threshold": 40, "h_size": 60, "v_size": 40, "thickness": 3})),
     "lines_json": lambda s, sf: _sinks().lines_json(_merged_lines(s, sf)),
     "structure_json": lambda s, sf: _sinks().structure_json(grid.structure(_axis(s, sf)), _cells_(s, sf)),
     "recovered_json": lambda s, sf: _sinks().recovered_json(_merged_cells(s, sf)),
@@ -522,6 +533,7 @@ QUERIES |= {
     "stage2_merged": _stages("stage2_merged"),
     "stage2_strips": _stages("stage2_strips", _image_sums),
     "image_source": _written_and_read,
+    "jpeg_source": _jpeg_written_and_read,
 }
 
 #: Of the drawn table's lines those that the detection keeps: a column line must be 60 pixels long, which the short one is with three rows.
@@ -543,6 +555,21 @@ def _shown(places: str, y0: str, x0: str, share: str) -> str:
  FROM {places} p LEFT JOIN px_ q ON q.page_id = p.page_id AND q.y = p.y AND q.x >= 0 AND q.x < w GROUP BY p.page_id, p.y, w"""
 
 
+_PAGE = drawn.WIDTH * (drawn.WIDTH + 1) // 2
+SQL |= {
+    "bit_or": f"WITH {PIX} SELECT page_id, y, x, v | CAST(CASE WHEN v > 140 THEN 255 ELSE 0 END AS BIGINT) AS v FROM pix",
+    "bit_xor": f"WITH {PIX} SELECT page_id, y, x, xor(v, CAST(CASE WHEN v > 140 THEN 255 ELSE 0 END AS BIGINT)) AS v FROM pix",
+    "greyscale": f"""WITH ca AS (SELECT s_suppkey AS k, {drawn.CAPSULE_TOP} + s_suppkey % 3 + r AS y, 12 + 62 * t + s_suppkey % 10 + c AS x, CASE WHEN c >= 16 AND c < 26 AND (r - 4) % 16 < 10 AND r >= 4 AND r < 46 THEN 220 ELSE 30 END AS v
+  FROM supplier, (SELECT unnest(range(0, {drawn.CAPSULES})) AS t), (SELECT unnest(range(0, 52)) AS r), (SELECT unnest(range(0, 42)) AS c)),
+ fr AS (SELECT s_suppkey AS k, {drawn.CAPSULE_TOP} + r AS y, 325 + s_suppkey % 10 + c AS x, (40 * 1868 + 40 * 9617 + 210 * 4899 + 8192) >> 14 AS v FROM supplier, (SELECT unnest(range(0, {drawn.FRAME[1]})) AS r), (SELECT unnest(range(0, {drawn.FRAME[0]})) AS c)
+  WHERE least(c, r, {drawn.FRAME[0] - 1} - c, {drawn.FRAME[1] - 1} - r) < {drawn.THICK}), pt AS (SELECT k, y, sum((255 - v) * (x + 1)) AS t FROM (SELECT * FROM ca UNION ALL SELECT * FROM fr) GROUP BY k, y)
+ SELECT CAST(s_suppkey AS VARCHAR) AS page_id, CAST({drawn.WIDTH} AS BIGINT) AS width, r.y, CAST(255 * {_PAGE} - coalesce(t, 0) AS BIGINT) AS total FROM supplier, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y) r LEFT JOIN pt ON pt.k = s_suppkey AND pt.y = r.y""",
+    "marks_protected": f"""WITH {drawn.GRID}, {drawn.DARK}, ro AS (SELECT page_id, y FROM grid, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y))
+ SELECT r.page_id, CAST({drawn.WIDTH} AS BIGINT) AS width, r.y, CAST(255 * {_PAGE} - 55 * coalesce(sum(x + 1), 0) - CASE WHEN r.y >= {drawn.BLOCK[0]} AND r.y < {drawn.BLOCK[1]} THEN 255 * {sum(range(drawn.BLOCK[2] + 1, drawn.BLOCK[3] + 1))} ELSE 0 END AS BIGINT) AS total
+ FROM ro r LEFT JOIN dk ON dk.page_id = r.page_id AND dk.y = r.y GROUP BY r.page_id, r.y""",
+}
+SQL["jpeg_source"] = f"""WITH {drawn.GRID}, {drawn.DARK}, ro AS (SELECT page_id, y FROM grid, (SELECT unnest(range(0, {drawn.HEIGHT})) AS y))
+ SELECT r.page_id, CAST({drawn.WIDTH} AS BIGINT) AS width, r.y, CAST(255 * ({drawn.WIDTH * (drawn.WIDTH + 1) // 2} - coalesce(sum(x + 1), 0)) AS BIGINT) AS total FROM ro r LEFT JOIN dk ON dk.page_id = r.page_id AND dk.y = r.y GROUP BY r.page_id, r.y"""
 _LINE = "list([{}] ORDER BY idx) FILTER (orient = '{}')"
 SQL |= {
     "lines_json": _rec(f"{SEG}, {_merge('seg', 45)}", f", js AS (SELECT page_id, coalesce({_LINE.format('s, pos, e, pos', 'h')}, []) AS horizontal_lines, coalesce({_LINE.format('pos, s, pos, e', 'v')}, []) AS vertical_lines FROM mrg GROUP BY page_id) SELECT page_id, CAST(to_json(struct_pack(horizontal_lines := horizontal_lines, vertical_lines := vertical_lines)) AS VARCHAR) AS json FROM js"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from gridloom.operators.pages import IMAGE
+from gridloom.sources.jpeg import jpeg, quantisation
 
 #: The file types that count as page images, in lower and upper case.
 TYPES = ("jpg", "jpeg", "png", "tiff", "tif", "bmp")
@@ -59,23 +60,29 @@ def png(image: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(raw.tobytes(), 6)) + part(b"IEND", b"")
 
 
-class PngSink(DataSource):
-    """format("gridloom_png"): each page as <path>/<page_id>.png, on a file system that all executors share."""
+class ImageSink(DataSource):
+    """format("gridloom_images"): each page as <path>/<page_id>.<type>, on a file system that all executors share.
+
+    Options: path; type, png or jpg; quality of jpg, 1 to 100.
+    """
 
     @classmethod
     def name(cls) -> str:
-        return "gridloom_png"
+        return "gridloom_images"
 
     def schema(self) -> str:
         return IMAGE
 
     def writer(self, schema, overwrite: bool):
-        return _PngWriter(self.options["path"])
+        return _ImageWriter(self.options["path"], self.options.get("type", "png"), int(self.options.get("quality", "95")))
 
 
-class _PngWriter(DataSourceWriter):
-    def __init__(self, path: str):
-        self.path = path.removeprefix("file://")
+class _ImageWriter(DataSourceWriter):
+    def __init__(self, path: str, kind: str, quality: int):
+        if kind not in ("png", "jpg"):
+            raise ValueError(f"unknown image type {kind!r}")
+        quantisation(quality)
+        self.path, self.kind, self.quality = path.removeprefix("file://"), kind, quality
 
     def write(self, rows):
         import os
@@ -86,17 +93,28 @@ class _PngWriter(DataSourceWriter):
         for r in rows:
             if r.data is None:
                 continue
-            final = f"{self.path}/{r.page_id}.png"
+            final = f"{self.path}/{r.page_id}.{self.kind}"
+            image = to_array(r.height, r.width, r.n_channels, bytes(r.data))
             part = f"{final}.{os.getpid()}.part"  # a task that is lost leaves no half file
             with open(part, "wb") as f:
-                f.write(png(to_array(r.height, r.width, r.n_channels, bytes(r.data))))
+                f.write(png(image) if self.kind == "png" else jpeg(image, self.quality))
             os.replace(part, final)
         return WriterCommitMessage()
 
 
+def write_images(images: DataFrame, path: str, kind: str = "png", quality: int = 95) -> None:
+    """Each page as a file; kind: png, or jpg of a quality from 1 to 100."""
+    images.sparkSession.dataSource.register(ImageSink)
+    rows = images.select(*[x.split()[0] for x in IMAGE.split(", ")])
+    rows.write.format("gridloom_images").option("type", kind).option("quality", str(quality)).mode("append").save(path)
+
+
 def write_png(images: DataFrame, path: str) -> None:
-    images.sparkSession.dataSource.register(PngSink)
-    images.select(*[x.split()[0] for x in IMAGE.split(", ")]).write.format("gridloom_png").mode("append").save(path)
+    write_images(images, path)
+
+
+def write_jpeg(images: DataFrame, path: str, quality: int = 95) -> None:
+    write_images(images, path, "jpg", quality)
 
 
 def lines_json(lines: DataFrame) -> DataFrame:

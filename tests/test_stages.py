@@ -382,3 +382,37 @@ def test_outputs_are_laid_out_in_folders(spark, tmp_path):
     assert [t["num_cols"] for t in texts] == [3, 3]
     plain = stages.save(stages.stage1(images, ONE), f"{tmp_path}/one")
     assert not any(k.startswith("debug") for k in plain)
+
+
+def test_jpeg_files_are_read_back_within_an_error(spark, tmp_path):
+    from gridloom.sources import jpeg as codec
+
+    r = np.random.default_rng(1)
+    y, x = np.mgrid[0:61, 0:83]
+    grey = (128 + 60 * np.sin(x / 9) + 50 * np.cos(y / 7)).astype(np.uint8)
+    own = {
+        "grey": grey, "noise": r.integers(0, 256, (40, 50)).astype(np.uint8), "flat": np.full((9, 7), 200, np.uint8), "dot": np.full((1, 1), 3, np.uint8), "page": make_page(XS, YS),
+        "colour": np.stack([grey, 255 - grey, grey // 2 + 40], -1).astype(np.uint8), "black": np.zeros((8, 8), np.uint8),
+    }
+    src.write_jpeg(src.from_arrays(spark, own), f"{tmp_path}/jpg", 95)
+    back = {p.page_id: np.frombuffer(p.data, np.uint8).reshape(p.height, p.width, p.n_channels) for p in src.read_images(spark, f"{tmp_path}/jpg").collect()}
+    assert set(back) == set(own)
+    for k, v in own.items():
+        error = np.abs(back[k].astype(int) - v.reshape(*v.shape[:2], -1))
+        assert error.max() <= 16 and error.mean() <= 2, k
+    assert len(codec.jpeg(own["grey"], 20)) < len(codec.jpeg(own["grey"], 95)) < grey.size
+    for wrong in (0, 101):
+        with pytest.raises(ValueError):
+            codec.jpeg(grey, wrong)
+    with pytest.raises(Exception, match="unknown image type"):
+        src.write_images(src.from_arrays(spark, own), f"{tmp_path}/gif", "gif")
+
+
+def test_huffman_codes_stay_within_sixteen_bits():
+    from gridloom.sources.jpeg import code_lengths
+
+    counts = np.zeros(256, np.int64)
+    counts[:30] = [2**k for k in range(30)]  # a plain code would be 30 bits deep
+    lengths = code_lengths(counts)
+    assert max(lengths.values()) <= 16 and set(lengths) == set(range(30)) | {256} and lengths[256] == max(lengths.values())
+    assert sum(2.0**-n for n in lengths.values()) <= 1
