@@ -7,9 +7,9 @@ from gridloom.llm import classify, queries
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_queries():
+def test_thirteen_queries():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
