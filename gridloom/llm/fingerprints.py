@@ -9,7 +9,7 @@ subtable, where a digest lies in one cell only, so a round is one generator and
 rounds of an attempt chain without a shuffle once the rows of a pair lie together. A pair that does not come
 out empty is tried again with a larger sketch, until every pair has.
 
-Attempts: FINGERPRINT cells (what the fingerprint string holds), then at least twice as many as
+Attempts: a power of two times FINGERPRINT cells (what the fingerprint string holds), at least twice as many as
 both versions have paragraphs, then four times as many as before for as long as a pair fails.
 
 Defined cases: a null text is empty, and its set of paragraphs too; two empty sets have likeness
@@ -129,10 +129,10 @@ def differences(pairs: DataFrame) -> DataFrame:
     """
     n = F.size("own") + F.greatest(F.size("edited"), F.size("next"))
     enough = F.greatest(F.lit(1), F.ceil(F.log2((2 * n + 1) / FINGERPRINT)))
-    tries = {0: F.lit(0), 1: enough}
+    tries = {0: enough}
     near = pairs.select("rid", "own", "edited", "next").repartition("rid")
     done = None
-    larger = 2
+    larger = 1
     while True:
         found = saved(_attempt(near, tries), "iblt-differences")
         best = found.where("left = 0").groupBy("rid", "pair").agg(F.min_by(F.struct("plus", "minus"), "attempt").alias("d"))
@@ -142,13 +142,13 @@ def differences(pairs: DataFrame) -> DataFrame:
             best = best.join(failing, ["rid", "pair"], "left_semi")  # noqa: F821
         done = best if done is None else done.unionByName(best)
         failed = failed.select("rid", "pair")
-        if larger > 2:
+        if larger > 1:
             failed = failed.join(failing, ["rid", "pair"], "left_semi")  # noqa: F821
         failing = saved(failed, "iblt-failed")
         if failing.isEmpty():
             return done
         near = pairs.select("rid", "own", "edited", "next").join(failing.select("rid").distinct(), "rid", "left_semi").repartition("rid")
-        tries = {larger: enough + 2 * (larger - 1)}
+        tries = {larger: enough + 2 * larger}
         larger += 1
 
 

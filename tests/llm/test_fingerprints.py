@@ -72,3 +72,12 @@ def test_differing_digests_of_both_sides(spark):
 def test_no_python_in_the_plan(spark, docs_of):
     rows = fp.with_next(docs_of(spark, [(1, "a"), (2, "b")])).select(fp.digests(F.col("text")))
     assert "Python" not in rows._jdf.queryExecution().toString() and "Arrow" not in rows._jdf.queryExecution().toString()
+
+
+def test_one_sketch_for_a_pair(spark, monkeypatch):
+    """No pass builds a second sketch of a pair beside the one that decodes it."""
+    sizes, attempt = [], fp._attempt
+    monkeypatch.setattr(fp, "_attempt", lambda pairs, tries, *a: (sizes.append(len(tries)), attempt(pairs, tries, *a))[1])
+    df = spark.createDataFrame([(1, list(range(1, 90)), list(range(5, 95)), list(range(200, 900)))], "rid long, own array<long>, edited array<long>, next array<long>")
+    assert {(r.pair, len(r.plus), len(r.minus)) for r in fp.differences(df).collect()} == {(0, 4, 5), (1, 89, 700)}
+    assert set(sizes) == {1}
