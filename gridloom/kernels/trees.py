@@ -34,10 +34,11 @@ def component_tree(v: np.ndarray) -> Tree:
     at = np.arange(n).reshape(h, w)
     a = np.concatenate([at[:, :-1].ravel(), at[:-1].ravel()])
     b = np.concatenate([at[:, 1:].ravel(), at[1:].ravel()])
-    when = np.maximum(flat[a], flat[b])
+    own = v.ravel()  # bytes are sorted by radix
+    when = np.maximum(own[a], own[b])
     order = np.argsort(when, kind="stable")
-    a, b, when = a[order], b[order], when[order]
-    pixels = np.argsort(flat, kind="stable")
+    a, b, when = a[order], b[order], when[order].astype(np.int64)
+    pixels = np.argsort(own, kind="stable")
     levels, starts = np.unique(flat[pixels], return_index=True)
     ends = np.append(starts[1:], n)
     low, high = np.searchsorted(when, levels, "left"), np.searchsorted(when, levels, "right")
@@ -46,6 +47,7 @@ def component_tree(v: np.ndarray) -> Tree:
     box = np.stack([at % w, at // w, at % w, at // w], -1).reshape(n, 4)
     out: dict[str, list[np.ndarray]] = {k: [] for k in ("level", "first", "area", "box")}
     links, count = [], 0
+    seen, number = np.zeros(n, bool), np.zeros(n, np.int64)
 
     def top(p: np.ndarray) -> np.ndarray:
         r = root[p]
@@ -56,9 +58,13 @@ def component_tree(v: np.ndarray) -> Tree:
 
     for t, s, e, i, j in zip(levels.tolist(), starts, ends, low, high):
         p, q = top(a[i:j]), top(b[i:j])
-        met = np.unique(np.concatenate([p, q, pixels[s:e]]))
-        label = least_labels(len(met), np.searchsorted(met, p), np.searchsorted(met, q))
-        heads, of = np.unique(label, return_inverse=True)
+        seen[p] = seen[q] = seen[pixels[s:e]] = True
+        met = np.flatnonzero(seen)
+        seen[met], number[met] = False, np.arange(len(met))
+        label = least_labels(len(met), number[p], number[q])
+        heads = np.flatnonzero(np.bincount(label, minlength=len(met)))
+        number[heads] = np.arange(len(heads))
+        of = number[label]
         root[met] = met[label]
         total = np.bincount(of, area[met]).astype(np.int64)
         edges = box[met[heads]].copy()

@@ -47,22 +47,29 @@ def iou(a: Column, b: Column) -> Column:
     return F.when(union > 0, both / union).otherwise(F.lit(0.0))
 
 
-def nms(boxes: DataFrame, threshold: float = 0.30) -> DataFrame:
-    """Greedy suppression per page: by falling area (then box_id), a box stays if no kept box overlaps it by more."""
-    ordered = boxes.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("w") * F.col("h")).alias("o"), "box_id", "x", "y", "w", "h"))).alias("b"))
+def nms(boxes: DataFrame, threshold: float = 0.30, also: tuple[str, ...] = ()) -> DataFrame:
+    """Greedy suppression per page: by falling area (then box_id), a box stays if no kept box overlaps it by more.
+
+    also: further columns that the boxes bring along.
+    """
+    columns = ("box_id", "x", "y", "w", "h", *also)
+    ordered = boxes.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("w") * F.col("h")).alias("o"), *columns))).alias("b"))
 
     def step(kept: Column, box: Column) -> Column:
         return F.when(F.forall(kept, lambda k: iou(box, k) <= threshold), F.concat(kept, F.array(box))).otherwise(kept)
 
-    empty = F.array().cast("array<struct<o:bigint,box_id:bigint,x:bigint,y:bigint,w:bigint,h:bigint>>")
+    kinds = dict(boxes.dtypes)
+    more = "".join(f",{c}:{kinds[c]}" for c in also)
+    empty = F.array().cast(f"array<struct<o:bigint,box_id:bigint,x:bigint,y:bigint,w:bigint,h:bigint{more}>>")
     return ordered.select("page_id", F.inline(F.aggregate("b", empty, step))).drop("o")
 
 
 def row_filter_median(boxes: DataFrame, least_tau: float = 28.0) -> DataFrame:
     """Boxes whose middle is near their page's median; a page with one box keeps it."""
-    page = boxes.groupBy("page_id").agg(F.median(F.col("y") + F.col("h") / 2).alias("y0"), F.median("h").alias("hm"), F.count("*").alias("n"))
-    near = F.abs(F.col("y") + F.col("h") / 2 - F.col("y0")) <= F.greatest(0.25 * F.col("hm"), F.lit(least_tau))
-    return boxes.join(page, "page_id").where((F.col("n") < 2) | near).select(boxes.columns)
+    w = Window.partitionBy("page_id")
+    page = {"_y0": F.median(F.col("y") + F.col("h") / 2).over(w), "_hm": F.median("h").over(w), "_n": F.count("*").over(w)}
+    near = F.abs(F.col("y") + F.col("h") / 2 - F.col("_y0")) <= F.greatest(0.25 * F.col("_hm"), F.lit(least_tau))
+    return boxes.withColumns(page).where((F.col("_n") < 2) | near).select(boxes.columns)
 
 
 def theil_sen(points: DataFrame) -> DataFrame:

@@ -49,8 +49,8 @@ def find_tags(images: DataFrame, c: Tags) -> DataFrame:
     wide = (share("page_width", c.min_width), share("page_width", c.max_width))
     tall = (share("page_height", c.min_height), share("page_height", c.max_height))
     reason = tags.candidate_reason(F.col("band_width"), F.col("band_height"), wide, (c.min_aspect, c.max_aspect), c.min_dark, c.reject_red, tall)
-    kept = tags.nms(found.where(reason.isNull()), c.iou)
-    scored = found.join(kept.select("page_id", "box_id"), ["page_id", "box_id"], "left_semi").where(tags.tag_score(F.col("dark"), F.col("glyphs"), F.col("w"), F.col("h")) >= c.min_score)
+    kept = tags.nms(found.where(reason.isNull()), c.iou, ("dark", "glyphs", "band_top"))  # found once: its regions are the costly part
+    scored = kept.where(tags.tag_score(F.col("dark"), F.col("glyphs"), F.col("w"), F.col("h")) >= c.min_score)
     by_row = {"median": tags.row_filter_median, "theilsen": tags.row_filter_theil_sen}.get(c.rows.lower())
     scored = by_row(scored) if by_row else scored
     return scored.select("page_id", "box_id", "x", (F.col("y") + F.col("band_top")).alias("y"), "w", "h", "dark", "glyphs")
