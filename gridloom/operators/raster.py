@@ -85,14 +85,17 @@ def least_run(start: Column, end: Column, k: int) -> Column:
 
 
 def opened(runs_: DataFrame, k: int, extent: DataFrame | None = None) -> DataFrame:
-    """Runs that an opening with a line of k pixels keeps. extent: page_id, size along the runs; without it a page ends with its last ink.
+    """Runs that an opening with a line of k pixels keeps. extent: page_id, size along the runs; without it the runs' own size counts, or a page ends with its last ink.
 
     What lies outside the page never erodes, so a run at the border may be shorter: by the kernel's part beyond the border.
     """
     n = F.col("b") - F.col("a") + 1
     start, end = F.col("a") == 0, F.col("b") == F.col("size") - 1
     need = least_run(start, end, k)
-    sized = runs_.withColumn("size", F.max("b").over(Window.partitionBy("page_id")) + 1) if extent is None else runs_.join(extent, "page_id")
+    if extent is not None:
+        sized = runs_.join(extent, "page_id")
+    else:
+        sized = runs_ if "size" in runs_.columns else runs_.withColumn("size", F.max("b").over(Window.partitionBy("page_id")) + 1)
     return sized.where(n >= need).select("page_id", "line", "a", "b")
 
 
