@@ -19,15 +19,20 @@ def intervals(axis: DataFrame, orient: str) -> DataFrame:
     return axis.where(F.col("orient") == orient).withColumn("b", F.lead("c").over(w)).where("b is not null").select("page_id", "idx", F.col("c").alias("a"), "b")
 
 
+def sides(axis: DataFrame) -> DataFrame:
+    """page_id, xs, ys: arrays of idx, c, b of the neighbouring positions of both axes."""
+    w = Window.partitionBy("page_id", "orient").orderBy("idx")
+    pairs = axis.withColumn("b", F.lead("c").over(w)).where("b is not null")
+    side = lambda o: F.collect_list(F.when(F.col("orient") == o, F.struct("idx", "c", "b")))
+    return pairs.groupBy("page_id").agg(side("v").alias("xs"), side("h").alias("ys"))
+
+
 def cells(axis: DataFrame) -> DataFrame:
     """page_id, row, col, x1, y1, x2, y2: every pair of neighbouring xs with every pair of neighbouring ys.
 
     Both axes of a page come from one aggregate, so what they are computed from runs once.
     """
-    w = Window.partitionBy("page_id", "orient").orderBy("idx")
-    pairs = axis.withColumn("b", F.lead("c").over(w)).where("b is not null")
-    side = lambda o: F.collect_list(F.when(F.col("orient") == o, F.struct("idx", "c", "b")))
-    both = pairs.groupBy("page_id").agg(side("v").alias("xs"), side("h").alias("ys"))
+    both = sides(axis)
     met = both.select("page_id", "ys", F.explode("xs").alias("x")).select("page_id", "x", F.explode("ys").alias("y"))
     return met.select("page_id", F.col("y.idx").alias("row"), F.col("x.idx").alias("col"), F.col("x.c").alias("x1"), F.col("y.c").alias("y1"), F.col("x.b").alias("x2"), F.col("y.b").alias("y2"))
 

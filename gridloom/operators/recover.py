@@ -5,11 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.kernels.components import least_labels
 
+from .grid import sides
 from .lines import anchor_sets
 
 
@@ -97,6 +98,51 @@ def merged_table(cells: DataFrame, lines: DataFrame, tol: int = 15, ratio: float
     return rows.groupBy("page_id").applyInArrow(_union_rows, f"page_id {dict(cells.dtypes)['page_id']}, {_MERGED}")
 
 
+def _open(across: str, along: str, anchors: str, tol: int, ratio: float) -> Column:
+    """Of a page's sides (grid.sides()) the boundaries that no line covers enough, as numbers: place across * size along + place along."""
+    overlap = lambda x, a, b: F.greatest(F.lit(0).cast("long"), F.least(b, x["e"]) - F.greatest(a, x["s"]))
+
+    def of(spans: Column, i: Column) -> Column:
+        """The open boundaries at one position, whose lines are looked up once."""
+        def share(y: Column) -> Column:
+            covered = F.aggregate(spans, F.lit(0).cast("long"), lambda total, x: total + overlap(x, y["c"], y["b"]))
+            return F.when(spans.isNotNull(), F.when(y["c"] >= y["b"], F.lit(1.0)).otherwise(covered / (y["b"] - y["c"])))
+
+        places = F.transform(F.col(along), lambda y, j: F.struct((i * F.size(along) + j).alias("at"), share(y).alias("share")))
+        return F.transform(F.filter(places, lambda p: F.coalesce(p["share"], F.lit(-1.0)) < ratio), lambda p: p["at"])
+
+    near = lambda x: F.get(F.filter(F.col(anchors), lambda k: F.abs(k["anchor"] - x["b"]) <= tol), F.lit(0))["spans"]
+    met = F.transform(F.slice(F.col(across), F.lit(1), F.greatest(F.size(across) - 1, F.lit(0))), lambda x, i: F.struct(near(x).alias("spans"), i.alias("i")))
+    return F.flatten(F.transform(met, lambda m: of(m["spans"], m["i"])))
+
+
+def merged_grid(axis: DataFrame, lines: DataFrame, tol: int = 15, ratio: float = 0.8) -> DataFrame:
+    """merged_table() of the cells of a grid (grid.cells()): a page is one row until its cells are joined, so no row for a cell or a boundary is dealt or sorted."""
+    of = lambda o: F.first(F.when(F.col("orient") == o, F.col("anchors")), ignorenulls=True).alias(f"_{o}")
+    sets = anchor_sets(lines, tol).groupBy("page_id").agg(of("h"), of("v"))
+    both = sides(axis).where("size(xs) > 0 and size(ys) > 0").select("page_id", F.array_sort("xs").alias("xs"), F.array_sort("ys").alias("ys")).join(sets, "page_id", "left")
+    pages = both.select("page_id", "xs", "ys", _open("xs", "ys", "_v", tol, ratio).alias("v"), _open("ys", "xs", "_h", tol, ratio).alias("h"))
+    kind = dict(axis.dtypes)["page_id"]
+
+    def run(batches):
+        for batch in batches:
+            made = []
+            columns = [batch.column(c) for c in ("page_id", "xs", "ys", "v", "h")]
+            for page, xs, ys, v, h in zip(*columns):
+                x, y = (np.stack([s.values.field(f).to_numpy() for f in ("idx", "c", "b")], 1) for s in (xs, ys))
+                r, c = np.divmod(np.arange(len(y) * len(x)), len(x))
+                cells = np.stack([y[r, 0], x[c, 0], x[c, 1], y[r, 1], x[c, 2], y[r, 2]], 1)
+                vc, vr = np.divmod(v.values.to_numpy().astype(np.int64), len(y))
+                hr, hc = np.divmod(h.values.to_numpy().astype(np.int64), len(x))
+                at = lambda r, c: np.stack([y[r, 0], x[c, 0]], 1)
+                edges = np.concatenate([np.hstack([at(vr, vc), at(vr, vc + 1)]), np.hstack([at(hr, hc), at(hr + 1, hc)])])
+                made.append(_joined(page.as_py(), cells, edges, columns[0].type))
+            if made:
+                yield from pa.concat_tables(made).combine_chunks().to_batches()
+
+    return pages.mapInArrow(run, f"page_id {kind}, {_MERGED}")
+
+
 def merged_cells(cells: DataFrame, edges: DataFrame) -> DataFrame:
     """The groups of cells that edges connect, with their spans and bounding boxes (of L-shapes, too)."""
     narrow = cells.select(*[F.col(c).alias(c) for c in ("page_id", "row", "col", "x1", "y1", "x2", "y2")])  # edges may stem from the same cells
