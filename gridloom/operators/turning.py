@@ -9,10 +9,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .raster import least_run
+from gridloom.kernels.composites import lines_at_turns
+
+from .pages import _bounded as bounded
 
 SCALE, STEPS = 1024, 32
 
@@ -258,21 +262,41 @@ def closed_ink(ink: DataFrame) -> DataFrame:
     return met.where(F.col("_n") == across("y", "height") * across("x", "width")).drop("_n")
 
 
+def packed_ink(ink: DataFrame) -> DataFrame:
+    """page_id, height, width, ink: pages of ink (page_id, y, x, height, width) as one row each, the ink as an array of y and the xs in it."""
+    own = F.struct(F.col("y").cast("int").alias("y"), F.array(F.col("x").cast("int")).alias("xs"))
+    return ink.groupBy("page_id").agg(F.first("height").alias("height"), F.first("width").alias("width"), F.collect_list(own).alias("ink"))
+
+
+#: Rows that one batch of lines has, about.
+LINE_ROWS = 200_000
+
+
 def skewed_lines(ink: DataFrame, h_size: int, v_size: int, tolerance: float, step: float) -> DataFrame:
-    """page_id, orient, y, x of ink (page_id, y, x, height, width) that is part of a line of h_size or v_size pixels at any turn within the tolerance.
+    """page_id, orient, y, x of ink that is part of a line of h_size or v_size pixels at any turn within the tolerance.
 
-    For each angle the page is turned, its runs along rows and columns are opened and turned back; what any angle keeps is united, and closed.
+    ink: page_id, y, x, height, width, or packed_ink(). For each angle the page is turned, its runs along rows and columns are opened and turned back; what any
+    angle keeps is united, and closed. A page stays one row until its lines are known, so no row for a turned pixel is dealt or sorted.
     """
-    angles = angle_list(-tolerance, tolerance, step)
-    turned = turned_ink(ink.select("page_id", "y", "x", "height", "width"), angles)
-    back = F.array(*(F.struct(F.lit(turn(-a)[0]).alias("c"), F.lit(turn(-a)[1]).alias("s")) for a in angles))
-    kept = None
-    for orient, along, line, size, length in (("h", "x", "y", h_size, "width"), ("v", "y", "x", v_size, "height")):
-        w = Window.partitionBy("page_id", "k", line).orderBy(along)
-        islands = turned.withColumn("g", F.col(along) - F.row_number().over(w))
-        runs = islands.groupBy("page_id", "k", "height", "width", line, "g").agg(F.min(along).alias("a"), F.max(along).alias("b")).drop("g")
-        long = runs.where(F.col("b") - F.col("a") + 1 >= least_run(F.col("a") == 0, F.col("b") == F.col(length) - 1, size))
-        own = long.select("page_id", "k", "height", "width", F.lit(orient).alias("orient"), line, F.explode(F.sequence("a", "b")).alias(along))
-        kept = own if kept is None else kept.unionByName(own)
-    again = scattered(kept.withColumn("_t", F.element_at(back, F.col("k") + 1)).select(*kept.columns, "_t.*")).drop("c", "s", "k")
-    return closed_ink(again.distinct()).select("page_id", "orient", "y", "x")
+    turns = [(turn(a), turn(-a)) for a in angle_list(-tolerance, tolerance, step)]
+    pages = bounded(ink if "ink" in ink.columns else packed_ink(ink))
+    kind = dict(pages.dtypes)["page_id"]
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            for page, height, width, own in zip(*(batch.column(c) for c in ("page_id", "height", "width", "ink"))):
+                mask = np.zeros((height.as_py(), width.as_py()), bool)
+                xs = own.values.field("xs")
+                mask[np.repeat(own.values.field("y").to_numpy(), xs.value_lengths().to_numpy()), xs.flatten().to_numpy()] = True
+                for orient, found in zip("hv", lines_at_turns(mask, h_size, v_size, turns)):
+                    y, x = np.nonzero(found)
+                    held.append(pa.RecordBatch.from_arrays([pa.repeat(page, len(y)), pa.repeat(orient, len(y)), pa.array(y, pa.int64()), pa.array(x, pa.int64())], names=["page_id", "orient", "y", "x"]))
+                    n += len(y)
+                if n >= LINE_ROWS:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, n = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return pages.select("page_id", "height", "width", "ink").mapInArrow(run, f"page_id {kind}, orient string, y long, x long")

@@ -204,9 +204,7 @@ _TOLERANCE, _TURN, _H_SIZE, _V_SIZE = 2.0, 1.0, 6, 5
 
 
 def _skewed(s, sf):
-    p = d.pixels(s, sf)
-    ink = p.where("v > 127").join(tn.sizes_of(p), "page_id")
-    lines = tn.skewed_lines(ink, _H_SIZE, _V_SIZE, _TOLERANCE, _TURN)
+    lines = tn.skewed_lines(d.packed_ink(s, sf, 127), _H_SIZE, _V_SIZE, _TOLERANCE, _TURN)
     return lines.groupBy("page_id", "orient", "y").agg(F.sum(F.col("x") + 1).alias("total"))
 
 
