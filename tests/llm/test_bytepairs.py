@@ -128,3 +128,18 @@ def test_tasks_are_bound_by_bytes(spark, docs_of, monkeypatch):
     monkeypatch.setattr(bp, "TASK_BYTES", 1000)
     assert docs.coalesce(bp.tasks_of(docs)).rdd.getNumPartitions() == 32
     assert bp.tasks_of(docs_of(spark, [(1, None)])) == spark.sparkContext.defaultParallelism
+
+
+def test_a_task_folds_each_of_its_words_once():
+    """A million words, as many as a task of TASK_BYTES has, come three times: none is forgotten and sent to the fold again."""
+    import pyarrow as pa
+
+    texts = [" ".join(f"zq{i + j}" for j in range(5000)).replace("0", "o").translate(str.maketrans("123456789", "abcdefghj")) for _ in range(3) for i in range(0, 1_000_000, 5000)]
+    with open(PATH, "rb") as f:
+        run = bp._words(PATTERN, f.read())
+    sent = {k: 0 for k in range(4)}
+    for b in run([pa.record_batch({"doc_id": list(range(len(texts))), "text": texts})]):
+        sent[b.column("kind")[0].as_py()] += b.num_rows
+    words = {w for t in texts[:200] for w in bp.splitter(PATTERN)(t)}
+    assert len(words) > 990_000 and sent[bp.WORD] + sent[bp.GIVEN] == len(words)
+    assert sent[bp.FORGET] == 0 and sent[bp.TEXT] == len(texts)
