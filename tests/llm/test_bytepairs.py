@@ -143,3 +143,11 @@ def test_a_task_folds_each_of_its_words_once():
     words = {w for t in texts[:200] for w in bp.splitter(PATTERN)(t)}
     assert len(words) > 990_000 and sent[bp.WORD] + sent[bp.GIVEN] == len(words)
     assert sent[bp.FORGET] == 0 and sent[bp.TEXT] == len(texts)
+
+
+def test_parts_are_joined_in_order():
+    parts = [bytes([i]) * (i % 3) for i in range(50)]
+    for n in (0, 1, 2, 3, 7, 8, 50):
+        for at_once in (2, 7, 1 << 16):
+            numbers = [(i * 29) % 50 for i in range(n)]
+            assert bp.joined(parts, numbers, at_once) == b"".join(parts[i] for i in numbers)
