@@ -38,8 +38,11 @@ def filter_relative(lines: DataFrame, ratio: float) -> DataFrame:
 
 
 def cluster_positions(lines: DataFrame, eps: int = 10) -> DataFrame:
-    """page_id, orient, idx (from 0), center, n: positions chained while the gap to the one before is at most eps."""
-    w = Window.partitionBy(*KEY).orderBy("pos")
+    """page_id, orient, idx (from 0), center, n: positions chained while the gap to the one before is at most eps.
+
+    A null position is a cluster of its own, after all others. Equal positions are one cluster in any order.
+    """
+    w = Window.partitionBy(*KEY).orderBy(F.asc_nulls_last("pos"))
     new = F.when(F.col("pos") - F.lag("pos").over(w) <= eps, 0).otherwise(1)
     grouped = lines.select(*KEY, "pos", new.alias("new")).withColumn("g", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = grouped.groupBy(*KEY, "g").agg(F.floor(F.avg("pos")).alias("center"), F.count("*").alias("n"))

@@ -20,6 +20,11 @@ def test_cluster_positions(spark):
     assert [(r.center, r.n) for r in out] == [(10, 3), (31, 1)]
 
 
+def test_cluster_of_null_positions_and_ties(spark):
+    out = lines.cluster_positions(frame(spark, [(p, 0, 5) for p in (None, 30, 3, 31, 30, None)]), 10).orderBy("idx").collect()
+    assert [(r.center, r.n) for r in out] == [(3, 1), (30, 3), (None, 1), (None, 1)]
+
+
 def test_cluster_of_nothing(spark):
     assert lines.cluster_positions(frame(spark, []), 10).count() == 0
 
