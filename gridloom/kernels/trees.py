@@ -29,22 +29,30 @@ class Tree:
 
 def component_tree(v: np.ndarray) -> Tree:
     h, w = v.shape
-    n = h * w
-    flat = v.ravel().astype(np.int64)
-    at = np.arange(n).reshape(h, w)
-    a = np.concatenate([at[:, :-1].ravel(), at[:-1].ravel()])
-    b = np.concatenate([at[:, 1:].ravel(), at[1:].ravel()])
     own = v.ravel()  # bytes are sorted by radix
+    # neighbours of one value in a row are one piece from the start, named by its first pixel; pieces meet where one of them begins
+    begins = np.ones((h, w), bool)
+    begins[:, 1:] = v[:, 1:] != v[:, :-1]
+    start = np.flatnonzero(begins)
+    n = len(start)
+    piece = (np.cumsum(begins.ravel()) - 1).reshape(h, w)
+    met_below = begins[:-1] | begins[1:]
+    beside = np.flatnonzero(start[1:] % max(w, 1))
+    a = np.concatenate([beside, piece[:-1][met_below]])
+    b = np.concatenate([beside + 1, piece[1:][met_below]])
+    own = own[start]
     when = np.maximum(own[a], own[b])
     order = np.argsort(when, kind="stable")
     a, b, when = a[order], b[order], when[order].astype(np.int64)
     pixels = np.argsort(own, kind="stable")
-    levels, starts = np.unique(flat[pixels], return_index=True)
+    levels, starts = np.unique(own[pixels].astype(np.int64), return_index=True)
     ends = np.append(starts[1:], n)
     low, high = np.searchsorted(when, levels, "left"), np.searchsorted(when, levels, "right")
 
-    root, node, area = np.arange(n), np.full(n, -1), np.ones(n, np.int64)
-    box = np.stack([at % w, at // w, at % w, at // w], -1).reshape(n, 4)
+    area = np.diff(np.append(start, h * w))
+    root, node = np.arange(n), np.full(n, -1)
+    y, x = np.divmod(start, max(w, 1))
+    box = np.stack([x, y, x + area - 1, y], -1)
     out: dict[str, list[np.ndarray]] = {k: [] for k in ("level", "first", "area", "box")}
     links, count = [], 0
     seen, number = np.zeros(n, bool), np.zeros(n, np.int64)
@@ -75,7 +83,7 @@ def component_tree(v: np.ndarray) -> Tree:
         first = met[heads]
         area[first], box[first], node[first] = total, edges, count + np.arange(len(heads))
         out["level"].append(np.full(len(heads), t))
-        out["first"].append(first)
+        out["first"].append(start[first])
         out["area"].append(total)
         out["box"].append(edges)
         count += len(heads)

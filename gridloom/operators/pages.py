@@ -267,12 +267,14 @@ def remove_tags_classic(images: DataFrame, dark: int = 110, least: int = 200, ke
     """Pages whose tags are painted white: dark regions of the band that tags.classic_filter() takes (bounds are its own)."""
     from . import tags
 
-    return white_fill(images, tags.classic_filter(tag_boxes(images, dark, least, kernel, iterations), **bounds))
+    found = _with_found(images, _dark_boxes(dark, least, kernel, iterations), _TAG_BOX)
+    return white_listed(found.withColumn("boxes", F.filter("found", lambda b: tags.is_classic(b, **bounds))).drop("found"))
 
 
-def tag_boxes(images: DataFrame, dark: int = 110, least: int = 200, kernel: int = 5, iterations: int = 2) -> DataFrame:
-    """page_id, box_id, x, y, w, h, area, dark of dark regions in the band of tags, in the page's frame."""
+_TAG_BOX = "box_id long, x long, y long, w long, h long, area long, dark double"
 
+
+def _dark_boxes(dark: int, least: int, kernel: int, iterations: int):
     def run(i):
         g = px.gray(i)
         band = comp.dark_band(g, dark, least)
@@ -280,12 +282,18 @@ def tag_boxes(images: DataFrame, dark: int = 110, least: int = 200, kernel: int
             return []
         return [(k, x, y + band[0], w, h, a, d) for k, (x, y, w, h, a, d) in enumerate(comp.tag_regions(g[band[0] : band[1]], dark, kernel, iterations))]
 
-    return measure(images, run, "box_id long, x long, y long, w long, h long, area long, dark double")
+    return run
 
 
-def tag_candidates(images: DataFrame, top: float = 0.08, bottom: float = 0.42, glyph_kernel: int = 3, pad: int = 24) -> DataFrame:
-    """page_id, box_id, x, y, w, h, dark, sat, hue, glyphs, band_width, band_height, band_top, page_width, page_height of stable regions of the band."""
+def tag_boxes(images: DataFrame, dark: int = 110, least: int = 200, kernel: int = 5, iterations: int = 2) -> DataFrame:
+    """page_id, box_id, x, y, w, h, area, dark of dark regions in the band of tags, in the page's frame."""
+    return measure(images, _dark_boxes(dark, least, kernel, iterations), _TAG_BOX)
 
+
+_CANDIDATE = "box_id long, x long, y long, w long, h long, dark double, sat double, hue double, glyphs long, band_width long, band_height long, band_top long, page_width long, page_height long"
+
+
+def _candidates(top: float, bottom: float, glyph_kernel: int, pad: int):
     def kernel(i):
         h = i.shape[0]
         y0 = max(0, min(h - 1, int(top * h)))
@@ -303,13 +311,42 @@ def tag_candidates(images: DataFrame, top: float = 0.08, bottom: float = 0.42, g
                 out.append((k, x, y, w, hh, dark, float(sat[roi].mean()), float(hue[roi].mean()), comp.glyph_count(g[roi], kernel=glyph_kernel), g.shape[1], g.shape[0], y0, i.shape[1], h))
         return out
 
-    columns = "box_id long, x long, y long, w long, h long, dark double, sat double, hue double, glyphs long, band_width long, band_height long, band_top long, page_width long, page_height long"
-    return measure(images, kernel, columns)
+    return kernel
+
+
+def tag_candidates(images: DataFrame, top: float = 0.08, bottom: float = 0.42, glyph_kernel: int = 3, pad: int = 24) -> DataFrame:
+    """page_id, box_id, x, y, w, h, dark, sat, hue, glyphs, band_width, band_height, band_top, page_width, page_height of stable regions of the band."""
+    return measure(images, _candidates(top, bottom, glyph_kernel, pad), _CANDIDATE)
+
+
+def with_tag_candidates(images: DataFrame, top: float = 0.08, bottom: float = 0.42, glyph_kernel: int = 3, pad: int = 24, data: bool = True) -> DataFrame:
+    """Pages, or with data=False their rows alone, with what tag_candidates() finds on them in an array, found."""
+    return _with_found(images, _candidates(top, bottom, glyph_kernel, pad), _CANDIDATE, data)
+
+
+def _with_found(images: DataFrame, kernel, schema: str, keep: bool = True) -> DataFrame:
+    """Pages with an array, found, of the tuples that kernel(image) gives, so that no page has to meet them in a join. Pages with errors have none."""
+    names, kinds = zip(*(x.split() for x in schema.split(", ")))
+    arrow = _ARROW.append(pa.field("found", pa.list_(pa.struct([(n, {"long": pa.int64(), "double": pa.float64()}[k]) for n, k in zip(names, kinds)]))))
+
+    def run(batches):
+        for batch in batches:
+            for page, h, w, c, data, error in _rows(batch):
+                whole = data.as_py() if error is None and data.is_valid else None
+                yield page, h, w, c, whole if keep else None, error, [] if whole is None else kernel(to_array(h, w, c, whole))
+
+    full = f"{IMAGE}, found array<struct<{', '.join(f'{n}: {k}' for n, k in zip(names, kinds))}>>"
+    return _bounded(images).mapInArrow(lambda batches: _batched(run(batches), arrow), full)
 
 
 def white_fill(images: DataFrame, boxes: DataFrame, capsules: dict | None = None, margin: int = 2) -> DataFrame:
     """Pages with their boxes(page_id, x, y, w, h) painted white; with capsules (options of comp.capsule_mask()) only the dark shape within each."""
     lists = boxes.groupBy("page_id").agg(F.collect_list(F.struct("x", "y", "w", "h")).alias("boxes"))
+    return white_listed(_bounded(images).join(lists, "page_id", "left"), capsules, margin)
+
+
+def white_listed(images: DataFrame, capsules: dict | None = None, margin: int = 2) -> DataFrame:
+    """white_fill() of pages that bring their boxes along, as an array of structs x, y, w, h."""
 
     def run(batches):
         for batch in batches:
@@ -320,7 +357,7 @@ def white_fill(images: DataFrame, boxes: DataFrame, capsules: dict | None = None
                 i, own = to_array(h, w, c, data.as_py()), [(x["x"], x["y"], x["w"], x["h"]) for x in b or ()]
                 yield image_row(page, comp.white_boxes(i, own, margin) if capsules is None else comp.white_capsules(i, own, **capsules))
 
-    return _bounded(images).join(lists, "page_id", "left").mapInArrow(lambda batches: _batched(run(batches), _ARROW), IMAGE)
+    return _bounded(images).mapInArrow(lambda batches: _batched(run(batches), _ARROW), IMAGE)
 
 
 def overlay(images: DataFrame, lines: DataFrame, share: float = 0.7, colour: tuple[int, int, int] = (0, 0, 255)) -> DataFrame:

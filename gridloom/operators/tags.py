@@ -15,20 +15,28 @@ def tag_band(rows: DataFrame, heights: DataFrame, min_dark: int = 200, low: floa
 
 def classic_filter(boxes: DataFrame, min_area=2000, max_area=60000, min_aspect=0.3, max_aspect=1.8, min_dark=0.7) -> DataFrame:
     """Boxes (also area, dark) strictly within the bounds of aspect and area, and dark enough."""
-    aspect = F.col("w") / F.col("h")
-    return boxes.where((aspect > min_aspect) & (aspect < max_aspect) & (F.col("area") > min_area) & (F.col("area") < max_area) & (F.col("dark") >= min_dark))
+    box = F.struct("w", "h", "area", "dark")
+    return boxes.where(is_classic(box, min_area, max_area, min_aspect, max_aspect, min_dark))
 
 
-def candidate_reason(width, height, size: tuple, aspect: tuple[float, float], min_dark: float, reject_red: bool = True, tall: tuple | None = None) -> Column:
+def is_classic(box: Column, min_area=2000, max_area=60000, min_aspect=0.3, max_aspect=1.8, min_dark=0.7) -> Column:
+    """classic_filter()'s condition on a struct w, h, area, dark."""
+    aspect = box["w"] / box["h"]
+    return (aspect > min_aspect) & (aspect < max_aspect) & (box["area"] > min_area) & (box["area"] < max_area) & (box["dark"] >= min_dark)
+
+
+def candidate_reason(width, height, size: tuple, aspect: tuple[float, float], min_dark: float, reject_red: bool = True, tall: tuple | None = None, box: Column | None = None) -> Column:
     """Why a box (also dark, sat, hue) is no candidate: bounds, shape, light, red; null for candidates.
 
-    size: least and greatest width, and height unless `tall` has its own; these and the page's sides may be columns.
+    size: least and greatest width, and height unless `tall` has its own; these and the page's sides may be columns. box: a struct that holds
+    the box instead of the row's columns.
     """
-    a = F.col("w") / F.greatest("h", F.lit(1))
-    out = (F.col("x") < 0) | (F.col("y") < 0) | (F.col("x") + F.col("w") > width) | (F.col("y") + F.col("h") > height)
-    fits = F.col("w").between(*size) & F.col("h").between(*(tall or size)) & a.between(*aspect)
-    red = (F.col("sat") > 70) & ((F.col("hue") < 15) | (F.col("hue") > 165)) & (F.col("dark") < 0.70)
-    reason = F.when(out, "bounds").when(~fits, "shape").when(F.col("dark") < min_dark, "light")
+    of = F.col if box is None else lambda n: box[n]
+    a = of("w") / F.greatest(of("h"), F.lit(1))
+    out = (of("x") < 0) | (of("y") < 0) | (of("x") + of("w") > width) | (of("y") + of("h") > height)
+    fits = of("w").between(*size) & of("h").between(*(tall or size)) & a.between(*aspect)
+    red = (of("sat") > 70) & ((of("hue") < 15) | (of("hue") > 165)) & (of("dark") < 0.70)
+    reason = F.when(out, "bounds").when(~fits, "shape").when(of("dark") < min_dark, "light")
     return reason.when(red, "red") if reject_red else reason
 
 
@@ -53,15 +61,59 @@ def nms(boxes: DataFrame, threshold: float = 0.30, also: tuple[str, ...] = ()) -
     also: further columns that the boxes bring along.
     """
     columns = ("box_id", "x", "y", "w", "h", *also)
-    ordered = boxes.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("w") * F.col("h")).alias("o"), *columns))).alias("b"))
+    lists = boxes.groupBy("page_id").agg(F.collect_list(F.struct(*columns)).alias("b"))
+    kinds = dict(boxes.dtypes)
+    return lists.select("page_id", F.inline(apart(F.col("b"), threshold, {c: kinds[c] for c in also}))).drop("o")
+
+
+def apart(boxes: Column, threshold: float = 0.30, also: dict[str, str] | None = None) -> Column:
+    """nms() of one page's array of boxes; also: further fields that they bring along, and their types. Field o orders them."""
+    also = also or {}
+    ordered = F.sort_array(F.transform(boxes, lambda b: F.struct((-b["w"] * b["h"]).alias("o"), *(b[c].alias(c) for c in ("box_id", "x", "y", "w", "h", *also)))))
 
     def step(kept: Column, box: Column) -> Column:
         return F.when(F.forall(kept, lambda k: iou(box, k) <= threshold), F.concat(kept, F.array(box))).otherwise(kept)
 
-    kinds = dict(boxes.dtypes)
-    more = "".join(f",{c}:{kinds[c]}" for c in also)
+    more = "".join(f",{c}:{kind}" for c, kind in also.items())
     empty = F.array().cast(f"array<struct<o:bigint,box_id:bigint,x:bigint,y:bigint,w:bigint,h:bigint{more}>>")
-    return ordered.select("page_id", F.inline(F.aggregate("b", empty, step))).drop("o")
+    return F.aggregate(ordered, empty, step)
+
+
+def _bound(value: Column, f) -> Column:
+    """f(value), for which value is computed once, however often f or its functions on arrays look at it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _median(values: Column) -> Column:
+    """F.median() of an array; null for an empty one."""
+    return _bound(F.sort_array(values), lambda v: (F.get(v, F.floor((F.size(v) - 1) / 2).cast("int")) + F.get(v, F.floor(F.size(v) / 2).cast("int"))) / 2)
+
+
+def _middle_y(box: Column) -> Column:
+    return box["y"] + box["h"] / 2
+
+
+def near_median(boxes: Column, least_tau: float = 28.0) -> Column:
+    """row_filter_median() of one page's array of boxes."""
+    def near(b: Column) -> Column:
+        page = F.struct(_median(F.transform(b, _middle_y)).alias("y0"), _median(F.transform(b, lambda x: x["h"])).alias("hm"))
+        return _bound(page, lambda p: F.filter(b, lambda x: F.abs(_middle_y(x) - p["y0"]) <= F.greatest(0.25 * p["hm"], F.lit(least_tau))))
+
+    return _bound(boxes, lambda b: F.when(F.size(b) < 2, b).otherwise(near(b)))
+
+
+def near_theil_sen(boxes: Column, least_tau: float = 28.0) -> Column:
+    """row_filter_theil_sen() of one page's array of boxes."""
+    x = lambda b: b["x"] + b["w"] / 2
+
+    def near(b: Column) -> Column:
+        after = lambda p: F.filter(b, lambda q: (p["box_id"] < q["box_id"]) & (F.abs(x(q) - x(p)) >= 1e-6))
+        slopes = F.flatten(F.transform(b, lambda p: F.transform(after(p), lambda q: (_middle_y(q) - _middle_y(p)) / (x(q) - x(p)))))
+        with_rest = lambda s: F.struct(s.alias("slope"), _median(F.transform(b, lambda p: _middle_y(p) - s * x(p))).alias("rest"), _median(F.transform(b, lambda p: p["h"])).alias("hm"))
+        fit = _bound(F.coalesce(_median(slopes), F.lit(0.0)), with_rest)
+        return _bound(fit, lambda f: F.filter(b, lambda p: F.abs(_middle_y(p) - (f["slope"] * x(p) + f["rest"])) <= F.greatest(0.25 * f["hm"], F.lit(least_tau))))
+
+    return _bound(boxes, lambda b: F.when(F.size(b) < 2, b).otherwise(near(b)))
 
 
 def row_filter_median(boxes: DataFrame, least_tau: float = 28.0) -> DataFrame:

@@ -10,7 +10,7 @@ import dataclasses
 import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridloom.config import Deskew, Lines, Preparation, Stage1, Stage2, Tags
@@ -42,26 +42,36 @@ def preparation(c: Preparation | None) -> dict | None:
     return {"method": c.method, "level": c.level, "block": c.block, "c": c.c, "invert": c.invert, "denoise": c.denoise, "strokes": strokes}
 
 
+def chosen_tags(found: Column, c: Tags) -> Column:
+    """Of one page's candidates (pages.tag_candidates(), an array) those that are tags: structs box_id, x, y, w, h in the page's frame, dark, glyphs."""
+
+    def candidate(b: Column) -> Column:
+        share = lambda side, ratio: F.floor(b[side] * ratio)
+        wide = (share("page_width", c.min_width), share("page_width", c.max_width))
+        tall = (share("page_height", c.min_height), share("page_height", c.max_height))
+        return tags.candidate_reason(b["band_width"], b["band_height"], wide, (c.min_aspect, c.max_aspect), c.min_dark, c.reject_red, tall, b).isNull()
+
+    kept = tags.apart(F.filter(found, candidate), c.iou, {"dark": "double", "glyphs": "bigint", "band_top": "bigint"})
+    scored = F.filter(kept, lambda b: tags.tag_score(b["dark"], b["glyphs"], b["w"], b["h"]) >= c.min_score)
+    by_row = {"median": tags.near_median, "theilsen": tags.near_theil_sen}.get(c.rows.lower())
+    scored = by_row(scored) if by_row else scored
+    return F.transform(scored, lambda b: F.struct(b["box_id"].alias("box_id"), b["x"].alias("x"), (b["y"] + b["band_top"]).alias("y"), b["w"].alias("w"), b["h"].alias("h"), b["dark"].alias("dark"), b["glyphs"].alias("glyphs")))
+
+
 def find_tags(images: DataFrame, c: Tags) -> DataFrame:
     """page_id, box_id, x, y, w, h in the page's frame, dark, glyphs of the tags that the auto method finds."""
-    found = pages.tag_candidates(images, c.band_top, c.band_bottom, c.glyph_kernel)
-    share = lambda side, ratio: F.floor(F.col(side) * ratio)
-    wide = (share("page_width", c.min_width), share("page_width", c.max_width))
-    tall = (share("page_height", c.min_height), share("page_height", c.max_height))
-    reason = tags.candidate_reason(F.col("band_width"), F.col("band_height"), wide, (c.min_aspect, c.max_aspect), c.min_dark, c.reject_red, tall)
-    kept = tags.nms(found.where(reason.isNull()), c.iou, ("dark", "glyphs", "band_top"))  # found once: its regions are the costly part
-    scored = kept.where(tags.tag_score(F.col("dark"), F.col("glyphs"), F.col("w"), F.col("h")) >= c.min_score)
-    by_row = {"median": tags.row_filter_median, "theilsen": tags.row_filter_theil_sen}.get(c.rows.lower())
-    scored = by_row(scored) if by_row else scored
-    return scored.select("page_id", "box_id", "x", (F.col("y") + F.col("band_top")).alias("y"), "w", "h", "dark", "glyphs")
+    found = pages.with_tag_candidates(images, c.band_top, c.band_bottom, c.glyph_kernel, data=False).select("page_id", "found")
+    return found.select("page_id", F.inline(chosen_tags(F.col("found"), c)))
 
 
 def remove_tags(images: DataFrame, c: Tags) -> DataFrame:
-    """Pages with their generation tags whitened."""
+    """Pages with their generation tags whitened. A page brings its boxes along, so that it is neither made twice nor dealt."""
     if c.method == "classic":
         regions = {"dark": c.dark, "least": c.row_dark, "kernel": c.kernel, "iterations": c.iterations}
         return pages.remove_tags_classic(images, **regions, min_area=c.min_area, max_area=c.max_area, min_aspect=c.classic_min_aspect, max_aspect=c.classic_max_aspect, min_dark=c.dark_share)
-    return pages.white_fill(images, find_tags(images, c), {"pad": c.pad, "close": c.mask_close, "open_": c.mask_open, "grow": c.mask_grow})
+    found = pages.with_tag_candidates(images, c.band_top, c.band_bottom, c.glyph_kernel)
+    whole = found.withColumn("boxes", chosen_tags(F.col("found"), c)).drop("found")
+    return pages.white_listed(whole, {"pad": c.pad, "close": c.mask_close, "open_": c.mask_open, "grow": c.mask_grow})
 
 
 def margin_options(c: Stage1) -> dict:
